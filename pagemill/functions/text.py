@@ -71,7 +71,7 @@ def node_label(worker: Column | str, cores_per_node: int) -> Column:
 
 def _sized(amount: Column | str, power: int, pattern: str, unit: str) -> Column:
     value = _col(amount).cast("double") / F.lit(float(1024**power))
-    return F.concat(F.format_number(value, pattern), F.lit(unit))
+    return F.concat(F.call_function("format_number", value, F.lit(pattern)), F.lit(unit))
 
 
 def as_gigabytes(amount: Column | str) -> Column:

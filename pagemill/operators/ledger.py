@@ -158,4 +158,4 @@ def run_summary(totals: DataFrame, now: Column) -> DataFrame:
         F.col("total_warc_processed_for_download_count").cast("string").alias("WARCs Downloaded"),
         F.col("total_warc_successfully_cleaned_count").cast("string").alias("WARCs Cleaned"),
     )
-    return shown.unpivot([], shown.columns, "metric", "value")
+    return shown.unpivot([], [f"`{c}`" for c in shown.columns], "metric", "value")

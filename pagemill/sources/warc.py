@@ -20,7 +20,6 @@ from pyspark.sql.datasource import (
     IsNotNull,
     StringContains,
 )
-from pyspark.sql.types import StructType
 
 from pagemill.functions.text import basename
 from pagemill.sources.archive_reader import ArchiveError, read_range
@@ -215,7 +214,7 @@ class WarcDataSource(DataSource):
         return "warc"
 
     def schema(self):
-        return StructType.fromDDL(RECORD_DDL)
+        return RECORD_DDL
 
     def reader(self, schema):
         pushdown = self.options.get("pushdown", "false").lower() == "true"
