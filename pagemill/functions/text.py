@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 from pagemill.constants import CAPACITY_FACTOR, OUTPUT_SUFFIX, UNKNOWN_SIZE_BYTES
 
-# Fixed value: every character Python's str.isspace accepts (Java's \s is ASCII only).
+# The characters Python's str.isspace accepts, as a class for Java
+# regular expressions (plain \s is ASCII only) and one by one for trimming.
 SPACE = r"[\s\x1c-\x1f]"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 _MAX_BIGINT = 2**63 - 1
 
 
@@ -23,7 +29,7 @@ def decode_payload(raw: Column | str) -> Column:
 
 
 def strip(text: Column | str) -> Column:
-    return F.regexp_replace(_col(text), rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(_col(text), F.lit(SPACES))
 
 
 def collapse_whitespace(text: Column | str) -> Column:

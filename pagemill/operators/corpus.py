@@ -10,20 +10,26 @@ from pagemill.constants import MIN_TEXT_LENGTH, RECORD_SEPARATOR
 from pagemill.functions.text import byte_length
 
 CHUNK_SPAN = 1 << 30  # bytes of an archive that end up in one output file
+TASK_BYTES = 128 << 20  # text that one writing task should hold
 
 
 def chunk_of(position: str = "rec_offset", span: int = CHUNK_SPAN) -> Column:
     return F.floor(F.col(position) / F.lit(span)).cast("bigint").alias("chunk")
 
 
-def write_corpus(clean: DataFrame, folder: str, span: int = CHUNK_SPAN) -> None:
+def write_corpus(
+    clean: DataFrame, folder: str, span: int = CHUNK_SPAN, text_bytes: int = 0
+) -> None:
     """Write basename=<b>/chunk=<n>/part-*.txt; the chunks of an archive in order are its text.
 
     Every record is followed by the separator. An archive up to `span` bytes is
     one file; a larger one is cut by record position, so no task holds a whole
     huge archive and the order needs no global sort. Rewriting an archive
-    replaces its chunks. Archives without records leave no output.
+    replaces its chunks. Archives without records leave no output. `text_bytes`,
+    when known, raises the number of tasks beyond the session's default.
     """
+    tasks = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = text_bytes // TASK_BYTES
     rows = clean.select(
         # not nullable: otherwise the writer wraps the column and sorts once more
         F.coalesce("basename", F.lit("")).alias("basename"),
@@ -32,7 +38,8 @@ def write_corpus(clean: DataFrame, folder: str, span: int = CHUNK_SPAN) -> None:
         F.col("text").alias("value"),
     )
     (
-        rows.repartition("basename", "chunk")
+        # without a number AQE may merge small partitions
+        rows.repartition(*([wanted] if wanted > tasks else []), "basename", "chunk")
         .sortWithinPartitions("basename", "chunk", "rec_offset")
         .select("value", "basename", "chunk")
         .write.mode("overwrite")
@@ -92,30 +99,42 @@ def pack_text(
     )
 
 
-def record_metrics(clean: DataFrame) -> DataFrame:
-    """basename, kept_records, output_bytes; summed on the map side first."""
+def record_metrics(rows: DataFrame, kept: Column, failed: Column) -> DataFrame:
+    """basename, kept_records, output_bytes, errors; summed on the map side first."""
     size = byte_length("text") + F.octet_length(F.lit(RECORD_SEPARATOR))
-    return clean.groupBy("basename").agg(
-        F.count(F.lit(1)).alias("kept_records"), F.sum(size).alias("output_bytes")
+    return rows.groupBy("basename").agg(
+        F.count_if(kept).alias("kept_records"),
+        F.sum(F.when(kept, size)).alias("output_bytes"),
+        F.count_if(failed).alias("errors"),
     )
 
 
-def file_metrics(files: DataFrame, clean: DataFrame) -> DataFrame:
+def file_metrics(
+    files: DataFrame,
+    rows: DataFrame,
+    kept: Column | None = None,
+    failed: Column | None = None,
+) -> DataFrame:
     """One row per file(basename, length), also for files that kept nothing.
 
-    removed_bytes may be negative: the input is compressed, the output is not.
+    `kept` and `failed` tell which rows are clean text and which report an
+    error; without them every row is clean text. removed_bytes may be negative:
+    the input is compressed, the output is not.
     """
+    kept = F.lit(True) if kept is None else kept
+    per_file = record_metrics(rows, kept, F.lit(False) if failed is None else failed)
     zero = F.lit(0).cast("bigint")
     return (
         files.select("basename", F.col("length").alias("input_bytes"))
-        .join(record_metrics(clean), "basename", "left")
+        .join(per_file, "basename", "left")
         .select(
             "basename",
             "input_bytes",
             F.coalesce("kept_records", zero).alias("kept_records"),
             F.coalesce("output_bytes", zero).alias("output_bytes"),
+            (F.col("input_bytes") - F.coalesce("output_bytes", zero)).alias("removed_bytes"),
+            *([F.coalesce("errors", zero).alias("errors")] if failed is not None else []),
         )
-        .withColumn("removed_bytes", F.col("input_bytes") - F.col("output_bytes"))
     )
 
 

@@ -61,13 +61,10 @@ class Layout:
 
 
 def read_table(spark: SparkSession, folder: str, ddl: str) -> DataFrame:
-    """A table of this run; one that does not exist yet is empty."""
-    try:
-        return spark.read.schema(ddl).parquet(folder)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], ddl)
+    """A batch table of this run; it comes into being, empty, on first use."""
+    empty = spark.createDataFrame([], ddl)
+    empty.write.mode("ignore").partitionBy("batch_id").parquet(folder)
+    return spark.read.schema(ddl).parquet(folder)
 
 
 def _materialize(table: DataFrame, folder: str) -> DataFrame:
@@ -174,46 +171,41 @@ def run_batch(
     )
     # rows this batch wrote before it was interrupted do not count as done
     ledger = read_table(spark, layout.ledger, LEDGER_DDL).where(F.col("batch_id") != batch_id)
-    pending = _materialize(
-        manifest_ops.skip_cleaned(listed, ledger), layout.staging(batch_id, "pending")
-    )
+    pending = manifest_ops.skip_cleaned(listed, ledger)
     done = None
-    todo = pending
     if skip_existing_outputs:
+        pending = _materialize(pending, layout.staging(batch_id, "pending"))
         outputs = corpus_outputs(spark, layout.corpus)
         done = corpus_ops.finished_outputs(pending, outputs, min_len)
         todo = pending.join(done.select("basename"), "basename", "left_anti")
+    else:
+        todo = pending
     todo = _materialize(todo, layout.staging(batch_id, "todo"))
-    volume = todo.agg(F.sum(F.ceil((F.col("length") + 1) / F.lit(split_bytes)))).first()[0] or 0
+    ranges = F.greatest(F.ceil(F.col("length") / F.lit(split_bytes)), F.lit(1))
+    n_files, n_ranges = todo.agg(F.count(F.lit(1)), F.coalesce(F.sum(ranges), F.lit(0))).first()
     # about four ranges per task: a lost task costs little, and tasks even out
-    tasks = max(spark.sparkContext.defaultParallelism, int(volume) // 4)
+    tasks = max(spark.sparkContext.defaultParallelism, int(n_ranges) // 4)
 
     counters = Observation()
     staged = _stage(todo, layout.staging(batch_id, "records"), tasks, split_bytes, min_len, extractor, counters)
-    # archives whose ranges do not join up, or that failed while split, are read in one piece
-    suspects = (
-        broken_splits(staged)
-        .unionByName(staged.where("kind = 'error' AND error <> 'missing'").select("path"))
-        .distinct()
-    )
-    again = _materialize(
-        todo.where(F.col("length") > split_bytes).join(suspects, "path", "left_semi"),
-        layout.staging(batch_id, "again"),
+    if n_ranges > n_files:
+        staged = _reread(todo, staged, layout, batch_id, split_bytes, min_len, extractor)
+
+    # one row per archive, summed on the map side: what it kept and what went wrong
+    bad = (F.col("kind") == "error") | (F.coalesce("route", F.lit("")) == "error")
+    status = _materialize(
+        corpus_ops.file_metrics(todo, staged, F.col("kind") == "record", bad),
+        layout.staging(batch_id, "status"),
     )
-    n_again = again.count()
-    if n_again:
-        whole = _stage(again, layout.staging(batch_id, "whole"), n_again, None, min_len, extractor)
-        staged = staged.join(again.select("path"), "path", "left_anti").unionByName(whole)
-
-    failed = staged.where("kind = 'error' OR route = 'error'").select("basename").distinct()
+    failed = status.where("errors > 0").select("basename")
     clean = (
         staged.where("kind = 'record'")
-        .select("basename", "rec_offset", "text", "route")
+        .select("basename", "rec_offset", "text")
         .join(failed, "basename", "left_anti")
     )
-    corpus_ops.write_corpus(clean, layout.corpus, span)
-    finished = todo.join(failed, "basename", "left_anti")
-    rows = corpus_ops.file_metrics(finished, clean).withColumn("at", at)
+    counted = dict(counters.get)
+    corpus_ops.write_corpus(clean, layout.corpus, span, counted["text_bytes"])
+    rows = status.where("errors = 0").drop("errors").withColumn("at", at)
     if done is not None:
         # the output was there already: recorded as cleaned, with nothing removed
         rows = rows.unionByName(
@@ -227,7 +219,33 @@ def run_batch(
             )
         )
     _append_batch(rows, layout.ledger, batch_id)
-    return dict(counters.get)
+    return counted
+
+
+def _reread(
+    files: DataFrame,
+    staged: DataFrame,
+    layout: Layout,
+    batch_id: int,
+    split_bytes: int,
+    min_len: int,
+    extractor: Callable[[Column], Column] | None,
+) -> DataFrame:
+    """Staged rows in which split archives that did not work out are read in one piece."""
+    suspects = (
+        broken_splits(staged)
+        .unionByName(staged.where("kind = 'error' AND error <> 'missing'").select("path"))
+        .distinct()
+    )
+    again = _materialize(
+        files.where(F.col("length") > split_bytes).join(suspects, "path", "left_semi"),
+        layout.staging(batch_id, "again"),
+    )
+    n_again = again.count()
+    if not n_again:
+        return staged
+    whole = _stage(again, layout.staging(batch_id, "whole"), n_again, None, min_len, extractor)
+    return staged.join(again.select("path"), "path", "left_anti").unionByName(whole)
 
 
 def _stage(
