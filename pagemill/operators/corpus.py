@@ -18,15 +18,20 @@ def chunk_of(position: str = "rec_offset", span: int = CHUNK_SPAN) -> Column:
 
 
 def write_corpus(
-    clean: DataFrame, folder: str, span: int = CHUNK_SPAN, text_bytes: int = 0
+    clean: DataFrame,
+    folder: str,
+    span: int = CHUNK_SPAN,
+    text_bytes: int = 0,
+    mode: str = "dynamic",
 ) -> None:
     """Write basename=<b>/chunk=<n>/part-*.txt; the chunks of an archive in order are its text.
 
     Every record is followed by the separator. An archive up to `span` bytes is
     one file; a larger one is cut by record position, so no task holds a whole
-    huge archive and the order needs no global sort. Rewriting an archive
-    replaces its chunks. Archives without records leave no output. `text_bytes`,
-    when known, raises the number of tasks beyond the session's default.
+    huge archive and the order needs no global sort. Archives without records
+    leave no output. `text_bytes`, when known, raises the number of tasks beyond
+    the session's default. Mode dynamic replaces the chunks that are written
+    (chunks a shorter rewrite no longer has stay), static replaces the folder.
     """
     tasks = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = text_bytes // TASK_BYTES
@@ -43,22 +48,22 @@ def write_corpus(
         .sortWithinPartitions("basename", "chunk", "rec_offset")
         .select("value", "basename", "chunk")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", mode)
         .option("lineSep", RECORD_SEPARATOR)
         .partitionBy("basename", "chunk")
         .text(folder)
     )
 
 
-def read_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    """basename, chunk, value: one row per record."""
-    schema = StructType.fromDDL("value STRING, basename STRING, chunk BIGINT")
+def read_corpus(spark: SparkSession, folder: str, *outer: str) -> DataFrame:
+    """basename, chunk, value: one row per record; `outer` names folders above basename=<b>."""
+    names = "".join(f", {name} STRING" for name in outer)
+    schema = StructType.fromDDL(f"value STRING, basename STRING, chunk BIGINT{names}")
     return (
         spark.read.schema(schema)
         .option("lineSep", RECORD_SEPARATOR)
-        .option("wholetext", "false")
         .text(folder)
-        .select("basename", "chunk", "value")
+        .select("basename", "chunk", "value", *outer)
     )
 
 

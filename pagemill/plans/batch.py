@@ -1,11 +1,13 @@
 """One batch from archives to corpus and ledger, and the state derived from it.
 
-Order of effects: staged records, corpus, ledger. A batch that dies half-way
-leaves no ledger rows, so it is done again and rewrites the same outputs.
+Order of effects: staged records, corpus, ledger. A batch writes to folders of
+its own, and only what the ledger names is read. A batch that dies half-way
+leaves no ledger rows; done again under the same name it replaces its folders.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -25,9 +27,9 @@ from pagemill.sources.warc import SPLIT_BYTES, broken_splits, scan_archives
 
 LEDGER_DDL = (
     "basename STRING, input_bytes BIGINT, kept_records BIGINT, output_bytes BIGINT, "
-    "removed_bytes BIGINT, at TIMESTAMP, batch_id BIGINT"
+    "removed_bytes BIGINT, at TIMESTAMP, batch STRING"
 )
-FETCH_LOG_DDL = FETCH_DDL + ", at TIMESTAMP, batch_id BIGINT"
+FETCH_LOG_DDL = FETCH_DDL + ", at TIMESTAMP, batch STRING"
 _STAGED_COLUMNS = ("path", "basename", "rec_offset", "next_offset", "kind", "error", "payload")
 
 
@@ -56,14 +58,14 @@ class Layout:
     def fetch_log(self) -> str:
         return self.folder("fetch_log")
 
-    def staging(self, batch_id: int, name: str) -> str:
-        return self.folder(f"staging/batch_id={batch_id}/{name}")
+    def staging(self, batch: str, name: str) -> str:
+        return self.folder(f"staging/batch={batch}/{name}")
 
 
 def read_table(spark: SparkSession, folder: str, ddl: str) -> DataFrame:
     """A batch table of this run; it comes into being, empty, on first use."""
     empty = spark.createDataFrame([], ddl)
-    empty.write.mode("ignore").partitionBy("batch_id").parquet(folder)
+    empty.write.mode("ignore").partitionBy("batch").parquet(folder)
     return spark.read.schema(ddl).parquet(folder)
 
 
@@ -72,13 +74,13 @@ def _materialize(table: DataFrame, folder: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(folder)
 
 
-def _append_batch(table: DataFrame, folder: str, batch_id: int) -> None:
+def _append_batch(table: DataFrame, folder: str, batch: str) -> None:
     """Write a batch's rows; writing the same batch again replaces them."""
     (
-        table.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        table.withColumn("batch", F.lit(batch))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy("batch")
         .parquet(folder)
     )
 
@@ -103,7 +105,7 @@ def run_fetch(
     spark: SparkSession,
     manifest: DataFrame,
     layout: Layout,
-    batch_id: int = 0,
+    batch: str | None = None,
     base_url: str = BASE_URL,
     listing: DataFrame | None = None,
     budget_bytes: int | None = None,
@@ -115,6 +117,7 @@ def run_fetch(
     Outcomes: skipped_cleaned, head_failed, size_zero, no_capacity, failed,
     downloaded. `listing`(basename, content_length) supplies sizes.
     """
+    batch = batch or uuid.uuid4().hex
     at = F.current_timestamp() if at is None else at
     ledger = read_table(spark, layout.ledger, LEDGER_DDL).select(
         "basename", F.lit(True).alias("cleaned")
@@ -131,7 +134,7 @@ def run_fetch(
             manifest_ops.size_status("content_length", budget_bytes, F.col("found"))
         )
     plan = _materialize(
-        plan.select("basename", "url", status.alias("status")), layout.staging(batch_id, "wanted")
+        plan.select("basename", "url", status.alias("status")), layout.staging(batch, "wanted")
     )
     wanted = plan.where("status IS NULL")
     tasks = tasks or spark.sparkContext.defaultParallelism
@@ -140,15 +143,15 @@ def run_fetch(
         "status", "CAST(NULL AS STRING) AS error",
     )
     outcome = fetch(wanted, layout.landing, tasks).unionByName(skipped)
-    _append_batch(outcome.withColumn("at", at), layout.fetch_log, batch_id)
-    return read_table(spark, layout.fetch_log, FETCH_LOG_DDL).where(F.col("batch_id") == batch_id)
+    _append_batch(outcome.withColumn("at", at), layout.fetch_log, batch)
+    return read_table(spark, layout.fetch_log, FETCH_LOG_DDL).where(F.col("batch") == batch)
 
 
 def run_batch(
     spark: SparkSession,
     files: DataFrame,
     layout: Layout,
-    batch_id: int = 0,
+    batch: str | None = None,
     min_len: int = MIN_TEXT_LENGTH,
     split_bytes: int = SPLIT_BYTES,
     span: int = corpus_ops.CHUNK_SPAN,
@@ -158,10 +161,13 @@ def run_batch(
 ) -> dict[str, int]:
     """Clean files(path, length): corpus and ledger rows of the batch; returns its counters.
 
+    To be able to repeat an interrupted batch, give it a name in `batch`.
+
     `skip_existing_outputs` also takes archives as done whose output is there
     but not in the ledger. It is for a lost ledger: after an interrupted batch
     an output may be incomplete, which only the ledger can tell.
     """
+    batch = batch or uuid.uuid4().hex
     at = F.current_timestamp() if at is None else at
     listed = (
         files.select(basename("path").alias("basename"), "path", "length")
@@ -170,32 +176,32 @@ def run_batch(
         .select("basename", "f.path", "f.length")
     )
     # rows this batch wrote before it was interrupted do not count as done
-    ledger = read_table(spark, layout.ledger, LEDGER_DDL).where(F.col("batch_id") != batch_id)
+    ledger = read_table(spark, layout.ledger, LEDGER_DDL).where(F.col("batch") != batch)
     pending = manifest_ops.skip_cleaned(listed, ledger)
     done = None
     if skip_existing_outputs:
-        pending = _materialize(pending, layout.staging(batch_id, "pending"))
+        pending = _materialize(pending, layout.staging(batch, "pending"))
         outputs = corpus_outputs(spark, layout.corpus)
         done = corpus_ops.finished_outputs(pending, outputs, min_len)
         todo = pending.join(done.select("basename"), "basename", "left_anti")
     else:
         todo = pending
-    todo = _materialize(todo, layout.staging(batch_id, "todo"))
+    todo = _materialize(todo, layout.staging(batch, "todo"))
     ranges = F.greatest(F.ceil(F.col("length") / F.lit(split_bytes)), F.lit(1))
     n_files, n_ranges = todo.agg(F.count(F.lit(1)), F.coalesce(F.sum(ranges), F.lit(0))).first()
     # about four ranges per task: a lost task costs little, and tasks even out
     tasks = max(spark.sparkContext.defaultParallelism, int(n_ranges) // 4)
 
     counters = Observation()
-    staged = _stage(todo, layout.staging(batch_id, "records"), tasks, split_bytes, min_len, extractor, counters)
+    staged = _stage(todo, layout.staging(batch, "records"), tasks, split_bytes, min_len, extractor, counters)
     if n_ranges > n_files:
-        staged = _reread(todo, staged, layout, batch_id, split_bytes, min_len, extractor)
+        staged = _reread(todo, staged, layout, batch, split_bytes, min_len, extractor)
 
     # one row per archive, summed on the map side: what it kept and what went wrong
     bad = (F.col("kind") == "error") | (F.coalesce("route", F.lit("")) == "error")
     status = _materialize(
         corpus_ops.file_metrics(todo, staged, F.col("kind") == "record", bad),
-        layout.staging(batch_id, "status"),
+        layout.staging(batch, "status"),
     )
     failed = status.where("errors > 0").select("basename")
     clean = (
@@ -204,7 +210,9 @@ def run_batch(
         .join(failed, "basename", "left_anti")
     )
     counted = dict(counters.get)
-    corpus_ops.write_corpus(clean, layout.corpus, span, counted["text_bytes"])
+    corpus_ops.write_corpus(
+        clean, f"{layout.corpus}/batch={batch}", span, counted["text_bytes"], mode="static"
+    )
     rows = status.where("errors = 0").drop("errors").withColumn("at", at)
     if done is not None:
         # the output was there already: recorded as cleaned, with nothing removed
@@ -218,7 +226,7 @@ def run_batch(
                 at.alias("at"),
             )
         )
-    _append_batch(rows, layout.ledger, batch_id)
+    _append_batch(rows, layout.ledger, batch)
     return counted
 
 
@@ -226,7 +234,7 @@ def _reread(
     files: DataFrame,
     staged: DataFrame,
     layout: Layout,
-    batch_id: int,
+    batch: str,
     split_bytes: int,
     min_len: int,
     extractor: Callable[[Column], Column] | None,
@@ -239,12 +247,12 @@ def _reread(
     )
     again = _materialize(
         files.where(F.col("length") > split_bytes).join(suspects, "path", "left_semi"),
-        layout.staging(batch_id, "again"),
+        layout.staging(batch, "again"),
     )
     n_again = again.count()
     if not n_again:
         return staged
-    whole = _stage(again, layout.staging(batch_id, "whole"), n_again, None, min_len, extractor)
+    whole = _stage(again, layout.staging(batch, "whole"), n_again, None, min_len, extractor)
     return staged.join(again.select("path"), "path", "left_anti").unionByName(whole)
 
 
@@ -274,11 +282,14 @@ def _stage(
 
 def clean_corpus(spark: SparkSession, layout: Layout) -> DataFrame:
     """Corpus rows of the archives that the ledger says are done and did not come out empty."""
-    kept = read_table(spark, layout.ledger, LEDGER_DDL).where(
-        "kept_records IS NULL OR kept_records > 0"
-    )
-    return corpus_ops.read_corpus(spark, layout.corpus).join(
-        kept.select("basename"), "basename", "left_semi"
+    kept = read_table(spark, layout.ledger, LEDGER_DDL)
+    by_batch = kept.where("kept_records > 0").select("basename", "batch")
+    found_before = kept.where("kept_records IS NULL").select("basename")
+    rows = corpus_ops.read_corpus(spark, layout.corpus, "batch")
+    return (
+        rows.join(by_batch, ["basename", "batch"], "left_semi")
+        .unionByName(rows.join(found_before, "basename", "left_semi"))
+        .drop("batch")
     )
 
 

@@ -22,6 +22,11 @@ def _start(writer: DataStreamWriter, checkpoint: str, drain: bool) -> StreamingQ
     return writer.trigger(processingTime=f"{SAVE_INTERVAL_SECONDS} seconds").start()
 
 
+def _batch_name(spark: SparkSession, batch_id: int) -> str:
+    """Unique to the checkpoint, so that a new checkpoint never replaces older batches."""
+    return f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+
+
 def fetch_stream(
     spark: SparkSession,
     manifest_folder: str,
@@ -35,7 +40,8 @@ def fetch_stream(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         manifest = resolve_lines(batch, base_url=base_url)
-        run_fetch(batch.sparkSession, manifest, layout, batch_id, base_url, **options)
+        name = _batch_name(spark, batch_id)
+        run_fetch(batch.sparkSession, manifest, layout, name, base_url, **options)
 
     return _start(lines.writeStream.foreachBatch(each), layout.folder("checkpoints/fetch"), drain)
 
@@ -66,7 +72,8 @@ def clean_stream(
     files = reader.load(layout.landing).select("path", "length")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        run_batch(batch.sparkSession, batch, layout, batch_id, **options)
+        name = _batch_name(spark, batch_id)
+        run_batch(batch.sparkSession, batch, layout, name, **options)
 
     return _start(files.writeStream.foreachBatch(each), layout.folder("checkpoints/clean"), drain)
 
