@@ -68,7 +68,7 @@ def read_corpus(spark: SparkSession, folder: str, *outer: str) -> DataFrame:
 
 
 def list_outputs(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
-    """path, length of the output files; contents are not read."""
+    """path, length of the output files; contents are not read. Empty files do not count."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)

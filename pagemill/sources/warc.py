@@ -226,7 +226,7 @@ def register(spark: SparkSession) -> None:
 
 
 def archive_listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """files(path, basename, length) of a folder; contents are not read."""
+    """files(path, basename, length) of a folder; contents are not read. Empty files are skipped."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
