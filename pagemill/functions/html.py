@@ -32,13 +32,14 @@ EXTRACT_TYPE = StructType(
     ]
 )
 
+# Groups: 1 name of an end tag; 2 and 3 name and attributes of a start tag.
 # Possessive quantifiers and "or end of input" keep the scan linear on any input.
 _TOKEN = re.compile(
     r"""<(?:
         !--(?:-?>|.*?(?:--!?>|\Z))
-      | /(?P<close>[a-z][^\s/>]*+)[^>]*+(?:>|\Z)
-      | (?P<open>[a-z][^\s/>]*+)
-        (?P<attrs>(?:[\s/]++
+      | /([a-z][^\s/>]*+)[^>]*+(?:>|\Z)
+      | ([a-z][^\s/>]*+)
+        ((?:[\s/]++
           | [^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|(?!["'])[^\s>]++)?+)?+
         )*+)(?:>|\Z)
       | [!?/][^>]*+(?:>|\Z)
@@ -90,12 +91,30 @@ _SCOPE_DEPTH = 512
 # A page whose text would grow beyond this (nested candidates repeat text) is an error.
 _MAX_TEXT_CHARS = 1 << 28
 
+# What a start tag can do, as bits, so that the scan looks a name up only once.
+_RAW, _ENDS_P, _ENDS_OTHERS, _DOCUMENT, _EMPTY, _HIDES, _PARAGRAPH = (1 << i for i in range(7))
+_TRAITS = defaultdict(int)
+for _names, _bit in (
+    (_RAW_TEXT_END, _RAW),
+    (_CLOSES_P, _ENDS_P),
+    (_IMPLIED_END, _ENDS_OTHERS),
+    (("html", "body"), _DOCUMENT),
+    (_VOID | {"head"}, _EMPTY),
+    (DROPPED_TAGS | _NO_TEXT, _HIDES),
+    (("p",), _PARAGRAPH),
+    (("a", "b", "em", "i", "label", "small", "span", "strong"), 0),
+):
+    for _name in _names:
+        _TRAITS[_name] |= _bit
+_TRAITS = dict(_TRAITS)
+
 _SELECTOR_OF = {(kind, value): i for i, (kind, value, _) in enumerate(CONTENT_SELECTORS)}
+_CONTENT_TAGS = {value: i for (kind, value), i in _SELECTOR_OF.items() if kind == "tag"}
 
 
 def _selectors(name: str, attrs: str) -> list[int]:
     """Positions of the content selectors an element matches."""
-    hits = [_SELECTOR_OF[("tag", name)]] if ("tag", name) in _SELECTOR_OF else []
+    hits = [_CONTENT_TAGS[name]] if name in _CONTENT_TAGS else []
     if attrs and _ATTRIBUTE_HINT.search(attrs):
         seen = set()
         for key, *values in _ATTRIBUTE.findall(attrs):
@@ -111,6 +130,10 @@ def _selectors(name: str, attrs: str) -> list[int]:
     return hits
 
 
+def _text(raw: str) -> str:
+    return (unescape(raw) if "&" in raw else raw).strip()
+
+
 def scan_page(html: str) -> tuple[list[str], list[list], list[list], int | None]:
     """Text nodes, slices per selector, slices of paragraphs, start of the body."""
     texts: list[str] = []
@@ -143,67 +166,79 @@ def scan_page(html: str) -> tuple[list[str], list[list], list[list], int | None]
                 break
         return hit
 
-    def add_text(raw: str) -> None:
-        text = (unescape(raw) if "&" in raw else raw).strip()
-        if text:
-            texts.append(text)
-
     pos, size = 0, len(html)
+    search, traits_of = _TOKEN.search, _TRAITS.get
     while True:
-        token = _TOKEN.search(html, pos)
-        stop = token.start() if token else size
-        if stop > pos and not hidden:
-            add_text(html[pos:stop])
+        token = search(html, pos)
+        before, (stop, after) = pos, token.span() if token else (size, size)
+        if stop > before and not hidden:
+            text = _text(html[before:stop])
+            if text:
+                texts.append(text)
         if token is None:
             break
-        pos = token.end()
-        name = token["open"]
-        if name:
-            name = name.lower()
-            closed = html.endswith("/>", stop, pos)
-            if name in _RAW_TEXT_END and not closed:
+        pos = after
+        kind = token.lastindex
+
+        if kind == 3:
+            name, attrs = token.group(2, 3)
+            traits = traits_of(name)
+            if traits is None:
+                name = name.lower()
+                traits = traits_of(name, 0)
+            closed = attrs and attrs[-1] == "/"
+            if traits & _RAW and not closed:
                 end = _RAW_TEXT_END[name].search(html, pos)
                 if name == "title" and not hidden:
-                    add_text(html[pos : end.start() if end else size])
+                    text = _text(html[pos : end.start() if end else size])
+                    if text:
+                        texts.append(text)
                 pos = end.end() if end else size
                 continue
-            if name in _CLOSES_P and opened["p"]:
+            if traits & _ENDS_P and opened["p"]:
                 open_p = lookup(("p",), _SCOPE_END)
                 if open_p >= 0:
                     end_from(open_p)
-            if name in _IMPLIED_END:
+            if traits & _ENDS_OTHERS:
                 ended = lookup(*_IMPLIED_END[name])
                 if ended >= 0:
                     end_from(ended)
-            if name in ("html", "body"):
+            if traits & _DOCUMENT:
                 if not hidden and (body is None if name == "body" else not texts):
                     if name == "body":
                         body = len(texts)
-                    for i in _selectors(name, token["attrs"]):
+                    for i in _selectors(name, attrs):
                         to_the_end.append([len(texts), None])
                         found[i].append(to_the_end[-1])
                 continue
-            if closed or name in _VOID or name == "head":
+            if closed or traits & _EMPTY:
                 continue
-            hides = name in DROPPED_TAGS or name in _NO_TEXT
+            hides = traits & _HIDES != 0
             hidden += hides
             span = None
             if not hidden:
-                hits = _selectors(name, token["attrs"])
-                if hits or name == "p":
+                hits = _selectors(name, attrs)
+                if hits or traits & _PARAGRAPH:
                     span = [len(texts), None]
                     for i in hits:
                         found[i].append(span)
-                    if name == "p":
+                    if traits & _PARAGRAPH:
                         paragraphs.append(span)
             stack.append((name, span, hides))
             opened[name] += 1
-            continue
-        name = token["close"]
-        if name:
-            name = name.lower()
+
+        elif kind == 1:
+            name = token.group(1)
+            if not (stack and stack[-1][0] == name):
+                name = name.lower()
             if stack and stack[-1][0] == name:
-                end_from(len(stack) - 1)
+                _, span, hides = stack.pop()
+                if span:
+                    span[1] = len(texts)
+                hidden -= hides
+                opened[name] -= 1
+                continue
+            if not opened[name]:
                 continue
             if name in _TABLE_PARTS:
                 stops = _TABLE_SCOPE_END
@@ -212,8 +247,6 @@ def scan_page(html: str) -> tuple[list[str], list[list], list[list], int | None]
             else:
                 stops = _BLOCK
             index = -1
-            if not opened[name]:
-                continue
             for i in range(len(stack) - 1, max(-1, len(stack) - 1 - _SCOPE_DEPTH), -1):
                 if stack[i][0] == name:
                     index = i
@@ -229,6 +262,7 @@ def scan_page(html: str) -> tuple[list[str], list[list], list[list], int | None]
                     span[1] = len(texts)
             else:
                 end_from(index)
+
     end_from(0)
     for span in to_the_end:
         span[1] = len(texts)

@@ -21,6 +21,7 @@ from pagemill.operators import corpus as corpus_ops
 from pagemill.operators import ledger as ledger_ops
 from pagemill.operators import manifest as manifest_ops
 from pagemill.operators.records import extract_pages
+from pagemill.session import shared_dir
 from pagemill.sources.fetch import FETCH_DDL, fetch
 from pagemill.sources.state_json import name_documents, write_state_json
 from pagemill.sources.warc import SPLIT_BYTES, broken_splits, scan_archives
@@ -58,8 +59,12 @@ class Layout:
     def fetch_log(self) -> str:
         return self.folder("fetch_log")
 
-    def staging(self, batch: str, name: str) -> str:
-        return self.folder(f"staging/batch={batch}/{name}")
+    def staging(self, spark: SparkSession, run: str) -> str:
+        """Intermediate tables of a run; the next batch of the run replaces them."""
+        shared = shared_dir(spark)
+        if not shared:
+            return self.folder(f"staging/{run}")
+        return f"{shared}/pagemill-{uuid.uuid5(uuid.NAMESPACE_URL, self.root).hex}/{run}"
 
 
 def read_table(spark: SparkSession, folder: str, ddl: str) -> DataFrame:
@@ -111,6 +116,7 @@ def run_fetch(
     budget_bytes: int | None = None,
     tasks: int | None = None,
     at: Column | None = None,
+    run: str | None = None,
 ) -> DataFrame:
     """Manifest(rel_path, basename) -> outcome per basename, logged in the fetch log.
 
@@ -118,6 +124,7 @@ def run_fetch(
     downloaded. `listing`(basename, content_length) supplies sizes.
     """
     batch = batch or uuid.uuid4().hex
+    staging = layout.staging(spark, run or batch)
     at = F.current_timestamp() if at is None else at
     ledger = read_table(spark, layout.ledger, LEDGER_DDL).select(
         "basename", F.lit(True).alias("cleaned")
@@ -134,7 +141,7 @@ def run_fetch(
             manifest_ops.size_status("content_length", budget_bytes, F.col("found"))
         )
     plan = _materialize(
-        plan.select("basename", "url", status.alias("status")), layout.staging(batch, "wanted")
+        plan.select("basename", "url", status.alias("status")), f"{staging}/wanted"
     )
     wanted = plan.where("status IS NULL")
     tasks = tasks or spark.sparkContext.defaultParallelism
@@ -158,16 +165,19 @@ def run_batch(
     extractor: Callable[[Column], Column] | None = None,
     at: Column | None = None,
     skip_existing_outputs: bool = False,
+    run: str | None = None,
 ) -> dict[str, int]:
     """Clean files(path, length): corpus and ledger rows of the batch; returns its counters.
 
     To be able to repeat an interrupted batch, give it a name in `batch`.
+    Batches of a `run` follow one another and use the same staging folder.
 
     `skip_existing_outputs` also takes archives as done whose output is there
     but not in the ledger. It is for a lost ledger: after an interrupted batch
     an output may be incomplete, which only the ledger can tell.
     """
     batch = batch or uuid.uuid4().hex
+    staging = layout.staging(spark, run or batch)
     at = F.current_timestamp() if at is None else at
     listed = (
         files.select(basename("path").alias("basename"), "path", "length")
@@ -180,28 +190,28 @@ def run_batch(
     pending = manifest_ops.skip_cleaned(listed, ledger)
     done = None
     if skip_existing_outputs:
-        pending = _materialize(pending, layout.staging(batch, "pending"))
+        pending = _materialize(pending, f"{staging}/pending")
         outputs = corpus_outputs(spark, layout.corpus)
         done = corpus_ops.finished_outputs(pending, outputs, min_len)
         todo = pending.join(done.select("basename"), "basename", "left_anti")
     else:
         todo = pending
-    todo = _materialize(todo, layout.staging(batch, "todo"))
+    todo = _materialize(todo, f"{staging}/todo")
     ranges = F.greatest(F.ceil(F.col("length") / F.lit(split_bytes)), F.lit(1))
     n_files, n_ranges = todo.agg(F.count(F.lit(1)), F.coalesce(F.sum(ranges), F.lit(0))).first()
     # about four ranges per task: a lost task costs little, and tasks even out
     tasks = max(spark.sparkContext.defaultParallelism, int(n_ranges) // 4)
 
     counters = Observation()
-    staged = _stage(todo, layout.staging(batch, "records"), tasks, split_bytes, min_len, extractor, counters)
+    staged = _stage(todo, f"{staging}/records", tasks, split_bytes, min_len, extractor, counters)
     if n_ranges > n_files:
-        staged = _reread(todo, staged, layout, batch, split_bytes, min_len, extractor)
+        staged = _reread(todo, staged, staging, split_bytes, min_len, extractor)
 
     # one row per archive, summed on the map side: what it kept and what went wrong
     bad = (F.col("kind") == "error") | (F.coalesce("route", F.lit("")) == "error")
     status = _materialize(
         corpus_ops.file_metrics(todo, staged, F.col("kind") == "record", bad),
-        layout.staging(batch, "status"),
+        f"{staging}/status",
     )
     failed = status.where("errors > 0").select("basename")
     clean = (
@@ -233,8 +243,7 @@ def run_batch(
 def _reread(
     files: DataFrame,
     staged: DataFrame,
-    layout: Layout,
-    batch: str,
+    staging: str,
     split_bytes: int,
     min_len: int,
     extractor: Callable[[Column], Column] | None,
@@ -247,12 +256,12 @@ def _reread(
     )
     again = _materialize(
         files.where(F.col("length") > split_bytes).join(suspects, "path", "left_semi"),
-        layout.staging(batch, "again"),
+        f"{staging}/again",
     )
     n_again = again.count()
     if not n_again:
         return staged
-    whole = _stage(again, layout.staging(batch, "whole"), n_again, None, min_len, extractor)
+    whole = _stage(again, f"{staging}/whole", n_again, None, min_len, extractor)
     return staged.join(again.select("path"), "path", "left_anti").unionByName(whole)
 
 

@@ -252,6 +252,13 @@ def oracle() -> dict[str, str]:
         "ledger_rebuild": f"""SELECT {base('url')} AS basename FROM pages
             UNION SELECT source FROM documents ORDER BY 1""",
         "state_json_roundtrip": "SELECT DISTINCT CAST(doc_id AS VARCHAR) AS basename FROM documents",
+        "stats_json_roundtrip": f"""WITH {TOTALS} SELECT total_data_downloaded_bytes, total_data_removed_bytes,
+            total_warc_processed_for_download_count, total_warc_successfully_cleaned_count,
+            {iso('start_time')} AS start_time_iso, {iso('last_update')} AS last_update_iso,
+            CAST(0 AS INTEGER) AS n_names FROM totals""",
+        "counter_update": """SELECT doc_id, coalesce(quality, 0) + n_chars AS total
+            FROM documents LEFT JOIN labels USING (doc_id)""",
+        "stream_fetch": f"SELECT DISTINCT {ARCHIVE} AS basename, 'downloaded' AS status FROM pages",
         "fetch_local": f"""SELECT DISTINCT {ARCHIVE} AS basename, 'downloaded' AS status, true AS whole FROM pages""",
         "clean_run": CLEAN_VALUES,
         "stream_clean": CLEAN_VALUES,

@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.constants import RECORD_SEPARATOR
 from pagemill.functions import text as fn
 from pagemill.operators import activity, corpus, ledger, manifest
 from pagemill.operators.records import clean_pages, extract_pages, html_records
-from pagemill.plans.batch import Layout, clean_corpus, rebuild_ledger, run_batch, run_fetch
+from pagemill.plans.batch import (
+    FETCH_LOG_DDL,
+    Layout,
+    clean_corpus,
+    corpus_outputs,
+    read_table,
+    rebuild_ledger,
+    run_batch,
+    run_fetch,
+)
 from pagemill.session import scratch_dir, spread
 from pagemill.sources import state_json
 from pagemill.sources.archive_fixture import write_archives
@@ -288,8 +297,6 @@ def corpus_roundtrip(spark, sf):
 
 def corpus_listing(spark, sf):
     """Bytes of the written outputs, from the file listing alone."""
-    from pagemill.plans.batch import corpus_outputs
-
     folder = scratch_dir(spark, "corpus")
     corpus.write_corpus(clean_records(spark, sf), folder, span=1000)
     return corpus_outputs(spark, folder)
@@ -470,9 +477,34 @@ def fetch_local(spark, sf):
     )
 
 
+def stats_json_roundtrip(spark, sf):
+    folder = scratch_dir(spark, "state")
+    row = run_totals(spark, sf).withColumn("downloaded_warc_filenames", F.array().cast("array<string>"))
+    state_json.write_state_json(row, folder)
+    defaults = state_json.stats_defaults(F.lit("1970-01-01T00:00:00"))
+    rows = state_json.read_state_json(spark, folder, state_json.STATS_SCHEMA, defaults)
+    return rows.withColumn("n_names", F.size("downloaded_warc_filenames")).drop("downloaded_warc_filenames")
+
+
+def counter_update(spark, sf):
+    counters = table(spark, sf, "documents", "doc_id", "n_chars").join(
+        table(spark, sf, "labels", "doc_id", "quality"), "doc_id", "left"
+    )
+    return counters.select("doc_id", fn.add_to_counter("quality", "n_chars").alias("total"))
+
+
 # ---- whole runs and streams --------------------------------------------------
 
 
+def stream_fetch(spark, sf):
+    source = _archives(spark, sf)
+    layout = Layout(scratch_dir(spark, "run"))
+    archive_listing(spark, source).select("basename").write.text(layout.folder("manifest"))
+    streams.fetch_stream(spark, layout.folder("manifest"), layout, f"{source}/").awaitTermination()
+    log = read_table(spark, layout.fetch_log, FETCH_LOG_DDL)
+    return log.select("basename", "status")
+
+
 def clean_run(spark, sf):
     """Archives to corpus in one batch; the text of every archive in order."""
     layout = Layout(scratch_dir(spark, "run"))
@@ -553,7 +585,10 @@ QUERIES: dict[str, Query] = {
     "ledger_remove": ledger_remove,
     "ledger_rebuild": ledger_rebuild,
     "state_json_roundtrip": state_json_roundtrip,
+    "stats_json_roundtrip": stats_json_roundtrip,
+    "counter_update": counter_update,
     "fetch_local": fetch_local,
+    "stream_fetch": stream_fetch,
     "clean_run": clean_run,
     "stream_clean": stream_clean,
     "active_workers": active_workers,

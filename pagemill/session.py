@@ -30,18 +30,24 @@ def session(master: str | None = None, app: str = "pagemill", **extra: str) -> S
     return builder.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str | None:
+    """The folder the cluster names for intermediate data."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder.rstrip("/") if folder else None
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables that every executor can reach.
 
     It lies under the cluster's `spark.checkpoint.dir`. Only a local session
     without that setting gets a folder on this machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared_dir(spark)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the executors")
         shared = tempfile.mkdtemp(prefix="pagemill-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{shared}/{purpose}-{uuid.uuid4().hex}"
 
 
 def spread(scan: DataFrame, factor: int = 1) -> DataFrame:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import io
 import os
 from typing import BinaryIO
 
 import pyarrow.fs as pafs
 
 
+READ_AHEAD = 8 * 1024 * 1024  # object stores answer few large requests faster than many small ones
+
+
 def local_path(uri: str) -> str | None:
     """The path when the URI is on the local file system, else None."""
     if uri.startswith("file:"):
@@ -23,11 +27,11 @@ def _remote(uri: str) -> tuple[pafs.FileSystem, str]:
 def open_input(uri: str) -> BinaryIO:
     path = local_path(uri)
     if path is not None:
-        return open(path, "rb", buffering=0)
+        return open(path, "rb", buffering=1024 * 1024)
     fs, key = _remote(uri)
     if fs.get_file_info(key).type == pafs.FileType.NotFound:
         raise FileNotFoundError(uri)
-    return fs.open_input_file(key)
+    return io.BufferedReader(fs.open_input_file(key), READ_AHEAD)
 
 
 def open_output(uri: str) -> BinaryIO:

@@ -22,9 +22,10 @@ def _start(writer: DataStreamWriter, checkpoint: str, drain: bool) -> StreamingQ
     return writer.trigger(processingTime=f"{SAVE_INTERVAL_SECONDS} seconds").start()
 
 
-def _batch_name(spark: SparkSession, batch_id: int) -> str:
-    """Unique to the checkpoint, so that a new checkpoint never replaces older batches."""
-    return f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+def _names(spark: SparkSession, batch_id: int) -> dict[str, str]:
+    """Names tied to the checkpoint: a new checkpoint never replaces older batches."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return {"run": query, "batch": f"{query}-{batch_id}"}
 
 
 def fetch_stream(
@@ -40,8 +41,8 @@ def fetch_stream(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         manifest = resolve_lines(batch, base_url=base_url)
-        name = _batch_name(spark, batch_id)
-        run_fetch(batch.sparkSession, manifest, layout, name, base_url, **options)
+        names = _names(spark, batch_id)
+        run_fetch(batch.sparkSession, manifest, layout, base_url=base_url, **names, **options)
 
     return _start(lines.writeStream.foreachBatch(each), layout.folder("checkpoints/fetch"), drain)
 
@@ -72,8 +73,7 @@ def clean_stream(
     files = reader.load(layout.landing).select("path", "length")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        name = _batch_name(spark, batch_id)
-        run_batch(batch.sparkSession, batch, layout, name, **options)
+        run_batch(batch.sparkSession, batch, layout, **_names(spark, batch_id), **options)
 
     return _start(files.writeStream.foreachBatch(each), layout.folder("checkpoints/clean"), drain)
 
