@@ -91,7 +91,7 @@ def as_megabytes(amount: Column | str) -> Column:
 def as_elapsed(seconds: Column | str) -> Column:
     """Whole seconds as `[D day[s], ]H:MM:SS`."""
     whole = _col(seconds).cast("bigint")
-    days = F.floor(whole / F.lit(86400))
+    days = F.floor(whole / F.lit(86400))  # rounds down, also for negative values
     rest = F.pmod(whole, F.lit(86400))
     clock = F.format_string(
         "%d:%02d:%02d",

@@ -14,7 +14,7 @@ TASK_BYTES = 128 << 20  # text that one writing task should hold
 
 
 def chunk_of(position: str = "rec_offset", span: int = CHUNK_SPAN) -> Column:
-    return F.floor(F.col(position) / F.lit(span)).cast("bigint").alias("chunk")
+    return F.expr(f"`{position}` div {span}").alias("chunk")
 
 
 def write_corpus(

@@ -84,7 +84,7 @@ def downloads_in_effect(
     runs of `span` consecutive sequence numbers first, so a key with very many
     events is worked on by many tasks.
     """
-    run = F.floor(F.col(seq) / F.lit(span)).cast("bigint")
+    run = F.expr(f"`{seq}` div {span}")
     marked = events.select(
         F.col(key),
         run.alias("_run"),
@@ -99,18 +99,14 @@ def downloads_in_effect(
     runs = (
         marked.withColumn("_last_back", last_back)
         .groupBy(key, "_run")
-        .agg(
-            F.max("_last_back").alias("_last_back"),
-            F.min_by(F.struct("_seq", "_amount"), F.when(counts, F.col("_seq"))).alias("_first"),
-        )
-    )
-    # a run counts when no later run holds a revert; its own reverts are accounted for
-    last_run = runs.groupBy(key).agg(
-        F.max(F.when(F.col("_last_back").isNotNull(), F.col("_run"))).alias("_from"),
+        .agg(F.min_by(F.struct("_seq", "_amount"), F.when(counts, F.col("_seq"))).alias("_first"))
     )
+    # A run counts when no later run holds a revert; its own reverts are accounted
+    # for. Taken from the events again, so that their rows are shuffled once only.
+    last_run = marked.where("_back").groupBy(key).agg(F.max("_run").alias("_from"))
     return (
         runs.where("_first IS NOT NULL")
-        .join(last_run, key)
+        .join(last_run, key, "left")
         .where(F.col("_from").isNull() | (F.col("_run") >= F.col("_from")))
         .groupBy(key)
         .agg(F.min_by("_first._amount", "_first._seq").alias(amount))

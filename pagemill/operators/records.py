@@ -34,6 +34,7 @@ def clean_pages(
     """Replace the payload by text, route and n_segments; drop text shorter than min_len.
 
     `extractor` may be any column function with the result type of the default.
+    Pages it fails on (route 'error' in extract_pages) have no text and drop out.
     Put cheap filters before this: none moves below the extraction.
     """
     return extract_pages(pages, payload, min_len, extractor).where(F.length("text") >= min_len)
