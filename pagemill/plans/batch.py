@@ -22,9 +22,9 @@ from pagemill.operators import ledger as ledger_ops
 from pagemill.operators import manifest as manifest_ops
 from pagemill.operators.records import extract_pages
 from pagemill.session import shared_dir
-from pagemill.sources.fetch import FETCH_DDL, fetch
+from pagemill.sources.fetch import FETCH_DDL, fetch, lookup_sizes
 from pagemill.sources.state_json import name_documents, write_state_json
-from pagemill.sources.warc import SPLIT_BYTES, broken_splits, scan_archives
+from pagemill.sources.warc import SPLIT_BYTES, broken_splits, scan_archives, scan_size
 
 LEDGER_DDL = (
     "basename STRING, input_bytes BIGINT, kept_records BIGINT, output_bytes BIGINT, "
@@ -121,11 +121,13 @@ def run_fetch(
     """Manifest(rel_path, basename) -> outcome per basename, logged in the fetch log.
 
     Outcomes: skipped_cleaned, head_failed, size_zero, no_capacity, failed,
-    downloaded. `listing`(basename, content_length) supplies sizes.
+    downloaded. Sizes come from `listing`(basename, content_length) where one is
+    given, otherwise each file is asked for its size.
     """
     batch = batch or uuid.uuid4().hex
     staging = layout.staging(spark, run or batch)
     at = F.current_timestamp() if at is None else at
+    tasks = tasks or spark.sparkContext.defaultParallelism
     ledger = read_table(spark, layout.ledger, LEDGER_DDL).select(
         "basename", F.lit(True).alias("cleaned")
     )
@@ -133,18 +135,20 @@ def run_fetch(
         manifest_ops.one_path_per_basename(manifest)
         .withColumn("url", F.concat(F.lit(base_url), "rel_path"))
         .join(ledger, "basename", "left")
+        .select("basename", "url", "cleaned")
     )
-    status = F.when(F.col("cleaned"), F.lit("skipped_cleaned"))
-    if listing is not None:
-        plan = manifest_ops.with_sizes(plan, listing)
-        status = status.otherwise(
-            manifest_ops.size_status("content_length", budget_bytes, F.col("found"))
-        )
-    plan = _materialize(
-        plan.select("basename", "url", status.alias("status")), f"{staging}/wanted"
+    if listing is None:
+        # sizes are asked for only where the ledger does not settle the matter
+        plan = _materialize(plan, f"{staging}/listed")
+        listing = lookup_sizes(plan.where("cleaned IS NULL"), tasks)
+    size_status = manifest_ops.size_status("content_length", budget_bytes, F.col("found"))
+    plan = manifest_ops.with_sizes(plan, listing).select(
+        "basename",
+        "url",
+        F.when(F.col("cleaned"), F.lit("skipped_cleaned")).otherwise(size_status).alias("status"),
     )
+    plan = _materialize(plan, f"{staging}/wanted")
     wanted = plan.where("status IS NULL")
-    tasks = tasks or spark.sparkContext.defaultParallelism
     skipped = plan.where("status IS NOT NULL").selectExpr(
         "basename", "url", "CAST(NULL AS STRING) AS path", "CAST(NULL AS BIGINT) AS bytes",
         "status", "CAST(NULL AS STRING) AS error",
@@ -197,14 +201,12 @@ def run_batch(
     else:
         todo = pending
     todo = _materialize(todo, f"{staging}/todo")
-    ranges = F.greatest(F.ceil(F.col("length") / F.lit(split_bytes)), F.lit(1))
-    n_files, n_ranges = todo.agg(F.count(F.lit(1)), F.coalesce(F.sum(ranges), F.lit(0))).first()
-    # about four ranges per task: a lost task costs little, and tasks even out
-    tasks = max(spark.sparkContext.defaultParallelism, int(n_ranges) // 4)
-
+    size = scan_size(todo, split_bytes)
     counters = Observation()
-    staged = _stage(todo, f"{staging}/records", tasks, split_bytes, min_len, extractor, counters)
-    if n_ranges > n_files:
+    staged = _stage(
+        todo, f"{staging}/records", size.tasks, split_bytes, min_len, extractor, counters
+    )
+    if size.ranges > size.files:
         staged = _reread(todo, staged, staging, split_bytes, min_len, extractor)
 
     # one row per archive, summed on the map side: what it kept and what went wrong

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pagemill.constants import RECORD_SEPARATOR
-from pagemill.plans.queries import CORES_PER_NODE, ROUTE_TAGS, ROWS_PER_ARCHIVE
+from pagemill.plans.queries import CORES_PER_NODE, CORPUS_SPAN, ROUTE_TAGS, ROWS_PER_ARCHIVE
 
 SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 SEP = "'" + RECORD_SEPARATOR.replace("\n", "' || chr(10) || '") + "'"
@@ -136,7 +136,7 @@ ACTIVE = f"""SELECT worker, CASE WHEN worker < {CORES_PER_NODE} THEN 'N0' ELSE '
   FROM (SELECT *, row_number() OVER (PARTITION BY worker ORDER BY seq DESC) AS n FROM {MESSAGES})
   WHERE n = 1 AND status = 'start'"""
 CLEAN_VALUES = f"WITH {CLEAN} SELECT archive AS basename, text AS value FROM clean"
-CORPUS_ROWS = f"WITH {CLEAN} SELECT basename, rec_offset // 1000 AS chunk, text AS value FROM clean"
+CORPUS_ROWS = f"WITH {CLEAN} SELECT basename, rec_offset // {CORPUS_SPAN} AS chunk, text AS value FROM clean"
 
 _WORDS = "string_split(p_name, ' ')"
 

@@ -24,13 +24,21 @@ from pagemill.plans.batch import (
 from pagemill.session import scratch_dir, spread
 from pagemill.sources import state_json
 from pagemill.sources.archive_fixture import write_archives
-from pagemill.sources.warc import archive_listing, broken_splits, records, register, scan_archives
+from pagemill.sources.warc import (
+    SPLIT_BYTES,
+    archive_listing,
+    broken_splits,
+    records,
+    register,
+    scan_archives,
+)
 from pagemill.streaming import streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 ROWS_PER_ARCHIVE = 5000  # rows of one bucket that go into one archive file
-SPLIT_BYTES = 64 * 1024  # small, so that the test archives are split too
+SMALLEST_SPLIT = 64 * 1024  # so that small test archives are split too
+CORPUS_SPAN = 100_000  # positions (pages) that share an output file
 EPOCH = "TIMESTAMP '2024-01-01 00:00:00'"
 
 
@@ -203,7 +211,7 @@ def extract_routes(spark, sf):
 def warc_roundtrip(spark, sf):
     folder = _archives(spark, sf)
     files = archive_listing(spark, folder)
-    scan = scan_archives(files, tasks=16, html_only=True, split_bytes=SPLIT_BYTES)
+    scan = scan_archives(files, html_only=True, split_bytes=_split_bytes(files))
     found = records(scan)
     return clean_pages(found).select(
         F.col("http_headers")["x-position"].cast("bigint").alias("page_id"),
@@ -218,7 +226,9 @@ def warc_splits(spark, sf):
     """What the ranges of split archives add up to, and whether they join up."""
     folder = _archives(spark, sf)
     files = archive_listing(spark, folder)
-    scan = scan_archives(files, tasks=16, html_only=False, with_payload=False, split_bytes=SPLIT_BYTES)
+    scan = scan_archives(
+        files, html_only=False, with_payload=False, split_bytes=_split_bytes(files)
+    )
     broken = broken_splits(scan).select("path", F.lit(1).alias("broken"))
     return (
         scan.where("kind <> 'split'")
@@ -255,6 +265,12 @@ def warc_format(spark, sf):
     )
 
 
+def _split_bytes(files: DataFrame) -> int:
+    """A 64th of the input, but no more than usual."""
+    volume = files.agg(F.sum("length")).first()[0] or 0
+    return max(SMALLEST_SPLIT, min(SPLIT_BYTES, volume // 64))
+
+
 def _archive_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Pages as records; a bucket is cut into archives of a fixed number of rows."""
     rows = with_record_columns(table(spark, sf, "pages", "page_id", "url", "html"))
@@ -291,14 +307,14 @@ def file_metrics(spark, sf):
 
 def corpus_roundtrip(spark, sf):
     folder = scratch_dir(spark, "corpus")
-    corpus.write_corpus(clean_records(spark, sf), folder, span=1000)
+    corpus.write_corpus(clean_records(spark, sf), folder, span=CORPUS_SPAN)
     return corpus.read_corpus(spark, folder)
 
 
 def corpus_listing(spark, sf):
     """Bytes of the written outputs, from the file listing alone."""
     folder = scratch_dir(spark, "corpus")
-    corpus.write_corpus(clean_records(spark, sf), folder, span=1000)
+    corpus.write_corpus(clean_records(spark, sf), folder, span=CORPUS_SPAN)
     return corpus_outputs(spark, folder)
 
 
@@ -458,7 +474,7 @@ def ledger_rebuild(spark, sf):
 def state_json_roundtrip(spark, sf):
     folder = scratch_dir(spark, "state")
     names = table(spark, sf, "documents", "doc_id").select(F.col("doc_id").cast("string").alias("basename"))
-    state_json.write_state_json(state_json.name_documents(names, per_document=300), folder)
+    state_json.write_state_json(state_json.name_documents(names), folder)
     documents = state_json.read_state_json(
         spark, folder, state_json.TRACKER_SCHEMA, state_json.tracker_defaults()
     )
@@ -509,7 +525,8 @@ def clean_run(spark, sf):
     """Archives to corpus in one batch; the text of every archive in order."""
     layout = Layout(scratch_dir(spark, "run"))
     _archives(spark, sf, layout.landing)
-    run_batch(spark, archive_listing(spark, layout.landing), layout, split_bytes=SPLIT_BYTES)
+    files = archive_listing(spark, layout.landing)
+    run_batch(spark, files, layout, split_bytes=_split_bytes(files))
     return clean_corpus(spark, layout).select("basename", "value")
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
 from pyspark import TaskContext
+from pyspark.sql import DataFrame
 
 from pagemill.constants import COPY_CHUNK_BYTES
-from pagemill.sources.files import discard, open_input, open_output, rename
+from pagemill.sources.files import discard, open_input, open_output, rename, size_text
 
 FETCH_DDL = "basename STRING, url STRING, path STRING, bytes BIGINT, status STRING, error STRING"
 
@@ -30,6 +30,28 @@ def copy_file(url: str, target: str, attempt: str) -> int:
     return copied
 
 
+def lookup_sizes(wanted: DataFrame, tasks: int) -> DataFrame:
+    """wanted(basename, url) -> basename, content_length of every file that answers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, sizes = [], []
+            for r in batch.to_pylist():
+                try:
+                    size = size_text(r["url"])
+                except Exception:  # no row: the lookup failed
+                    continue
+                names.append(r["basename"])
+                sizes.append(size)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array(sizes, pa.string())],
+                names=["basename", "content_length"],
+            )
+
+    rows = wanted.select("basename", "url").repartition(tasks)
+    return rows.mapInArrow(run, "basename STRING, content_length STRING")
+
+
 def fetch(wanted: DataFrame, folder: str, tasks: int) -> DataFrame:
     """wanted(basename, url), one row per basename -> FETCH_DDL, status downloaded or failed.
 

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import io
 import os
+import urllib.request
 from typing import BinaryIO
 
 import pyarrow.fs as pafs
 
 
+# Seconds to wait for a size and for a copy over HTTP.
+HEAD_TIMEOUT = 20
+COPY_TIMEOUT = 300
+
 READ_AHEAD = 8 * 1024 * 1024  # object stores answer few large requests faster than many small ones
 
 
@@ -24,7 +29,30 @@ def _remote(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
 
 
+def _is_http(uri: str) -> bool:
+    return uri.startswith(("http://", "https://"))
+
+
+def size_text(uri: str) -> str | None:
+    """The size a file reports, as text; None when it reports none. Raises when it is not there."""
+    if _is_http(uri):
+        request = urllib.request.Request(uri, method="HEAD")
+        with urllib.request.urlopen(request, timeout=HEAD_TIMEOUT) as answer:
+            return answer.headers.get("Content-Length")
+    path = local_path(uri)
+    if path is not None:
+        return str(os.path.getsize(path))
+    fs, key = _remote(uri)
+    info = fs.get_file_info(key)
+    if info.type != pafs.FileType.File:
+        raise FileNotFoundError(uri)
+    return str(info.size)
+
+
 def open_input(uri: str) -> BinaryIO:
+    """Open for reading; what comes over HTTP can only be read forward."""
+    if _is_http(uri):
+        return urllib.request.urlopen(uri, timeout=COPY_TIMEOUT)
     path = local_path(uri)
     if path is not None:
         return open(path, "rb", buffering=1024 * 1024)

@@ -91,6 +91,22 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
 
+@dataclass(frozen=True)
+class ScanSize:
+    files: int
+    ranges: int
+    tasks: int
+
+
+def scan_size(files: DataFrame, split_bytes: int | None = SPLIT_BYTES) -> ScanSize:
+    """How much there is to read; looks at the listing only."""
+    ranges = F.greatest(F.ceil(F.col("length") / F.lit(split_bytes)), F.lit(1)) if split_bytes else F.lit(1)
+    n_files, n_ranges = files.agg(F.count(F.lit(1)), F.coalesce(F.sum(ranges), F.lit(0))).first()
+    # about four ranges per task: a lost task costs little, and tasks even out
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return ScanSize(n_files, int(n_ranges), max(cores, int(n_ranges) // 4))
+
+
 def scan_archives(
     files: DataFrame,
     tasks: int | None = None,
@@ -103,7 +119,8 @@ def scan_archives(
     An archive is read in byte ranges by many tasks. Besides its records, every
     range reports where its first record starts and where the next range should
     start (`kind = 'split'`); `broken_splits` compares the two. `split_bytes`
-    None reads every archive in one piece.
+    None reads every archive in one piece. Without `tasks` the listing is summed
+    up first to find a good number.
     """
     last = F.greatest(F.col("length") - 1, F.lit(0))
     if split_bytes:
@@ -116,7 +133,7 @@ def scan_archives(
         "start",
         (F.col("start") + split_bytes if split_bytes else F.lit(None).cast("bigint")).alias("stop"),
     )
-    tasks = tasks or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or scan_size(files, split_bytes).tasks
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -137,6 +137,11 @@ def test_text_nodes_are_joined_by_spaces():
     assert text("<article>a < b & c &lt;p&gt; &copy &#233; &amp;amp;</article>") == "a < b & c <p> © é &amp;"
 
 
+def test_text_can_always_be_written_as_utf8():
+    assert text("<p>&#xD800;&#0;&#x110000;x</p>") == "\ufffd\ufffd\ufffdx"
+    assert text(decode_page(b"<p>\xed\xa0\x80x")).encode("utf-8")
+
+
 def test_scope_of_end_tags():
     assert text("<article><span>a</article>b</span>") == "a"
     assert text("<article>a</span>b</div>c</p>d</article>e") == "a b c d"
