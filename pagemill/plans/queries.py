@@ -75,7 +75,7 @@ def clean_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scalar_collapse_ws(spark, sf):
-    return table(spark, sf, "documents", "doc_id", "text").select(
+    return spread(table(spark, sf, "documents", "doc_id", "text")).select(
         "doc_id",
         fn.collapse_whitespace("text").alias("collapsed"),
         fn.char_length(fn.strip("text")).alias("stripped_chars"),

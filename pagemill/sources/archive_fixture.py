@@ -6,10 +6,11 @@ import gzip
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.sources.files import open_output
+from pagemill.sources.files import open_output, rename
 
 
 def warc_record(rec_type: str, uri: str, block: bytes, content_type: str | None) -> bytes:
@@ -33,14 +34,20 @@ def write_archives(rows: DataFrame, folder: str) -> None:
     folder = folder.rstrip("/")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attempt = TaskContext.get().taskAttemptId()
         name, sink, count = None, None, 0
+
+        def finish() -> None:
+            if sink:
+                sink.close()
+                rename(f"{folder}/.{name}.{attempt}", f"{folder}/{name}")
+
         for batch in batches:
             for r in batch.to_pylist():
                 if r["basename"] != name:
-                    if sink:
-                        sink.close()
+                    finish()
                     name = r["basename"]
-                    sink = open_output(f"{folder}/{name}")
+                    sink = open_output(f"{folder}/.{name}.{attempt}")
                 headers = {"X-Position": str(r["rec_offset"])}
                 if r["content_type"] is not None:
                     headers["Content-Type"] = r["content_type"]
@@ -50,8 +57,7 @@ def write_archives(rows: DataFrame, folder: str) -> None:
                 )
                 sink.write(gzip.compress(record, 6, mtime=0))
                 count += 1
-        if sink:
-            sink.close()
+        finish()
         yield pa.RecordBatch.from_pydict({"n": pa.array([count], pa.int64())})
 
     (
