@@ -86,12 +86,13 @@ def pack_text(
     A chunk covers `span` positions, so a value stays bounded however many rows
     a key has; the chunks of a key in order are its whole text.
     """
+    placed = F.struct(F.col(position).alias("p"), F.col(text).alias("t"))
     return (
         rows.select(key, chunk_of(position, span), position, text)
         .groupBy(key, "chunk")
         .agg(
             F.count(F.lit(1)).alias("n_records"),
-            F.array_sort(F.collect_list(F.struct(F.col(position).alias("p"), F.col(text).alias("t")))).alias("_r"),
+            F.array_sort(F.collect_list(placed)).alias("_r"),
         )
         .select(
             key,

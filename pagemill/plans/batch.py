@@ -75,7 +75,9 @@ def read_table(spark: SparkSession, folder: str, ddl: str) -> DataFrame:
 
 
 def _materialize(table: DataFrame, folder: str) -> DataFrame:
-    table.write.mode("overwrite").parquet(folder)
+    # without replacing single partitions: whatever was there before goes
+    writer = table.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.option("compression", "zstd").parquet(folder)
     return table.sparkSession.read.schema(table.schema).parquet(folder)
 
 

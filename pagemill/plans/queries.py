@@ -275,10 +275,9 @@ def _archive_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Pages as records; a bucket is cut into archives of a fixed number of rows."""
     rows = with_record_columns(table(spark, sf, "pages", "page_id", "url", "html"))
     part = F.floor(F.col("rec_offset") / (8 * ROWS_PER_ARCHIVE)).cast("string")
-    return rows.withColumn(
-        "basename",
-        F.concat(F.lit("part-"), (F.col("rec_offset") % 8).cast("string"), F.lit("-"), part, F.lit(".warc.gz")),
-    )
+    bucket = (F.col("rec_offset") % 8).cast("string")
+    name = F.concat(F.lit("part-"), bucket, F.lit("-"), part, F.lit(".warc.gz"))
+    return rows.withColumn("basename", name)
 
 
 def _archives(spark: SparkSession, sf: str, folder: str | None = None) -> str:

@@ -286,11 +286,11 @@ def read_range(
         if not re.fullmatch(r"[0-9]+", length):
             raise ArchiveError(f"record without a length at byte {place}")
         left = int(length)
-        http = None
+        http, head = None, b""
         if has_http and left:
-            status = stream.line(min(left, _MAX_LINE))
-            left -= len(status)
-            if status.startswith(b"HTTP/") or rec_type == "request":
+            head = stream.line(min(left, _MAX_LINE))
+            left -= len(head)
+            if head.startswith(b"HTTP/") or rec_type == "request":
                 http, used = _header_block(stream, left)
                 left -= used
         if html_only and not is_html_response(rec_type, http):
@@ -303,6 +303,8 @@ def read_range(
             payload = stream.read(left)
             if http is not None:
                 payload = _payload(payload, http, max_payload)
+            else:
+                payload = head + payload  # not an HTTP message after all
         else:
             stream.skip(left)
         content_type = http.get("content-type") if http is not None else None

@@ -156,8 +156,10 @@ def broken_splits(scan: DataFrame) -> DataFrame:
     where a range stopped is where another one started, and the other way round.
     """
     marks = scan.where("kind = 'split'")
-    started = marks.where("rec_offset > 0").select("path", F.col("rec_offset").alias("place"), F.lit(1).alias("n"))
-    stopped = marks.where("next_offset IS NOT NULL").select("path", F.col("next_offset").alias("place"), F.lit(-1).alias("n"))
+    started = marks.where("rec_offset > 0").selectExpr("path", "rec_offset AS place", "1 AS n")
+    stopped = marks.where("next_offset IS NOT NULL").selectExpr(
+        "path", "next_offset AS place", "-1 AS n"
+    )
     return (
         started.unionAll(stopped)
         .groupBy("path", "place")

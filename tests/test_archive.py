@@ -117,6 +117,14 @@ def test_header_details():
     assert record[4] == {"x-a": "one two", "content-type": "text/html"} and record[5] == b"body"
 
 
+def test_responses_that_are_not_http():
+    block = b"20240101000000\nx.example. 300 IN A 127.0.0.1\n"
+    dns = warc_record("response", "dns:x.example", block, "text/dns")
+    (record, _) = read(members(dns))
+    assert record[4] is None and record[5] == block
+    assert payloads(members(dns, response(page(1))), html_only=True) == [page(1)]
+
+
 def test_arc():
     def arc(uri, kind, block):
         return b"%s 1.2.3.4 20080430204825 %s %d\n%s\n" % (uri, kind, len(block), block)

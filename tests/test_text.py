@@ -2,8 +2,6 @@ import random
 import re
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
-
 from pagemill.functions import text as fn
 
 SPACES = [chr(i) for i in range(0x10000) if chr(i).isspace()]
