@@ -15,8 +15,12 @@ FETCH_DDL = "basename STRING, url STRING, path STRING, bytes BIGINT, status STRI
 
 
 def copy_file(url: str, target: str, attempt: str) -> int:
-    """Copy through a partial file and rename; the partial file never outlives a failure."""
-    partial = f"{target}.{attempt}.part"
+    """Copy through a partial file and rename; an error removes the partial file.
+
+    The name starts with a dot, so that Spark never lists what a lost task left.
+    """
+    folder, _, name = target.rpartition("/")
+    partial = f"{folder}/.{name}.{attempt}.part"
     copied = 0
     try:
         with open_input(url) as source, open_output(partial) as sink:

@@ -30,6 +30,7 @@ def test_other_file_systems(tmp_path, monkeypatch):
     """Any URI with a scheme goes through pyarrow; here one that stands for a local folder."""
     data = members(*(response(page(i)) for i in range(20)))
     put(tmp_path / "in", "a.gz", data)
+    (tmp_path / "x").mkdir()
     local = pafs.SubTreeFileSystem(str(tmp_path), pafs.LocalFileSystem())
     monkeypatch.setattr(files, "_remote", lambda uri: (local, uri.split("://", 1)[1]))
     assert files.list_files("mem://in") == [("mem://in/a.gz", len(data))]
@@ -37,8 +38,8 @@ def test_other_file_systems(tmp_path, monkeypatch):
     with files.open_input("mem://in/a.gz") as raw:
         rows = list(read_range(raw, 0, None, True)) + list(read_range(raw, 1000, 2000, True))
     assert len(rows) > 21
-    assert copy_file("mem://in/a.gz", "mem://out.gz", "1") == len(data)
-    assert (tmp_path / "out.gz").read_bytes() == data
+    assert copy_file("mem://in/a.gz", "mem://x/out.gz", "1") == len(data)
+    assert (tmp_path / "x" / "out.gz").read_bytes() == data
     for call in (files.open_input, files.size_text):
         with pytest.raises(FileNotFoundError):
             call("mem://none")
