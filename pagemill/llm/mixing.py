@@ -157,7 +157,9 @@ def mix(documents: DataFrame) -> DataFrame:
     columns = [c.strip() for c in columns.split(",")]
 
     def rounded(_: tuple, batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values(["key", "mass"], kind="stable").reset_index(drop=True)
+        # large documents first: what is left over in the end is then a small one
+        order = np.lexsort((batch["key"], -batch["mass"]))
+        batch = batch.iloc[order].reset_index(drop=True)
         p = batch["p"].to_numpy(float)
         mass = batch["mass"].to_numpy()
         draws = [_draw(k, 1) for k in batch["key"].tolist()]

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import store
+from pagemill.llm import langid, store, warc_zstd
 from pagemill.llm.lsh_search import lsh_top_k
+from pagemill.llm.mixing import mix
 from pagemill.llm.near_dup import near_duplicates
 from pagemill.llm.packing import pack
+from pagemill.llm.pii import pseudonymised
 from pagemill.llm.pivot_search import pivot_top_k
 from pagemill.llm.substring import remove_repeats
 from pagemill.llm.token_files import read_shards, write_shards
@@ -26,6 +28,11 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack(_table(spark, sf, "documents"))
 
 
+def op2_warc_zstd(spark: SparkSession, sf: str) -> DataFrame:
+    archives = warc_zstd.write_pages(_table(spark, sf, "pages"), store.folder(spark, "warc-zstd"))
+    return warc_zstd.pages_of(warc_zstd.read_archives(archives))
+
+
 def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = remove_repeats(_table(spark, sf, "documents"))
     return kept.select(
@@ -37,6 +44,19 @@ def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents").select("doc_id", "text", "source")
+    return mix(documents).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    model = langid.train(documents.select("doc_id", "text", "lang"), ~langid.held_out())
+    return langid.predict(documents.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op6_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return pivot_top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
@@ -45,6 +65,11 @@ def op7_approximate_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return lsh_top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op8_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents").select("doc_id", "text")
+    return pseudonymised(documents, count="n_replaced")
+
+
 def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"))
 
@@ -57,12 +82,82 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_packing,
+        op2_warc_zstd,
         op3_substring_dedup,
+        op4_mixing,
+        op5_language_id,
         op6_exact_top_k,
         op7_approximate_neighbours,
+        op8_pseudonyms,
         op9_near_duplicates,
         op10_token_files,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# those that SQL can express; tests/llm compares the others with brute-force versions
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc_zstd": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(b) AS n, sha1(b) AS h,
+                   min(page_id) OVER (PARTITION BY sha1(b)) AS first_id
+            FROM p
+        )
+        SELECT page_id, n AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr(
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   (CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INT), 5) AS BIGINT)
+                       >> CAST(15 - 5 * (i % 4) AS INT)) % 32 + 1, 1)), '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+        FROM d
+    """,
+    "op3_substring_dedup": r"""
+        WITH w AS MATERIALIZED (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS ws FROM documents
+        ), windows AS (
+            SELECT doc_id, p, array_to_string(ws[p:p + 34], ' ') AS s
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS p FROM w)
+        ), repeated AS (
+            SELECT doc_id, p FROM (
+                SELECT doc_id, p, count(*) OVER (PARTITION BY s) AS n FROM windows) WHERE n > 1
+        ), covered AS (
+            SELECT DISTINCT doc_id, p + k AS p
+            FROM repeated, (SELECT unnest(range(0, 35)) AS k)
+        ), runs AS (
+            SELECT c.doc_id, count(*) AS n_removed,
+                   count_if(NOT EXISTS (
+                       SELECT 1 FROM covered b WHERE b.doc_id = c.doc_id AND b.p = c.p - 1)) AS n_spans
+            FROM covered c GROUP BY c.doc_id
+        ), kept AS (
+            SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.p) AS kept
+            FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w) x
+            ANTI JOIN covered c ON x.doc_id = c.doc_id AND x.p = c.p
+            GROUP BY x.doc_id
+        )
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+               coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256,
+               CAST(coalesce(n_spans, 0) AS INT) AS n_spans
+        FROM w LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+    "op6_exact_top_k": """
+        WITH v AS MATERIALIZED (
+            SELECT DISTINCT vec_id,
+                   list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        ), r AS (
+            SELECT query_id, vec_id, score, CAST(row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank
+            FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
+}
