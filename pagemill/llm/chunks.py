@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pagemill.llm import store
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20  # of text: a task needs about twenty times as much memory
 BUCKET_ENTRIES = 1 << 21  # about the hashes in one bucket
 
 _SPACE = np.zeros(256, bool)

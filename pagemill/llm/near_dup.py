@@ -37,7 +37,8 @@ SIMILARITY = 0.8
 IDF_SHARE = 0.25
 BANDS, BAND_ROWS = 16, 4  # finds a pair of similarity 0.8 with probability 0.9998
 
-_SLACK = 1e-9
+_SLACK = 1e-6  # weights are kept with 24 bits
+_SIGNED_AT_ONCE = 1 << 18  # shingles
 
 
 def idf(df: np.ndarray, n: int) -> np.ndarray:
@@ -70,7 +71,16 @@ def signatures(
     falls on shingles it shares with none, which weigh `own_weight`.
     """
     out = np.empty((len(own), samples), np.uint64)
-    log_weight = np.log(weights)
+    if len(own) > 1 and len(hashes) > _SIGNED_AT_ONCE:
+        half = int(np.searchsorted(bounds, bounds[-1] // 2).clip(1, len(own) - 1))
+        for part in (slice(0, half), slice(half, len(own))):
+            cut = slice(bounds[part.start], bounds[part.stop])
+            edges = bounds[part.start : part.stop + 1] - bounds[part.start]
+            out[part] = signatures(
+                hashes[cut], weights[cut], edges, own[part], own_weight[part], samples
+            )
+        return out
+    log_weight = np.log(weights.astype(np.float64))
     starts = bounds[:-1]
     counts = np.diff(bounds)
     for k in range(samples):
@@ -157,7 +167,7 @@ def _nodes(documents: DataFrame, similarity: float, chunk_bytes: int) -> DataFra
         document, shingle, tf, digest, counts = _shingles(chunk)
         _, index = np.unique(shingle, return_inverse=True)
         df = ch.gathered(rows, "<u4")[index]
-        weight = tf * idf(df, n)
+        weight = (tf * idf(df, n)).astype(np.float32)
         m = len(chunk.ids)
         total = np.bincount(document, weight, minlength=m)
         shared = df > 1
@@ -222,10 +232,10 @@ def _similarities(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             values = []
             for x in batch.itertuples(index=False):
                 ha, hb = (np.frombuffer(v, "<u8") for v in (x.shingles_a, x.shingles_b))
-                wa, wb = (np.frombuffer(v, "<f8") for v in (x.weights_a, x.weights_b))
+                wa, wb = (np.frombuffer(v, "<f4") for v in (x.weights_a, x.weights_b))
                 at = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
                 both = hb[at] == ha
-                least = float(np.minimum(wa[both], wb[at[both]]).sum())
+                least = float(np.minimum(wa[both], wb[at[both]]).sum(dtype=np.float64))
                 values.append(least / (x.weight_a + x.weight_b - least))
             out = batch[["a", "b"]].copy()
             out["similarity"] = values
