@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm import store
+
 
 FEATURES = 1 << 16
 NGRAMS = 3
@@ -198,8 +200,9 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
 
     names = [c for c in documents.columns if c not in ("lang_pred", "score")]
     # not a deterministic function: otherwise it would run once for each of its fields
-    return documents.withColumn("_scored", scored.asNondeterministic()("text")).select(
-        *[F.col(f"`{c}`") for c in names], "_scored.lang_pred", "_scored.score"
+    both = store.free_name(documents, "scored")
+    return documents.withColumn(both, scored.asNondeterministic()("text")).select(
+        *[F.col(f"`{c}`") for c in names], f"{both}.lang_pred", f"{both}.score"
     )
 
 
@@ -214,8 +217,11 @@ def identified(documents: DataFrame) -> DataFrame:
     Learns from the documents' own lang column.
     """
     model = train(documents.select("doc_id", "text", "lang"))
-    return predict(documents, model).where(F.col("lang_pred") != UNKNOWN).select(
-        *[F.col(f"`{c}`") for c in documents.columns]
+    clash = [c for c in documents.columns if c.lower() in ("lang_pred", "score")]
+    spare = {c: store.free_name(documents, f"_{c}") for c in clash}
+    found = predict(documents.withColumnsRenamed(spare), model)
+    return found.where(F.col("lang_pred") != UNKNOWN).select(
+        *[F.col(f"`{spare.get(c, c)}`").alias(c) for c in documents.columns]
     )
 
 

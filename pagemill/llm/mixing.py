@@ -111,18 +111,33 @@ def round_pairs(
     return p, left
 
 
+def _text_hash() -> Column:
+    return F.xxhash64("text", F.col("text").isNull())
+
+
 def mix(documents: DataFrame) -> DataFrame:
-    """Per distinct document: doc_id, source, text_hash, size, source_size, target, copies, taken.
+    """One row per document: doc_id, source, text_hash, size, source_size, target, copies, taken.
 
     Size is the number of words `[^\\x20\\x09-\\x0D]+`; a null text has none. Rows
-    equal in doc_id, source and text are rounded as one (each gets the same
-    copies; `rows` says how many there are). Documents without words take no
+    equal in doc_id, source and text are rounded as one: each gets the same
+    copies. Documents without words take no
     part in the exchange and are copied by a draw with their source's
-    probability. The result depends on ids, sources and texts alone.
+    probability. The result depends on ids, sources and texts alone. Other columns are not
+    read; no documents make no rows.
     """
-    text_hash = F.xxhash64("text", F.col("text").isNull())
+    plan = _plan(documents)
+    return plan.withColumn("rows", F.explode(F.sequence(F.lit(1), F.col("rows")))).drop("rows")
+
+
+def _plan(documents: DataFrame) -> DataFrame:
+    """What mix() returns, a row for all rows that are equal, and their number."""
     units = store.written(
-        documents.select("doc_id", "source", text_hash.alias("text_hash"), n_words(F.col("text")).alias("size"))
+        documents.select(
+            "doc_id",
+            "source",
+            _text_hash().alias("text_hash"),
+            n_words(F.col("text")).alias("size"),
+        )
         .groupBy("doc_id", "source", "text_hash", "size")
         .agg(F.count("*").alias("rows")),
         "mix-units",
@@ -153,7 +168,7 @@ def mix(documents: DataFrame) -> DataFrame:
             F.pmod("key", F.ceil(F.col("n_units") / F.lit(GROUP_ROWS))).cast("long"),
         )
     )
-    columns = "doc_id, source, text_hash, size, source_size, target, whole, key, mass, group"
+    columns = "doc_id, source, text_hash, size, rows, source_size, target, whole, key, mass, group"
     columns = [c.strip() for c in columns.split(",")]
 
     def rounded(_: tuple, batch: pd.DataFrame) -> pd.DataFrame:
@@ -209,6 +224,7 @@ def mix(documents: DataFrame) -> DataFrame:
         "source",
         "text_hash",
         "size",
+        "rows",
         "source_size",
         "target",
         copies.alias("copies"),
@@ -218,16 +234,18 @@ def mix(documents: DataFrame) -> DataFrame:
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
     """The documents of the mix, with all their columns: each row as often as it is taken."""
-    plan = mix(documents).select(
-        F.col("doc_id").alias("_doc_id"),
-        F.col("source").alias("_source"),
-        F.col("text_hash").alias("_text_hash"),
-        F.col("copies").alias("_copies"),
+    plan = _plan(documents)
+    mine, copy = (store.free_name(documents, n) for n in ("text_hash", "copy"))
+    spare = {c: store.free_name(documents, f"mix_{c}") for c in plan.columns}
+    plan = plan.where("copies > 0").withColumnsRenamed(spare)
+    keyed = documents.withColumn(mine, _text_hash())
+    same = (
+        F.col("doc_id").eqNullSafe(F.col(spare["doc_id"]))
+        & F.col("source").eqNullSafe(F.col(spare["source"]))
+        & (F.col(mine) == F.col(spare["text_hash"]))
     )
-    keyed = documents.withColumn("_hash", F.xxhash64("text", F.col("text").isNull()))
-    same = F.expr("doc_id <=> _doc_id AND source <=> _source AND _hash = _text_hash")
     return (
-        keyed.join(plan.where("_copies > 0"), same)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        keyed.join(plan, same)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(spare["copies"]))))
         .select(*[F.col(f"`{c}`") for c in documents.columns])
     )

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -132,7 +133,7 @@ def _shingles(chunk: ch.Chunk) -> tuple[np.ndarray, ...]:
 
 
 _NODE = (
-    "doc_key string, n_words long, text_id binary, shingles binary, weights binary, "
+    "doc_key string, n_words long, text_hash long, text_id binary, shingles binary, weights binary, "
     "weight double, bands array<long>"
 )
 
@@ -186,6 +187,10 @@ def _nodes(documents: DataFrame, similarity: float, chunk_bytes: int) -> DataFra
             {
                 "doc_key": [None if i is None else str(i) for i in chunk.ids],
                 "n_words": counts,
+                # Spark's xxhash64 of the text
+                "text_hash": np.array(
+                    [xxhash.xxh64_intdigest(t, 42) for t in chunk.texts], np.uint64
+                ).view(np.int64),
                 "text_id": ids,
                 "shingles": None,
                 "weights": None,
@@ -305,12 +310,13 @@ def _links(nodes: DataFrame, similarity: float) -> DataFrame:
 def near_duplicates(
     documents: DataFrame, similarity: float = SIMILARITY, chunk_bytes: int = ch.CHUNK_BYTES
 ) -> DataFrame:
-    """One row per document: doc_id, class_id, is_representative, n_links.
+    """One row per document: doc_id, text_hash, class_id, is_representative, n_links.
 
     Classes are the connected components of similarity >= `similarity`; words are
     `[^\\x20\\x09-\\x0D]+`, unchanged, and documents with the same words are one
     text. class_id is the smallest doc_id of the class (null ids last), whose
-    document represents it; of repeated rows with that id all are marked.
+    document represents it; of repeated rows with that id and text all are marked.
+    text_hash is xxhash64 of the text, which tells rows with one doc_id apart.
     n_links: the verified links of the text to others (copies not counted).
     A null or empty text, or one without words, is a class of its own. Other
     columns are not read.
@@ -326,6 +332,7 @@ def near_duplicates(
     # a text without words is alone: its label is its row
     rows = nodes.select(
         F.col("doc_key").cast("long").alias("doc_id"),
+        "text_hash",
         F.when(F.col("n_words") > 0, F.col("text_id")).alias("text_id"),
     )
     worded = (
@@ -334,19 +341,24 @@ def near_duplicates(
         .join(counts, "text_id", "left")
         .withColumn("label", F.coalesce("label", "text_id"))
     )
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_id"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id", "text_hash")
     best = worded.groupBy("label").agg(F.min(order).alias("best"))
     return (
         worded.join(best, "label")
         .select(
             "doc_id",
+            "text_hash",
             F.col("best.doc_id").alias("class_id"),
             (order == F.col("best")).alias("is_representative"),
             F.coalesce("n_links", F.lit(0)).alias("n_links"),
         )
         .union(
             rows.where("text_id IS NULL").select(
-                "doc_id", F.col("doc_id").alias("class_id"), F.lit(True), F.lit(0).cast("long")
+                "doc_id",
+                "text_hash",
+                F.col("doc_id").alias("class_id"),
+                F.lit(True),
+                F.lit(0).cast("long"),
             )
         )
     )
@@ -357,8 +369,16 @@ def without_near_duplicates(documents: DataFrame, similarity: float = SIMILARITY
 
     Documents without words all stay.
     """
-    classes = near_duplicates(documents, similarity)
-    kept = classes.where("is_representative").select(F.col("doc_id").alias("kept_id")).distinct()
+    key, digest = (store.free_name(documents, n) for n in ("kept_id", "kept_hash"))
+    mine = store.free_name(documents, "text_hash")
+    kept = (
+        near_duplicates(documents, similarity)
+        .where("is_representative")
+        .select(F.col("doc_id").alias(key), F.col("text_hash").alias(digest))
+        .distinct()
+    )
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike("[^ \\t-\\r]")
-    joined = documents.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return joined.where(~wordless).dropDuplicates(["doc_id"]).union(documents.where(wordless))
+    hashed = documents.where(~wordless).withColumn(mine, F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(mine) == F.col(digest))
+    one_each = hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", mine]).drop(mine)
+    return one_each.union(documents.where(wordless))

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm import store
+
 KEY = "pagemill"  # give your own; whoever has it can undo the permutations
 ROUNDS = 8
 
@@ -326,32 +328,35 @@ def pseudonymised(documents: DataFrame, key: str = KEY, count: str | None = None
     is a column, is counted anew if the text changed. `count` names a column for the number of values replaced.
     """
     text = F.col("text")
+    found, between, names = (
+        store.free_name(documents, n) for n in ("pii_found", "pii_between", "pii_names")
+    )
     hinted = F.coalesce(text.rlike(HINT), F.lit(False))
     none = F.array().cast("array<string>")
     cut = documents.select(
         "*",
         F.when(hinted, F.regexp_extract_all("text", F.lit(PATTERN), 0)).otherwise(none).alias(
-            "_pii_found"
+            found
         ),
     ).select(
         "*",
-        F.when(F.size("_pii_found") > 0, F.split("text", PATTERN, -1)).alias("_pii_between"),
-        F.transform("_pii_found", lambda m: pseudonym(m, key)).alias("_pii_names"),
+        F.when(F.size(found) > 0, F.split("text", PATTERN, -1)).alias(between),
+        F.transform(found, lambda m: pseudonym(m, key)).alias(names),
     )
     joined = F.concat(
-        F.element_at("_pii_between", 1),
+        F.element_at(between, 1),
         F.array_join(
             F.zip_with(
-                "_pii_names",
-                F.slice("_pii_between", F.lit(2), F.size("_pii_found")),
+                names,
+                F.slice(between, F.lit(2), F.size(found)),
                 lambda name, after: F.concat(name, after),
             ),
             "",
         ),
     )
-    new = F.when(F.size("_pii_found") > 0, joined).otherwise(text)
-    changed = F.size(F.filter(F.arrays_zip("_pii_found", "_pii_names"),
-                              lambda x: x._pii_found != x._pii_names))
+    new = F.when(F.size(found) > 0, joined).otherwise(text)
+    changed = F.size(F.filter(F.arrays_zip(found, names),
+                              lambda x: x[found] != x[names]))
     out = []
     for c in documents.columns:
         if c == "text":

@@ -71,7 +71,7 @@ def op8_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf, "documents"))
+    return near_duplicates(_table(spark, sf, "documents")).drop("text_hash")
 
 
 def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:

@@ -41,3 +41,11 @@ def write_file(place: str, *parts: bytes) -> str:
 def read_file(path: str) -> bytes:
     with files.open_input(path) as file:
         return file.read()
+
+
+def free_name(frame: DataFrame, name: str) -> str:
+    """`name`, with underscores put before it until no column has it."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
