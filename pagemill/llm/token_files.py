@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +35,8 @@ def _staged(documents: DataFrame, path: str, place: str) -> DataFrame:
         def flushed() -> pd.DataFrame:
             narrow = max(int(x.max()) for x in ids) < 1 << 16
             flat = np.concatenate(ids).astype("<u2" if narrow else "<u4")
-            file = store.write_file(place, b"\2" if narrow else b"\4", flat.tobytes())
+            data = zstandard.ZstdCompressor(level=1).compress(flat.tobytes())
+            file = store.write_file(place, b"\2" if narrow else b"\4", data)
             ends = np.cumsum([len(x) for x in ids])
             return pd.DataFrame(
                 [
@@ -119,7 +121,8 @@ def write_shards(
             for row in batch.itertuples(index=False):
                 if row.file != name:
                     data = store.read_file(row.file)
-                    name, flat = row.file, np.frombuffer(data, f"<u{data[0]}", offset=1)
+                    flat = zstandard.ZstdDecompressor().decompress(data[1:])
+                    name, flat = row.file, np.frombuffer(flat, f"<u{data[0]}")
                 ids = flat[row.begin : row.begin + row.n_tokens]
                 at = row.start
                 while at < row.start + row.n_tokens:

@@ -20,7 +20,7 @@ import numpy as np
 END_ID = 2  # appended to every document
 VOCABULARY = "word_bpe_49k.json"
 
-_KEPT_WORDS = 1_000_000  # words a worker remembers; beyond it, it starts anew
+_KEPT_WORDS = 1_000_000  # words a worker remembers; beyond it, it drops those met once
 _KEPT_CHARS = 16_000_000
 _MARK = "0"  # stands between words that are encoded in one string
 # what str.split() may take for white space and the vocabulary's pattern may not
@@ -49,9 +49,47 @@ class WordEncoder:
         self._index: dict[str, int] = {}
         self._ids = np.zeros(1 << 16, np.uint32)
         self._begin = np.zeros(1 << 14, np.int64)
+        self._met = np.zeros(1 << 14, np.int64)
         self._n_ids = 0
         self._chars = 0
 
+    def _shrink(self) -> None:
+        """Keep the words met most often, half of the bound at most."""
+        met = self._met[: len(self._index)]
+        least = 2
+        while np.count_nonzero(met >= least) > _KEPT_WORDS // 2:
+            least *= 2
+        words = [w for w, many in zip(self._index, (met >= least).tolist()) if many]
+        chars = sum(map(len, words))
+        if chars > _KEPT_CHARS // 2:
+            words, chars = [], 0
+        if not words:
+            self._forget()
+            return
+        at = np.fromiter(map(self._index.__getitem__, words), np.int64, len(words))
+        ids, ends = self._gather(at)
+        self._forget()
+        self._room(len(ids), len(words))
+        self._ids[: len(ids)] = ids
+        self._begin[1 : len(words) + 1] = ends
+        self._n_ids, self._chars = len(ids), chars
+        self._index = dict(zip(words, range(len(words))))
+
+    def _room(self, ids: int, words: int) -> None:
+        while self._n_ids + ids > len(self._ids):
+            self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
+        while len(self._index) + words + 1 > len(self._begin):
+            self._begin = np.concatenate([self._begin, np.zeros_like(self._begin)])
+            self._met = np.concatenate([self._met, np.zeros_like(self._met)])
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words one after another, and where each word's end."""
+        lengths = self._begin[at + 1] - self._begin[at]
+        ends = np.cumsum(lengths)
+        source = np.repeat(self._begin[at] - (ends - lengths), lengths)
+        source += np.arange(ends[-1])
+        return self._ids[source], ends
+
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32) for x in found]
@@ -63,10 +101,7 @@ class WordEncoder:
             part = words[at : at + 1000]
             flat, lengths = self._ids_of_words(part)
             first = len(self._index)
-            while self._n_ids + len(flat) > len(self._ids):
-                self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
-            while first + len(part) + 1 > len(self._begin):
-                self._begin = np.concatenate([self._begin, np.zeros_like(self._begin)])
+            self._room(len(flat), len(part))
             self._ids[self._n_ids : self._n_ids + len(flat)] = flat
             self._begin[first + 1 : first + 1 + len(part)] = self._n_ids + np.cumsum(lengths)
             self._n_ids += len(flat)
@@ -108,15 +143,14 @@ class WordEncoder:
         if len(missing):
             new = list({flat[i] for i in missing})
             if len(self._index) + len(new) > _KEPT_WORDS or self._chars > _KEPT_CHARS:
-                self._forget()
-                new, missing = list(set(flat)), np.arange(len(flat))
+                self._shrink()
+                at = np.fromiter(map(self._index.get, flat, repeat(-1)), np.int64, len(flat))
+                missing = np.flatnonzero(at < 0)
+                new = list({flat[i] for i in missing})
             self._learn(new)
             at[missing] = [self._index[flat[i]] for i in missing]
-        lengths = self._begin[at + 1] - self._begin[at]
-        ends = np.cumsum(lengths)
-        source = np.repeat(self._begin[at] - (ends - lengths), lengths)
-        source += np.arange(ends[-1])
-        ids = self._ids[source]
+        self._met[: len(self._index)] += np.bincount(at, minlength=len(self._index))
+        ids, ends = self._gather(at)
         cuts = np.cumsum([len(words) for words in texts])
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], cuts])]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]

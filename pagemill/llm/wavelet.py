@@ -22,6 +22,7 @@ import zstandard
 
 MAGIC = b"PMWM1\n"
 BLOCK_BITS = 1 << 15
+_TABLE_IDS = 1 << 22  # ids below it are ranked by a table
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -34,17 +35,23 @@ def _unpacked(data: bytes, kind: str) -> np.ndarray:
 
 def encode(ids: np.ndarray, documents: np.ndarray) -> bytes:
     """The file of a shard. documents: int64 rows that go into its table unchanged."""
-    alphabet, order = np.unique(ids, return_inverse=True)
+    if len(ids) and ids.max() < _TABLE_IDS:
+        alphabet = np.flatnonzero(np.bincount(ids)).astype(np.uint32)
+        rank = np.zeros(int(ids.max()) + 1, np.uint32)
+        rank[alphabet] = np.arange(len(alphabet))
+        order = rank[ids]
+    else:
+        alphabet, order = np.unique(ids, return_inverse=True)
     planes = max(1, int(len(alphabet) - 1).bit_length()) if len(alphabet) else 0
     order = order.astype(np.uint32 if planes > 16 else np.uint16)
     blocks, places, ones, zeros, place = [], [], [], [], 0
     compressor = zstandard.ZstdCompressor(level=1)
     for level in range(planes):
-        bits = (order >> (planes - 1 - level)) & 1 != 0
-        zeros.append(int(len(bits) - np.count_nonzero(bits)))
-        starts = np.arange(0, len(bits), BLOCK_BITS)
-        before = np.concatenate([[0], np.cumsum(np.add.reduceat(bits, starts, dtype=np.int64))])
+        bits = (order & order.dtype.type(1 << (planes - 1 - level))).astype(bool)
+        starts = range(0, len(bits), BLOCK_BITS)
+        before = np.cumsum([0, *(np.count_nonzero(bits[a : a + BLOCK_BITS]) for a in starts)])
         ones.append(before[:-1].tolist())
+        zeros.append(len(bits) - int(before[-1]))
         raw = np.packbits(bits).tobytes()
         for at in range(0, len(raw), BLOCK_BITS // 8):
             piece = raw[at : at + BLOCK_BITS // 8]
