@@ -10,6 +10,7 @@ implied end tags, void elements, raw-text elements, scope of end tags.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from html import unescape
 
@@ -72,6 +73,7 @@ _BLOCK = _CLOSES_P | _TABLE_PARTS | DROPPED_TAGS | frozenset("template marquee".
 _SCOPE_END = frozenset("table td th caption object applet template marquee button".split())
 _CELL_SCOPE_END = frozenset("table td th caption object applet template marquee".split())
 _TABLE_SCOPE_END = frozenset(("table", "template"))
+_P = frozenset(("p",))
 # start tag -> (open elements it ends, elements that stop the search)
 _IMPLIED_END = {
     "li": ({"li"}, {"ul", "ol", "menu"} | _SCOPE_END),
@@ -86,10 +88,9 @@ _IMPLIED_END = {
     "thead": (_TABLE_PARTS - {"table"}, _TABLE_SCOPE_END),
     "tfoot": (_TABLE_PARTS - {"table"}, _TABLE_SCOPE_END),
 }
-# Elements further down the stack than this are out of reach for implied ends.
-_SCOPE_DEPTH = 512
-# A page whose text would grow beyond this (nested candidates repeat text) is an error.
-_MAX_TEXT_CHARS = 1 << 28
+# A Spark string has less than 2^31 bytes, so a text of up to 2^29 characters always fits. Nested
+# candidates repeat their text; a page that would exceed this has the route "error".
+_MAX_TEXT_CHARS = 1 << 29
 
 # What a start tag can do, as bits, so that the scan looks a name up only once.
 _RAW, _ENDS_P, _ENDS_OTHERS, _DOCUMENT, _EMPTY, _HIDES, _PARAGRAPH = (1 << i for i in range(7))
@@ -140,31 +141,38 @@ def scan_page(html: str) -> tuple[list[str], list[list], list[list], int | None]
     found: list[list] = [[] for _ in CONTENT_SELECTORS]
     paragraphs: list[list] = []
     body = None
-    stack: list[tuple[str, list | None, bool]] = []
-    opened: dict[str, int] = defaultdict(int)
+    # open elements; a formatting element that ended below others leaves an empty place
+    stack: list[tuple[str | None, list | None, bool]] = []
+    places: dict[str, list[int]] = defaultdict(list)  # where in the stack each name is open
     to_the_end: list[list] = []  # slices of <html> and <body>: their end tags move nothing
     hidden = 0
 
+    def drop_empty() -> None:
+        while stack and stack[-1][0] is None:
+            stack.pop()
+
+    def nearest(names) -> int:
+        """Place of the innermost open element among `names`, or -1."""
+        return max((places[n][-1] for n in names if n in places and places[n]), default=-1)
+
     def end_from(index: int) -> None:
         nonlocal hidden
         for name, span, hides in stack[index:]:
             if span:
                 span[1] = len(texts)
             hidden -= hides
-            opened[name] -= 1
+            if name is not None:
+                places[name].pop()
         del stack[index:]
+        drop_empty()
 
     def lookup(names, stops) -> int:
         """Lowest open element among `names` above the nearest of `stops`, or -1."""
-        hit = -1
-        if not any(opened[name] for name in names):
-            return hit
-        for i in range(len(stack) - 1, max(-1, len(stack) - 1 - _SCOPE_DEPTH), -1):
-            if stack[i][0] in names:
-                hit = i
-            elif stack[i][0] in stops:
-                break
-        return hit
+        if nearest(names) < 0:
+            return -1
+        stop = nearest(stops - names)
+        above = (places[n] for n in names if n in places)
+        return min((p[i] for p in above if (i := bisect_right(p, stop)) < len(p)), default=-1)
 
     pos, size = 0, len(html)
     search, traits_of = _TOKEN.search, _TRAITS.get
@@ -195,8 +203,8 @@ def scan_page(html: str) -> tuple[list[str], list[list], list[list], int | None]
                         texts.append(text)
                 pos = end.end() if end else size
                 continue
-            if traits & _ENDS_P and opened["p"]:
-                open_p = lookup(("p",), _SCOPE_END)
+            if traits & _ENDS_P and places["p"]:
+                open_p = lookup(_P, _SCOPE_END)
                 if open_p >= 0:
                     end_from(open_p)
             if traits & _ENDS_OTHERS:
@@ -224,8 +232,8 @@ def scan_page(html: str) -> tuple[list[str], list[list], list[list], int | None]
                         found[i].append(span)
                     if traits & _PARAGRAPH:
                         paragraphs.append(span)
+            places[name].append(len(stack))
             stack.append((name, span, hides))
-            opened[name] += 1
 
         elif kind == 1:
             name = token.group(1)
@@ -236,9 +244,10 @@ def scan_page(html: str) -> tuple[list[str], list[list], list[list], int | None]
                 if span:
                     span[1] = len(texts)
                 hidden -= hides
-                opened[name] -= 1
+                places[name].pop()
+                drop_empty()
                 continue
-            if not opened[name]:
+            if not places[name]:
                 continue
             if name in _TABLE_PARTS:
                 stops = _TABLE_SCOPE_END
@@ -246,18 +255,13 @@ def scan_page(html: str) -> tuple[list[str], list[list], list[list], int | None]
                 stops = _CELL_SCOPE_END
             else:
                 stops = _BLOCK
-            index = -1
-            for i in range(len(stack) - 1, max(-1, len(stack) - 1 - _SCOPE_DEPTH), -1):
-                if stack[i][0] == name:
-                    index = i
-                    break
-                if stack[i][0] in stops:
-                    break
-            if index < 0:
+            index = places[name][-1]
+            if index < nearest(stops):
                 continue
-            if name in _FORMATTING and any(e[0] in _BLOCK for e in stack[index + 1 :]):
-                span = stack.pop(index)[1]
-                opened[name] -= 1
+            if name in _FORMATTING and nearest(_BLOCK) > index:
+                span = stack[index][1]
+                stack[index] = (None, None, False)
+                places[name].pop()
                 if span:
                     span[1] = len(texts)
             else:

@@ -29,23 +29,26 @@ def write_corpus(
     Every record is followed by the separator. An archive up to `span` bytes is
     one file; a larger one is cut by record position, so no task holds a whole
     huge archive and the order needs no global sort. Archives without records
-    leave no output. `text_bytes`, when known, raises the number of tasks beyond
+    leave no output. Records are ordered by rec_offset, then rec_number where
+    there is one; `at`, where there is one, is the position that cuts. `text_bytes`, when known, raises the number of tasks beyond
     the session's default. Mode dynamic replaces the chunks that are written
     (chunks a shorter rewrite no longer has stay), static replaces the folder.
     """
     tasks = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = text_bytes // TASK_BYTES
+    order = [c for c in ("rec_offset", "rec_number") if c in clean.columns]
+    at = "at" if "at" in clean.columns else "rec_offset"
     rows = clean.select(
         # not nullable: otherwise the writer wraps the column and sorts once more
         F.coalesce("basename", F.lit("")).alias("basename"),
-        F.coalesce(chunk_of("rec_offset", span), F.lit(0).cast("bigint")).alias("chunk"),
-        "rec_offset",
+        F.coalesce(chunk_of(at, span), F.lit(0).cast("bigint")).alias("chunk"),
+        *order,
         F.col("text").alias("value"),
     )
     (
         # without a number AQE may merge small partitions
         rows.repartition(*([wanted] if wanted > tasks else []), "basename", "chunk")
-        .sortWithinPartitions("basename", "chunk", "rec_offset")
+        .sortWithinPartitions("basename", "chunk", *order)
         .select("value", "basename", "chunk")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)

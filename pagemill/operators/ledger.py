@@ -114,15 +114,15 @@ def downloads_in_effect(
 
 
 def run_totals(downloads: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """One row of totals; every basename counts once on either side.
+    """One row of totals; every basename counts once on either side, with its first event.
 
     downloads(basename, bytes, at), cleaned(basename, removed_bytes, at).
     """
     down = downloads.groupBy("basename").agg(
-        F.min("bytes").alias("bytes"), F.min("at").alias("first_at"), F.max("at").alias("last_at")
+        F.min_by("bytes", F.struct("at", "bytes")).alias("bytes"), F.min("at").alias("first_at"), F.max("at").alias("last_at")
     )
     done = cleaned.groupBy("basename").agg(
-        F.min("removed_bytes").alias("removed"),
+        F.min_by("removed_bytes", F.struct("at", "removed_bytes")).alias("removed"),
         F.min("at").alias("first_at"),
         F.max("at").alias("last_at"),
     )

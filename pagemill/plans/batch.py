@@ -1,8 +1,9 @@
 """One batch from archives to corpus and ledger, and the state derived from it.
 
 Order of effects: staged records, corpus, ledger. A batch writes to folders of
-its own, and only what the ledger names is read. A batch that dies half-way
-leaves no ledger rows; done again under the same name it replaces its folders.
+its own for every attempt, and only what the ledger names is read: batch and
+attempt of each archive. A batch that dies half-way leaves no ledger rows; done again under the
+same name it leaves out what the ledger has of it, and never touches what an earlier attempt wrote.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.constants import BASE_URL, MIN_TEXT_LENGTH, STATS_COUNTERS, STATS_NAMES, STATS_TIMES
@@ -28,10 +29,13 @@ from pagemill.sources.warc import SPLIT_BYTES, broken_splits, scan_archives, sca
 
 LEDGER_DDL = (
     "basename STRING, input_bytes BIGINT, kept_records BIGINT, output_bytes BIGINT, "
-    "removed_bytes BIGINT, at TIMESTAMP, batch STRING"
+    "removed_bytes BIGINT, at TIMESTAMP, attempt STRING, batch STRING"
 )
 FETCH_LOG_DDL = FETCH_DDL + ", at TIMESTAMP, batch STRING"
-_STAGED_COLUMNS = ("path", "basename", "rec_offset", "next_offset", "kind", "error", "payload")
+FILES_PER_TASK = 4  # archives that a task copies: what a lost task costs
+_STAGED_COLUMNS = (
+    "path", "basename", "rec_offset", "rec_number", "at", "next_offset", "kind", "error", "payload",
+)
 
 
 @dataclass(frozen=True)
@@ -92,20 +96,40 @@ def _append_batch(table: DataFrame, folder: str, batch: str) -> None:
     )
 
 
+def ledger_rows(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The ledger, one row per basename: of batches that ran at once the first one counts."""
+    rows = read_table(spark, layout.ledger, LEDGER_DDL)
+    others = [c for c in rows.columns if c != "basename"]
+    first = F.min_by(F.struct(*others), F.struct("at", "batch", F.coalesce("attempt", F.lit(""))))
+    return rows.groupBy("basename").agg(first.alias("r")).select("basename", "r.*")
+
+
+def _append(table: DataFrame, folder: str) -> None:
+    """Add rows, which say their batch; those that are there stay."""
+    table.write.mode("append").partitionBy("batch").parquet(folder)
+
+
 def corpus_outputs(spark: SparkSession, folder: str) -> DataFrame:
-    """basename, length over all chunks of an output."""
+    """basename, length over all chunks, batch, attempt; of several outputs the longest."""
     try:
         files = corpus_ops.list_outputs(spark, folder)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "basename STRING, length BIGINT")
-    name = F.regexp_extract("path", "/basename=([^/]+)/", 1)
-    return (
-        files.select(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("basename"), "length")
-        .groupBy("basename")
-        .agg(F.sum("length").alias("length"))
+        return spark.createDataFrame(
+            [], "basename STRING, length BIGINT, batch STRING, attempt STRING"
+        )
+
+    def folder_value(name: str) -> Column:
+        value = F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
+        return F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))).alias(name)
+
+    keys = ["basename", "batch", "attempt"]
+    sums = (
+        files.select(*map(folder_value, keys), "length").groupBy(*keys).agg(F.sum("length").alias("length"))
     )
+    best = F.max(F.struct("length", "batch", "attempt")).alias("o")
+    return sums.groupBy("basename").agg(best).select("basename", "o.length", "o.batch", "o.attempt")
 
 
 def run_fetch(
@@ -129,9 +153,13 @@ def run_fetch(
     batch = batch or uuid.uuid4().hex
     staging = layout.staging(spark, run or batch)
     at = F.current_timestamp() if at is None else at
-    tasks = tasks or spark.sparkContext.defaultParallelism
-    ledger = read_table(spark, layout.ledger, LEDGER_DDL).select(
-        "basename", F.lit(True).alias("cleaned")
+    tasks = tasks or max(
+        spark.sparkContext.defaultParallelism, manifest.count() // FILES_PER_TASK
+    )
+    ledger = (
+        read_table(spark, layout.ledger, LEDGER_DDL)
+        .select("basename", F.lit(True).alias("cleaned"))
+        .distinct()
     )
     plan = (
         manifest_ops.one_path_per_basename(manifest)
@@ -191,23 +219,22 @@ def run_batch(
         .agg(F.min(F.struct("path", "length")).alias("f"))
         .select("basename", "f.path", "f.length")
     )
-    # rows this batch wrote before it was interrupted do not count as done
-    ledger = read_table(spark, layout.ledger, LEDGER_DDL).where(F.col("batch") != batch)
+    attempt = uuid.uuid4().hex
+    ledger = read_table(spark, layout.ledger, LEDGER_DDL)
     pending = manifest_ops.skip_cleaned(listed, ledger)
     done = None
     if skip_existing_outputs:
         pending = _materialize(pending, f"{staging}/pending")
         outputs = corpus_outputs(spark, layout.corpus)
-        done = corpus_ops.finished_outputs(pending, outputs, min_len)
+        done = corpus_ops.finished_outputs(pending, outputs, min_len).join(
+            outputs.select("basename", "batch", "attempt"), "basename"
+        )
         todo = pending.join(done.select("basename"), "basename", "left_anti")
     else:
         todo = pending
     todo = _materialize(todo, f"{staging}/todo")
     size = scan_size(todo, split_bytes)
-    counters = Observation()
-    staged = _stage(
-        todo, f"{staging}/records", size.tasks, split_bytes, min_len, extractor, counters
-    )
+    staged = _stage(todo, f"{staging}/records", size.tasks, split_bytes, min_len, extractor)
     if size.ranges > size.files:
         staged = _reread(todo, staged, staging, split_bytes, min_len, extractor)
 
@@ -220,27 +247,39 @@ def run_batch(
     failed = status.where("errors > 0").select("basename")
     clean = (
         staged.where("kind = 'record'")
-        .select("basename", "rec_offset", "text")
+        .select("basename", "rec_offset", "rec_number", "at", "text")
         .join(failed, "basename", "left_anti")
     )
-    counted = dict(counters.get)
-    corpus_ops.write_corpus(
-        clean, f"{layout.corpus}/batch={batch}", span, counted["text_bytes"], mode="static"
+    zero = F.lit(0).cast("bigint")
+    fine = F.col("errors") == 0
+    counted = status.agg(
+        F.coalesce(F.sum(F.when(fine, F.col("kept_records"))), zero).alias("records"),
+        F.coalesce(F.sum(F.when(fine, F.col("output_bytes"))), zero).alias("text_bytes"),
+        F.count_if(~fine).alias("errors"),
+    ).first().asDict()
+    output = f"{layout.corpus}/batch={batch}/attempt={attempt}"
+    if counted["records"]:
+        corpus_ops.write_corpus(clean, output, span, counted["text_bytes"], mode="static")
+    rows = (
+        status.where(fine)
+        .drop("errors")
+        .withColumns({"at": at, "attempt": F.lit(attempt), "batch": F.lit(batch)})
     )
-    rows = status.where("errors = 0").drop("errors").withColumn("at", at)
     if done is not None:
         # the output was there already: recorded as cleaned, with nothing removed
         rows = rows.unionByName(
-            pending.join(todo.select("basename"), "basename", "left_anti").select(
+            done.select(
                 "basename",
                 F.col("length").alias("input_bytes"),
                 F.lit(None).cast("bigint").alias("kept_records"),
                 F.lit(None).cast("bigint").alias("output_bytes"),
                 F.lit(0).cast("bigint").alias("removed_bytes"),
                 at.alias("at"),
+                "attempt",
+                "batch",
             )
         )
-    _append_batch(rows, layout.ledger, batch)
+    _append(rows, layout.ledger)
     return counted
 
 
@@ -276,34 +315,23 @@ def _stage(
     split_bytes: int | None,
     min_len: int,
     extractor: Callable[[Column], Column] | None,
-    counters: Observation | None = None,
 ) -> DataFrame:
     """Read, extract and keep: the one pass over the archives, written once and used thrice."""
     scan = scan_archives(files, tasks, split_bytes=split_bytes).select(*_STAGED_COLUMNS)
     kept = extract_pages(scan, "payload", min_len, extractor).where(
         (F.col("kind") != "record") | (F.col("route") == "error") | (F.length("text") >= min_len)
     )
-    if counters is not None:
-        kept = kept.observe(
-            counters,
-            F.count(F.when(F.col("kind") == "record", 1)).alias("records"),
-            F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("text_bytes"),
-            F.count(F.when(F.col("kind") == "error", 1)).alias("errors"),
-        )
     return _materialize(kept, folder)
 
 
 def clean_corpus(spark: SparkSession, layout: Layout) -> DataFrame:
     """Corpus rows of the archives that the ledger says are done and did not come out empty."""
-    kept = read_table(spark, layout.ledger, LEDGER_DDL)
-    by_batch = kept.where("kept_records > 0").select("basename", "batch")
-    found_before = kept.where("kept_records IS NULL").select("basename")
-    rows = corpus_ops.read_corpus(spark, layout.corpus, "batch")
-    return (
-        rows.join(by_batch, ["basename", "batch"], "left_semi")
-        .unionByName(rows.join(found_before, "basename", "left_semi"))
-        .drop("batch")
-    )
+    place = ["basename", "batch", "attempt"]
+    named = ledger_rows(spark, layout).where("kept_records IS NULL OR kept_records > 0").select(*place)
+    if named.isEmpty():  # then there may be no corpus to read
+        return spark.createDataFrame([], "basename STRING, chunk BIGINT, value STRING")
+    rows = corpus_ops.read_corpus(spark, layout.corpus, "batch", "attempt")
+    return rows.join(named, place, "left_semi").select("basename", "chunk", "value")
 
 
 def rebuild_ledger(outputs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -314,7 +342,7 @@ def rebuild_ledger(outputs: DataFrame, known: DataFrame | None = None) -> DataFr
 
 def totals(spark: SparkSession, layout: Layout) -> DataFrame:
     downloads = read_table(spark, layout.fetch_log, FETCH_LOG_DDL).where("status = 'downloaded'")
-    cleaned = read_table(spark, layout.ledger, LEDGER_DDL)
+    cleaned = ledger_rows(spark, layout)
     return ledger_ops.run_totals(
         downloads.select("basename", "bytes", "at"), cleaned.select("basename", "removed_bytes", "at")
     )
@@ -335,5 +363,5 @@ def export_state(spark: SparkSession, layout: Layout, folder: str) -> None:
     write_state_json(counters, f"{folder}/stats")
     downloads = read_table(spark, layout.fetch_log, FETCH_LOG_DDL).where("status = 'downloaded'")
     write_state_json(name_documents(downloads.select("basename"), STATS_NAMES), f"{folder}/stats_names")
-    ledger = read_table(spark, layout.ledger, LEDGER_DDL)
+    ledger = ledger_rows(spark, layout)
     write_state_json(name_documents(ledger.select("basename")), f"{folder}/tracker")

@@ -90,10 +90,10 @@ def iso(moment: str) -> str:
 
 
 TOTALS = f"""{PAGE_TEXT},
-  downloads AS (SELECT {base('url')} AS b, min({n_bytes('html')}) AS bytes,
+  downloads AS (SELECT {base('url')} AS b, arg_min({n_bytes('html')}, page_id) AS bytes,
       min({EPOCH} + page_id * INTERVAL 1 MINUTE) AS t0, max({EPOCH} + page_id * INTERVAL 1 MINUTE) AS t1
       FROM pages GROUP BY 1),
-  cleaned AS (SELECT {base('url')} AS b, min({n_bytes('html')} - {n_bytes('text')} - 21) AS removed,
+  cleaned AS (SELECT {base('url')} AS b, arg_min({n_bytes('html')} - {n_bytes('text')} - 21, page_id) AS removed,
       min({EPOCH} + page_id * INTERVAL 90 SECOND) AS t0, max({EPOCH} + page_id * INTERVAL 90 SECOND) AS t1
       FROM page_text WHERE length(text) >= 100 GROUP BY 1),
   totals AS (SELECT
@@ -261,6 +261,9 @@ def oracle() -> dict[str, str]:
         "stream_fetch": f"SELECT DISTINCT {ARCHIVE} AS basename, 'downloaded' AS status FROM pages",
         "fetch_local": f"""SELECT DISTINCT {ARCHIVE} AS basename, 'downloaded' AS status, true AS whole FROM pages""",
         "clean_run": CLEAN_VALUES,
+        "clean_run_repeated": CLEAN_VALUES,
+        "clean_run_nothing_kept": f"SELECT DISTINCT {ARCHIVE} AS basename, CAST(0 AS BIGINT) AS kept_records FROM pages",
+        "extract_deep": f"WITH {PAGE_TEXT} SELECT page_id, text FROM page_text",
         "stream_clean": CLEAN_VALUES,
         "active_workers": ACTIVE + " ORDER BY worker",
         "stream_active_workers": ACTIVE,

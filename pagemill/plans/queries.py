@@ -15,6 +15,7 @@ from pagemill.plans.batch import (
     FETCH_LOG_DDL,
     Layout,
     clean_corpus,
+    ledger_rows,
     corpus_outputs,
     read_table,
     rebuild_ledger,
@@ -25,7 +26,6 @@ from pagemill.session import scratch_dir, spread
 from pagemill.sources import state_json
 from pagemill.sources.archive_fixture import write_archives
 from pagemill.sources.warc import (
-    SPLIT_BYTES,
     archive_listing,
     broken_splits,
     records,
@@ -37,7 +37,7 @@ from pagemill.streaming import streams
 Query = Callable[[SparkSession, str], DataFrame]
 
 ROWS_PER_ARCHIVE = 5000  # rows of one bucket that go into one archive file
-SMALLEST_SPLIT = 64 * 1024  # so that small test archives are split too
+QUERY_SPLIT = 64 * 1024  # bytes; so that the archives of small tables are split too
 CORPUS_SPAN = 100_000  # positions (pages) that share an output file
 EPOCH = "TIMESTAMP '2024-01-01 00:00:00'"
 
@@ -211,7 +211,7 @@ def extract_routes(spark, sf):
 def warc_roundtrip(spark, sf):
     folder = _archives(spark, sf)
     files = archive_listing(spark, folder)
-    scan = scan_archives(files, html_only=True, split_bytes=_split_bytes(files))
+    scan = scan_archives(files, html_only=True, split_bytes=QUERY_SPLIT)
     found = records(scan)
     return clean_pages(found).select(
         F.col("http_headers")["x-position"].cast("bigint").alias("page_id"),
@@ -227,7 +227,7 @@ def warc_splits(spark, sf):
     folder = _archives(spark, sf)
     files = archive_listing(spark, folder)
     scan = scan_archives(
-        files, html_only=False, with_payload=False, split_bytes=_split_bytes(files)
+        files, html_only=False, with_payload=False, split_bytes=QUERY_SPLIT
     )
     broken = broken_splits(scan).select("path", F.lit(1).alias("broken"))
     return (
@@ -265,12 +265,6 @@ def warc_format(spark, sf):
     )
 
 
-def _split_bytes(files: DataFrame) -> int:
-    """A 64th of the input, but no more than usual."""
-    volume = files.agg(F.sum("length")).first()[0] or 0
-    return max(SMALLEST_SPLIT, min(SPLIT_BYTES, volume // 64))
-
-
 def _archive_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Pages as records; a bucket is cut into archives of a fixed number of rows."""
     rows = with_record_columns(table(spark, sf, "pages", "page_id", "url", "html"))
@@ -314,7 +308,7 @@ def corpus_listing(spark, sf):
     """Bytes of the written outputs, from the file listing alone."""
     folder = scratch_dir(spark, "corpus")
     corpus.write_corpus(clean_records(spark, sf), folder, span=CORPUS_SPAN)
-    return corpus_outputs(spark, folder)
+    return corpus_outputs(spark, folder).select("basename", "length")
 
 
 def _downloads(spark: SparkSession, sf: str) -> DataFrame:
@@ -525,10 +519,40 @@ def clean_run(spark, sf):
     layout = Layout(scratch_dir(spark, "run"))
     _archives(spark, sf, layout.landing)
     files = archive_listing(spark, layout.landing)
-    run_batch(spark, files, layout, split_bytes=_split_bytes(files))
+    run_batch(spark, files, layout, split_bytes=QUERY_SPLIT)
+    return clean_corpus(spark, layout).select("basename", "value")
+
+
+def clean_run_repeated(spark, sf):
+    """The same batch twice, the second time with only half of the archives still there."""
+    layout = Layout(scratch_dir(spark, "run"))
+    _archives(spark, sf, layout.landing)
+    files = archive_listing(spark, layout.landing)
+    run_batch(spark, files, layout, "once", split_bytes=QUERY_SPLIT)
+    left = files.where(F.crc32(F.col("basename").cast("binary")) % 2 == 0)
+    run_batch(spark, left, layout, "once", split_bytes=QUERY_SPLIT)
     return clean_corpus(spark, layout).select("basename", "value")
 
 
+def clean_run_nothing_kept(spark, sf):
+    """No page is long enough: every archive is done, and the corpus reads as no rows."""
+    layout = Layout(scratch_dir(spark, "run"))
+    _archives(spark, sf, layout.landing)
+    files = archive_listing(spark, layout.landing)
+    run_batch(spark, files, layout, min_len=10**9, split_bytes=QUERY_SPLIT)
+    done = ledger_rows(spark, layout).select("basename", "kept_records")
+    corpus_rows = clean_corpus(spark, layout).groupBy("basename").agg(F.count("*").alias("kept_records"))
+    return done.unionByName(corpus_rows)
+
+
+def extract_deep(spark, sf):
+    """Pages with hundreds of elements left open in what is hidden before the article."""
+    pages = heavy(spark, sf, "page_id", "html")
+    nav = "<nav>" + "<span>" * 600 + "menu</nav><article>"
+    deep = F.replace(F.col("html"), F.lit("<article>"), F.lit(nav))
+    return extract_pages(pages.select("page_id", deep.alias("payload"))).select("page_id", "text")
+
+
 def stream_clean(spark, sf):
     layout = Layout(scratch_dir(spark, "run"))
     _archives(spark, sf, layout.landing)
@@ -567,6 +591,9 @@ def stream_active_workers(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "scalar_collapse_ws": scalar_collapse_ws,
+    "clean_run_repeated": clean_run_repeated,
+    "clean_run_nothing_kept": clean_run_nothing_kept,
+    "extract_deep": extract_deep,
     "manifest_resolve": manifest_resolve,
     "decode_payload": decode_payload,
     "size_rules": size_rules,

@@ -10,7 +10,7 @@ from typing import BinaryIO
 from pagemill.functions.html import decode_page
 
 CHUNK = 128 * 1024
-MAX_PAYLOAD_BYTES = 512 * 1024 * 1024
+MAX_PAYLOAD_BYTES = (1 << 31) - (1 << 20)  # what a binary value of Arrow and Spark can hold
 _INFLATE_STEP = 1024 * 1024
 _MAX_LINE = 1024 * 1024
 
@@ -99,6 +99,13 @@ class _Stream:
         if size:
             raise ArchiveError("archive ends inside a record")
 
+    def header_line(self, limit: int | None) -> bytes:
+        """A line of a header block that ends within `limit` bytes; too long a line is an error."""
+        line = self.line(_MAX_LINE if limit is None else min(_MAX_LINE, limit))
+        if len(line) == _MAX_LINE and not line.endswith(b"\n"):
+            raise ArchiveError(f"header line of more than {_MAX_LINE} bytes at byte {self.position()}")
+        return line
+
     def line(self, limit: int = _MAX_LINE) -> bytes:
         """Up to and including the next newline; at most `limit` bytes."""
         parts, left = [], limit
@@ -113,12 +120,12 @@ class _Stream:
         return b"".join(parts)
 
 
-def _header_block(stream: _Stream, limit: int) -> tuple[dict[str, str], int]:
+def _header_block(stream: _Stream, limit: int | None) -> tuple[dict[str, str], int]:
     """Header fields up to the blank line (first value of a name wins) and bytes used."""
     fields: dict[str, str] = {}
     used, last = 0, None
-    while used < limit:
-        line = stream.line(min(_MAX_LINE, limit - used))
+    while limit is None or used < limit:
+        line = stream.header_line(None if limit is None else limit - used)
         used += len(line)
         text = line.strip(b"\r\n")
         if not text:
@@ -164,17 +171,26 @@ def _dechunk(body: bytes) -> bytes:
 
 
 def _inflate_body(body: bytes, bits: int, limit: int) -> bytes:
-    """Decompress; a body that does not start like compressed data stays as it is."""
-    inflate = zlib.decompressobj(bits)
-    try:
-        out = inflate.decompress(body, limit + 1)
-    except zlib.error:
-        if bits == 15:  # "deflate" is also used for raw deflate streams
-            return _inflate_body(body, -15, limit)
-        return body
-    if len(out) > limit:
-        raise ArchiveError("payload larger than the limit")
-    return out
+    """Decompress all members; a body that does not start like compressed data stays as it is.
+
+    Of a body that is cut off or damaged further on, what can be read counts.
+    """
+    parts, rest, left = [], body, limit
+    while rest:
+        inflate = zlib.decompressobj(bits)
+        try:
+            parts.append(inflate.decompress(rest, left + 1))
+        except zlib.error:
+            if parts:
+                break
+            if bits == 15:  # "deflate" is also used for raw deflate streams
+                return _inflate_body(body, -15, limit)
+            return body
+        left -= len(parts[-1])
+        if left < 0:
+            raise ArchiveError(f"payload larger than {limit} bytes")
+        rest = inflate.unused_data if inflate.eof else b""
+    return b"".join(parts)
 
 
 def _payload(body: bytes, http: dict[str, str], limit: int) -> bytes:
@@ -190,7 +206,12 @@ def _payload(body: bytes, http: dict[str, str], limit: int) -> bytes:
             import brotli
         except ImportError:
             raise ArchiveError("payload is br-encoded and no decoder is installed") from None
-        return brotli.decompress(body)
+        try:
+            body = brotli.decompress(body)
+        except brotli.error as e:
+            raise ArchiveError(f"br payload: {e}") from None
+        if len(body) > limit:
+            raise ArchiveError(f"payload larger than {limit} bytes")
     return body
 
 
@@ -246,8 +267,8 @@ def read_range(
 ) -> Iterator[tuple]:
     """Rows of the records that start in [start, end); end None means to the end.
 
-    Yields ("record", offset, type, content type, http headers, payload) and at
-    last ("split", first offset, next offset), with None for a range without
+    Yields ("record", offset, type, content type, http headers, payload,
+    number, at) and at last ("split", first offset, next offset), with None for a range without
     records and for the end of the archive.
     """
     raw.seek(0)
@@ -267,9 +288,10 @@ def read_range(
             return
         ordinal = ordinal + 1 if gzipped and place == member else 0
         member = place
+        at = stream.offset if ordinal else place  # compressed bytes read so far; never goes back
         line = stream.line()
         if line.startswith(_WARC_START):
-            warc, _ = _header_block(stream, _MAX_LINE)
+            warc, _ = _header_block(stream, None)
             rec_type = warc.get("warc-type", "").lower()
             length = warc.get("content-length", "")
             has_http = rec_type in _HTTP_TYPES or warc.get("content-type", "").startswith(
@@ -283,7 +305,7 @@ def read_range(
             has_http = fields[0].startswith(("http:", "https:"))
         else:
             raise ArchiveError(f"no record header at byte {place}")
-        if not re.fullmatch(r"[0-9]+", length):
+        if not re.fullmatch(r"[0-9]{1,18}", length):
             raise ArchiveError(f"record without a length at byte {place}")
         left = int(length)
         http, head = None, b""
@@ -308,5 +330,5 @@ def read_range(
         else:
             stream.skip(left)
         content_type = http.get("content-type") if http is not None else None
-        yield "record", place + ordinal, rec_type, content_type, http, payload
+        yield "record", place, rec_type, content_type, http, payload, ordinal, at
     yield "split", first, None

@@ -27,6 +27,10 @@ def copy_file(url: str, target: str, attempt: str) -> int:
             while chunk := source.read(COPY_CHUNK_BYTES):
                 sink.write(chunk)
                 copied += len(chunk)
+            # an HTTP connection that ends early reads like the end of the file
+            promised = getattr(source, "headers", {}).get("Content-Length")
+            if promised is not None and promised.strip().isdigit() and int(promised) != copied:
+                raise OSError(f"{copied} of {promised} bytes came")
         rename(partial, target)
     except BaseException:
         discard(partial)

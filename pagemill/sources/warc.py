@@ -22,7 +22,7 @@ from pyspark.sql.datasource import (
 )
 
 from pagemill.functions.text import basename
-from pagemill.sources.archive_reader import ArchiveError, read_range
+from pagemill.sources.archive_reader import read_range
 from pagemill.sources.files import list_files, open_input
 
 SPLIT_BYTES = 128 * 1024 * 1024
@@ -31,9 +31,11 @@ _BATCH_ROWS = 1000
 
 RECORD_DDL = (
     "path STRING, basename STRING, rec_offset BIGINT, rec_type STRING, content_type STRING, "
-    "http_headers MAP<STRING,STRING>, payload BINARY, error STRING"
+    "http_headers MAP<STRING,STRING>, payload BINARY, error STRING, rec_number BIGINT"
 )
-SCAN_DDL = RECORD_DDL + ", kind STRING, next_offset BIGINT"
+# rec_offset is where the record's gzip member begins, rec_number counts within it; `at` is how far
+# the archive had been read, in bytes of the file
+SCAN_DDL = RECORD_DDL + ", kind STRING, next_offset BIGINT, at BIGINT"
 _ARROW = pa.schema(
     [
         ("path", pa.string()),
@@ -44,8 +46,10 @@ _ARROW = pa.schema(
         ("http_headers", pa.map_(pa.string(), pa.string())),
         ("payload", pa.binary()),
         ("error", pa.string()),
+        ("rec_number", pa.int64()),
         ("kind", pa.string()),
         ("next_offset", pa.int64()),
+        ("at", pa.int64()),
     ]
 )
 
@@ -54,23 +58,25 @@ def _range_rows(path, name, start, end, html_only, with_payload) -> Iterator[tup
     """Rows in the column order of SCAN_DDL; a failure becomes a row, not an exception."""
 
     def failed(reason: str) -> tuple:
-        return path, name, None, None, None, None, None, reason, "error", None
+        return path, name, None, None, None, None, None, reason, None, "error", None, None
 
     try:
         with open_input(path) as raw:
             for row in read_range(raw, start, end, html_only, with_payload):
                 if row[0] == "record":
-                    _, offset, rec_type, content_type, http, payload = row
+                    _, offset, rec_type, content_type, http, payload, number, at = row
                     yield (
                         path, name, offset, rec_type, content_type,
                         None if http is None else list(http.items()),
-                        payload, None, "record", None,
+                        payload, None, number, "record", None, at,
                     )
                 else:
-                    yield path, name, row[1], None, None, None, None, None, "split", row[2]
+                    yield (
+                        path, name, row[1], None, None, None, None, None, None, "split", row[2], None,
+                    )
     except FileNotFoundError:
         yield failed("missing")
-    except (ArchiveError, OSError) as e:
+    except Exception as e:  # whatever one archive holds must not end the job
         yield failed(f"{type(e).__name__}: {e}")
 
 
@@ -171,7 +177,7 @@ def broken_splits(scan: DataFrame) -> DataFrame:
 
 
 def records(scan: DataFrame) -> DataFrame:
-    return scan.where("kind = 'record'").drop("kind", "next_offset")
+    return scan.where("kind = 'record'").drop("kind", "next_offset", "at")
 
 
 @dataclass
@@ -198,20 +204,20 @@ class _WarcReader(DataSourceReader):
         rows = _range_rows(
             partition.path, name, partition.start, partition.stop, self.html_only, self.with_payload
         )
-        kept = (row for row in rows if row[8] != "split" and self._keeps(row))
+        kept = (row for row in rows if row[9] != "split" and self._keeps(row))
         for batch in _batches(kept):
-            yield batch.select(_ARROW.names[:8])
+            yield batch.select(_ARROW.names[:9])
 
     def _keeps(self, row) -> bool:
         # rows that report an error always pass; Spark filters again what it must
-        return row[8] == "error" or all(check(row) for check in self.checks)
+        return row[9] == "error" or all(check(row) for check in self.checks)
 
 
 class _FilteringWarcReader(_WarcReader):
     def pushFilters(self, filters):
         for f in filters:
             column = f.attribute[0] if hasattr(f, "attribute") else None
-            at = _ARROW.names.index(column) if column in _ARROW.names[:8] else None
+            at = _ARROW.names.index(column) if column in _ARROW.names[:9] else None
             if at is not None and isinstance(f, In):
                 self.checks.append(lambda row, at=at, v=frozenset(f.value): row[at] in v)
             elif at is not None and isinstance(f, StringContains):

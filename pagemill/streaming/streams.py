@@ -50,20 +50,18 @@ def fetch_stream(
 def clean_stream(
     spark: SparkSession,
     layout: Layout,
-    files_per_batch: int | None = None,
+    files_per_batch: int = FILES_IN_FLIGHT,
     clean_source: str = "off",
     drain: bool = True,
-    pattern: str = "*.gz",
+    pattern: str = "*",
     **options,
 ) -> StreamingQuery:
     """New archives in the landing folder -> corpus and ledger.
 
-    A batch takes one archive per core, and no fewer than the fixed bound.
+    A batch takes `files_per_batch` archives: take many more on a large cluster.
     `clean_source` is Spark's option of that name: off, archive or delete. Files
     are removed only after the batch that cleaned them was committed.
     """
-    cores = spark.sparkContext.defaultParallelism
-    files_per_batch = files_per_batch or max(FILES_IN_FLIGHT, cores)
     reader = (
         spark.readStream.format("binaryFile")
         .schema(_FILE_COLUMNS)

@@ -41,7 +41,7 @@ def ledger(spark, layout):
 
 def corpus_text(layout, name: str) -> str:
     parts = sorted(
-        Path(layout.corpus).glob(f"batch=*/basename={name}/chunk=*/part-*.txt"),
+        Path(layout.corpus).glob(f"batch=*/attempt=*/basename={name}/chunk=*/part-*.txt"),
         key=lambda p: int(p.parent.name.split("=")[1]),
     )
     return "".join(p.read_text() for p in parts)
@@ -52,13 +52,13 @@ def test_batch(spark, tmp_path, split_bytes):
     layout = landed(tmp_path)
     files = archive_listing(spark, layout.landing)
     counted = plan.run_batch(spark, files, layout, "one", split_bytes=split_bytes, span=2000, at=AT())
-    assert counted["records"] >= 32
+    assert counted == {"records": 32, "text_bytes": len(text_of(*range(30), 50, 51)), "errors": 1}
     sizes = {p.name: p.stat().st_size for p in Path(layout.landing).iterdir()}
     want_a, want_odd = text_of(*range(30)), text_of(50, 51)
     assert corpus_text(layout, "a.warc.gz") == want_a
     assert corpus_text(layout, "odd.warc.gz") == want_odd
     assert corpus_text(layout, "bad.warc.gz") == corpus_text(layout, "short.warc.gz") == ""
-    rows = {r.basename: tuple(r)[1:] for r in ledger(spark, layout).collect()}
+    rows = {r.basename: (*tuple(r)[1:6], r.batch) for r in ledger(spark, layout).collect()}
     when = datetime(2024, 5, 1)
     assert rows == {
         "a.warc.gz": (sizes["a.warc.gz"], 30, len(want_a), sizes["a.warc.gz"] - len(want_a), when, "one"),
@@ -97,6 +97,75 @@ def test_output_without_ledger_row_is_not_read_but_can_be_taken_over(spark, tmp_
     assert plan.clean_corpus(spark, layout).count() == 30
 
 
+def test_repeat_with_missing_archives_keeps_what_was_done(spark, tmp_path):
+    layout = landed(tmp_path)
+    plan.run_batch(spark, archive_listing(spark, layout.landing), layout, "one", at=AT())
+    before = sorted(map(tuple, ledger(spark, layout).collect()))
+    Path(layout.landing).rename(tmp_path / "moved")
+    put(layout.landing, "more.warc.gz", members(response(page(70))))
+    plan.run_batch(spark, archive_listing(spark, layout.landing), layout, "one", at=AT())
+    after = sorted(map(tuple, ledger(spark, layout).collect()))
+    assert [r for r in after if r[0] != "more.warc.gz"] == before
+    assert plan.clean_corpus(spark, layout).count() == 33
+
+
+def test_repeat_after_a_stop_between_corpus_and_ledger(spark, tmp_path, monkeypatch):
+    layout = landed(tmp_path)
+    files = archive_listing(spark, layout.landing).where("basename = 'a.warc.gz'")
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(plan, "_append", stop)
+        with pytest.raises(KeyboardInterrupt):
+            plan.run_batch(spark, files, layout, "one")
+    assert plan.clean_corpus(spark, layout).count() == 0
+    plan.run_batch(spark, files, layout, "one")
+    assert plan.clean_corpus(spark, layout).count() == 30
+
+
+def test_nothing_kept_reads_as_no_rows(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    assert plan.clean_corpus(spark, layout).count() == 0
+    put(layout.landing, "a.warc.gz", members(*(response(page(i, 3)) for i in range(5))))
+    plan.run_batch(spark, archive_listing(spark, layout.landing), layout, "one")
+    assert plan.clean_corpus(spark, layout).count() == 0
+    assert ledger(spark, layout).first().kept_records == 0
+
+
+def test_one_bad_archive_does_not_end_the_batch(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    bad = response(page(1)).replace(b"Content-Length: ", b"Content-Length: " + b"9" * 5000, 1)
+    put(layout.landing, "bad.warc.gz", members(bad))
+    put(layout.landing, "line.warc.gz", members(response(page(1)).replace(b"WARC-Type", b"X" * 2_000_000 + b": y\r\nWARC-Type", 1)))
+    put(layout.landing, "good.warc.gz", members(response(page(2))))
+    put(layout.landing, "plain.warc", response(page(3)))
+    counted = plan.run_batch(spark, archive_listing(spark, layout.landing), layout, "one")
+    assert (counted["records"], counted["errors"]) == (2, 2)
+    assert {r.basename for r in ledger(spark, layout).collect()} == {"good.warc.gz", "plain.warc"}
+
+
+def test_batches_at_once_count_an_archive_once(spark, tmp_path):
+    layout = landed(tmp_path)
+    files = archive_listing(spark, layout.landing)
+    plan.run_batch(spark, files, layout, "one", at=AT())
+    row = ledger(spark, layout).where("basename = 'a.warc.gz'")
+    plan._append(row.withColumn("batch", F.lit("two")).withColumn("attempt", F.lit("z")), layout.ledger)
+    assert plan.ledger_rows(spark, layout).count() == 3
+    assert plan.clean_corpus(spark, layout).count() == 32
+
+
+def test_many_records_in_one_member_stay_in_order(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    one = members(b"".join(response(page(i)) for i in range(300)))
+    put(layout.landing, "a.warc.gz", one + members(response(page(301)), response(page(302))))
+    plan.run_batch(spark, archive_listing(spark, layout.landing), layout, "one", span=len(one) // 3)
+    assert corpus_text(layout, "a.warc.gz") == text_of(*range(300), 301, 302)
+    chunks = plan.clean_corpus(spark, layout).select("chunk").distinct().count()
+    assert chunks >= 1
+
+
 def test_missing_archive_is_not_done(spark, tmp_path):
     layout = Layout(str(tmp_path))
     files = spark.createDataFrame([(str(tmp_path / "gone.gz"), 10)], "path STRING, length BIGINT")
@@ -120,7 +189,9 @@ def test_fetch(spark, tmp_path):
         put(source / "dir", name, b"x" * 1000)
     layout = Layout(str(tmp_path / "run"))
     plan._append_batch(
-        spark.createDataFrame([("done.gz", 1, 1, 1, 0, datetime(2024, 1, 1))], LEDGER_DDL.rsplit(",", 1)[0]),
+        spark.createDataFrame(
+            [("done.gz", 1, 1, 1, 0, datetime(2024, 1, 1), "x")], LEDGER_DDL.rsplit(",", 1)[0]
+        ),
         layout.ledger,
         "old",
     )

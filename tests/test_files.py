@@ -64,6 +64,13 @@ def test_http(tmp_path, monkeypatch):
     assert seen == [("HEAD", 20), ("GET", 300)]
 
 
+def test_a_short_answer_is_no_copy(tmp_path, monkeypatch):
+    monkeypatch.setattr("pagemill.sources.fetch.open_input", lambda url: _Answer(b"cont"))
+    with pytest.raises(OSError, match="4 of 7"):
+        copy_file("https://x.example/a", str(tmp_path / "a"), "1")
+    assert not list(tmp_path.iterdir())
+
+
 def test_a_failed_copy_leaves_nothing(tmp_path, monkeypatch):
     class Broken(io.BytesIO):
         def read(self, size=-1):

@@ -210,3 +210,18 @@ def test_pages_are_parsed_once(spark, plan_of):
     pages = spark.createDataFrame([("<p>a",)], "html STRING")
     plan = plan_of(pages.select(text_extractor()("html").alias("t")).where(F.length("t.text") >= 1), "simple")
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_depth_does_not_matter():
+    """What nav hides ends with nav, however many elements were left open in it."""
+    article = "<article><p>" + "words of the article " * 10 + "</p></article><p>after</p>"
+    for n in (10, 600, 5000):
+        deep = f"<body><nav>{'<span>' * n}menu</nav>{article}"
+        inside = f"<body><article>{'<span>' * n}inner text of it</article><p>after</p>"
+        assert page_text(deep)[0] == page_text(f"<body><nav>menu</nav>{article}")[0]
+        assert page_text(inside, 1)[0] == "inner text of it"
+
+
+def test_formatting_that_ends_below_others():
+    assert page_text("<body><article><b><p>one</b> two</p></article> three", 1)[0] == "one two"
+    assert page_text("<body><article><b><i><div>x</b></i></div>y</article>z", 1)[0] == "x y"

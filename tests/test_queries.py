@@ -3,13 +3,16 @@
 import pytest
 
 import __spark_entry__ as entry
+from pagemill.plans.oracle import oracle
+from pagemill.plans.queries import QUERIES
 from tests.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == oracle().keys()
+    assert QUERIES.keys() <= entry.queries().keys()
 
 
 def test_entry(spark):
@@ -17,7 +20,7 @@ def test_entry(spark):
     assert rows.columns == ["page_id", "url", "text"] and rows.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     _, problem = compare(spark, connect(SF), SF, entry.queries()[name], entry.oracle_sql()[name])
     assert problem is None, problem
