@@ -261,6 +261,7 @@ def oracle() -> dict[str, str]:
         "stream_fetch": f"SELECT DISTINCT {ARCHIVE} AS basename, 'downloaded' AS status FROM pages",
         "fetch_local": f"""SELECT DISTINCT {ARCHIVE} AS basename, 'downloaded' AS status, true AS whole FROM pages""",
         "clean_run": CLEAN_VALUES,
+        "pipeline_run": CLEAN_VALUES,
         "clean_run_repeated": CLEAN_VALUES,
         "clean_run_nothing_kept": f"SELECT DISTINCT {ARCHIVE} AS basename, CAST(0 AS BIGINT) AS kept_records FROM pages",
         "extract_deep": f"WITH {PAGE_TEXT} SELECT page_id, text FROM page_text",

@@ -22,6 +22,7 @@ from pagemill.plans.batch import (
     run_batch,
     run_fetch,
 )
+from pagemill.plans.run import run_to_end
 from pagemill.session import scratch_dir, spread
 from pagemill.sources import state_json
 from pagemill.sources.archive_fixture import write_archives
@@ -553,6 +554,15 @@ def extract_deep(spark, sf):
     return extract_pages(pages.select("page_id", deep.alias("payload"))).select("page_id", "text")
 
 
+def pipeline_run(spark, sf):
+    """The whole run from a manifest: copies, corpus, ledger and state, to the end."""
+    source = _archives(spark, sf)
+    layout = Layout(scratch_dir(spark, "run"))
+    archive_listing(spark, source).select("basename").write.text(layout.folder("manifest"))
+    run_to_end(spark, layout.folder("manifest"), layout, f"{source}/", split_bytes=QUERY_SPLIT)
+    return clean_corpus(spark, layout).select("basename", "value")
+
+
 def stream_clean(spark, sf):
     layout = Layout(scratch_dir(spark, "run"))
     _archives(spark, sf, layout.landing)
@@ -594,6 +604,7 @@ QUERIES: dict[str, Query] = {
     "clean_run_repeated": clean_run_repeated,
     "clean_run_nothing_kept": clean_run_nothing_kept,
     "extract_deep": extract_deep,
+    "pipeline_run": pipeline_run,
     "manifest_resolve": manifest_resolve,
     "decode_payload": decode_payload,
     "size_rules": size_rules,

@@ -274,3 +274,20 @@ def test_active_worker_stream(spark, tmp_path):
     streams.active_worker_stream(stream, str(tmp_path / "view"), str(tmp_path / "cp"), 3).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "view"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, active_workers(messages, 3).collect()))
+
+
+def test_run_to_end(spark, tmp_path):
+    from pagemill.plans.run import run_to_end
+
+    source = tmp_path / "source"
+    for n in range(4):
+        put(source, f"f{n}.warc.gz", members(*(response(page(100 * n + i)) for i in range(3))))
+    (tmp_path / "manifests").mkdir()
+    (tmp_path / "manifests" / "one.paths").write_text("".join(f"f{n}.warc.gz\n" for n in range(4)))
+    layout = Layout(str(tmp_path / "run"))
+    for _ in range(2):  # a second run finds nothing to do
+        row = run_to_end(spark, str(tmp_path / "manifests"), layout, f"file:{source}/").first()
+        assert row.total_warc_successfully_cleaned_count == ledger(spark, layout).count() == 4
+        assert plan.clean_corpus(spark, layout).count() == 12
+    (tracker,) = Path(layout.folder("state/tracker")).glob("document=*/*.txt")
+    assert len(json.loads(tracker.read_text())["cleaned_warc_basenames"]) == 4
