@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from pagemill.llm import store
 
-CHUNK_BYTES = 8 << 20  # of text: a task needs about twenty times as much memory
-BUCKET_ENTRIES = 1 << 21  # about the hashes in one bucket
+CHUNK_BYTES = 4 << 20  # of text: a task needs about twenty times as much memory
+BUCKET_ENTRIES = 1 << 20  # about the hashes in one bucket
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -27,7 +27,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     while True:
         near = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
+            both.withColumnRenamed("b", "node")
+            .join(labels, "node")
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("label").alias("near"))
         )

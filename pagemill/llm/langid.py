@@ -29,7 +29,7 @@ MATRIX_BYTES = 64 << 20
 SMOOTHING = 0.5
 UNKNOWN = "und"
 
-_SLAB = 1 << 20  # characters handled at once
+_SLAB = 1 << 18  # characters handled at once
 _TASKS = 32  # tasks of the training, each with a table of counts per language
 
 
@@ -64,9 +64,8 @@ def _features(codes: np.ndarray, features: int) -> Iterator[tuple[np.ndarray, in
 
 
 def _slabs(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Code points of texts in slabs: (codes, for each code its text, where n-grams may begin
-    before a text's end is handled by the caller). A very long text is cut into parts that
-    overlap by NGRAMS - 1."""
+    """Parts of texts in slabs: code points of all, the text and the length of each part. A very
+    long text is several parts, each between spaces."""
     codes, owners, size = [], [], 0
     for i, text in enumerate(texts):
         for at in range(0, max(1, len(text)), _SLAB):

@@ -134,7 +134,7 @@ def _shingles(chunk: ch.Chunk) -> tuple[np.ndarray, ...]:
 
 _NODE = (
     "doc_key string, n_words long, text_hash long, text_id binary, shingles binary, weights binary, "
-    "weight double, bands array<long>"
+    "weight double, shared double, bands array<long>"
 )
 
 
@@ -195,6 +195,7 @@ def _nodes(documents: DataFrame, similarity: float, chunk_bytes: int) -> DataFra
                 "shingles": None,
                 "weights": None,
                 "weight": total,
+                "shared": common,
                 "bands": None,
             }
         ).astype({"shingles": object, "weights": object, "bands": object})
@@ -252,21 +253,34 @@ def _similarities(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _links(nodes: DataFrame, similarity: float) -> DataFrame:
     """Links between different texts, enough to connect all that any bucket links."""
+    least = similarity - _SLACK
     members = store.written(
-        nodes.select(F.explode("bands").alias("bucket"), F.col("text_id").alias("a")), "buckets"
+        nodes.select(
+            F.posexplode("bands").alias("band", "bucket"),
+            F.col("text_id").alias("a"),
+            F.col("weight").alias("w"),
+            F.col("shared").alias("s"),
+            "bands",
+        ),
+        "buckets",
     )
-    order = F.struct(F.xxhash64("a", "bucket").alias("o"), F.col("a"))
+    # the text with the smallest share of shingles of its own is the likeliest to be near all others
+    own_share = F.round(1 - F.col("s") / F.col("w"), 4)
+    order = F.struct(own_share.alias("p"), F.xxhash64("a").alias("o"), "a", "w")
     centres = (
         members.groupBy("bucket")
         .agg(F.min(order).alias("least"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("bucket", F.col("least.a").alias("b"))
+        .select("bucket", F.col("least.a").alias("b"), F.col("least.w").alias("w_centre"))
     )
     placed = store.written(members.join(centres, "bucket"), "centres")
+    # what two texts have in common lies in the centre, at most what each has in common with it,
+    # or outside, at most what each shares there with any other text
+    common = F.least("in_a", "in_b") + F.least(F.col("s_a") - F.col("in_a"), F.col("s_b") - F.col("in_b"))
+    possible = common >= least * (F.col("w_a") + F.col("w_b") - common)
     compared = store.written(
         _similarities(placed.where("a != b").select("a", "b").distinct(), nodes), "compared"
     )
-    least = similarity - _SLACK
     first = compared.where(F.col("similarity") >= least).select("a", "b")
     labels = components(first)
 
@@ -276,10 +290,15 @@ def _links(nodes: DataFrame, similarity: float) -> DataFrame:
     )
     distance = distance.select(
         "bucket",
+        "band",
+        "bands",
         "a",
+        "w",
+        "s",
         F.coalesce("label", "a").alias("label"),
+        "w_centre",
         (1 - F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.col("similarity"))).alias("d"),
-    )
+    ).withColumn("in", (1 - F.col("d")) * (F.col("w") + F.col("w_centre")) / (2 - F.col("d")))
     open_ = (
         distance.groupBy("bucket")
         .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
@@ -290,11 +309,15 @@ def _links(nodes: DataFrame, similarity: float) -> DataFrame:
     reach = 1 - similarity + 2 * _SLACK
     # members of the centre's own star are linked to each other already
     left = rows.where(F.col("d") > reach).select(
-        "bucket", "a", F.col("label").alias("label_a"), F.col("d").alias("d_a")
+        "bucket", "band", "a", *[F.col(c).alias(f"{c}_a") for c in ("label", "d", "w", "s", "in", "bands")]
     )
     right = rows.select(
-        "bucket", F.col("a").alias("b"), F.col("label").alias("label_b"), F.col("d").alias("d_b")
+        "bucket",
+        F.col("a").alias("b"),
+        *[F.col(c).alias(f"{c}_b") for c in ("label", "d", "w", "s", "in", "bands")],
     )
+    # a pair that meets in several buckets is taken in the first
+    meet = F.zip_with("bands_a", "bands_b", lambda x, y: x == y)
     # distances in steps of the reach: a pair within it lies in the same step or the next
     step = lambda c: F.floor(F.col(c) / reach)
     left = left.withColumn("step", F.explode(F.array(*[step("d_a") + i for i in (-1, 0, 1)])))
@@ -302,8 +325,10 @@ def _links(nodes: DataFrame, similarity: float) -> DataFrame:
         (F.col("label_a") != F.col("label_b"))
         & (F.abs(F.col("d_a") - F.col("d_b")) <= reach)
         & ((F.col("d_b") <= reach) | (F.col("a") < F.col("b")))
+        & possible
+        & (F.array_position(meet, True) == F.col("band") + 1)
     )
-    second = _similarities(pairs.select("a", "b").distinct(), nodes)
+    second = _similarities(pairs.select("a", "b"), nodes)
     return first.union(second.where(F.col("similarity") >= least).select("a", "b"))
 
 
