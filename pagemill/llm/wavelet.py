@@ -61,7 +61,7 @@ def encode(ids: np.ndarray, documents: np.ndarray) -> bytes:
             blocks.append(block)
             places.append(place)
             place += len(block)
-        order = np.concatenate([order[~bits], order[bits]])
+        order = order[np.concatenate([np.flatnonzero(~bits), np.flatnonzero(bits)])]
     letters, table = _packed(np.diff(alphabet, prepend=0).astype("<u4")), _packed(documents)
     header = json.dumps(
         {
@@ -179,8 +179,8 @@ class WaveletFile:
             blocks = [self._read_block(plane, b) for b in range(self._per_plane)]
             bits = np.concatenate(blocks).view(bool)
             above = np.empty_like(rank)
-            above[~bits] = rank[: self._zeros[plane]]
-            above[bits] = rank[self._zeros[plane] :]
-            above |= bits.astype(rank.dtype) << (self._planes - 1 - plane)
+            above[np.flatnonzero(~bits)] = rank[: self._zeros[plane]]
+            ones = rank[self._zeros[plane] :] | rank.dtype.type(1 << (self._planes - 1 - plane))
+            above[np.flatnonzero(bits)] = ones
             rank = above
         return self.alphabet[rank] if self.n else np.zeros(0, np.uint32)
