@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from pagemill.llm import topk
 
@@ -93,9 +94,12 @@ class _Tables:
                 s, here = s[here > 1e-4], here[here > 1e-4]
                 chances = (chances[:, None] * here).ravel()
                 slots = np.column_stack([np.repeat(slots, len(s), axis=0), np.tile(s, len(slots))])
-            order = np.argsort(-chances, kind="stable")
-            enough = int(np.searchsorted(np.cumsum(chances[order]), self.target)) + 1
-            out.append(self.bucket(slots[order[:enough]]))
+                # beginnings that hardly any wanted bucket has go at once
+                order = np.argsort(-chances, kind="stable")
+                keep = 1 + int(np.searchsorted(np.cumsum(chances[order]), 0.99 * chances.sum()))
+                chances, slots = chances[order[:keep]], slots[order[:keep]]
+            enough = int(np.searchsorted(np.cumsum(chances), self.target)) + 1
+            out.append(self.bucket(slots[:enough]))
         return out
 
 
@@ -126,11 +130,14 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     n, dim, square = topk.measures(rows)
     tables = _Tables(topk.sample(rows, SAMPLE, dim), n, square, k)
 
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, FloatType)
+    kind = "<f4" if single else "<f8"  # as they came: nothing is lost
+
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = topk.matrix(batch["v"], dim)
             up = topk.lifted(x, square)
-            data = [v.tobytes() for v in x]
+            data = [v.astype(kind).tobytes() for v in x]
             for t in range(TABLES):
                 slots = np.floor(tables.places(up, t))
                 yield pd.DataFrame(
@@ -148,22 +155,23 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
         "lsh-index",
     )
     asked = rows.where("is_query").select("vec_id", "v")
+    n_asked = asked.count()
 
     def as_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = topk.matrix(batch["v"], dim)
-            yield pd.DataFrame({"vec_id": batch["vec_id"], "x": [v.tobytes() for v in x]})
+            yield pd.DataFrame({"vec_id": batch["vec_id"], "x": [v.astype(kind).tobytes() for v in x]})
 
     queries = topk.kept(
         topk.blocks(
             asked.mapInPandas(as_bytes, "vec_id long, x binary"),
-            ["vec_id"], QUERY_ROWS, asked.count(), [], "block long, ids binary, xs binary",
+            ["vec_id"], QUERY_ROWS, n_asked, [], "block long, ids binary, xs binary",
         ),
         "lsh-queries",
     )
 
     def values(data: bytes) -> np.ndarray:
-        return np.frombuffer(data, "<f8").reshape(-1, dim)
+        return np.frombuffer(data, kind).reshape(-1, dim).astype(np.float64)
 
     def probing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -185,7 +193,7 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
                             "tab": t,
                             "bucket": bucket[np.concatenate([[0], cuts])],
                             "q_ids": [numbers[g].tobytes() for g in groups],
-                            "q_xs": [q[g].astype("<f8").tobytes() for g in groups],
+                            "q_xs": [q[g].astype(kind).tobytes() for g in groups],
                         }
                     )
 
@@ -208,23 +216,22 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
                 )
                 best.add(slots[at], ids[column], _exact(q, x, at, column))
                 if best.full():
-                    yield best.rows()
-        yield best.rows()
+                    yield best.lists()
+        yield best.lists()
 
     def compare(joined: DataFrame) -> DataFrame:
         return joined.select("q_ids", "q_xs", "ids", "xs").mapInPandas(searched, topk.FOUND)
 
-    found = topk.kept(compare(probes.join(index, ["tab", "bucket"])), "lsh-found")
+    found = compare(probes.join(index, ["tab", "bucket"]))
+    lists = topk.kept(topk.merged(found, k), "lsh-lists")
 
     # queries with too few: in blocks against all rows, which one table holds once
-    enough = (
-        found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n")).where(F.col("n") >= k)
-    )
-    short = topk.kept(
-        asked.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "lsh-short"
-    )
-    n_short = short.count()
-    if n_short:
+    enough = lists.where(F.length("ids") >= 8 * k).select("query_id")
+    if enough.count() < n_asked:
+        short = topk.kept(
+            asked.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "lsh-short"
+        )
+        n_short = short.count()
         salts = 16
         again = topk.blocks(
             short.mapInPandas(as_bytes, "vec_id long, x binary"),
@@ -232,5 +239,5 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
         ).selectExpr("ids AS q_ids", "xs AS q_xs")
         salted = again.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         whole = index.where("tab = 0").withColumn("salt", F.pmod("block", F.lit(salts)).cast("int"))
-        found = found.union(compare(salted.join(whole, "salt")))
-    return topk.merged(found, k)
+        lists = topk.merged(lists.union(compare(salted.join(whole, "salt"))), k)
+    return topk.ranked(lists)

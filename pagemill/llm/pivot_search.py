@@ -213,8 +213,8 @@ def pivot_top_k(
             for row in batch.itertuples(index=False):
                 search.block(row, best)
                 if best.full():
-                    yield best.rows()
-        yield best.rows()
+                    yield best.lists()
+        yield best.lists()
 
     def compare(pairs: DataFrame, asked: DataFrame) -> DataFrame:
         joined = pairs.join(asked, "q_block").join(index, "block").select(
@@ -225,10 +225,8 @@ def pivot_top_k(
     first = topk.kept(
         compare(home, queries.withColumn("floors", F.lit(None).cast("binary"))), "home-found"
     )
-    ranked = topk.merged(first, k)
-    floors = (
-        ranked.where(F.col("rank") == k)
-        .select("query_id", F.col("score").alias("floor"))
+    floors = topk.ranked(topk.merged(first, k)).where(F.col("rank") == k).select(
+        "query_id", F.col("score").alias("floor")
     )
 
     # the floor of each query goes back to its block
@@ -289,4 +287,5 @@ def pivot_top_k(
         .join(home, ["q_block", "block"], "left_anti")
     )
     second = compare(rest, bounded)
-    return topk.merged(first.union(second), k).withColumn("score", F.col("score").cast("long"))
+    found = topk.ranked(topk.merged(first.union(second), k))
+    return found.withColumn("score", F.col("score").cast("long"))

@@ -6,14 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm import store
 
 _STATE_QUERIES = 50_000  # queries whose best lists a task holds at once
 
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_id long, ids binary, scores binary"  # a list a query, best first
 
 
 def valid_vectors(vectors: DataFrame, *, value: Callable[[Column], Column], zero: bool) -> DataFrame:
@@ -162,21 +162,27 @@ class Best:
         self._ids[s[keep], rank[keep]] = i[keep]
         self._scores[s[keep], rank[keep]] = v[keep]
 
-    def rows(self) -> pd.DataFrame:
-        """All that is held; the lists are empty then."""
-        queries = np.fromiter(self._slot, np.int64, len(self._slot))
-        n = len(queries)
-        real = self._scores[:n] > -np.inf
+    def lists(self) -> pd.DataFrame:
+        """All that is held, a row a query; the lists are empty then."""
+        n = len(self._slot)
+        counts = (self._scores[:n] > -np.inf).sum(axis=1)
         out = pd.DataFrame(
             {
-                "query_id": np.repeat(queries, real.sum(axis=1)),
-                "vec_id": self._ids[:n][real],
-                "score": self._scores[:n][real],
+                "query_id": np.fromiter(self._slot, np.int64, n),
+                "ids": [v[:c].tobytes() for v, c in zip(self._ids, counts)],
+                "scores": [v[:c].tobytes() for v, c in zip(self._scores, counts)],
             }
-        )
+        )[counts > 0]
         self._clear()
         return out
 
+    def add_lists(self, lists: pd.DataFrame) -> None:
+        ids = [np.frombuffer(v, "<i8") for v in lists["ids"]]
+        slots = np.repeat(self.slots(lists["query_id"].to_numpy()), [len(v) for v in ids])
+        if ids:
+            scores = np.concatenate([np.frombuffer(v, "<f8") for v in lists["scores"]])
+            self.add(slots, np.concatenate(ids), scores)
+
     def full(self) -> bool:
         return len(self._slot) > _STATE_QUERIES
 
@@ -191,14 +197,41 @@ def best_pairs(scores: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarra
 
 
 def merged(found: DataFrame, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score: the best k of all lists."""
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    place = F.row_number().over(
-        Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
-    )
-    return once.withColumn("rank", place).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+    """A list a query, the best k of all its lists."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best, held = Best(k), None  # held: lists of the last query so far
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch])
+            last = rows["query_id"] == rows["query_id"].iloc[-1]
+            best.add_lists(rows[~last])
+            yield best.lists()
+            best.add_lists(rows[last])
+            held = best.lists()
+        if held is not None:
+            yield held
+
+    by_query = found.repartition("query_id").sortWithinPartitions("query_id")
+    return by_query.mapInPandas(run, FOUND)
+
+
+def ranked(lists: DataFrame) -> DataFrame:
+    """query_id, rank, vec_id, score of every entry."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids = [np.frombuffer(v, "<i8") for v in batch["ids"]]
+            none = np.zeros(0)
+            yield pd.DataFrame(
+                {
+                    "query_id": np.repeat(batch["query_id"].to_numpy(), [len(v) for v in ids]),
+                    "rank": np.concatenate([none, *(np.arange(1, len(v) + 1) for v in ids)]).astype("i4"),
+                    "vec_id": np.concatenate([none.astype("<i8"), *ids]),
+                    "score": np.concatenate([none, *(np.frombuffer(v, "<f8") for v in batch["scores"])]),
+                }
+            )
+
+    return lists.mapInPandas(run, "query_id long, rank int, vec_id long, score double")
 
 
 def kept(frame: DataFrame, purpose: str) -> DataFrame:

@@ -79,5 +79,8 @@ def test_best_lists_merge():
     slots = best.slots(np.array([7, 9]))
     best.add(slots[[0, 0, 0]], np.array([1, 2, 3]), np.array([5.0, 5.0, 4.0]))
     best.add(slots[[0, 0, 1]], np.array([2, 0, 4]), np.array([5.0, 5.0, 1.0]))
-    rows = best.rows().values.tolist()
-    assert rows == [[7, 0, 5.0], [7, 1, 5.0], [9, 4, 1.0]]
+    rows = [
+        (q, np.frombuffer(i, "<i8").tolist(), np.frombuffer(s, "<f8").tolist())
+        for q, i, s in best.lists().values.tolist()
+    ]
+    assert rows == [(7, [0, 1], [5.0, 5.0]), (9, [4], [1.0])]
