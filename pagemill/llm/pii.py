@@ -43,11 +43,12 @@ PHONE = (
     r"(?<![\w(])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
     r"(?!\w)"
 )
+FOREIGN_PHONE = r"(?<![\w+])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5}(?!\w)"
 CARD = r"(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"
 
 # in this order: a longer or stricter form before one that could match a part of it
-PATTERN = "|".join([EMAIL, SECRET, ACCESS_KEY, IBAN, SSN, DATE, ADDRESS, PHONE, CARD])
-HINT = r"[0-9@]|(?i:pass|pwd|secret|token|key)"  # no text without these has a match
+PATTERN = "|".join([EMAIL, SECRET, ACCESS_KEY, IBAN, SSN, DATE, ADDRESS, PHONE, FOREIGN_PHONE, CARD])
+HINT = r"[0-9@]|AKIA|ASIA|(?i:pass|pwd|secret|token|key)"  # no text without these has a match
 
 
 def _digest(key: str, *parts: Column | str) -> Column:
@@ -250,6 +251,15 @@ def _phone(m: Column, key: str) -> Column:
     return _refilled(m, F.concat(prefix, F.when(fine, valid).otherwise(other)))
 
 
+def _foreign_phone(m: Column, key: str) -> Column:
+    """The digits after the country's code are permuted among numbers of their length."""
+    code = F.regexp_extract(m, "^[+][0-9]{1,3}", 0)
+    rest = F.substring(m, F.length(code) + 1, F.length(m))
+    moved = _permuted_digits(_digits(rest), "foreign phone", key)
+    fine = F.length(_digits(m)).between(8, 15)
+    return F.when(fine, F.concat(code, _refilled(rest, moved))).otherwise(m)
+
+
 # days from 1900-01-01 to 2099-12-31: 73049 = 319 * 229
 _FIRST_DAY, _LAST_DAY, _DAYS_A, _DAYS_B = "1900-01-01", "2099-12-31", 319, 229
 
@@ -316,6 +326,7 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
         .when(form(DATE), _date(m, key))
         .when(form(ADDRESS), _address(m, key))
         .when(form(PHONE), _phone(m, key))
+        .when(form(FOREIGN_PHONE), _foreign_phone(m, key))
         .otherwise(_card(m, key))
     )
 
