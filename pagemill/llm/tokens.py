@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import zlib
 from functools import lru_cache
 from itertools import repeat
@@ -20,8 +21,10 @@ import numpy as np
 END_ID = 2  # appended to every document
 VOCABULARY = "word_bpe_49k.json"
 
-_KEPT_WORDS = 1_000_000  # words a worker remembers; beyond it, it drops those met once
-_KEPT_CHARS = 16_000_000
+_KEPT_WORDS = 600_000  # words a worker remembers; beyond it, it drops those met once
+_KEPT_CHARS = 12_000_000
+_TOGETHER = 200  # words encoded in one string; much longer strings fall out of the processor's cache
+_LATIN_END = "\u0250"  # below it, lower case is the same letter by letter and word by word
 _MARK = "0"  # stands between words that are encoded in one string
 # what str.split() may take for white space and the vocabulary's pattern may not
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -43,6 +46,10 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._by_word = _drops_white_space(path)
         self._mark = int(self._whole([_MARK])[0][0])
+        # the same without its normalizer, for words that str.lower() normalizes as well
+        self._bare = Tokenizer(self._tokenizer.model)
+        self._bare.pre_tokenizer = self._tokenizer.pre_tokenizer
+        self._added = [t.content.lower() for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._forget()
 
     def _forget(self) -> None:
@@ -97,8 +104,8 @@ class WordEncoder:
     def _learn(self, words: list[str]) -> None:
         self._chars += sum(map(len, words))
         words.sort(key=lambda w: _MARK in w)  # such words are encoded one by one
-        for at in range(0, len(words), 1000):
-            part = words[at : at + 1000]
+        for at in range(0, len(words), _TOGETHER):
+            part = words[at : at + _TOGETHER]
             flat, lengths = self._ids_of_words(part)
             first = len(self._index)
             self._room(len(flat), len(part))
@@ -110,7 +117,7 @@ class WordEncoder:
     def _ids_of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Their ids one after another, and how many each has."""
         if not any(_MARK in w for w in words):
-            ids = self._whole([f" {_MARK} ".join(words)])[0]
+            ids = self._joined_ids(f" {_MARK} ".join(words))
             marks = np.flatnonzero(ids == self._mark)
             if len(marks) == len(words) - 1:
                 lengths = np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
@@ -118,6 +125,17 @@ class WordEncoder:
         each = self._whole(words)
         return np.concatenate(each), np.array([len(x) for x in each])
 
+    def _joined_ids(self, text: str) -> np.ndarray:
+        lower = text.lower()
+        if (
+            max(text, default="") < _LATIN_END
+            and unicodedata.is_normalized("NFC", text)
+            and not any(a in lower for a in self._added)
+        ):
+            found = self._bare.encode_batch_fast([lower], add_special_tokens=False)
+            return np.array(found[0].ids, np.uint32)
+        return self._whole([text])[0]
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, the end id last; None counts as empty."""
         end = np.array([END_ID], np.uint32)
@@ -166,10 +184,14 @@ def _words(text: str | None) -> list[str]:
 
 
 def _drops_white_space(path: str) -> bool:
-    """Whether the vocabulary's pieces never contain white space, nor depend on it."""
+    """Whether the vocabulary's pieces never contain white space, nor depend on it, and texts are
+    only composed, freed of white space and lower-cased before."""
     with open(path, encoding="utf-8") as file:
         description = json.load(file)
     steps = (description.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    normalizers = (description.get("normalizer") or {}).get("normalizers") or []
+    if [n["type"] for n in normalizers] != ["NFC", "Replace", "Lowercase"]:
+        return False
     return any(
         s.get("type") == "Split"
         and s.get("behavior") == "Removed"
