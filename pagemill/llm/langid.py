@@ -190,6 +190,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         lang = np.full(len(text), UNKNOWN, object)
         score = np.zeros(len(text))
+        store.give_back()
         rows = [i for i, t in enumerate(text) if t and any(map(str.isalpha, t))]
         if rows and m.languages:
             logs = m.scores([text.iloc[i] for i in rows])

@@ -150,6 +150,7 @@ def _nodes(documents: DataFrame, similarity: float, chunk_bytes: int) -> DataFra
                 _, shingle, *_ = _shingles(ch.Chunk(name))
                 distinct, count = np.unique(shingle, return_counts=True)
                 yield ch.sent(name, distinct, buckets, 4, documents=count.astype("<u4"))
+                store.give_back()
 
     def frequency(group: np.ndarray, documents: np.ndarray) -> np.ndarray:
         return np.bincount(group, weights=documents)[group].astype("<u4")
@@ -217,6 +218,7 @@ def _nodes(documents: DataFrame, similarity: float, chunk_bytes: int) -> DataFra
             out.loc[number, "shingles"] = pd.Series([hashes[c].tobytes() for c in cut], number)
             out.loc[number, "weights"] = pd.Series([w[c].tobytes() for c in cut], number)
             out.loc[number, "bands"] = pd.Series(list(key_), number)
+        store.give_back()
         return out
 
     names = chunks.select("chunk")

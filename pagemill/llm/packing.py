@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm import store
 from pagemill.llm.tokens import crc32, encoder, vocabulary_path
 
 SEQUENCE_TOKENS = 4096
@@ -106,6 +107,8 @@ def pack(
                     keys, ids, held = [], [], 0
         if keys:
             yield _packed(keys, ids, size, next_id)[0]
+        del keys, ids
+        store.give_back()
 
     # as text: pandas would turn a null beside integers into a float
     return (
