@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -235,22 +236,27 @@ def _similarities(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             f"text_id_{name}", name
         )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # on Arrow's own buffers: two vectors a row are too much to copy for a whole batch
         for batch in batches:
             values = []
-            for x in batch.itertuples(index=False):
-                ha, hb = (np.frombuffer(v, "<u8") for v in (x.shingles_a, x.shingles_b))
-                wa, wb = (np.frombuffer(v, "<f4") for v in (x.weights_a, x.weights_b))
+            weight_a, weight_b = (batch.column(f"weight_{s}").to_pylist() for s in "ab")
+
+            def vector(name: str, i: int, kind: str) -> np.ndarray:
+                return np.frombuffer(batch.column(name)[i].as_buffer(), kind)  # noqa: B023
+
+            for i in range(len(batch)):
+                ha, hb = (vector(f"shingles_{s}", i, "<u8") for s in "ab")
+                wa, wb = (vector(f"weights_{s}", i, "<f4") for s in "ab")
                 at = np.minimum(np.searchsorted(hb, ha), len(hb) - 1)
                 both = hb[at] == ha
                 least = float(np.minimum(wa[both], wb[at[both]]).sum(dtype=np.float64))
-                values.append(least / (x.weight_a + x.weight_b - least))
-            out = batch[["a", "b"]].copy()
-            out["similarity"] = values
-            yield out
+                values.append(least / (weight_a[i] + weight_b[i] - least))
+            columns = [batch.column("a"), batch.column("b"), pa.array(values, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "similarity"])
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.mapInPandas(run, "a binary, b binary, similarity double")
+    return joined.mapInArrow(run, "a binary, b binary, similarity double")
 
 
 def _links(nodes: DataFrame, similarity: float) -> DataFrame:
