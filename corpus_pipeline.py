@@ -42,7 +42,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences."""
+    """Pieces of documents in sequences, with their token ids."""
     return pack(docs)
 
 

@@ -7,6 +7,9 @@ the lowest-cost sequence with room for them. What fits nowhere whole fills the
 lowest-cost sequences that have room left, so no token is padding: a group of
 documents makes as many full sequences as its tokens allow, and the rest goes
 into sequences whose lengths are powers of two.
+
+Each piece carries its token ids, so the pieces of a sequence, in the order of
+their offsets, are that sequence.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm import store
-from pagemill.llm.tokens import crc32, encoder, vocabulary_path
+from pagemill.llm.tokens import encoder, vocabulary_path
 
 SEQUENCE_TOKENS = 4096
 LINEAR = 1.0  # cost of a token outside attention
@@ -27,8 +30,8 @@ QUADRATIC = 1.0 / SEQUENCE_TOKENS  # cost of a pair of tokens of one piece
 GROUP_TOKENS = 1 << 20  # tokens packed together: 256 full sequences
 
 SCHEMA = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
-    "offset long, piece_cost double"
+    "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
+    "piece_cost double, ids binary"
 )
 
 
@@ -77,7 +80,10 @@ def pack(
     group_tokens: int = GROUP_TOKENS,
 ) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
-    piece_cost.
+    piece_cost, ids.
+
+    `ids` are the token ids of the piece, as little-endian unsigned 32-bit integers;
+    `ids_crc32` is the CRC-32 of that column.
 
     Documents are packed with those beside them in the scan, in groups of about
     `group_tokens`, so nothing is shuffled and a task holds one group, whatever
@@ -114,8 +120,17 @@ def pack(
     return (
         documents.select(F.col("doc_id").cast("string").alias("doc_key"), "text")
         .mapInPandas(run, SCHEMA.replace("doc_id long", "doc_key string"))
-        .withColumn("doc_id", F.col("doc_key").cast("long"))
-        .select(*[c.split()[0] for c in SCHEMA.split(", ")])
+        .select(
+            F.col("doc_key").cast("long").alias("doc_id"),
+            "start",
+            "length",
+            F.crc32("ids").alias("ids_crc32"),
+            "doc_tokens",
+            "sequence_id",
+            "offset",
+            "piece_cost",
+            "ids",
+        )
     )
 
 
@@ -126,19 +141,18 @@ def _packed(keys: list, ids: list[np.ndarray], size: int, first: int) -> tuple[p
             keys[d],
             start,
             length,
-            crc32(ids[d][start : start + length]),
             len(ids[d]),
             first + sequence,
             offset,
             piece_cost(length),
+            np.ascontiguousarray(ids[d][start : start + length], "<u4").tobytes(),
         )
         for d, start, length, sequence, offset in pieces
     ]
     frame = pd.DataFrame(
         rows,
         columns=[
-            "doc_key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
-            "piece_cost",
+            "doc_key", "start", "length", "doc_tokens", "sequence_id", "offset", "piece_cost", "ids",
         ],
     )
     return frame, 1 + max(p[3] for p in pieces)

@@ -25,7 +25,8 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return pack(_table(spark, sf, "documents"))
+    pieces = pack(_table(spark, sf, "documents"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op2_warc_zstd(spark: SparkSession, sf: str) -> DataFrame:

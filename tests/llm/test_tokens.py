@@ -91,6 +91,20 @@ def test_pack(spark, documents, plain):
     assert packing.pack(documents([])).count() == 0
 
 
+def test_packed_sequences_hold_their_tokens(spark, documents, plain):
+    rows = list(enumerate(TEXTS))
+    found = packing.pack(documents(rows), group_tokens=4000).collect()
+    docs, sequences = {}, {}
+    for r in sorted(found, key=lambda r: r.offset):
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert len(ids) == r.length
+        assert len(sequences.setdefault(r.sequence_id, [])) == r.offset
+        sequences[r.sequence_id] += ids
+        docs.setdefault(r.doc_id, {})[r.start] = ids
+    whole = {k: [i for at in sorted(parts) for i in parts[at]] for k, parts in docs.items()}
+    assert whole == {k: plain(t) for k, t in rows}
+
+
 def test_wavelet_lookups():
     ids = np.random.default_rng(3).zipf(1.4, 70_000).astype(np.uint32) % 49_000
     data = encode(ids, np.zeros((1, 4), "<i8"))
