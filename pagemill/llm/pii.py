@@ -32,7 +32,6 @@ SECRET = (
     r"[^\s\"']{6,}+"
 )
 ACCESS_KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
 SSN = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
 DATE = (
     r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|"
@@ -44,7 +43,29 @@ PHONE = (
     r"(?!\w)"
 )
 FOREIGN_PHONE = r"(?<![\w+])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5}(?!\w)"
-CARD = r"(?<![\w-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"
+# account and card numbers: the whole run of groups is one match, in which _numbers() looks for
+# those that are valid; it ends before a group at which a stricter form begins
+STRICT = "|".join([EMAIL, SECRET, ACCESS_KEY, SSN, DATE, ADDRESS, PHONE])
+IBAN = (
+    r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11})[A-Z0-9]++(?![a-z])"
+    rf"(?:(?![ ](?:{STRICT}))[ -][A-Z0-9]++(?![a-z]))*+"
+)
+CARD = (
+    r"(?<![\w-])(?=(?:[0-9][ -]?){12}[0-9])[0-9]++(?!\w|-(?![0-9]))"
+    rf"(?:(?![ ](?:{STRICT}))[ -][0-9]++(?!\w|-(?![0-9])))*+"
+)
+# usual layouts of card numbers; others count where none of these is valid
+CARD_LAYOUT = (
+    r"^(?:[0-9]+|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
+)
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+MOST_GROUPS = 34  # of one number
 
 # in this order: a longer or stricter form before one that could match a part of it
 PATTERN = "|".join([EMAIL, SECRET, ACCESS_KEY, IBAN, SSN, DATE, ADDRESS, PHONE, FOREIGN_PHONE, CARD])
@@ -139,9 +160,17 @@ def _card(m: Column, key: str) -> Column:
             ),
         )
 
+    return _refilled(m, _let(_digits(m), permuted))
+
+
+def _is_card(m: Column) -> Column:
     d = _digits(m)
-    fine = (_luhn_sum(d) % 10 == 0) & ~d.rlike("^0+$")
-    return F.when(fine, _refilled(m, _let(d, permuted))).otherwise(m)
+    return (
+        m.rlike("^[0-9 -]+$")
+        & F.length(d).between(13, 19)
+        & ~d.rlike("^0+$")
+        & (_luhn_sum(d) % 10 == 0)
+    )
 
 
 def _remainder(text: Column) -> Column:
@@ -159,7 +188,6 @@ def _remainder(text: Column) -> Column:
 def _iban(m: Column, key: str) -> Column:
     plain = F.regexp_replace(m, " ", "")
     country, body = plain.substr(1, 2), F.substring(plain, 5, 64)
-    fine = _remainder(F.concat(body, plain.substr(1, 4))) == 1
 
     def permuted(d: Column) -> Column:
         # the digits of the body; letters stay
@@ -173,7 +201,83 @@ def _iban(m: Column, key: str) -> Column:
             ),
         )
 
-    return F.when(fine, _refilled(m, _let(_digits(body), permuted))).otherwise(m)
+    return _refilled(m, _let(_digits(body), permuted))
+
+
+def _is_iban(m: Column) -> Column:
+    """Of its country's length, if the country is known, and with the right remainder."""
+    plain = F.regexp_replace(m, " ", "")
+    country = plain.substr(1, 2)
+    known = F.lit(None).cast("int")
+    for n, countries in IBAN_LENGTHS.items():
+        known = F.when(country.isin(countries.split()), n).otherwise(known)
+    return (
+        m.rlike("^[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}$")
+        & (F.length(plain) == F.coalesce(known, F.length(plain)))
+        & (_remainder(F.concat(F.substring(plain, 5, 64), plain.substr(1, 4))) == 1)
+    )
+
+
+def _numbers(m: Column, key: str) -> Column:
+    """A run of groups with its valid account and card numbers replaced, from the left.
+
+    Of those that begin with one group, the usual layouts come first, then the longest. A card
+    number of another layout gives way to a usual one that begins inside it.
+    """
+
+    def piece(groups: Column, i: Column, n: Column) -> Column:
+        return F.regexp_replace(F.array_join(F.slice(groups, i, n), ""), "[ -]$", "")
+
+    def rank(p: Column) -> Column:
+        usual = F.when(p.rlike(CARD_LAYOUT), 2).otherwise(1)
+        return F.when(_is_iban(p), 2).when(_is_card(p), usual).otherwise(0)
+
+    def best(groups: Column, i: Column) -> Column:
+        most = F.least(F.lit(MOST_GROUPS), F.size(groups) - i + 1)
+        return F.array_max(
+            F.transform(
+                F.sequence(F.lit(1), most),
+                lambda n: F.struct(_let(piece(groups, i, n), rank).alias("rank"), n.alias("n")),
+            )
+        )
+
+    def joined(groups: Column, bests: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            b = F.element_at(bests, i)
+            inside = F.exists(F.slice(bests, i + 1, b.n - 1), lambda x: x["rank"] == 2)
+            take = (b["rank"] == 2) | ((b["rank"] == 1) & ~inside)
+            after = F.regexp_extract(F.element_at(groups, i + b.n - 1), "[ -]$", 0)
+            name = _let(
+                piece(groups, i, b.n),
+                lambda p: F.when(p.rlike("^[A-Z]"), _iban(p, key)).otherwise(_card(p, key)),
+            )
+            return F.when(i < s.next, s).otherwise(
+                F.when(
+                    take,
+                    F.struct(
+                        F.array_append(s.out, F.concat(name, after)).alias("out"),
+                        (i + b.n).alias("next"),
+                    ),
+                ).otherwise(
+                    F.struct(
+                        F.array_append(s.out, F.element_at(groups, i)).alias("out"),
+                        (i + 1).alias("next"),
+                    )
+                )
+            )
+
+        start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(1).alias("next"))
+        return F.aggregate(
+            F.sequence(F.lit(1), F.size(groups)), start, step, lambda s: F.array_join(s.out, "")
+        )
+
+    return _let(
+        F.regexp_extract_all(m, F.lit("[^ -]++[ -]?"), F.lit(0)),
+        lambda groups: _let(
+            F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: best(groups, i)),
+            lambda bests: joined(groups, bests),
+        ),
+    )
 
 
 def _part(m: Column, pattern: str, group: int) -> Column:
@@ -315,19 +419,21 @@ def _access_key(m: Column, key: str) -> Column:
 
 
 def pseudonym(m: Column, key: str = KEY) -> Column:
-    """The pseudonym of one match of PATTERN; a match that is not valid stays as it is."""
+    """The pseudonym of one match of PATTERN; a match that is not valid stays as it is.
+
+    Of a run of groups, the valid account and card numbers in it are replaced and the others stay.
+    """
     form = lambda pattern: m.rlike(f"^(?:{pattern})$")
     return (
         F.when(m.contains("@") & form(EMAIL), _email(m, key))
         .when(form(SECRET), _secret(m, key))
         .when(form(ACCESS_KEY), _access_key(m, key))
-        .when(form(IBAN), _iban(m, key))
         .when(form(SSN), _ssn(m, key))
         .when(form(DATE), _date(m, key))
         .when(form(ADDRESS), _address(m, key))
         .when(form(PHONE), _phone(m, key))
         .when(form(FOREIGN_PHONE), _foreign_phone(m, key))
-        .otherwise(_card(m, key))
+        .otherwise(_numbers(m, key))
     )
 
 

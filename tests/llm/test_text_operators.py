@@ -187,6 +187,27 @@ def test_what_is_not_valid_stays(spark):
     assert [r.text for r in rows] == texts and {r.found for r in rows} == {0}
 
 
+def test_numbers_beside_others(spark):
+    iban, spaced, card = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "4111 1111 1111 1111"
+    plain, norway = "4111111111111111", "NO9386011117947"
+    cases = [
+        (iban, "{} BIC COBADEFFXXX"), (spaced, "{} EUR 100"), (spaced, "{} 00 2024"), (spaced, "{} EURo"),
+        (card, "{} 12/27"), (card, "{} 123"), (plain, "2 {}"), (card, "2025 {}"), (card, "{} 12abc"),
+        (card, "{} 2"), (card, "DE89 99 3704 0044 {}"), (card, "AB12 3456 7890 123 {} X"),
+        (spaced, "NL12 {}"), (plain, "7 8 {} 9 10 11 12 13 14"),
+    ]
+    alone = replaced(spark, [v for v, _ in cases])
+    rows = replaced(spark, [f"pay {shape.format(v)} now" for v, shape in cases])
+    for (v, shape), one, r in zip(cases, alone, rows):
+        assert one.text != v
+        assert r.text == f"pay {shape.format(one.text)} now"
+    # several in one run, and stricter forms after a run
+    parts = [norway, norway, iban, spaced, card, plain, "10.1.2.3", "123-45-6789", "2001-02-28", "555-123-4567"]
+    names = [r.text for r in replaced(spark, parts)]
+    assert not set(names) & set(parts)
+    assert replaced(spark, [" ".join(parts)])[0].text == " ".join(names)
+
+
 def test_equal_values_stay_linked(spark):
     mail, card = "bo.bt@mail8.example.com", "4041894974608795"
     long = "word " * 100_000 + mail + " end" + "x" * 100_000
