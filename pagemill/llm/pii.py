@@ -9,6 +9,12 @@ domain is a product a * b; each round adds a keyed function of one half to the o
 modulo its size, so no value leaves the domain. E-mail addresses and secrets,
 which are no numbers, get keyed digests in their form.
 
+Left out: telephone numbers without a plus, other than three, three and four digits
+with separators; a trunk zero in brackets, as in +44 (0)20; extensions; dates with the
+name of the month, with two digits of the year, of the form dd-MM-yyyy or yyyyMMdd, or before 1900
+or after 2099. A plus before 8 to 15 digits is taken for a telephone number, also where
+it is the sign of a number, and takes in groups of digits that follow, up to 15 in all.
+
 Everything is a column expression: a pattern cuts the text into what lies
 between matches and the matches, which are replaced and put back.
 """
@@ -34,15 +40,18 @@ SECRET = (
 ACCESS_KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
 SSN = r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"
 DATE = (
-    r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|"
-    r"[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![\w/-])"
+    r"(?<![\w./-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|"
+    r"[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?:(?=T[0-9])|(?![\w/-]))"
 )
 ADDRESS = r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\w|\.[0-9])"
 PHONE = (
     r"(?<![\w(])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
     r"(?!\w)"
 )
-FOREIGN_PHONE = r"(?<![\w+])\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5}(?!\w)"
+FOREIGN_PHONE = r"(?<![\w+])\+[0-9](?:[ .-]?[0-9]){7,14}(?!\w)"
+COUNTRY_CODE = (
+    "^[+](?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+)
 # account and card numbers: the whole run of groups is one match, in which _numbers() looks for
 # those that are valid; it ends before a group at which a stricter form begins
 STRICT = "|".join([EMAIL, SECRET, ACCESS_KEY, SSN, DATE, ADDRESS, PHONE])
@@ -357,11 +366,18 @@ def _phone(m: Column, key: str) -> Column:
 
 def _foreign_phone(m: Column, key: str) -> Column:
     """The digits after the country's code are permuted among numbers of their length."""
-    code = F.regexp_extract(m, "^[+][0-9]{1,3}", 0)
-    rest = F.substring(m, F.length(code) + 1, F.length(m))
-    moved = _permuted_digits(_digits(rest), "foreign phone", key)
-    fine = F.length(_digits(m)).between(8, 15)
-    return F.when(fine, F.concat(code, _refilled(rest, moved))).otherwise(m)
+    digits = F.concat(F.lit("+"), _digits(m))
+    code = F.regexp_extract(digits, COUNTRY_CODE, 0)
+    rest = F.substring(digits, F.length(code) + 1, F.length(digits))
+    moved = _permuted_digits(rest, "foreign phone", key)
+    fine = F.length(_digits(m)).between(8, 15) & (code != "")
+    return F.when(fine, _refilled(m, F.concat(F.substring(code, 2, 3), moved))).otherwise(m)
+
+
+def _any_phone(m: Column, key: str) -> Column:
+    """Numbers of the North American plan are the same with and without +1 and separators."""
+    foreign = m.startswith("+") & ~(m.startswith("+1") & (F.length(_digits(m)) == 11))
+    return F.when(foreign, _foreign_phone(m, key)).otherwise(_phone(m, key))
 
 
 # days from 1900-01-01 to 2099-12-31: 73049 = 319 * 229
@@ -369,30 +385,39 @@ _FIRST_DAY, _LAST_DAY, _DAYS_A, _DAYS_B = "1900-01-01", "2099-12-31", 319, 229
 
 
 def _date(m: Column, key: str) -> Column:
+    """The day is permuted, whatever its layout, so the same day is the same in each."""
     layouts = [
-        ("^[0-9]{4}-", "yyyy-MM-dd"),
-        ("^[0-9]{2}[.]", "dd.MM.yyyy"),
-        ("^[0-9]{2}/", "MM/dd/yyyy"),
-        ("^[0-9]{2}/", "dd/MM/yyyy"),
+        ("^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"),
+        ("^[0-9]{4}-", "yyyy-M-d"),
+        ("^[0-9]{4}/[0-9]{2}/[0-9]{2}$", "yyyy/MM/dd"),
+        ("^[0-9]{4}/", "yyyy/M/d"),
+        ("^[0-9]{2}[.][0-9]{2}[.]", "dd.MM.yyyy"),
+        ("^[0-9]{1,2}[.]", "d.M.yyyy"),
+        ("^[0-9]{2}/[0-9]{2}/", "MM/dd/yyyy"),
+        ("^[0-9]{2}/[0-9]{2}/", "dd/MM/yyyy"),
+        ("^[0-9]{1,2}/", "M/d/yyyy"),
+        ("^[0-9]{1,2}/", "d/M/yyyy"),
     ]
-    out = m
-    for shape, layout in reversed(layouts):
-        day = F.try_to_timestamp(m, F.lit(layout)).cast("date")
-        n = F.datediff(day, F.lit(_FIRST_DAY).cast("date"))
+    first = F.lit(_FIRST_DAY).cast("date")
+
+    def read(shape: str, layout: str) -> Column:
+        day = F.when(m.rlike(shape), F.try_to_timestamp(m, F.lit(layout)).cast("date"))
+        fine = day.between(first, F.lit(_LAST_DAY).cast("date"))
+        return F.when(fine, F.struct(F.datediff(day, first).alias("n"), F.lit(layout).alias("layout")))
+
+    def moved(found: Column) -> Column:
         pair = feistel(
-            F.floor(n / _DAYS_B), n % _DAYS_B, F.lit(_DAYS_A), F.lit(_DAYS_B), "date", key
+            F.floor(found.n / _DAYS_B), found.n % _DAYS_B, F.lit(_DAYS_A), F.lit(_DAYS_B), "date", key
         )
-        moved = _let(
+        return _let(
             pair,
-            lambda s: F.date_format(
-                F.date_add(F.lit(_FIRST_DAY).cast("date"), (s.l * _DAYS_B + s.r).cast("int")), layout  # noqa: B023
+            lambda s: F.call_function(
+                "date_format", F.date_add(first, (s.l * _DAYS_B + s.r).cast("int")), found.layout
             ),
         )
-        fine = m.rlike(shape) & day.between(
-            F.lit(_FIRST_DAY).cast("date"), F.lit(_LAST_DAY).cast("date")
-        )
-        out = F.when(fine, moved).otherwise(out)
-    return out
+
+    found = F.coalesce(*[read(*x) for x in layouts])
+    return _let(found, lambda f: F.when(f.isNull(), m).otherwise(moved(f)))
 
 
 def _email(m: Column, key: str) -> Column:
@@ -431,8 +456,7 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
         .when(form(SSN), _ssn(m, key))
         .when(form(DATE), _date(m, key))
         .when(form(ADDRESS), _address(m, key))
-        .when(form(PHONE), _phone(m, key))
-        .when(form(FOREIGN_PHONE), _foreign_phone(m, key))
+        .when(form(PHONE) | form(FOREIGN_PHONE), _any_phone(m, key))
         .otherwise(_numbers(m, key))
     )
 

@@ -208,6 +208,28 @@ def test_numbers_beside_others(spark):
     assert replaced(spark, [" ".join(parts)])[0].text == " ".join(names)
 
 
+def test_telephone_and_date_forms(spark):
+    values = [
+        "+14155552671", "+1 415-555-2671", "415-555-2671", "+442079460958", "+44 20 7946 0958",
+        "+33 1 23 45 67 89", "+33123456789", "+49 30 12345678", "+44 207 946 0958",
+        "2024-05-17", "2024-05-17T12:00:00Z", "2024/05/17", "05/17/2024", "5/17/2024", "17.5.2024", "5/7/2024",
+        "2024-5-17",
+    ]
+    new = [r.text.removeprefix("at ").removesuffix(" it") for r in replaced(spark, [f"at {v} it" for v in values])]
+    assert all(a != b for a, b in zip(values, new))
+    digits = [re.sub("[^0-9]", "", t) for t in new]
+    assert digits[0] == digits[1] == "1" + digits[2]
+    assert digits[3] == digits[4] == digits[8] and digits[5] == digits[6]
+    assert [re.sub("[0-9]", "9", t) for t in new[:9]] == [re.sub("[0-9]", "9", t) for t in values[:9]]
+    day = new[9]
+    assert new[10] == f"{day}T12:00:00Z" and new[11] == day.replace("-", "/")
+    year, month, of_month = map(int, day.split("-"))
+    assert new[12] == f"{month:02}/{of_month:02}/{year}" and new[13] == f"{month}/{of_month}/{year}"
+    assert new[14] == f"{of_month}.{month}.{year}" and new[16] == f"{year}-{month}-{of_month}"
+    odd = ["2024-05-17Th", "2024-13-17", "+1234567", "+1234567890123456", "1/2/3/2024", "30/2/2024"]
+    assert [r.text for r in replaced(spark, odd)] == odd
+
+
 def test_equal_values_stay_linked(spark):
     mail, card = "bo.bt@mail8.example.com", "4041894974608795"
     long = "word " * 100_000 + mail + " end" + "x" * 100_000
