@@ -55,7 +55,8 @@ STAGES: list[tuple[str, Stage]] = [
 ]
 
 # language models, sampled signatures and tokens are not expressible in SQL:
-# tests/llm/test_pipeline.py compares the stages with brute-force versions
+# tests/llm/test_queries.py checks given ids and columns of each stage on small documents, and
+# the tests of the operators check them one by one; no brute-force version of run() exists
 ORACLE_SQL: str | None = None
 
 
