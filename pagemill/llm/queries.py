@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm import langid, store, warc_zstd
+from pagemill.llm.lexical import rank_documents
+from pagemill.llm.line_dedup import remove_shared_lines
 from pagemill.llm.lsh_search import lsh_top_k
 from pagemill.llm.mixing import mix
 from pagemill.llm.near_dup import near_duplicates
 from pagemill.llm.packing import pack
+from pagemill.llm.periodic import periodic_runs
 from pagemill.llm.pii import pseudonymised
 from pagemill.llm.pivot_search import pivot_top_k
 from pagemill.llm.substring import remove_repeats
@@ -79,6 +82,55 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return read_shards(write_shards(_table(spark, sf, "documents"), store.folder(spark, "tokens")))
 
 
+def op11_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return rank_documents(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def op12_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = remove_shared_lines(_table(spark, sf, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+def _with_repeats(documents: DataFrame) -> DataFrame:
+    """doc_id, text; a tenth of the documents, by a hash of the id, repeats some of its own words."""
+    words = F.regexp_extract_all("text", F.lit("([^ \\t-\\r]+)"), F.lit(1))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = documents.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    # of the n words those from a on repeat the p words at a
+    rows = rows.withColumn("n", F.size("words")).withColumn("g", F.expr("h div 10"))
+    rows = rows.withColumn("a", F.expr("IF(n > 0, g % n, 0)"))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    repeated = F.expr(
+        "array_join(concat(slice(words, 1, CAST(a AS INT)), slice(flatten(array_repeat("
+        "slice(words, CAST(a + 1 AS INT), CAST(p AS INT)), CAST((n - a) div p + 1 AS INT))), "
+        "1, CAST(n - a AS INT))), ' ')"
+    )
+    return rows.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic_runs(_with_repeats(_table(spark, sf, "documents")))
+    longest = F.expr(
+        "aggregate(runs, CAST(NULL AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>), (b, r) -> "
+        "IF(b IS NULL OR r.length * b.period > b.length * r.period, r, b))"
+    )
+    listed = F.expr(
+        "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    )
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -92,6 +144,9 @@ QUERIES: dict[str, Query] = {
         op8_pseudonyms,
         op9_near_duplicates,
         op10_token_files,
+        op11_lexical_search,
+        op12_line_dedup,
+        op13_periodic_runs,
     )
 }
 
@@ -161,4 +216,108 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
+    "op11_lexical_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+            FROM documents
+        ), i AS (
+            SELECT row_number() OVER () AS i, item_id, list_distinct(regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+            FROM benchmark
+        ), c AS (
+            SELECT count(*) AS n, CAST(sum(len(t)) AS BIGINT) AS l FROM d WHERE len(t) > 0
+        ), it AS (SELECT i, item_id, unnest(t) AS term FROM i
+        ), dt AS (
+            SELECT d, doc_id, len(t) AS n, unnest(t) AS term FROM d
+        ), tf AS (
+            SELECT d, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+            FROM dt WHERE term IN (SELECT term FROM it) GROUP BY d, term
+        ), w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * c.n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+            FROM tf, c GROUP BY term, c.n
+        ), s AS (
+            SELECT i, any_value(item_id) AS item_id, d, any_value(doc_id) AS doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * tf.n * c.n) // c.l)))) AS BIGINT)
+                       AS score
+            FROM it JOIN tf USING (term) JOIN w USING (term), c GROUP BY i, d
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (
+                PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank
+            FROM s WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+    """,
+    "op12_line_dedup": r"""
+        WITH l AS MATERIALIZED (
+            SELECT d, doc_id, line, i, translate(regexp_replace(line, '^[ \t-\r]+|[ \t-\r]+$', '', 'g'),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+            FROM (SELECT d, doc_id, unnest(t) AS line, unnest(range(len(t))) AS i
+                  FROM (SELECT row_number() OVER () AS d, doc_id,
+                               string_split(coalesce(text, ''), chr(10)) AS t FROM documents))
+        ), often AS (
+            SELECT k, max(doc_id) AS last FROM l WHERE length(k) >= 40
+            GROUP BY k HAVING count(DISTINCT d) >= 5
+        ), m AS (
+            SELECT d, doc_id, line, i,
+                   often.k IS NOT NULL AND doc_id IS DISTINCT FROM last AS dropped
+            FROM l LEFT JOIN often USING (k)
+        )
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count_if(dropped)::BIGINT AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), ''))
+                   AS kept_sha256
+        FROM m GROUP BY d
+    """,
+    # equal words at a distance q, in a row: all stretches with period q; the smallest q is the run's
+    "op13_periodic_runs": r"""
+        WITH t AS (
+            SELECT row_number() OVER () AS d, doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS ws,
+                   xor(list_reduce(
+                       list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                       lambda c, x: list_reduce(
+                           [0, 0, 0, 0, 0, 0, 0, 0], lambda v, i: xor(v >> 1, 3988292384 * (v & 1)), xor(c, x)),
+                       4294967295), 4294967295) AS h
+            FROM documents
+        ), u AS (
+            SELECT *, len(ws) AS n, h // 10 AS g FROM t
+        ), v AS (
+            SELECT *, h % 10 = 0 AND n > 0 AS changed, g % greatest(n, 1) AS a FROM u
+        ), y AS (
+            SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM v
+        ), w AS MATERIALIZED (
+            SELECT d, n, unnest(range(n)) AS i, unnest(list_transform(range(n), lambda i:
+                       ws[1 + CASE WHEN changed AND i >= a THEN a + (i - a) % p ELSE i END])) AS word
+            FROM y
+        ), e AS (
+            SELECT x.d, z.i - x.i AS q, x.i
+            FROM w x JOIN w z ON x.d = z.d AND x.word = z.word AND z.i > x.i AND z.i - x.i <= x.n // 4
+        ), stretches AS (
+            SELECT d, q, min(i) AS s, count(*) + q AS len
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY d, q ORDER BY i) AS island FROM e)
+            GROUP BY d, q, island HAVING count(*) + q >= greatest(6, 4 * q)
+        ), runs AS MATERIALIZED (
+            SELECT d, s, len, min(q) AS q FROM stretches GROUP BY d, s, len
+        ), best AS (
+            SELECT d, s, len, q FROM (
+                SELECT *, row_number() OVER (PARTITION BY d ORDER BY len::DOUBLE / q DESC, s, q) AS k FROM runs)
+            WHERE k = 1
+        ), listed AS (
+            SELECT d, count(*) AS n_runs,
+                   string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS all_runs
+            FROM runs GROUP BY d
+        ), kept AS (
+            SELECT d, string_agg(word, ' ' ORDER BY i) AS text FROM w
+            WHERE NOT EXISTS (
+                SELECT 1 FROM runs r WHERE r.d = w.d AND w.i >= r.s + r.q AND w.i < r.s + r.len)
+            GROUP BY d
+        )
+        SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, len AS length, q AS period,
+               CAST((1000 * len) // q AS BIGINT) AS exponent_milli,
+               sha256(coalesce(all_runs, '')) AS runs_sha256,
+               sha256(coalesce(kept.text, '')) AS collapsed_sha256
+        FROM t LEFT JOIN listed USING (d) LEFT JOIN best USING (d) LEFT JOIN kept USING (d)
+    """,
 }

@@ -13,7 +13,7 @@ def documents(spark):
         if extra:
             for name in (
                 "score", "lang_pred", "scored", "copies", "size", "text_hash", "kept_id", "start",
-                "mix_copies", "pii_found", "v", "key", "copy", "doc_key", "bucket", "a",
+                "mix_copies", "pii_found", "v", "key", "copy", "doc_key", "bucket", "a", "chunk", "runs", "h1",
             ):
                 frame = frame.withColumn(name, F.lit("x"))
         return frame

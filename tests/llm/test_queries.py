@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {n[: n.index("_") + 1] for n in llm.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {n[: n.index("_") + 1] for n in llm.QUERIES}
     assert set(llm.QUERIES) | {"pipeline"} <= names.keys()
     assert llm.ORACLE_SQL.keys() <= entry.oracle_sql().keys()
 
