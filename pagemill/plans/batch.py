@@ -32,6 +32,9 @@ LEDGER_DDL = (
     "removed_bytes BIGINT, at TIMESTAMP, attempt STRING, batch STRING"
 )
 FETCH_LOG_DDL = FETCH_DDL + ", at TIMESTAMP, batch STRING"
+FAILURES_DDL = "basename STRING, reason STRING, at TIMESTAMP, batch STRING"
+FAILED_COPIES = ("head_failed", "failed")
+NOT_TAKEN = ("size_zero", "no_capacity")
 FILES_PER_TASK = 4  # archives that a task copies: what a lost task costs
 _STAGED_COLUMNS = (
     "path", "basename", "rec_offset", "rec_number", "at", "next_offset", "kind", "error", "payload",
@@ -63,6 +66,11 @@ class Layout:
     def fetch_log(self) -> str:
         return self.folder("fetch_log")
 
+    @property
+    def failures(self) -> str:
+        """Archives that could not be cleaned; copies that failed are in the fetch log."""
+        return self.folder("failures")
+
     def staging(self, spark: SparkSession, run: str) -> str:
         """Intermediate tables of a run; the next batch of the run replaces them."""
         shared = shared_dir(spark)
@@ -257,6 +265,11 @@ def run_batch(
         F.coalesce(F.sum(F.when(fine, F.col("output_bytes"))), zero).alias("text_bytes"),
         F.count_if(~fine).alias("errors"),
     ).first().asDict()
+    if counted["errors"]:
+        why = staged.where(bad).groupBy("basename").agg(F.min("error").alias("reason"))
+        unread = F.coalesce("reason", F.lit("a page could not be extracted"))
+        rows = failed.join(why, "basename", "left").select("basename", unread.alias("reason"), at.alias("at"))
+        _append_batch(rows, layout.failures, batch)
     output = f"{layout.corpus}/batch={batch}/attempt={attempt}"
     if counted["records"]:
         corpus_ops.write_corpus(clean, output, span, counted["text_bytes"], mode="static")

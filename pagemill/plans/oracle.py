@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pagemill.constants import RECORD_SEPARATOR
-from pagemill.plans.queries import CORES_PER_NODE, CORPUS_SPAN, ROUTE_TAGS, ROWS_PER_ARCHIVE
+from pagemill.plans.queries import CORES_PER_NODE, CORPUS_SPAN, RETRY_NOW, ROUTE_TAGS, ROWS_PER_ARCHIVE
 
 SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 SEP = "'" + RECORD_SEPARATOR.replace("\n", "' || chr(10) || '") + "'"
@@ -266,6 +266,27 @@ def oracle() -> dict[str, str]:
         "clean_run_nothing_kept": f"SELECT DISTINCT {ARCHIVE} AS basename, CAST(0 AS BIGINT) AS kept_records FROM pages",
         "extract_deep": f"WITH {PAGE_TEXT} SELECT page_id, text FROM page_text",
         "stream_clean": CLEAN_VALUES,
+        "stream_retry": CLEAN_VALUES,
+        "stream_set_apart": f"""SELECT DISTINCT {ARCHIVE} AS basename,
+            CAST(CASE WHEN page_id % 8 % 3 > 0 THEN 2 ELSE 0 END AS BIGINT) AS attempts,
+            page_id % 8 % 3 > 0 AS set_apart FROM pages""",
+        "retry_state": f"""
+            WITH f AS (
+                SELECT 'file-' || user_id AS basename, event_type, ts FROM events
+                WHERE event_type IN ('error', 'view')
+            ), s AS (
+                SELECT basename, count_if(event_type = 'error')::BIGINT AS attempts,
+                       max({{'at': ts, 'reason': event_type}}) AS last
+                FROM f GROUP BY basename
+            ), d AS (
+                SELECT *, last.at + to_seconds(CAST(least(3600, 60 * pow(2, greatest(attempts - 1, 0))) AS INT))
+                           AS next_due
+                FROM s
+            )
+            SELECT basename, attempts, last.reason AS reason, CAST(floor(epoch(last.at)) AS BIGINT) AS last_at,
+                   CAST(floor(epoch(next_due)) AS BIGINT) AS next_due, attempts >= 12 AS set_apart,
+                   attempts < 12 AND next_due <= TIMESTAMP '{RETRY_NOW}' AS due
+            FROM d""",
         "active_workers": ACTIVE + " ORDER BY worker",
         "stream_active_workers": ACTIVE,
     }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagemill.constants import RECORD_SEPARATOR
 from pagemill.functions import text as fn
-from pagemill.operators import activity, corpus, ledger, manifest
+from pagemill.operators import activity, corpus, ledger, manifest, retries
 from pagemill.operators.records import clean_pages, extract_pages, html_records
 from pagemill.plans.batch import (
     FETCH_LOG_DDL,
@@ -22,10 +22,11 @@ from pagemill.plans.batch import (
     run_batch,
     run_fetch,
 )
+from pagemill.plans.retry import retry_table
 from pagemill.plans.run import run_to_end
 from pagemill.session import scratch_dir, spread
 from pagemill.sources import state_json
-from pagemill.sources.archive_fixture import write_archives
+from pagemill.sources.archive_fixture import copy_archives, write_archives
 from pagemill.sources.warc import (
     archive_listing,
     broken_splits,
@@ -41,6 +42,7 @@ ROWS_PER_ARCHIVE = 5000  # rows of one bucket that go into one archive file
 QUERY_SPLIT = 64 * 1024  # bytes; so that the archives of small tables are split too
 CORPUS_SPAN = 100_000  # positions (pages) that share an output file
 EPOCH = "TIMESTAMP '2024-01-01 00:00:00'"
+RETRY_NOW = "2024-01-30 12:00:00"
 
 
 def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
@@ -563,6 +565,67 @@ def pipeline_run(spark, sf):
     return clean_corpus(spark, layout).select("basename", "value")
 
 
+RETRY_POLICY = retries.Retry(attempts=2)
+
+
+def _faulty_source(spark: SparkSession, sf: str) -> tuple[DataFrame, str, Layout]:
+    """Archives, what goes wrong with each (0: nothing, 1: cut off, 2: absent), a manifest of all."""
+    good = archive_listing(spark, _archives(spark, sf)).select("path", "basename")
+    bucket = F.regexp_extract("basename", "part-([0-9])", 1).cast("int")
+    layout = Layout(scratch_dir(spark, "run"))
+    good.select("basename").write.text(layout.folder("manifest"))
+    return good.withColumn("fault", bucket % 3), scratch_dir(spark, "source"), layout
+
+
+def stream_retry(spark, sf):
+    """Some archives come cut off and some are absent in the first run; the second finds them whole."""
+    archives, source, layout = _faulty_source(spark, sf)
+    copy_archives(archives.where("fault = 0"), source)
+    copy_archives(archives.where("fault = 1"), source, missing_bytes=40)
+    run_to_end(spark, layout.folder("manifest"), layout, f"{source}/", split_bytes=QUERY_SPLIT)
+    copy_archives(archives.where("fault > 0"), source)
+    run_to_end(spark, layout.folder("manifest"), layout, f"{source}/", split_bytes=QUERY_SPLIT)
+    return clean_corpus(spark, layout).select("basename", "value")
+
+
+def stream_set_apart(spark, sf):
+    """Archives that stay cut off or absent are tried twice in three runs, then set apart."""
+    archives, source, layout = _faulty_source(spark, sf)
+    copy_archives(archives.where("fault = 0"), source)
+    copy_archives(archives.where("fault = 1"), source, missing_bytes=40)
+    for _ in range(3):
+        run_to_end(spark, layout.folder("manifest"), layout, f"{source}/", policy=RETRY_POLICY)
+    apart = retry_table(spark, layout, RETRY_POLICY).select("basename", "attempts", "set_apart")
+    done = ledger_rows(spark, layout).select(
+        "basename", F.lit(0).cast("bigint").alias("attempts"), F.lit(False).alias("set_apart")
+    )
+    return apart.unionByName(done)
+
+
+def retry_state(spark, sf):
+    events = table(spark, sf, "events", "user_id", "event_type", "ts")
+    failures = events.where("event_type IN ('error', 'view')").select(
+        F.concat(F.lit("file-"), "user_id").alias("basename"),
+        F.col("event_type").alias("reason"),
+        (F.col("event_type") == "error").alias("counts"),
+        F.col("ts").alias("at"),
+    )
+    state = retries.failure_state(failures, retries.Retry(attempts=12))
+    now = F.lit(RETRY_NOW).cast("timestamp")
+    tried = retries.due(state, now, F.lit("2000-01-01").cast("timestamp")).select(
+        "basename", F.lit(True).alias("due")
+    )
+    return state.join(tried, "basename", "left").select(
+        "basename",
+        "attempts",
+        "reason",
+        F.unix_timestamp("last_at").alias("last_at"),
+        F.unix_timestamp("next_due").alias("next_due"),
+        "set_apart",
+        F.coalesce("due", F.lit(False)).alias("due"),
+    )
+
+
 def stream_clean(spark, sf):
     layout = Layout(scratch_dir(spark, "run"))
     _archives(spark, sf, layout.landing)
@@ -643,6 +706,9 @@ QUERIES: dict[str, Query] = {
     "counter_update": counter_update,
     "fetch_local": fetch_local,
     "stream_fetch": stream_fetch,
+    "stream_retry": stream_retry,
+    "stream_set_apart": stream_set_apart,
+    "retry_state": retry_state,
     "clean_run": clean_run,
     "stream_clean": stream_clean,
     "active_workers": active_workers,

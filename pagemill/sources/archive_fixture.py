@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.sources.files import open_output, rename
+from pagemill.sources.files import open_input, open_output, rename
 
 
 def warc_record(rec_type: str, uri: str, block: bytes, content_type: str | None) -> bytes:
@@ -68,3 +68,21 @@ def write_archives(rows: DataFrame, folder: str) -> None:
         .agg(F.sum("n"))
         .collect()
     )
+
+
+def copy_archives(archives: DataFrame, folder: str, missing_bytes: int = 0) -> None:
+    """archives(path, basename) -> files of these names in the folder, without their last bytes."""
+    folder = folder.rstrip("/")
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attempt = TaskContext.get().taskAttemptId()
+        for batch in batches:
+            for path, name in zip(*(c.to_pylist() for c in batch.columns)):
+                with open_input(path) as source:
+                    data = source.read()
+                with open_output(f"{folder}/.{name}.{attempt}") as sink:
+                    sink.write(data[: len(data) - missing_bytes])
+                rename(f"{folder}/.{name}.{attempt}", f"{folder}/{name}")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    archives.select("path", "basename").mapInArrow(copy, "n BIGINT").agg(F.sum("n")).collect()

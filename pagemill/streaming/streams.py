@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from pagemill.constants import BASE_URL, FILES_IN_FLIGHT, SAVE_INTERVAL_SECONDS
 from pagemill.operators.activity import active_workers
-from pagemill.operators.manifest import resolve_lines
+from pagemill.operators.manifest import read_manifest, resolve_lines
+from pagemill.operators.retries import Retry
 from pagemill.plans.batch import Layout, run_batch, run_fetch
+from pagemill.plans.retry import run_retries
 
 _FILE_COLUMNS = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
@@ -79,6 +84,45 @@ def clean_stream(
     return _start(files.writeStream.foreachBatch(each), layout.folder("checkpoints/clean"), drain)
 
 
+def retry_stream(
+    spark: SparkSession,
+    manifest_folder: str,
+    layout: Layout,
+    base_url: str = BASE_URL,
+    policy: Retry = Retry(),
+    started: datetime | None = None,
+    drain: bool = True,
+    fetch_options: dict | None = None,
+    **clean_options,
+) -> StreamingQuery:
+    """At every trigger, another attempt for the files that are due by then (see `run_retries`).
+
+    The source only ticks; what is pending is looked up when it does. So a file
+    comes again however often a stream has seen it, and also one that came late. What failed
+    before `started` (default: now) is due at once; drained, that is one attempt a call.
+    """
+    since = F.lit(started or datetime.now(timezone.utc))
+    ticks = (
+        spark.readStream.format("rate-micro-batch").option("rowsPerBatch", "1").option("numPartitions", "1")
+    ).load()
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        run_retries(
+            session,
+            read_manifest(session, manifest_folder, base_url),
+            layout,
+            since,
+            policy,
+            base_url,
+            **_names(session, batch_id),
+            fetch_options=fetch_options,
+            **clean_options,
+        )
+
+    return _start(ticks.writeStream.foreachBatch(each), layout.folder("checkpoints/retry"), drain)
+
+
 def active_worker_stream(
     messages: DataFrame, table: str, checkpoint: str, cores_per_node: int, drain: bool = True
 ) -> StreamingQuery:
