@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.constants import BASE_URL, MIN_TEXT_LENGTH, STATS_COUNTERS, STATS_NAMES, STATS_TIMES
@@ -33,8 +33,13 @@ LEDGER_DDL = (
 )
 FETCH_LOG_DDL = FETCH_DDL + ", at TIMESTAMP, batch STRING"
 FAILURES_DDL = "basename STRING, reason STRING, at TIMESTAMP, batch STRING"
+COUNTERS = (
+    "downloaded_bytes", "downloaded_files", "recopied_files", "removed_bytes", "cleaned_files", "records", "text_bytes", "failed_files",
+)
+COUNTERS_DDL = "".join(f"{c} BIGINT, " for c in COUNTERS) + "at TIMESTAMP, attempt STRING, batch STRING"
 FAILED_COPIES = ("head_failed", "failed")
 NOT_TAKEN = ("size_zero", "no_capacity")
+COPIES = "copies"  # the attempt under which a batch of copies counts
 FILES_PER_TASK = 4  # archives that a task copies: what a lost task costs
 _STAGED_COLUMNS = (
     "path", "basename", "rec_offset", "rec_number", "at", "next_offset", "kind", "error", "payload",
@@ -71,6 +76,11 @@ class Layout:
         """Archives that could not be cleaned; copies that failed are in the fetch log."""
         return self.folder("failures")
 
+    @property
+    def counters(self) -> str:
+        """A row a batch: what it did, taken from the plans while they ran."""
+        return self.folder("counters")
+
     def staging(self, spark: SparkSession, run: str) -> str:
         """Intermediate tables of a run; the next batch of the run replaces them."""
         shared = shared_dir(spark)
@@ -112,6 +122,19 @@ def ledger_rows(spark: SparkSession, layout: Layout) -> DataFrame:
     return rows.groupBy("basename").agg(first.alias("r")).select("basename", "r.*")
 
 
+def _fixed(spark: SparkSession, at: Column | None) -> Column:
+    """One point in time for all that a batch writes."""
+    at = F.current_timestamp() if at is None else at
+    return F.timestamp_micros(F.lit(spark.range(1).select(F.unix_micros(at)).first()[0]))
+
+
+def _counter_row(spark: SparkSession, attempt: str, at: Column, counters: dict[str, int]) -> DataFrame:
+    row = spark.createDataFrame(
+        [[counters.get(c) or 0 for c in COUNTERS]], ", ".join(f"{c} BIGINT" for c in COUNTERS)
+    )
+    return row.coalesce(1).withColumns({"at": at, "attempt": F.lit(attempt)})
+
+
 def _append(table: DataFrame, folder: str) -> None:
     """Add rows, which say their batch; those that are there stay."""
     table.write.mode("append").partitionBy("batch").parquet(folder)
@@ -160,7 +183,7 @@ def run_fetch(
     """
     batch = batch or uuid.uuid4().hex
     staging = layout.staging(spark, run or batch)
-    at = F.current_timestamp() if at is None else at
+    at = _fixed(spark, at)
     tasks = tasks or max(
         spark.sparkContext.defaultParallelism, manifest.count() // FILES_PER_TASK
     )
@@ -169,11 +192,18 @@ def run_fetch(
         .select("basename", F.lit(True).alias("cleaned"))
         .distinct()
     )
+    log = read_table(spark, layout.fetch_log, FETCH_LOG_DDL)
+    earlier = (
+        log.where((F.col("status") == "downloaded") & (F.col("batch") != batch))
+        .select("basename", F.lit(True).alias("again"))
+        .distinct()
+    )
     plan = (
         manifest_ops.one_path_per_basename(manifest)
         .withColumn("url", F.concat(F.lit(base_url), "rel_path"))
         .join(ledger, "basename", "left")
-        .select("basename", "url", "cleaned")
+        .join(earlier, "basename", "left")
+        .select("basename", "url", "cleaned", F.coalesce("again", F.lit(False)).alias("again"))
     )
     if listing is None:
         # sizes are asked for only where the ledger does not settle the matter
@@ -184,15 +214,31 @@ def run_fetch(
         "basename",
         "url",
         F.when(F.col("cleaned"), F.lit("skipped_cleaned")).otherwise(size_status).alias("status"),
+        "again",
     )
     plan = _materialize(plan, f"{staging}/wanted")
-    wanted = plan.where("status IS NULL")
+    wanted = plan.where("status IS NULL AND NOT again")
+    anew = plan.where("status IS NULL AND again")
     skipped = plan.where("status IS NOT NULL").selectExpr(
         "basename", "url", "CAST(NULL AS STRING) AS path", "CAST(NULL AS BIGINT) AS bytes",
         "status", "CAST(NULL AS STRING) AS error",
     )
-    outcome = fetch(wanted, layout.landing, tasks).unionByName(skipped)
+    counted = Observation("copies")
+    came = F.col("status") == "downloaded"
+    outcome = fetch(wanted, layout.landing, tasks).observe(
+        counted,
+        F.sum(F.when(came, F.col("bytes"))).alias("downloaded_bytes"),
+        F.count_if(came).alias("downloaded_files"),
+    )
+    outcome = outcome.unionByName(skipped)
+    counts = [counted]
+    if not anew.isEmpty():  # copied before: only the first copy of a file counts as a download
+        counts.append(Observation("more copies"))
+        more = fetch(anew, layout.landing, tasks)
+        outcome = outcome.unionByName(more.observe(counts[1], F.count_if(came).alias("recopied_files")))
     _append_batch(outcome.withColumn("at", at), layout.fetch_log, batch)
+    seen = {name: n for c in counts for name, n in c.get.items()}
+    _append_batch(_counter_row(spark, COPIES, at, seen), layout.counters, f"{COPIES}-{batch}")
     return read_table(spark, layout.fetch_log, FETCH_LOG_DDL).where(F.col("batch") == batch)
 
 
@@ -220,7 +266,7 @@ def run_batch(
     """
     batch = batch or uuid.uuid4().hex
     staging = layout.staging(spark, run or batch)
-    at = F.current_timestamp() if at is None else at
+    at = _fixed(spark, at)
     listed = (
         files.select(basename("path").alias("basename"), "path", "length")
         .groupBy("basename")
@@ -248,23 +294,31 @@ def run_batch(
 
     # one row per archive, summed on the map side: what it kept and what went wrong
     bad = (F.col("kind") == "error") | (F.coalesce("route", F.lit("")) == "error")
+    fine = F.col("errors") == 0
+    seen = Observation("archives")
     status = _materialize(
-        corpus_ops.file_metrics(todo, staged, F.col("kind") == "record", bad),
+        corpus_ops.file_metrics(todo, staged, F.col("kind") == "record", bad).observe(
+            seen,
+            F.sum(F.when(fine, F.col("kept_records"))).alias("records"),
+            F.sum(F.when(fine, F.col("output_bytes"))).alias("text_bytes"),
+            F.sum(F.when(fine, F.col("removed_bytes"))).alias("removed_bytes"),
+            F.count_if(fine).alias("cleaned_files"),
+            F.count_if(~fine).alias("failed_files"),
+        ),
         f"{staging}/status",
     )
+    metrics = {k: v or 0 for k, v in seen.get.items()}
     failed = status.where("errors > 0").select("basename")
     clean = (
         staged.where("kind = 'record'")
         .select("basename", "rec_offset", "rec_number", "at", "text")
         .join(failed, "basename", "left_anti")
     )
-    zero = F.lit(0).cast("bigint")
-    fine = F.col("errors") == 0
-    counted = status.agg(
-        F.coalesce(F.sum(F.when(fine, F.col("kept_records"))), zero).alias("records"),
-        F.coalesce(F.sum(F.when(fine, F.col("output_bytes"))), zero).alias("text_bytes"),
-        F.count_if(~fine).alias("errors"),
-    ).first().asDict()
+    counted = {
+        "records": metrics.get("records", 0),
+        "text_bytes": metrics.get("text_bytes", 0),
+        "errors": metrics.get("failed_files", 0),
+    }
     if counted["errors"]:
         why = staged.where(bad).groupBy("basename").agg(F.min("error").alias("reason"))
         unread = F.coalesce("reason", F.lit("a page could not be extracted"))
@@ -280,6 +334,7 @@ def run_batch(
     )
     if done is not None:
         # the output was there already: recorded as cleaned, with nothing removed
+        metrics["cleaned_files"] = metrics.get("cleaned_files", 0) + done.count()
         rows = rows.unionByName(
             done.select(
                 "basename",
@@ -292,6 +347,9 @@ def run_batch(
                 "batch",
             )
         )
+    # counted before the ledger, which says whether the attempt counts
+    row = _counter_row(spark, attempt, at, metrics)
+    _append(row.withColumn("batch", F.lit(batch)), layout.counters)
     _append(rows, layout.ledger)
     return counted
 
@@ -353,6 +411,30 @@ def rebuild_ledger(outputs: DataFrame, known: DataFrame | None = None) -> DataFr
     return ledger_ops.distinct_names(found, *([known] if known is not None else []))
 
 
+def batch_counters(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The counters of every batch of copies and of every attempt that the ledger has rows of."""
+    rows = read_table(spark, layout.counters, COUNTERS_DDL)
+    attempts = read_table(spark, layout.ledger, LEDGER_DDL).select("batch", "attempt").distinct()
+    copies = rows.where(F.col("attempt") == COPIES)
+    return rows.join(attempts, ["batch", "attempt"], "left_semi").unionByName(copies)
+
+
+def totals_of_batches(spark: SparkSession, layout: Layout) -> DataFrame:
+    """What `totals` returns, from a row a batch instead of a row an archive.
+
+    The two differ only if batches at once cleaned the same archive: each of them is counted here.
+    """
+    rows = batch_counters(spark, layout)
+    worked = F.greatest("downloaded_files", "recopied_files", "cleaned_files") > 0
+    zero = F.lit(0).cast("bigint")
+    names = ("downloaded_bytes", "removed_bytes", "downloaded_files", "cleaned_files")
+    return rows.agg(
+        *(F.coalesce(F.sum(c), zero).alias(name) for c, name in zip(names, STATS_COUNTERS)),
+        F.min(F.when(worked, F.col("at"))).alias("start_time"),
+        F.max(F.when(worked, F.col("at"))).alias("last_update"),
+    )
+
+
 def totals(spark: SparkSession, layout: Layout) -> DataFrame:
     downloads = read_table(spark, layout.fetch_log, FETCH_LOG_DDL).where("status = 'downloaded'")
     cleaned = ledger_rows(spark, layout)

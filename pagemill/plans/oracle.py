@@ -266,6 +266,13 @@ def oracle() -> dict[str, str]:
         "clean_run_nothing_kept": f"SELECT DISTINCT {ARCHIVE} AS basename, CAST(0 AS BIGINT) AS kept_records FROM pages",
         "extract_deep": f"WITH {PAGE_TEXT} SELECT page_id, text FROM page_text",
         "stream_clean": CLEAN_VALUES,
+        "stream_counters": f"""
+            WITH {CLEAN}, a AS (SELECT count(DISTINCT {ARCHIVE}) AS n FROM pages), t AS (
+                SELECT count(*) AS records,
+                       CAST(coalesce(sum({n_bytes("text")} + {n_bytes(SEP)}), 0) AS BIGINT) AS text_bytes FROM clean
+            )
+            SELECT n AS downloaded_files, n AS cleaned_files, CAST(0 AS BIGINT) AS failed_files, records,
+                   text_bytes, text_bytes AS kept_bytes FROM a, t""",
         "stream_retry": CLEAN_VALUES,
         "stream_set_apart": f"""SELECT DISTINCT {ARCHIVE} AS basename,
             CAST(CASE WHEN page_id % 8 % 3 > 0 THEN 2 ELSE 0 END AS BIGINT) AS attempts,

@@ -12,8 +12,10 @@ from pagemill.functions import text as fn
 from pagemill.operators import activity, corpus, ledger, manifest, retries
 from pagemill.operators.records import clean_pages, extract_pages, html_records
 from pagemill.plans.batch import (
+    COUNTERS,
     FETCH_LOG_DDL,
     Layout,
+    batch_counters,
     clean_corpus,
     ledger_rows,
     corpus_outputs,
@@ -565,6 +567,24 @@ def pipeline_run(spark, sf):
     return clean_corpus(spark, layout).select("basename", "value")
 
 
+def stream_counters(spark, sf):
+    """Counters that the batches of both streams took from their plans while these ran."""
+    source = _archives(spark, sf)
+    layout = Layout(scratch_dir(spark, "run"))
+    archive_listing(spark, source).select("basename").write.text(layout.folder("manifest"))
+    streams.fetch_stream(spark, layout.folder("manifest"), layout, f"{source}/").awaitTermination()
+    streams.clean_stream(spark, layout, files_per_batch=3).awaitTermination()
+    sums = [F.sum(c).alias(c) for c in COUNTERS]
+    return batch_counters(spark, layout).agg(*sums).select(
+        "downloaded_files",
+        "cleaned_files",
+        "failed_files",
+        "records",
+        "text_bytes",
+        (F.col("downloaded_bytes") - F.col("removed_bytes")).alias("kept_bytes"),
+    )
+
+
 RETRY_POLICY = retries.Retry(attempts=2)
 
 
@@ -706,6 +726,7 @@ QUERIES: dict[str, Query] = {
     "counter_update": counter_update,
     "fetch_local": fetch_local,
     "stream_fetch": stream_fetch,
+    "stream_counters": stream_counters,
     "stream_retry": stream_retry,
     "stream_set_apart": stream_set_apart,
     "retry_state": retry_state,

@@ -291,3 +291,49 @@ def test_run_to_end(spark, tmp_path):
         assert plan.clean_corpus(spark, layout).count() == 12
     (tracker,) = Path(layout.folder("state/tracker")).glob("document=*/*.txt")
     assert len(json.loads(tracker.read_text())["cleaned_warc_basenames"]) == 4
+
+
+def test_counters_of_batches_equal_totals(spark, tmp_path):
+    source = tmp_path / "source"
+    for n in range(5):
+        put(source, f"f{n}.gz", members(*(response(page(100 * n + i)) for i in range(4))))
+    put(source, "bad.gz", members(response(page(1)))[:-9])
+    (tmp_path / "manifests").mkdir()
+    (tmp_path / "manifests" / "one").write_text("".join(f"f{n}.gz\n" for n in range(5)) + "bad.gz\n")
+    layout = Layout(str(tmp_path / "run"))
+    assert plan.totals_of_batches(spark, layout).first() == plan.totals(spark, layout).first()
+    streams.fetch_stream(spark, str(tmp_path / "manifests"), layout, f"file:{source}/").awaitTermination()
+    streams.clean_stream(spark, layout, files_per_batch=2).awaitTermination()
+    assert plan.totals_of_batches(spark, layout).first() == plan.totals(spark, layout).first()
+    rows = plan.batch_counters(spark, layout)
+    # every batch that cleaned something has a row; the bad archive counts for none
+    assert rows.where("attempt <> 'copies'").agg(F.sum("cleaned_files")).first()[0] == 5
+    assert rows.where("attempt = 'copies'").first().downloaded_files == 6
+
+    # copies that come again and batches that are repeated add nothing
+    manifest = spark.createDataFrame([("f1.gz", "f1.gz"), ("bad.gz", "bad.gz")], "rel_path STRING, basename STRING")
+    for _ in range(2):
+        plan.run_fetch(spark, manifest, layout, "more", f"file:{source}/")
+        plan.run_batch(spark, archive_listing(spark, layout.landing), layout, "more")
+    assert plan.totals_of_batches(spark, layout).first() == plan.totals(spark, layout).first()
+
+
+def test_counters_of_a_stopped_attempt_do_not_count(spark, tmp_path, monkeypatch):
+    layout = Layout(str(tmp_path))
+    put(layout.landing, "a.gz", members(response(page(1))))
+    files = archive_listing(spark, layout.landing)
+    append = plan._append
+
+    def stop(table, folder):
+        if folder == layout.ledger:
+            raise KeyboardInterrupt
+        append(table, folder)
+
+    with monkeypatch.context() as m:
+        m.setattr(plan, "_append", stop)
+        with pytest.raises(KeyboardInterrupt):
+            plan.run_batch(spark, files, layout, "one")
+    assert plan.totals_of_batches(spark, layout).first().total_warc_successfully_cleaned_count == 0
+    for _ in range(2):
+        plan.run_batch(spark, files, layout, "one")
+    assert plan.totals_of_batches(spark, layout).first() == plan.totals(spark, layout).first()
