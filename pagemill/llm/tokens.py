@@ -3,31 +3,30 @@
 The tokenizer of these operators drops white space and never joins what white
 space separates, so the ids of a text are those of its words in order. Words
 repeat far more often than texts: each worker keeps the ids of the words it has
-met and passes only new ones to the tokenizers library.
+met, by 128 bits of hash (words.py), and passes only new ones to the tokenizers library.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
 import unicodedata
 import zlib
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 
+from pagemill.llm.words import Words, WordTable
+
 END_ID = 2  # appended to every document
 VOCABULARY = "word_bpe_49k.json"
 
 _KEPT_WORDS = 600_000  # words a worker remembers; beyond it, it drops those met once
-_KEPT_CHARS = 12_000_000
+_KEPT_IDS = 8_000_000
+_SLAB = 1 << 18  # bytes of texts that are looked up together; a longer text is a slab of its own
 _TOGETHER = 200  # words encoded in one string; much longer strings fall out of the processor's cache
 _LATIN_END = "\u0250"  # below it, lower case is the same letter by letter and word by word
 _MARK = "0"  # stands between words that are encoded in one string
-# what str.split() may take for white space and the vocabulary's pattern may not
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -53,39 +52,38 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._index: dict[str, int] = {}
+        self._table = WordTable()
         self._ids = np.zeros(1 << 16, np.uint32)
         self._begin = np.zeros(1 << 14, np.int64)
         self._met = np.zeros(1 << 14, np.int64)
         self._n_ids = 0
-        self._chars = 0
 
     def _shrink(self) -> None:
         """Keep the words met most often, half of the bound at most."""
-        met = self._met[: len(self._index)]
+        met = self._met[: len(self._table)]
         least = 2
         while np.count_nonzero(met >= least) > _KEPT_WORDS // 2:
             least *= 2
-        words = [w for w, many in zip(self._index, (met >= least).tolist()) if many]
-        chars = sum(map(len, words))
-        if chars > _KEPT_CHARS // 2:
-            words, chars = [], 0
-        if not words:
-            self._forget()
-            return
-        at = np.fromiter(map(self._index.__getitem__, words), np.int64, len(words))
-        ids, ends = self._gather(at)
+        kept = np.flatnonzero(met >= least)
+        hashes = self._table.hashes(kept)
+        ids, ends = self._gather(kept)
         self._forget()
-        self._room(len(ids), len(words))
-        self._ids[: len(ids)] = ids
-        self._begin[1 : len(words) + 1] = ends
-        self._n_ids, self._chars = len(ids), chars
-        self._index = dict(zip(words, range(len(words))))
+        if len(kept) and len(ids) <= _KEPT_IDS // 2:
+            self._keep(*hashes, ids, ends)
+
+    def _keep(self, h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
+        """New words with their ids, one after another, and where each word's end."""
+        first = len(self._table)
+        self._room(len(ids), len(ends))
+        self._ids[self._n_ids : self._n_ids + len(ids)] = ids
+        self._begin[first + 1 : first + 1 + len(ends)] = self._n_ids + ends
+        self._n_ids += len(ids)
+        self._table.add(h1, h2)
 
     def _room(self, ids: int, words: int) -> None:
         while self._n_ids + ids > len(self._ids):
             self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
-        while len(self._index) + words + 1 > len(self._begin):
+        while len(self._table) + words + 1 > len(self._begin):
             self._begin = np.concatenate([self._begin, np.zeros_like(self._begin)])
             self._met = np.concatenate([self._met, np.zeros_like(self._met)])
 
@@ -94,25 +92,21 @@ class WordEncoder:
         lengths = self._begin[at + 1] - self._begin[at]
         ends = np.cumsum(lengths)
         source = np.repeat(self._begin[at] - (ends - lengths), lengths)
-        source += np.arange(ends[-1])
+        source += np.arange(len(source))
         return self._ids[source], ends
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.uint32) for x in found]
 
-    def _learn(self, words: list[str]) -> None:
-        self._chars += sum(map(len, words))
-        words.sort(key=lambda w: _MARK in w)  # such words are encoded one by one
-        for at in range(0, len(words), _TOGETHER):
-            part = words[at : at + _TOGETHER]
-            flat, lengths = self._ids_of_words(part)
-            first = len(self._index)
-            self._room(len(flat), len(part))
-            self._ids[self._n_ids : self._n_ids + len(flat)] = flat
-            self._begin[first + 1 : first + 1 + len(part)] = self._n_ids + np.cumsum(lengths)
-            self._n_ids += len(flat)
-            self._index.update(zip(part, range(first, first + len(part))))
+    def _learn(self, words: Words, new: np.ndarray) -> None:
+        texts = words.texts(new)
+        # words with the mark are encoded one by one
+        order = sorted(range(len(texts)), key=[_MARK in w for w in texts].__getitem__)
+        new, texts = new[order], [texts[i] for i in order]
+        parts = [self._ids_of_words(texts[i : i + _TOGETHER]) for i in range(0, len(texts), _TOGETHER)]
+        flat, lengths = (np.concatenate(x) for x in zip(*parts))
+        self._keep(words.h1[new], words.h2[new], flat, np.cumsum(lengths))
 
     def _ids_of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Their ids one after another, and how many each has."""
@@ -142,45 +136,36 @@ class WordEncoder:
         if not self._by_word:
             return [np.concatenate([x, end]) for x in self._whole([t or "" for t in texts])]
         out: list[np.ndarray] = []
-        words, batch_words = [], 0
+        slab, size = [], 0
         for text in texts:
-            words.append(_words(text))
-            batch_words += len(words[-1])
-            if batch_words >= 200_000:
-                out += self._encode_words(words)
-                words, batch_words = [], 0
-        out += self._encode_words(words)
-        return [np.concatenate([x, end]) for x in out]
-
-    def _encode_words(self, texts: list[list[str]]) -> list[np.ndarray]:
-        flat = [w for words in texts for w in words]
-        if not flat:
-            return [np.zeros(0, np.uint32) for _ in texts]
-        at = np.fromiter(map(self._index.get, flat, repeat(-1)), np.int64, len(flat))
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            new = list({flat[i] for i in missing})
-            if len(self._index) + len(new) > _KEPT_WORDS or self._chars > _KEPT_CHARS:
-                self._shrink()
-                at = np.fromiter(map(self._index.get, flat, repeat(-1)), np.int64, len(flat))
-                missing = np.flatnonzero(at < 0)
-                new = list({flat[i] for i in missing})
-            self._learn(new)
-            at[missing] = [self._index[flat[i]] for i in missing]
-        self._met[: len(self._index)] += np.bincount(at, minlength=len(self._index))
+            slab.append((text or "").encode())
+            size += len(slab[-1])
+            if size >= _SLAB:
+                out += self._encode_words(Words(slab), end)
+                slab, size = [], 0
+        if slab:
+            out += self._encode_words(Words(slab), end)
+        return out
+
+    def _encode_words(self, words: Words, end: np.ndarray) -> list[np.ndarray]:
+        at = self._table.find(words.h1, words.h2)
+        while len(missing := np.flatnonzero(at < 0)):
+            new = missing[np.unique(words.h1[missing], return_index=True)[1]]
+            if len(self._table) + len(new) > _KEPT_WORDS or self._n_ids > _KEPT_IDS:
+                if len(self._table):
+                    self._shrink()
+                    at = self._table.find(words.h1, words.h2)
+                    if len(self._table) + len(new) <= _KEPT_WORDS:
+                        continue
+                    self._forget()  # more new words at once than it keeps
+                    at[:] = -1
+                    continue
+            self._learn(words, new)
+            at[missing] = self._table.find(words.h1[missing], words.h2[missing])
+        self._met[: len(self._table)] += np.bincount(at, minlength=len(self._table))
         ids, ends = self._gather(at)
-        cuts = np.cumsum([len(words) for words in texts])
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], cuts])]
-        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-
-
-def _words(text: str | None) -> list[str]:
-    """Words between ASCII white space; other white space stays inside a word."""
-    if not text:
-        return []
-    if _OTHER_SPACE.search(text):
-        return [w.decode() for w in text.encode().split()]
-    return text.split()
+        bounds = np.concatenate([[0], ends])[words.bounds].tolist()
+        return [np.concatenate([ids[a:b], end]) for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def _drops_white_space(path: str) -> bool:

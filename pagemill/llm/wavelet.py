@@ -61,7 +61,7 @@ def encode(ids: np.ndarray, documents: np.ndarray) -> bytes:
             blocks.append(block)
             places.append(place)
             place += len(block)
-        order = order[np.concatenate([np.flatnonzero(~bits), np.flatnonzero(bits)])]
+        order = np.concatenate([np.compress(~bits, order), np.compress(bits, order)])
     letters, table = _packed(np.diff(alphabet, prepend=0).astype("<u4")), _packed(documents)
     header = json.dumps(
         {
