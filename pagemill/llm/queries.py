@@ -34,7 +34,7 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 def op2_warc_zstd(spark: SparkSession, sf: str) -> DataFrame:
     archives = warc_zstd.write_pages(_table(spark, sf, "pages"), store.folder(spark, "warc-zstd"))
-    return warc_zstd.pages_of(warc_zstd.read_archives(archives))
+    return warc_zstd.pages_of(warc_zstd.read_archives(archives), archives)
 
 
 def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:

@@ -40,6 +40,8 @@ ARCHIVE_BYTES = 32 << 20  # of records before compression
 DICTIONARY_BYTES = 64 << 10
 TRAINING_RECORDS = 256  # a dictionary is trained on the first records of its archive, so many at most
 _READ = 1 << 20
+_PIECE = 1 << 14  # given to the decompressor at once; what it leaves is copied
+_SALTS = 16  # tasks that the rows of one payload are dealt to
 
 
 def base32_sha1(data: bytes) -> str:
@@ -85,7 +87,7 @@ def archive(records: list[bytes]) -> bytes:
     """The bytes of an archive."""
     step = max(1, len(records) // TRAINING_RECORDS)
     front, trained = dictionary_frame(records[::step])
-    compressor = zstandard.ZstdCompressor(level=3, dict_data=trained)
+    compressor = zstandard.ZstdCompressor(level=3, dict_data=trained, write_checksum=True)
     return front + b"".join(compressor.compress(r) for r in records)
 
 
@@ -145,73 +147,109 @@ def payload_of(r: Record) -> bytes:
 
 
 class _Input:
-    """Buffered forward reading of a stream of frames."""
+    """Buffered forward reading of a stream of frames, from the beginning of one to that of the next."""
 
     def __init__(self, stream):
-        self.stream, self.data, self.at = stream, b"", 0
+        self._stream, self._data, self._at, self._before = stream, bytearray(), 0, 0
 
-    def more(self) -> bool:
-        got = self.stream.read(_READ)
-        self.data += got
-        return bool(got)
+    @property
+    def offset(self) -> int:
+        return self._before + self._at
 
     def need(self, n: int) -> bool:
-        while len(self.data) < n:
-            if not self.more():
+        while len(self._data) - self._at < n:
+            got = self._stream.read(_READ)
+            if not got:
                 return False
+            self._data += got
         return True
 
+    def peek(self, start: int, n: int) -> bytes:
+        return bytes(self._data[self._at + start : self._at + start + n])
+
     def drop(self, n: int) -> None:
-        self.data, self.at = self.data[n:], self.at + n
+        self._at += n
+        if self._at >= _READ:
+            self._before += self._at
+            del self._data[: self._at]
+            self._at = 0
+
+    def find(self, mark: bytes) -> bool:
+        """Go on to the next place with the mark, if there is one."""
+        while self.need(len(mark)):
+            place = self._data.find(mark, self._at)
+            if place >= 0:
+                self.drop(place - self._at)
+                return True
+            self.drop(len(self._data) - self._at - len(mark) + 1)
+        return False
+
+
+def _frame(source: _Input, trained: zstandard.ZstdCompressionDict | None) -> tuple[bytes, int]:
+    """Content and length of the frame that begins here; an error if there is no whole one."""
+    unit = zstandard.ZstdDecompressor(dict_data=trained).decompressobj()
+    out, used = [], 0
+    while not unit.eof:
+        if not source.need(used + 1):
+            raise zstandard.ZstdError("the archive ends within a frame")
+        given = source.peek(used, _PIECE)
+        out.append(unit.decompress(given))
+        used += len(given) - (len(unit.unused_data) if unit.eof else 0)
+    return b"".join(out), used
 
 
 def read_archive(stream) -> Iterator[Record]:
-    """Records of an archive, in order. What cannot be read is a record with an error; after
-    a damaged frame the rest of the archive cannot be found, and reading ends."""
+    """Records of an archive, in order. What cannot be read is a record with an error; after a
+    damaged frame reading goes on at the next frame that has a faultless record."""
     source = _Input(stream)
-    trained, first = None, True
+    trained, first, lost = None, True, False
+    mark = FRAME_MAGIC.to_bytes(4, "little")
     while source.need(1):
+        if lost and not source.find(mark):
+            return
         if not source.need(4):
-            yield Record(source.at, error="the archive ends within a frame")
+            yield Record(source.offset, error="the archive ends within a frame")
             return
-        magic = int.from_bytes(source.data[:4], "little")
+        magic = int.from_bytes(source.peek(0, 4), "little")
         if magic in SKIPPABLE_FRAMES:
             if not source.need(8) or not source.need(
-                8 + (size := int.from_bytes(source.data[4:8], "little"))
+                8 + (size := int.from_bytes(source.peek(4, 4), "little"))
             ):
-                yield Record(source.at, error="the archive ends within a skippable frame")
-                return
+                yield Record(source.offset, error="the archive ends within a skippable frame")
+                lost = True
+                source.drop(1)
+                continue
             if magic == DICTIONARY_FRAME and first:
-                content = source.data[8 : 8 + size]
+                content = source.peek(8, size)
                 try:
-                    if content[:4] == FRAME_MAGIC.to_bytes(4, "little"):
+                    if content[:4] == mark:
                         reader = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content))
                         content = reader.read()
                     trained = zstandard.ZstdCompressionDict(content)
                 except zstandard.ZstdError as e:
-                    yield Record(source.at, error=f"the dictionary cannot be read: {e}")
+                    yield Record(source.offset, error=f"the dictionary cannot be read: {e}")
                     return
             source.drop(8 + size)
             first = False
             continue
         first = False
-        unit = zstandard.ZstdDecompressor(dict_data=trained).decompressobj()
-        offset, out = source.at, []
         try:
-            while not unit.eof:
-                if not source.data and not source.more():
-                    break
-                given = source.data
-                out.append(unit.decompress(given))
-                used = len(given) - len(unit.unused_data) if unit.eof else len(given)
-                source.drop(used)
+            content, used = _frame(source, trained)
+            found = parse(source.offset, content)
         except zstandard.ZstdError as e:
-            yield Record(offset, error=f"a frame cannot be read: {e}")
-            return
-        if not unit.eof:
-            yield Record(offset, error="the archive ends within a frame")
-            return
-        yield parse(offset, b"".join(out))
+            used, found = 1, Record(source.offset, error=f"a frame cannot be read: {e}")
+            if not lost:  # one record for all that is damaged in a row
+                yield found
+            lost = True
+        else:
+            if not (lost and found.error):
+                yield found
+                lost = False
+        source.drop(used)
+
+
+def _every_salt() -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long")))
 
 
 def _with_kinds(pages: DataFrame, smallest: int) -> DataFrame:
@@ -227,7 +265,12 @@ def _with_kinds(pages: DataFrame, smallest: int) -> DataFrame:
                                                         F.count("*").alias("n"))
         .where("n > 1").drop("n")
     )
-    joined = keyed.join(least, "payload_key", "left")
+    # full payloads are shuffled: those of a frequent one to several tasks
+    joined = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(_SALTS))).join(
+        least.withColumn("salt", _every_salt()),
+        ["payload_key", "salt"],
+        "left",
+    )
     revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
     return joined.select(
         "page_id", "url", "payload", F.when(revisit, F.col("first_id")).alias("refers_to")
@@ -329,13 +372,18 @@ def page_id(uri: Column) -> Column:
     return F.regexp_extract(uri, f"^{RECORD_URI}(-?[0-9]+)$", 1).try_cast("long")
 
 
-def pages_of(records: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of faultless records.
+def pages_of(records: DataFrame, archives: DataFrame | None = None) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of all records.
 
-    A revisit has the size of the payload it refers to, whose digest must be its own.
+    A revisit has the size of the payload it refers to, whose digest must be its own. A record
+    with an error, or an archive of `archives` (path, n_records) with another number of
+    records, raises ValueError: no record is left out silently.
     """
     rows = store.written(
-        records.where("error IS NULL").select(
+        records.select(
+            "path",
+            "offset",
+            "error",
             page_id(F.col("record_id")).alias("page_id"),
             F.length("payload").cast("long").alias("own_bytes"),
             "payload_digest",
@@ -344,17 +392,29 @@ def pages_of(records: DataFrame) -> DataFrame:
         ),
         "archive-records",
     )
+    bad = rows.where("error IS NOT NULL").select("path", "offset", "error").first()
+    if bad:
+        raise ValueError(f"{bad.path} at {bad.offset}: {bad.error}")
+    if archives is not None:
+        read = rows.groupBy("path").agg(F.count("*").alias("n_read"))
+        other = (
+            archives.join(read, "path", "left")
+            .where(F.coalesce("n_read", F.lit(0)) != F.col("n_records"))
+            .first()
+        )
+        if other:
+            raise ValueError(f"{other.path} has {other.n_read or 0} of {other.n_records} records")
     responses = (
         rows.where("record_type = 'response'")
         .groupBy(F.col("page_id").alias("refers_to"), "payload_digest")
         .agg(F.first("own_bytes").alias("referred_bytes"))
+        .withColumn("salt", _every_salt())
     )
-    return rows.join(responses, ["refers_to", "payload_digest"], "left").select(
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("path", "offset"), F.lit(_SALTS)))
+    return salted.join(responses, ["refers_to", "payload_digest", "salt"], "left").select(
         "page_id",
         F.coalesce("own_bytes", "referred_bytes").alias("payload_bytes"),
         "payload_digest",
         "record_type",
         "refers_to",
     )
-
-
