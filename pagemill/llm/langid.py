@@ -4,8 +4,7 @@ A text is lower-cased; runs of characters that are not letters count as one
 space. Its n-grams of 1 to NGRAMS characters are hashed to FEATURES numbers.
 Training counts them per language; a prediction adds up their log-probabilities.
 The matrix of log-probabilities (features x languages) goes to every task: its
-size is bounded by MATRIX_BYTES, for which the number of features is halved
-when there are very many languages.
+size is bounded by MATRIX_BYTES; more languages than fit are an error.
 """
 
 from __future__ import annotations
@@ -25,6 +24,8 @@ from pagemill.llm import store
 FEATURES = 1 << 16
 NGRAMS = 3
 TRAINING_ROWS = 20_000  # labelled documents that are learned from, at most about so many
+LEAST_SCORE = 0.5  # a language less probable than all others together is not recognised
+SURE_SCORE = 0.99  # from here on a prediction counts more than a label
 MATRIX_BYTES = 64 << 20
 SMOOTHING = 0.5
 UNKNOWN = "und"
@@ -113,28 +114,37 @@ class Model:
 
 
 def train(
-    documents: DataFrame, usable: Column | None = None, rows: int = TRAINING_ROWS
+    documents: DataFrame,
+    usable: Column | None = None,
+    rows: int = TRAINING_ROWS,
+    features: int = FEATURES,
 ) -> Model:
     """Learn from text and lang of documents with both, and letters, where `usable` holds.
 
-    Of more than `rows` such documents about that many are taken, those with
-    the smallest hashes of doc_id and text. Other columns are not read.
+    Of each language at most about `rows` divided by the number of languages are taken,
+    those with the smallest hashes of doc_id and text, so that a rare language
+    is learned however large the others are; the prior probabilities are those of all labelled
+    documents. Other columns are not read. ValueError if there are so many languages that a
+    table of `features` (a power of two) numbers each exceeds MATRIX_BYTES.
     """
+    spark = documents.sparkSession
     labelled = documents.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     if usable is not None:
         labelled = labelled.where(usable)
-    n = labelled.count()
-    if n > rows:
-        share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
-        labelled = labelled.where(share < rows / n)
-    languages = [
-        r[0] for r in labelled.select("lang").distinct().orderBy("lang").limit(MATRIX_BYTES).collect()
-    ]
-    features = FEATURES
-    while features > 256 and 4 * features * len(languages) > MATRIX_BYTES:
-        features //= 2
-    if 4 * features * len(languages) > MATRIX_BYTES:
-        raise ValueError(f"{len(languages)} languages are too many for one matrix")
+    most = MATRIX_BYTES // (4 * features)
+    numbers = {r[0]: r[1] for r in labelled.groupBy("lang").count().limit(most + 1).collect()}
+    if len(numbers) > most:
+        raise ValueError(f"more than {most} languages are too many for one matrix")
+    if not numbers:
+        return Model([], np.zeros((0, features), np.float32), np.zeros(0))
+    quota = max(1, rows // len(numbers))
+    shares = spark.createDataFrame(
+        [(lang, min(1.0, quota / n)) for lang, n in numbers.items()], "lang string, taken double"
+    )
+    share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
+    # at most MATRIX_BYTES / (4 * features) languages
+    labelled = labelled.select("lang", "text", share.alias("share")).join(F.broadcast(shares), "lang")
+    labelled = labelled.where("share < taken")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: dict[str, np.ndarray] = {}
@@ -166,13 +176,15 @@ def train(
     schema = "lang string, n long, counts binary"
     few = labelled.select("lang", "text").repartition(_TASKS)
     summed = few.mapInPandas(count, schema).groupBy("lang").applyInPandas(add, schema)
-    found = summed.toPandas().sort_values("lang")  # a row a language
-    if not len(found):
-        return Model([], np.zeros((0, features), np.float32), np.zeros(0))
-    table = np.array([np.frombuffer(x, "<i8") for x in found["counts"]]) + SMOOTHING
+    found = summed.toPandas()  # a row a language
+    counts = dict(zip(found["lang"], found["counts"]))
+    languages = sorted(numbers)
+    none = np.zeros(features, "<i8")  # of a language of which no document was taken
+    table = np.array([np.frombuffer(counts[x], "<i8") if x in counts else none for x in languages])
+    table = table + SMOOTHING
     log = np.log(table) - np.log(table.sum(axis=1, keepdims=True))
-    n_docs = found["n"].to_numpy(float)
-    return Model(list(found["lang"]), log.astype(np.float32), np.log(n_docs / n_docs.sum()))
+    n_docs = np.array([numbers[x] for x in languages], float)
+    return Model(languages, log.astype(np.float32), np.log(n_docs / n_docs.sum()))
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
@@ -213,17 +225,27 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def identified(documents: DataFrame) -> DataFrame:
-    """Documents whose language is recognised, with all their columns: those that are not `und`.
+def identified(
+    documents: DataFrame, least: float = LEAST_SCORE, sure: float = SURE_SCORE
+) -> DataFrame:
+    """Documents whose language is recognised, with all their columns; lang is what was found.
 
-    Learns from the documents' own lang column.
+    Learns from the documents' own lang column. Documents without a letter (`und`) or
+    whose best language has a posterior below `least` go. Of the others, lang becomes the prediction
+    where it was null or the posterior is at least `sure`, and stays otherwise. If no
+    document has a lang, there is nothing to learn: those with a letter stay as they are.
     """
     model = train(documents.select("doc_id", "text", "lang"))
+    if not model.languages:
+        return documents.where(F.col("text").rlike(r"\p{L}"))
     clash = [c for c in documents.columns if c.lower() in ("lang_pred", "score")]
     spare = {c: store.free_name(documents, f"_{c}") for c in clash}
     found = predict(documents.withColumnsRenamed(spare), model)
-    return found.where(F.col("lang_pred") != UNKNOWN).select(
-        *[F.col(f"`{spare.get(c, c)}`").alias(c) for c in documents.columns]
+    trusted = F.col("lang").isNull() | (F.col("score") >= sure)
+    lang = F.when(trusted, F.col("lang_pred")).otherwise(F.col("lang"))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(
+        *[
+            (lang if c == "lang" else F.col(f"`{spare.get(c, c)}`")).alias(c)
+            for c in documents.columns
+        ]
     )
-
-

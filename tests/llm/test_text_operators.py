@@ -1,9 +1,11 @@
 """Language identification, mixing and pseudonyms."""
 
+import math
 import re
 from collections import Counter
 from itertools import product
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +58,84 @@ def test_training_rows_are_bounded(documents):
     assert model.languages == ["en"]
 
 
+def plain_naive_bayes(labelled, texts, features):
+    """Every n-gram on its own, counts and logarithms in plain Python."""
+
+    def grams(text):
+        spaced = "".join(c if c.isalpha() else " " for c in text.lower())
+        spaced = " " + re.sub(" +", " ", spaced) + " "
+        for i in range(len(spaced)):
+            h = 0
+            for n in range(1, 4):
+                if i + n > len(spaced):
+                    break
+                h = (h * 0x01000193 + ord(spaced[i + n - 1]) + n) % 2**32
+                x = h * 0x9E3779B1 % 2**32
+                x ^= x >> 15
+                yield (x * 0x85EBCA77 % 2**32) >> (33 - features.bit_length())
+
+    counts = {lang: Counter() for _, lang in labelled}
+    for text, lang in labelled:
+        counts[lang].update(grams(text))
+    out = []
+    for text in texts:
+        logs = {}
+        for lang, c in counts.items():
+            whole = sum(c.values()) + langid.SMOOTHING * features
+            logs[lang] = math.log(sum(x == lang for _, x in labelled) / len(labelled)) + sum(
+                math.log((c[g] + langid.SMOOTHING) / whole) for g in grams(text)
+            )
+        best = max(sorted(logs), key=logs.get)
+        out.append((best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())))
+    return out
+
+
+def test_against_plain_naive_bayes(spark, documents):
+    rows = [
+        (r.doc_id, r.text, r.lang)
+        for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 2000").limit(80).collect()
+    ]
+    rows += [(1000 + i, t, None) for i, t in enumerate(["the", "é", "Le Chat! 12", "a b c", "x"])]
+    labelled = [(t, lang) for _, t, lang in rows if lang is not None and any(map(str.isalpha, t or ""))]
+    model = langid.train(documents(rows))
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(documents(rows), model).collect()}
+    scored = [(key, t) for key, t, _ in rows if any(map(str.isalpha, t or ""))]
+    want = plain_naive_bayes(labelled, [t for _, t in scored], langid.FEATURES)
+    for (key, _), (lang, score) in zip(scored, want):
+        assert found[key][0] == lang or abs(score - 0.5) < 1e-3
+        assert found[key][1] == pytest.approx(score, abs=2e-3)
+
+
+def test_rare_languages_are_learned_and_priors_are_those_of_all(documents):
+    rows = [(i, f"the word {i} and the other", "en") for i in range(3000)]
+    rows += [(9000 + i, f"ordet {i} og det andet " * 400, "da") for i in range(3)]  # few, but long
+    model = langid.train(documents(rows), rows=200)
+    assert model.languages == ["da", "en"]
+    assert model.log_priors == pytest.approx(np.log([3 / 3003, 3000 / 3003]))
+    found = langid.predict(documents([(1, "det og ordet andet " * 5), (2, "and the other word")]), model).collect()
+    assert [r.lang_pred for r in sorted(found)] == ["da", "en"]
+
+
+def test_too_many_languages(documents, monkeypatch):
+    monkeypatch.setattr(langid, "MATRIX_BYTES", 4 * 256 * 3)
+    rows = [(i, f"text {i}", f"l{i}") for i in range(4)]
+    assert len(langid.train(documents(rows[:3]), features=256).languages) == 3
+    with pytest.raises(ValueError):
+        langid.train(documents(rows), features=256)
+
+
+def test_predictions_change_the_stage(documents):
+    english, french = "the cat sat on the mat with the dog ", "le chat est sur le tapis avec le chien "
+    rows = [(i, english * 3, "en") for i in range(20)] + [(50 + i, french * 3, "fr") for i in range(20)]
+    rows += [(100, french * 5, "en"), (101, english * 5, None), (102, "Ω", None), (103, None, "en"), (104, "7", "fr")]
+    kept = {r.doc_id: r.lang for r in langid.identified(documents(rows), least=0.6).collect()}
+    assert kept[100] == "fr" and kept[101] == "en" and kept[0] == "en" and kept[50] == "fr"
+    assert kept.keys() & {102, 103, 104} == set() and len(kept) == 42
+    unlabelled = [(i, t, None) for i, t, _ in rows]
+    kept = {r.doc_id: r.lang for r in langid.identified(documents(unlabelled)).collect()}
+    assert kept.keys() == {i for i, t, _ in rows if i not in (103, 104)} and set(kept.values()) == {None}
+
+
 # ---- mixing ---------------------------------------------------------------
 
 
