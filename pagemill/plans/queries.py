@@ -679,7 +679,7 @@ def stream_active_workers(spark, sf):
     streams.active_worker_stream(
         messages(events), f"{folder}/view", f"{folder}/checkpoint", CORES_PER_NODE
     ).awaitTermination()
-    return spark.read.parquet(f"{folder}/view")
+    return streams.active_view(spark, f"{folder}/view")
 
 
 QUERIES: dict[str, Query] = {

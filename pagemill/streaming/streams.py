@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +12,22 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from pagemill.constants import BASE_URL, FILES_IN_FLIGHT, SAVE_INTERVAL_SECONDS
-from pagemill.operators.activity import active_workers
+from pagemill.functions.text import node_label
 from pagemill.operators.manifest import read_manifest, resolve_lines
 from pagemill.operators.retries import Retry
 from pagemill.plans.batch import Layout, run_batch, run_fetch
 from pagemill.plans.retry import run_retries
-
+from pagemill.streaming.active import CHANGES_DDL, LATE_SECONDS, ActiveWorkers, name_place, named_place
+
+VIEW_DDL = "worker BIGINT, node STRING, filename STRING"
+VIEW_SLOTS = 4  # a reader has as many batches' time, less one, before its place is written again
+# state in RocksDB; no batches without messages, which would follow one another without end
+_STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 _FILE_COLUMNS = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
@@ -124,15 +136,65 @@ def retry_stream(
 
 
 def active_worker_stream(
-    messages: DataFrame, table: str, checkpoint: str, cores_per_node: int, drain: bool = True
+    messages: DataFrame,
+    table: str,
+    checkpoint: str,
+    cores_per_node: int,
+    drain: bool = True,
+    late_seconds: int = LATE_SECONDS,
 ) -> StreamingQuery:
-    """Stream of messages(worker, seq, filename, status) -> current view in a Parquet table.
+    """Stream of messages(worker, seq, filename, status) -> current view, see `active_view`.
 
-    State is one small row per worker.
+    State is one row per active worker, in RocksDB; it goes when the worker ends. The last number of
+    an ended worker is kept for `late_seconds`, so that a late start does not bring it back.
+    Each batch writes the view to another place and then names that place, so
+    that readers never meet a table that is being written.
     """
-    view = active_workers(messages, cores_per_node)
+    spark = messages.sparkSession
+    changes = (
+        messages.select("worker", "seq", "filename", "status")
+        .groupBy("worker")
+        .transformWithStateInPandas(
+            ActiveWorkers(late_seconds), CHANGES_DDL, outputMode="Update", timeMode="ProcessingTime"
+        )
+    )
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table)
+        session = batch.sparkSession
+        # written first: the plan of the batch changes the state whenever it runs
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{table}/changes")
+        changed = session.read.schema(CHANGES_DDL).parquet(f"{table}/changes")
+        last = changed.groupBy("worker").agg(F.max_by(F.struct("filename", "active"), "seq").alias("c"))
+        place = f"{table}/slot={batch_id % VIEW_SLOTS}"
+        began = last.where("c.active").select("worker", "c.filename")
+        before = active_names(session, table).join(last, "worker", "left_anti")
+        rows = before.unionByName(began).select(
+            "worker", node_label("worker", cores_per_node).alias("node"), "filename"
+        )
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(place)
+        name_place(table, place)
+
+    with _settings(spark, _STATE_SETTINGS):  # a query takes them along when it starts
+        return _start(changes.writeStream.outputMode("update").foreachBatch(each), checkpoint, drain)
+
+
+@contextlib.contextmanager
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def active_view(spark: SparkSession, table: str) -> DataFrame:
+    """worker, node, filename as of the last batch of the stream; no rows before the first."""
+    place = named_place(table)
+    return spark.read.schema(VIEW_DDL).parquet(place) if place else spark.createDataFrame([], VIEW_DDL)
+
 
-    return _start(view.writeStream.outputMode("complete").foreachBatch(each), checkpoint, drain)
+def active_names(spark: SparkSession, table: str) -> DataFrame:
+    return active_view(spark, table).select("worker", "filename")

@@ -272,7 +272,7 @@ def test_active_worker_stream(spark, tmp_path):
     messages.repartition(5).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in"))
     streams.active_worker_stream(stream, str(tmp_path / "view"), str(tmp_path / "cp"), 3).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "view"))
+    got = streams.active_view(spark, str(tmp_path / "view"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, active_workers(messages, 3).collect()))
 
 
