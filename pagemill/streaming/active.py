@@ -15,6 +15,11 @@ LATE_SECONDS = 3600
 _POINTER = "_current"
 
 
+def _last_of(messages: pd.DataFrame) -> tuple[int, str, str | None]:
+    i = messages["seq"].to_numpy().argmax()
+    return int(messages["seq"].iat[i]), messages["status"].iat[i], messages["filename"].iat[i]
+
+
 class ActiveWorkers(StatefulProcessor):
     """Per worker the message with the largest seq decides; a row for every change.
 
@@ -29,17 +34,13 @@ class ActiveWorkers(StatefulProcessor):
         self._ended = handle.getValueState("ended", "seq BIGINT", self._late)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = max(
-            (frame.iloc[frame["seq"].to_numpy().argmax()] for frame in rows), key=lambda r: r["seq"]
-        )
-        active = self._active.get() if self._active.exists() else None
-        ended = self._ended.get() if self._ended.exists() else None
-        seq = int(last["seq"])
+        seq, status, filename = max(map(_last_of, rows), key=lambda r: r[0])
+        active, ended = self._active.get(), self._ended.get()
         if any(state is not None and state[0] >= seq for state in (active, ended)):
             return  # a late message
-        starts = last["status"] == "start"
+        starts = status == "start"
         if starts:
-            self._active.update((seq, last["filename"]))
+            self._active.update((seq, filename))
         else:
             if active is not None:
                 self._active.clear()
@@ -48,8 +49,8 @@ class ActiveWorkers(StatefulProcessor):
             {
                 "worker": [int(key[0])],
                 "seq": [seq],
-                "filename": [last["filename"] if starts else None],
-                "active": [bool(starts)],
+                "filename": [filename if starts else None],
+                "active": [starts],
             }
         )
 
