@@ -255,11 +255,14 @@ def warc_splits(spark, sf):
 
 
 def warc_format(spark, sf):
-    """The same archives through spark.read.format("warc"), filters pushed where allowed."""
+    """The same archives through spark.read.format("warc"), in ranges, filters pushed where allowed."""
     folder = _archives(spark, sf)
     register(spark)
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
-    rows = spark.read.format("warc").option("pushdown", pushdown).load(folder)
+    listing = scratch_dir(spark, "listing")
+    archive_listing(spark, folder).select("path", "length").write.parquet(listing)
+    reader = spark.read.format("warc").option("pushdown", pushdown).option("splitBytes", QUERY_SPLIT)
+    rows = reader.option("listing", listing).load()
     kept = rows.where(
         F.col("rec_type").isin("response", "resource")
         & F.col("http_headers").isNotNull()

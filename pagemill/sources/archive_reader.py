@@ -223,6 +223,11 @@ def is_html_response(rec_type: str, http: dict[str, str] | None) -> bool:
     )
 
 
+def is_gzip(raw: BinaryIO) -> bool:
+    raw.seek(0)
+    return raw.read(len(_GZIP_MAGIC)) == _GZIP_MAGIC
+
+
 def first_member(raw: BinaryIO, start: int, end: int, gzipped: bool) -> int | None:
     """First place in [start, end) that looks like the start of a record, or None.
 
@@ -271,8 +276,7 @@ def read_range(
     number, at) and at last ("split", first offset, next offset), with None for a range without
     records and for the end of the archive.
     """
-    raw.seek(0)
-    gzipped = raw.read(len(_GZIP_MAGIC)) == _GZIP_MAGIC
+    gzipped = is_gzip(raw)
     first = 0
     if start > 0:
         first = first_member(raw, start, end, gzipped)

@@ -7,6 +7,7 @@ import os
 import urllib.request
 from typing import BinaryIO
 
+import pyarrow.dataset as pads
 import pyarrow.fs as pafs
 
 
@@ -93,6 +94,14 @@ def discard(uri: str) -> None:
         pass
 
 
+def listed_files(table: str) -> list[tuple[str, int]]:
+    """(path, bytes) from a Parquet table of these columns, by name."""
+    path = local_path(table)
+    fs, key = (pafs.LocalFileSystem(), path) if path is not None else _remote(table)
+    rows = pads.dataset(key, filesystem=fs, format="parquet").to_table(columns=["path", "length"])
+    return sorted(zip(rows["path"].to_pylist(), rows["length"].to_pylist()))
+
+
 def list_files(uri: str) -> list[tuple[str, int]]:
     """(path, bytes) of a file, or of every file directly in a folder, by name."""
     path = local_path(uri)

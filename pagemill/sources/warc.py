@@ -22,8 +22,8 @@ from pyspark.sql.datasource import (
 )
 
 from pagemill.functions.text import basename
-from pagemill.sources.archive_reader import read_range
-from pagemill.sources.files import list_files, open_input
+from pagemill.sources.archive_reader import first_member, is_gzip, read_range
+from pagemill.sources.files import list_files, listed_files, open_input
 
 SPLIT_BYTES = 128 * 1024 * 1024
 _BATCH_BYTES = 16 * 1024 * 1024
@@ -180,34 +180,84 @@ def records(scan: DataFrame) -> DataFrame:
     return scan.where("kind = 'record'").drop("kind", "next_offset", "at")
 
 
-@dataclass
-class _Range(InputPartition):
+@dataclass(frozen=True)
+class _Part:
     path: str
+    length: int
     start: int
-    stop: int | None
+    stop: int | None  # None: to the end
+
+
+@dataclass
+class _Range(InputPartition):
+    parts: list[_Part]
+
+
+def plan_ranges(files: list[tuple[str, int]], split_bytes: int | None) -> list[_Range]:
+    """Tasks of about `split_bytes`: large archives in several ranges, small ones together."""
+    tasks: list[_Range] = []
+    held, size = [], 0
+    for path, length in files:
+        if not split_bytes:
+            tasks.append(_Range([_Part(path, length, 0, None)]))
+        elif length > split_bytes:
+            starts = range(0, length, split_bytes)
+            tasks += [_Range([_Part(path, length, at, at + split_bytes)]) for at in starts]
+        else:
+            if held and size + length > split_bytes:
+                tasks.append(_Range(held))
+                held, size = [], 0
+            held.append(_Part(path, length, 0, None))
+            size += length
+    return tasks + ([_Range(held)] if held else [])
+
+
+def _unmet(part: _Part, end: int | None, split_bytes: int) -> str | None:
+    """What is wrong if the ranges behind one that ended at `end` do not begin there.
+
+    The first range of an archive begins right. If each one finds that the next record after its own
+    is where the next range will begin, all of them do, whatever payloads look like.
+    """
+    with open_input(part.path) as raw:
+        gzipped = is_gzip(raw)
+        for start in range(part.stop, part.length if end is None else end + 1, split_bytes):
+            stop = start + split_bytes
+            begins = first_member(raw, start, stop, gzipped)
+            if begins != (end if end is not None and start <= end < stop else None):
+                return f"a range begins at {begins}, the one before it ends at {end}: read without splitBytes"
+    return None
 
 
 class _WarcReader(DataSourceReader):
     def __init__(self, options):
-        self.root = options["path"]
+        self.root = options.get("path")
+        self.listing = options.get("listing")
+        self.split_bytes = int(options.get("splitBytes", SPLIT_BYTES))
         self.with_payload = options.get("payload", "true").lower() == "true"
         self.html_only = options.get("htmlOnly", "false").lower() == "true"
         self.checks = []
 
     def partitions(self):
-        # One partition per archive: a reader of this interface has no second
-        # look at its ranges, so it does not split (see scan_archives).
-        return [_Range(path, 0, None) for path, _ in list_files(self.root)]
+        files = list_files(self.root) if self.listing is None else listed_files(self.listing)
+        return plan_ranges(files, self.split_bytes)
 
     def read(self, partition):
-        name = partition.path.rstrip("/").rsplit("/", 1)[-1]
-        rows = _range_rows(
-            partition.path, name, partition.start, partition.stop, self.html_only, self.with_payload
-        )
-        kept = (row for row in rows if row[9] != "split" and self._keeps(row))
-        for batch in _batches(kept):
+        rows = (row for part in partition.parts for row in self._rows(part))
+        for batch in _batches(row for row in rows if self._keeps(row)):
             yield batch.select(_ARROW.names[:9])
 
+    def _rows(self, part: _Part) -> Iterator[tuple]:
+        name = part.path.rstrip("/").rsplit("/", 1)[-1]
+        for row in _range_rows(
+            part.path, name, part.start, part.stop, self.html_only, self.with_payload
+        ):
+            if row[9] != "split":
+                yield row
+            elif part.stop is not None and row[2] is not None:  # a range that had records
+                wrong = _unmet(part, row[10], self.split_bytes)
+                if wrong:
+                    yield part.path, name, None, None, None, None, None, wrong, None, "error", None, None
+
     def _keeps(self, row) -> bool:
         # rows that report an error always pass; Spark filters again what it must
         return row[9] == "error" or all(check(row) for check in self.checks)
@@ -230,8 +280,13 @@ class _FilteringWarcReader(_WarcReader):
 class WarcDataSource(DataSource):
     """`spark.read.format("warc")`.
 
-    Options: `payload` (default true), `htmlOnly` (default false) and `pushdown`
-    (default false; needs spark.sql.python.filterPushdown.enabled).
+    Options: `payload` (default true), `htmlOnly` (default false), `pushdown`
+    (default false; needs spark.sql.python.filterPushdown.enabled), `splitBytes` (default
+    128 MiB; 0 reads every archive in one piece) and, instead of a path, `listing`: a Parquet
+    table with path and length, as `archive_listing` makes it from folders of any size.
+
+    A range that does not begin where the one before it ended is a row with an error: an archive
+    without such rows was read rightly.
     """
 
     @classmethod
