@@ -335,18 +335,7 @@ def run_batch(
     if done is not None:
         # the output was there already: recorded as cleaned, with nothing removed
         metrics["cleaned_files"] = metrics.get("cleaned_files", 0) + done.count()
-        rows = rows.unionByName(
-            done.select(
-                "basename",
-                F.col("length").alias("input_bytes"),
-                F.lit(None).cast("bigint").alias("kept_records"),
-                F.lit(None).cast("bigint").alias("output_bytes"),
-                F.lit(0).cast("bigint").alias("removed_bytes"),
-                at.alias("at"),
-                "attempt",
-                "batch",
-            )
-        )
+        rows = rows.unionByName(_done_rows(done, at))
     # counted before the ledger, which says whether the attempt counts
     row = _counter_row(spark, attempt, at, metrics)
     _append(row.withColumn("batch", F.lit(batch)), layout.counters)
@@ -435,6 +424,37 @@ def totals_of_batches(spark: SparkSession, layout: Layout) -> DataFrame:
     )
 
 
+def recover_ledger(spark: SparkSession, layout: Layout, at: Column | None = None) -> int:
+    """Write a lost ledger anew from the outputs that are there; how many archives it names.
+
+    Does nothing if the ledger has rows. What an output holds is not counted: its archive is
+    done, with nothing removed and an unknown number of records. An archive that left no
+    output, or only part of one in a batch that was interrupted, cannot be told from the outputs:
+    the first comes again, the second does not.
+    """
+    if not read_table(spark, layout.ledger, LEDGER_DDL).isEmpty():
+        return 0
+    at = _fixed(spark, at)
+    rows = _done_rows(corpus_outputs(spark, layout.corpus), at)
+    _append(rows.repartition("batch"), layout.ledger)
+    return read_table(spark, layout.ledger, LEDGER_DDL).count()
+
+
+def _done_rows(outputs: DataFrame, at: Column) -> DataFrame:
+    """Ledger rows of outputs(basename, length, batch, attempt) that nobody counted."""
+    unknown, zero = F.lit(None).cast("bigint"), F.lit(0).cast("bigint")
+    return outputs.select(
+        "basename",
+        F.col("length").alias("input_bytes"),
+        unknown.alias("kept_records"),
+        unknown.alias("output_bytes"),
+        zero.alias("removed_bytes"),
+        at.alias("at"),
+        "attempt",
+        "batch",
+    )
+
+
 def totals(spark: SparkSession, layout: Layout) -> DataFrame:
     downloads = read_table(spark, layout.fetch_log, FETCH_LOG_DDL).where("status = 'downloaded'")
     cleaned = ledger_rows(spark, layout)

@@ -263,6 +263,7 @@ def oracle() -> dict[str, str]:
         "clean_run": CLEAN_VALUES,
         "pipeline_run": CLEAN_VALUES,
         "clean_run_repeated": CLEAN_VALUES,
+        "ledger_recovered": CLEAN_VALUES,
         "clean_run_nothing_kept": f"SELECT DISTINCT {ARCHIVE} AS basename, CAST(0 AS BIGINT) AS kept_records FROM pages",
         "extract_deep": f"WITH {PAGE_TEXT} SELECT page_id, text FROM page_text",
         "stream_clean": CLEAN_VALUES,

@@ -21,6 +21,7 @@ from pagemill.plans.batch import (
     corpus_outputs,
     read_table,
     rebuild_ledger,
+    recover_ledger,
     run_batch,
     run_fetch,
 )
@@ -542,6 +543,26 @@ def clean_run_repeated(spark, sf):
     return clean_corpus(spark, layout).select("basename", "value")
 
 
+class _OtherLedger(Layout):
+    """The same outputs, with a ledger that is not there."""
+
+    @property
+    def ledger(self) -> str:
+        return self.folder("other_ledger")
+
+
+def ledger_recovered(spark, sf):
+    """The ledger is lost after a run; written anew from the outputs it names the same texts."""
+    layout = Layout(scratch_dir(spark, "run"))
+    _archives(spark, sf, layout.landing)
+    files = archive_listing(spark, layout.landing)
+    run_batch(spark, files, layout, split_bytes=QUERY_SPLIT)
+    lost = _OtherLedger(layout.root)
+    recover_ledger(spark, lost)
+    run_batch(spark, files, lost, split_bytes=QUERY_SPLIT)  # cleans nothing that has an output
+    return clean_corpus(spark, lost).select("basename", "value")
+
+
 def clean_run_nothing_kept(spark, sf):
     """No page is long enough: every archive is done, and the corpus reads as no rows."""
     layout = Layout(scratch_dir(spark, "run"))
@@ -689,6 +710,7 @@ QUERIES: dict[str, Query] = {
     "scalar_collapse_ws": scalar_collapse_ws,
     "clean_run_repeated": clean_run_repeated,
     "clean_run_nothing_kept": clean_run_nothing_kept,
+    "ledger_recovered": ledger_recovered,
     "extract_deep": extract_deep,
     "pipeline_run": pipeline_run,
     "manifest_resolve": manifest_resolve,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagemill.constants import BASE_URL, SAVE_INTERVAL_SECONDS
 from pagemill.operators.retries import Retry
-from pagemill.plans.batch import Layout, export_state, totals
+from pagemill.plans.batch import Layout, export_state, recover_ledger, totals
 from pagemill.streaming.streams import clean_stream, fetch_stream, retry_stream
 
 
@@ -20,6 +20,7 @@ def run_to_end(
     state_folder: str | None = None,
     fetch_options: dict | None = None,
     policy: Retry = Retry(),
+    recover: bool = False,
     **clean_options,
 ) -> DataFrame:
     """Fetch what the manifests list, clean what has landed, export state; one row of totals.
@@ -27,9 +28,11 @@ def run_to_end(
     Cleaning takes what is there, at intervals while copies come in, and once more after the
     last; state goes to `state_folder` (default: under the layout) after each
     round. Then what failed in earlier calls gets one more attempt, copied anew, until
-    `policy` sets it apart. Stopped anywhere, the same call goes on from the streams' checkpoints.
+    `policy` sets it apart. `recover` first writes a lost ledger anew from the outputs. Stopped anywhere, the same call goes on from the streams' checkpoints.
     """
     started = datetime.now(timezone.utc)
+    if recover:
+        recover_ledger(spark, layout)
     state_folder = state_folder or layout.folder("state")
     spark.createDataFrame([], "value STRING").write.mode("ignore").text(layout.landing)
     fetching = fetch_stream(spark, manifest_folder, layout, base_url, **(fetch_options or {}))

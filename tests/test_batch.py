@@ -337,3 +337,20 @@ def test_counters_of_a_stopped_attempt_do_not_count(spark, tmp_path, monkeypatch
     for _ in range(2):
         plan.run_batch(spark, files, layout, "one")
     assert plan.totals_of_batches(spark, layout).first() == plan.totals(spark, layout).first()
+
+
+def test_lost_ledger_is_written_anew(spark, tmp_path):
+    layout = landed(tmp_path)
+    files = archive_listing(spark, layout.landing)
+    assert plan.recover_ledger(spark, layout) == 0  # no outputs yet
+    plan.run_batch(spark, files, layout, "one", at=AT())
+    assert plan.recover_ledger(spark, layout, AT()) == 0  # a ledger is there
+    texts = sorted(map(tuple, plan.clean_corpus(spark, layout).collect()))
+    Path(layout.ledger).rename(tmp_path / "lost")
+    assert plan.recover_ledger(spark, layout, AT()) == 2
+    rows = {r.basename: (r.kept_records, r.removed_bytes, r.batch) for r in ledger(spark, layout).collect()}
+    assert rows == {"a.warc.gz": (None, 0, "one"), "odd.warc.gz": (None, 0, "one")}
+    assert sorted(map(tuple, plan.clean_corpus(spark, layout).collect())) == texts
+    counted = plan.run_batch(spark, files, layout, "two", at=AT())
+    assert counted["records"] == 0  # only the archives without an output come again
+    assert {r.basename for r in ledger(spark, layout).where("batch = 'two'").collect()} == {"short.warc.gz"}
