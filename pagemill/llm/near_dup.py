@@ -43,8 +43,8 @@ _SLACK = 1e-6  # weights are kept with 24 bits
 _SIGNED_AT_ONCE = 1 << 18  # shingles
 
 
-def idf(df: np.ndarray, n: int) -> np.ndarray:
-    return 1 + IDF_SHARE * np.log((n + 1) / (df + 1.0)) / np.log(n + 1.0)
+def idf(df: np.ndarray, n: int, share: float = IDF_SHARE) -> np.ndarray:
+    return 1 + share * np.log((n + 1) / (df + 1.0)) / np.log(n + 1.0)
 
 
 def _uniform(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +139,9 @@ _NODE = (
 )
 
 
-def _nodes(documents: DataFrame, similarity: float, chunk_bytes: int) -> DataFrame:
+def _nodes(
+    documents: DataFrame, similarity: float, chunk_bytes: int, idf_share: float
+) -> DataFrame:
     place = store.folder(documents.sparkSession, "near-dup")
     chunks = ch.write_chunks(documents, place, chunk_bytes)
     buckets = ch.buckets_for(chunks)
@@ -170,7 +172,7 @@ def _nodes(documents: DataFrame, similarity: float, chunk_bytes: int) -> DataFra
         document, shingle, tf, digest, counts = _shingles(chunk)
         _, index = np.unique(shingle, return_inverse=True)
         df = ch.gathered(rows, "<u4")[index]
-        weight = (tf * idf(df, n)).astype(np.float32)
+        weight = (tf * idf(df, n, idf_share)).astype(np.float32)
         m = len(chunk.ids)
         total = np.bincount(document, weight, minlength=m)
         shared = df > 1
@@ -275,11 +277,13 @@ def _links(nodes: DataFrame, similarity: float) -> DataFrame:
     # the text with the smallest share of shingles of its own is the likeliest to be near all others
     own_share = F.round(1 - F.col("s") / F.col("w"), 4)
     order = F.struct(own_share.alias("p"), F.xxhash64("a").alias("o"), "a", "w")
-    centres = (
+    # tables of their own: only rows that come from an exchange can be split where a key is frequent
+    centres = store.written(
         members.groupBy("bucket")
         .agg(F.min(order).alias("least"), F.count("*").alias("n"))
         .where("n > 1")
-        .select("bucket", F.col("least.a").alias("b"), F.col("least.w").alias("w_centre"))
+        .select("bucket", F.col("least.a").alias("b"), F.col("least.w").alias("w_centre")),
+        "bucket-centres",
     )
     placed = store.written(members.join(centres, "bucket"), "centres")
     # what two texts have in common lies in the centre, at most what each has in common with it,
@@ -307,11 +311,13 @@ def _links(nodes: DataFrame, similarity: float) -> DataFrame:
         "w_centre",
         (1 - F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.col("similarity"))).alias("d"),
     ).withColumn("in", (1 - F.col("d")) * (F.col("w") + F.col("w_centre")) / (2 - F.col("d")))
-    open_ = (
+    distance = store.written(distance, "distances")
+    open_ = store.written(
         distance.groupBy("bucket")
         .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         .where("lo != hi")
-        .select("bucket")
+        .select("bucket"),
+        "open",
     )
     rows = store.written(distance.join(open_, "bucket"), "open-buckets")
     reach = 1 - similarity + 2 * _SLACK
@@ -341,41 +347,44 @@ def _links(nodes: DataFrame, similarity: float) -> DataFrame:
 
 
 def near_duplicates(
-    documents: DataFrame, similarity: float = SIMILARITY, chunk_bytes: int = ch.CHUNK_BYTES
+    documents: DataFrame,
+    similarity: float = SIMILARITY,
+    chunk_bytes: int = ch.CHUNK_BYTES,
+    idf_share: float = IDF_SHARE,
 ) -> DataFrame:
-    """One row per document: doc_id, text_hash, class_id, is_representative, n_links.
+    """One row per document: doc_id, text_hash, class_id, is_representative.
 
     Classes are the connected components of similarity >= `similarity`; words are
     `[^\\x20\\x09-\\x0D]+`, unchanged, and documents with the same words are one
     text. class_id is the smallest doc_id of the class (null ids last), whose
     document represents it; of repeated rows with that id and text all are marked.
     text_hash is xxhash64 of the text, which tells rows with one doc_id apart.
-    n_links: the verified links of the text to others (copies not counted).
-    A null or empty text, or one without words, is a class of its own. Other
+    A null or empty text, or one without words, is a class of its own. A document is
+    never cut: a task holds a chunk of `chunk_bytes`, or one longer document. Other
     columns are not read.
     """
-    nodes = _nodes(documents, similarity, chunk_bytes)
+    nodes = _nodes(documents, similarity, chunk_bytes, idf_share)
     described = store.written(
         nodes.where("shingles IS NOT NULL").dropDuplicates(["text_id"]), "near-dup-texts"
     )
     links = store.written(_links(described, similarity), "near-dup-links")
     labels = components(links)
-    ends = links.select(F.col("a").alias("text_id")).union(links.select("b"))
-    counts = ends.groupBy("text_id").agg(F.count("*").alias("n_links"))
     # a text without words is alone: its label is its row
     rows = nodes.select(
         F.col("doc_key").cast("long").alias("doc_id"),
         "text_hash",
         F.when(F.col("n_words") > 0, F.col("text_id")).alias("text_id"),
     )
-    worded = (
+    worded = store.written(
         rows.where("text_id IS NOT NULL")
         .join(labels.withColumnRenamed("node", "text_id"), "text_id", "left")
-        .join(counts, "text_id", "left")
-        .withColumn("label", F.coalesce("label", "text_id"))
+        .withColumn("label", F.coalesce("label", "text_id")),
+        "near-dup-labels",
     )
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_id", "text_hash")
-    best = worded.groupBy("label").agg(F.min(order).alias("best"))
+    best = store.written(
+        worded.groupBy("label").agg(F.min(order).alias("best")), "near-dup-classes"
+    )
     return (
         worded.join(best, "label")
         .select(
@@ -383,15 +392,10 @@ def near_duplicates(
             "text_hash",
             F.col("best.doc_id").alias("class_id"),
             (order == F.col("best")).alias("is_representative"),
-            F.coalesce("n_links", F.lit(0)).alias("n_links"),
         )
         .union(
             rows.where("text_id IS NULL").select(
-                "doc_id",
-                "text_hash",
-                F.col("doc_id").alias("class_id"),
-                F.lit(True),
-                F.lit(0).cast("long"),
+                "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(True)
             )
         )
     )

@@ -21,12 +21,12 @@ between matches and the matches, which are replaced and put back.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm import store
 
-KEY = "pagemill"  # give your own; whoever has it can undo the permutations
 ROUNDS = 8
 
 EMAIL = (
@@ -81,9 +81,9 @@ PATTERN = "|".join([EMAIL, SECRET, ACCESS_KEY, IBAN, SSN, DATE, ADDRESS, PHONE,
 HINT = r"[0-9@]|AKIA|ASIA|(?i:pass|pwd|secret|token|key)"  # no text without these has a match
 
 
-def _digest(key: str, *parts: Column | str) -> Column:
-    each = [F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]
-    return F.sha2(F.concat_ws("|", F.lit(key), *each), 256)
+def _digest(key: Column | str, *parts: Column | str) -> Column:
+    each = [F.lit(p) if isinstance(p, str) else p.cast("string") for p in (key, *parts)]
+    return F.sha2(F.concat_ws("|", *each), 256)
 
 
 def _number(hexadecimal: Column) -> Column:
@@ -91,7 +91,7 @@ def _number(hexadecimal: Column) -> Column:
     return F.conv(F.substring(hexadecimal, 1, 15), 16, 10).cast("long")
 
 
-def feistel(left: Column, right: Column, a: Column, b: Column, kind: str, key: str) -> Column:
+def feistel(left: Column, right: Column, a: Column, b: Column, kind: str, key: Column | str) -> Column:
     """Permutes pairs (left in [0, a), right in [0, b)); a struct of both."""
 
     def turn(s: Column, i: Column) -> Column:
@@ -116,7 +116,7 @@ def _digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 
 
-def _permuted_digits(d: Column, kind: str, key: str) -> Column:
+def _permuted_digits(d: Column, kind: str, key: Column | str) -> Column:
     """A string of 2 to 36 digits, permuted among those of its length."""
     n = F.length(d)
     u = F.floor(n / 2).cast("int")
@@ -159,7 +159,7 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda s, x: s + F.coalesce(x, F.lit(0)))
 
 
-def _card(m: Column, key: str) -> Column:
+def _card(m: Column, key: Column | str) -> Column:
     def permuted(d: Column) -> Column:
         body = _permuted_digits(d.substr(F.lit(1), F.length(d) - 1), "card", key)
         return _let(
@@ -194,7 +194,7 @@ def _remainder(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), step)
 
 
-def _iban(m: Column, key: str) -> Column:
+def _iban(m: Column, key: Column | str) -> Column:
     plain = F.regexp_replace(m, " ", "")
     country, body = plain.substr(1, 2), F.substring(plain, 5, 64)
 
@@ -227,7 +227,7 @@ def _is_iban(m: Column) -> Column:
     )
 
 
-def _numbers(m: Column, key: str) -> Column:
+def _numbers(m: Column, key: Column | str) -> Column:
     """A run of groups with its valid account and card numbers replaced, from the left.
 
     Of those that begin with one group, the usual layouts come first, then the longest. A card
@@ -293,7 +293,7 @@ def _part(m: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract(m, pattern, group).try_cast("long")
 
 
-def _address(m: Column, key: str) -> Column:
+def _address(m: Column, key: Column | str) -> Column:
     octets = F.transform(F.split(m, r"\."), lambda x: x.cast("int"))
     get = lambda i: F.element_at(octets, i)
     size = F.lit(65536)
@@ -309,7 +309,7 @@ def _address(m: Column, key: str) -> Column:
     return F.when(F.forall(octets, lambda x: x <= 255), text).otherwise(m)
 
 
-def _ssn(m: Column, key: str) -> Column:
+def _ssn(m: Column, key: Column | str) -> Column:
     shape = "^([0-9]{3})-([0-9]{2})-([0-9]{4})$"
     area, group, serial = (_part(m, shape, i) for i in (1, 2, 3))
     fine = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
@@ -333,7 +333,7 @@ def _ssn(m: Column, key: str) -> Column:
     return F.when(fine, text).otherwise(m)
 
 
-def _phone(m: Column, key: str) -> Column:
+def _phone(m: Column, key: Column | str) -> Column:
     d = _digits(m)
     local = F.right(d, F.lit(10))
     prefix = d.substr(F.lit(1), F.length(d) - 10)
@@ -364,7 +364,7 @@ def _phone(m: Column, key: str) -> Column:
     return _refilled(m, F.concat(prefix, F.when(fine, valid).otherwise(other)))
 
 
-def _foreign_phone(m: Column, key: str) -> Column:
+def _foreign_phone(m: Column, key: Column | str) -> Column:
     """The digits after the country's code are permuted among numbers of their length."""
     digits = F.concat(F.lit("+"), _digits(m))
     code = F.regexp_extract(digits, COUNTRY_CODE, 0)
@@ -374,7 +374,7 @@ def _foreign_phone(m: Column, key: str) -> Column:
     return F.when(fine, _refilled(m, F.concat(F.substring(code, 2, 3), moved))).otherwise(m)
 
 
-def _any_phone(m: Column, key: str) -> Column:
+def _any_phone(m: Column, key: Column | str) -> Column:
     """Numbers of the North American plan are the same with and without +1 and separators."""
     foreign = m.startswith("+") & ~(m.startswith("+1") & (F.length(_digits(m)) == 11))
     return F.when(foreign, _foreign_phone(m, key)).otherwise(_phone(m, key))
@@ -384,7 +384,7 @@ def _any_phone(m: Column, key: str) -> Column:
 _FIRST_DAY, _LAST_DAY, _DAYS_A, _DAYS_B = "1900-01-01", "2099-12-31", 319, 229
 
 
-def _date(m: Column, key: str) -> Column:
+def _date(m: Column, key: Column | str) -> Column:
     """The day is permuted, whatever its layout, so the same day is the same in each."""
     layouts = [
         ("^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"),
@@ -420,7 +420,7 @@ def _date(m: Column, key: str) -> Column:
     return _let(found, lambda f: F.when(f.isNull(), m).otherwise(moved(f)))
 
 
-def _email(m: Column, key: str) -> Column:
+def _email(m: Column, key: Column | str) -> Column:
     address = F.lower(m)
     domain = F.substring_index(address, "@", -1)
     return F.concat(
@@ -432,18 +432,18 @@ def _email(m: Column, key: str) -> Column:
     )
 
 
-def _secret(m: Column, key: str) -> Column:
+def _secret(m: Column, key: Column | str) -> Column:
     shape = "(?s)^([A-Za-z_-]+\\s?[=:]\\s?[\"']?)(.*)$"
     digest = _digest(key, "secret", F.regexp_extract(m, shape, 2))
     return F.concat(F.regexp_extract(m, shape, 1), F.lit("x"), F.substring(digest, 1, 15))
 
 
-def _access_key(m: Column, key: str) -> Column:
+def _access_key(m: Column, key: Column | str) -> Column:
     digest = F.upper(F.substring(_digest(key, "access key", m), 1, 16))
     return F.concat(F.lit("PSEU"), digest)
 
 
-def pseudonym(m: Column, key: str = KEY) -> Column:
+def pseudonym(m: Column, key: Column | str) -> Column:
     """The pseudonym of one match of PATTERN; a match that is not valid stays as it is.
 
     Of a run of groups, the valid account and card numbers in it are replaced and the others stay.
@@ -461,17 +461,20 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
     )
 
 
-def pseudonymised(documents: DataFrame, key: str = KEY, count: str | None = None) -> DataFrame:
+def pseudonymised(documents: DataFrame, key: str, count: str | None = None) -> DataFrame:
     """All columns; in `text`, personal data replaced by pseudonyms.
 
+    Whoever has the key can undo the permutations. Plans do not show it.
     A null text stays null, an empty one empty; texts are treated whole, row by
     row, without a shuffle, so repeated rows get the same result. `n_chars`, where it
     is a column, is counted anew if the text changed. `count` names a column for the number of values replaced.
     """
     text = F.col("text")
-    found, between, names = (
-        store.free_name(documents, n) for n in ("pii_found", "pii_between", "pii_names")
+    found, between, names, secret = (
+        store.free_name(documents, n) for n in ("pii_found", "pii_between", "pii_names", "pii_key")
     )
+    # a row of its own, not a literal: those are part of plans and logs
+    keys = documents.sparkSession.createDataFrame(pa.table({"k": [key]}))
     hinted = F.coalesce(text.rlike(HINT), F.lit(False))
     none = F.array().cast("array<string>")
     cut = documents.select(
@@ -479,10 +482,11 @@ def pseudonymised(documents: DataFrame, key: str = KEY, count: str | None = None
         F.when(hinted, F.regexp_extract_all("text", F.lit(PATTERN), 0)).otherwise(none).alias(
             found
         ),
+        keys.scalar().alias(secret),
     ).select(
         "*",
         F.when(F.size(found) > 0, F.split("text", PATTERN, -1)).alias(between),
-        F.transform(found, lambda m: pseudonym(m, key)).alias(names),
+        F.transform(found, lambda m: pseudonym(m, F.col(secret))).alias(names),
     )
     joined = F.concat(
         F.element_at(between, 1),

@@ -23,6 +23,11 @@ from pagemill.llm.token_files import read_shards, write_shards
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def pseudonym_key(spark: SparkSession) -> str:
+    """The key of the session's setting; without it, one that is good for trial runs only."""
+    return spark.conf.get("spark.pagemill.pseudonym.key", "trial")
+
+
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -71,7 +76,7 @@ def op7_approximate_neighbours(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
     documents = _table(spark, sf, "documents").select("doc_id", "text")
-    return pseudonymised(documents, count="n_replaced")
+    return pseudonymised(documents, pseudonym_key(spark), count="n_replaced")
 
 
 def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:

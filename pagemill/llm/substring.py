@@ -122,8 +122,10 @@ def repeats(
         frame["file"] = store.write_file(place, out.getvalue())
         return frame
 
+    # few bytes, much work: a number of tasks that follows the chunks, which Spark does not merge
+    tasks = max(4 * spark.sparkContext.defaultParallelism, chunks.count() // 4)
     around = store.written(
-        found.groupBy("chunk").applyInPandas(
+        found.repartition(tasks, "chunk").groupBy("chunk").applyInPandas(
             extend,
             "bucket long, chunk string, hashes binary, second binary, many binary, file string",
         ),

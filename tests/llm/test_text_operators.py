@@ -225,7 +225,7 @@ def luhn(digits):
 def replaced(spark, texts, **more):
     rows = [(i, t, len(t or ""), "x", "x", "x") for i, t in enumerate(texts)]
     schema = "doc_id long, text string, n_chars int, pii_found string, pii_names string, n string"
-    frame = pii.pseudonymised(spark.createDataFrame(rows, schema), **more)
+    frame = pii.pseudonymised(spark.createDataFrame(rows, schema), **{"key": "some key", **more})
     assert frame.columns[:6] == ["doc_id", "text", "n_chars", "pii_found", "pii_names", "n"]
     return [r for r in frame.orderBy("doc_id").collect()]
 
@@ -331,5 +331,7 @@ def test_permutations(spark):
 
 
 def test_nothing_runs_in_python(spark, plan_of):
-    plan = plan_of(pii.pseudonymised(spark.read.parquet(f"{SF}/documents.parquet")))
-    assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+    frame = pii.pseudonymised(spark.read.parquet(f"{SF}/documents.parquet"), "very-secret")
+    for mode in ("formatted", "extended", "codegen"):
+        plan = plan_of(frame, mode)
+        assert not re.search("Python|Pandas|Arrow|Exchange|very-secret", plan)
