@@ -17,12 +17,16 @@ from pagemill.llm.mixing import mixed_documents
 from pagemill.llm.near_dup import without_near_duplicates
 from pagemill.llm.packing import pack
 from pagemill.llm.pii import pseudonymised
+from pagemill.llm.queries import pseudonym_key
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised (no `und`: null or without letters)."""
+    """Documents whose language is recognised, with that language in `lang`.
+
+    Without a letter, or with no language more probable than all others together, a document goes.
+    """
     return identified(docs)
 
 
@@ -33,7 +37,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with pseudonyms in place of personal data."""
-    return pseudonymised(docs)
+    return pseudonymised(docs, pseudonym_key(spark))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
