@@ -204,6 +204,7 @@ def oracle() -> dict[str, str]:
             SELECT basename, input_bytes, coalesce(n, 0) AS kept_records, coalesce(o, 0) AS output_bytes,
               input_bytes - coalesce(o, 0) AS removed_bytes FROM files LEFT JOIN kept USING (basename)""",
         "corpus_roundtrip": CORPUS_ROWS,
+        "corpus_files": f"WITH {CLEAN} SELECT basename, text AS value FROM clean",
         "corpus_listing": f"""WITH {CLEAN} SELECT basename,
             CAST(sum({n_bytes('text')} + 21) AS BIGINT) AS length FROM clean GROUP BY 1""",
         "run_totals": f"""WITH {TOTALS} SELECT total_data_downloaded_bytes, total_data_removed_bytes,

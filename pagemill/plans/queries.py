@@ -30,6 +30,7 @@ from pagemill.plans.run import run_to_end
 from pagemill.session import scratch_dir, spread
 from pagemill.sources import state_json
 from pagemill.sources.archive_fixture import copy_archives, write_archives
+from pagemill.sources.corpus_files import read_corpus_files, write_corpus_files
 from pagemill.sources.warc import (
     archive_listing,
     broken_splits,
@@ -313,6 +314,13 @@ def corpus_roundtrip(spark, sf):
     return corpus.read_corpus(spark, folder)
 
 
+def corpus_files(spark, sf):
+    """One text file per archive, written with commit and abort, and read back."""
+    folder = scratch_dir(spark, "corpus")
+    write_corpus_files(clean_records(spark, sf), folder)
+    return read_corpus_files(spark, folder)
+
+
 def corpus_listing(spark, sf):
     """Bytes of the written outputs, from the file listing alone."""
     folder = scratch_dir(spark, "corpus")
@@ -730,6 +738,7 @@ QUERIES: dict[str, Query] = {
     "pack_conversations": pack_conversations,
     "file_metrics": file_metrics,
     "corpus_roundtrip": corpus_roundtrip,
+    "corpus_files": corpus_files,
     "corpus_listing": corpus_listing,
     "run_totals": run_totals,
     "run_summary": run_summary,
