@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pagemill.llm import chunks as ch
 from pagemill.llm import store
 from pagemill.llm.components import components
+from pagemill.llm.tokens import encoder
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -148,6 +149,8 @@ def _nodes(
     n = chunks.agg(F.sum("n_documents")).first()[0] or 0
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder.cache_clear()  # what an earlier stage left in this worker
+        store.give_back()
         for batch in batches:
             for name in batch["chunk"]:
                 _, shingle, *_ = _shingles(ch.Chunk(name))

@@ -17,12 +17,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm import store
-from pagemill.llm.tokens import encoder, vocabulary_path
+from pagemill.llm.tokens import encoded_rows, vocabulary_path
 
 SEQUENCE_TOKENS = 4096
 LINEAR = 1.0  # cost of a token outside attention
@@ -96,32 +96,30 @@ def pack(
     """
     path = vocabulary or vocabulary_path()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         next_id = TaskContext.get().partitionId() << 33
         keys, ids, held = [], [], 0
-        for batch in batches:
-            for key, doc in zip(batch["doc_key"], encoder(path).encode(list(batch["text"]))):
-                keys.append(key)
-                ids.append(doc)
-                held += len(doc)
-                if held >= group_tokens:
-                    frame, used = _packed(keys, ids, size, next_id)
-                    yield frame
-                    next_id += used
-                    keys, ids, held = [], [], 0
+        for key, doc in encoded_rows(batches, path):
+            keys.append(key)
+            ids.append(doc)
+            held += len(doc)
+            if held >= group_tokens:
+                rows, used = _packed(keys, ids, size, next_id)
+                keys, ids, held = [], [], 0
+                yield rows
+                next_id += used
         if keys:
             yield _packed(keys, ids, size, next_id)[0]
         del keys, ids
         store.give_back()
 
-    # as text: pandas would turn a null beside integers into a float
     return (
-        documents.select(F.col("doc_id").cast("string").alias("doc_key"), "text")
-        .mapInPandas(run, SCHEMA.replace("doc_id long", "doc_key string"))
+        documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        .mapInArrow(run, SCHEMA)
         .select(
-            F.col("doc_key").cast("long").alias("doc_id"),
+            "doc_id",
             "start",
             "length",
             F.crc32("ids").alias("ids_crc32"),
@@ -134,25 +132,21 @@ def pack(
     )
 
 
-def _packed(keys: list, ids: list[np.ndarray], size: int, first: int) -> tuple[pd.DataFrame, int]:
+def _packed(
+    keys: list[int | None], ids: list[np.ndarray], size: int, first: int
+) -> tuple[pa.RecordBatch, int]:
     pieces = assign([len(x) for x in ids], size)
-    rows = [
-        (
-            keys[d],
-            start,
-            length,
-            len(ids[d]),
-            first + sequence,
-            offset,
-            piece_cost(length),
-            np.ascontiguousarray(ids[d][start : start + length], "<u4").tobytes(),
-        )
-        for d, start, length, sequence, offset in pieces
+    documents, starts, lengths, sequences, offsets = (np.array(x) for x in zip(*pieces))
+    data = [np.ascontiguousarray(ids[d][a : a + n], "<u4").data for d, a, n, _, _ in pieces]
+    columns = [
+        pa.array([keys[d] for d in documents], pa.int64()),
+        starts,
+        lengths,
+        np.array([len(x) for x in ids])[documents],
+        first + sequences,
+        offsets,
+        np.array([piece_cost(n) for n in lengths.tolist()]),
+        pa.array(data, pa.binary()),
     ]
-    frame = pd.DataFrame(
-        rows,
-        columns=[
-            "doc_key", "start", "length", "doc_tokens", "sequence_id", "offset", "piece_cost", "ids",
-        ],
-    )
-    return frame, 1 + max(p[3] for p in pieces)
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names), 1 + int(sequences.max())

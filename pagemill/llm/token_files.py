@@ -12,12 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm import store
-from pagemill.llm.tokens import crc32, encoder, shifted_crc32, vocabulary_path
+from pagemill.llm.tokens import crc32, encoded_rows, shifted_crc32, vocabulary_path
 from pagemill.llm.wavelet import WaveletFile, encode
 
 SHARD_TOKENS = 1 << 20
@@ -27,48 +28,41 @@ NO_ID = np.iinfo(np.int64).min  # stands for a null doc_id in a document table
 
 def _staged(documents: DataFrame, path: str, place: str) -> DataFrame:
     """Ids in staged files; a row a document: doc_id, file, position and length there."""
-    columns = ["doc_key", "text_hash", "file", "begin", "n_tokens"]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids, held = [], [], 0
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, ids, held = [], [], 0
-
-        def flushed() -> pd.DataFrame:
+        def flushed() -> pa.RecordBatch:
             narrow = max(int(x.max()) for x in ids) < 1 << 16
             flat = np.concatenate(ids).astype("<u2" if narrow else "<u4")
-            data = zstandard.ZstdCompressor(level=1).compress(flat.tobytes())
+            data = zstandard.ZstdCompressor(level=1).compress(flat.data)
             file = store.write_file(place, b"\2" if narrow else b"\4", data)
-            ends = np.cumsum([len(x) for x in ids])
-            return pd.DataFrame(
+            lengths = np.array([len(x) for x in ids])
+            return pa.RecordBatch.from_arrays(
                 [
-                    (key, digest, file, int(end) - len(x), len(x))
-                    for (key, digest), x, end in zip(rows, ids, ends)
+                    pa.array([k["doc_id"] for k in keys], pa.int64()),
+                    pa.array([k["text_hash"] for k in keys], pa.int64()),
+                    pa.array([file] * len(keys)),
+                    pa.array(np.cumsum(lengths) - lengths),
+                    pa.array(lengths),
                 ],
-                columns=columns,
+                ["doc_id", "text_hash", "file", "begin", "n_tokens"],
             )
 
-        for batch in batches:
-            encoded = encoder(path).encode(list(batch["text"]))
-            for key, digest, doc in zip(batch["doc_key"], batch["text_hash"], encoded):
-                rows.append((key, digest))
-                ids.append(doc)
-                held += len(doc)
-                if held >= STAGED_TOKENS:
-                    yield flushed()
-                    rows, ids, held = [], [], 0
-        if rows:
+        for key, doc in encoded_rows(batches, path):
+            keys.append(key)
+            ids.append(doc)
+            held += len(doc)
+            if held >= STAGED_TOKENS:
+                yield flushed()
+                keys, ids, held = [], [], 0
+        if keys:
             yield flushed()
+        del keys, ids
+        store.give_back()
 
-    return (
-        documents.select(
-            F.col("doc_id").cast("string").alias("doc_key"),
-            F.xxhash64("text").alias("text_hash"),
-            "text",
-        )
-        .mapInPandas(
-            run, "doc_key string, text_hash long, file string, begin long, n_tokens long"
-        )
-        .withColumn("doc_id", F.col("doc_key").cast("long"))
-        .drop("doc_key")
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    return documents.select(key.alias("key"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, text_hash long, file string, begin long, n_tokens long"
     )
 
 
@@ -146,6 +140,7 @@ def write_shards(
         file = store.write_file(place, encode(np.concatenate(parts), table.astype("<i8")))
         return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "path": [file]})
 
+    # as text: pandas would turn a null beside integers into a float
     by_file = placed.withColumn("doc_key", F.col("doc_id").cast("string"))
     cut = (
         by_file.repartition(tasks, "file")

@@ -12,9 +12,11 @@ import json
 import os
 import unicodedata
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 from pagemill.llm.words import Words, WordTable
 
@@ -195,6 +197,16 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def encoded_rows(
+    batches: Iterator[pa.RecordBatch], path: str, at_once: int = 256
+) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(first column, ids of the second) of each row; a few rows of a batch are encoded at a time."""
+    for batch in batches:
+        for at in range(0, len(batch), at_once):
+            part = batch.slice(at, at_once)
+            yield from zip(part.column(0).to_pylist(), encoder(path).encode(part.column(1).to_pylist()))
+
+
 def crc32(ids: np.ndarray) -> int:
     """CRC-32 of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
