@@ -2,7 +2,8 @@
 
 Each stage takes the documents that the one before kept, written as a table in
 the shared folder and read again, so a lost executor costs no more than its
-tasks of the running stage.
+tasks of the running stage. All stages take documents of any length, repeated
+rows and ids, null ids and texts, further columns of any name, and no rows at all.
 """
 
 from __future__ import annotations
@@ -31,22 +32,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates; those without words all stay."""
     return without_near_duplicates(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents with pseudonyms in place of personal data."""
+    """The same documents with pseudonyms in place of personal data; null texts stay null."""
     return pseudonymised(docs, pseudonym_key(spark))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document as often as the mix of sources takes it: not at all, once or twice."""
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences, with their token ids."""
+    """Pieces of documents in sequences, with their token ids; a null text is its end id."""
     return pack(docs)
 
 
@@ -59,8 +60,7 @@ STAGES: list[tuple[str, Stage]] = [
 ]
 
 # language models, sampled signatures and tokens are not expressible in SQL:
-# tests/llm/test_queries.py checks given ids and columns of each stage on small documents, and
-# the tests of the operators check them one by one; no brute-force version of run() exists
+# tests/llm/test_pipeline.py compares each stage with a brute-force version on its own input
 ORACLE_SQL: str | None = None
 
 
