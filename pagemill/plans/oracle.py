@@ -261,6 +261,20 @@ def oracle() -> dict[str, str]:
             FROM documents LEFT JOIN labels USING (doc_id)""",
         "stream_fetch": f"SELECT DISTINCT {ARCHIVE} AS basename, 'downloaded' AS status FROM pages",
         "fetch_local": f"""SELECT DISTINCT {ARCHIVE} AS basename, 'downloaded' AS status, true AS whole FROM pages""",
+        "arc_read": f"""WITH {PAGE_TEXT} SELECT page_id, archive AS basename, 'response' AS rec_type, text
+            FROM (SELECT page_id, text, {RECORD_COLUMNS}, {ARCHIVE} AS archive FROM page_text)
+            WHERE coalesce(content_type, '') LIKE '%html%' AND length(text) >= 100""",
+        "missing_archives": f"""SELECT DISTINCT {ARCHIVE} AS basename,
+            CASE WHEN page_id % 8 % 3 = 1 THEN 'missing' END AS reason FROM pages""",
+        "own_extractor": f"""SELECT basename, rec_offset, text, 'own' AS route FROM (
+                SELECT {RECORD_COLUMNS}, regexp_replace(html, '<[^>]*>', '|', 'g') AS text FROM pages)
+            WHERE {IS_HTML} AND length(text) >= 100""",
+        "state_defaults": """SELECT CAST(CASE WHEN s_suppkey % 4 < 2 THEN s_suppkey ELSE -1 END AS BIGINT) AS key,
+            CASE s_suppkey % 4 WHEN 0 THEN 'a,b' WHEN 2 THEN '' ELSE 'nobody' END AS names FROM supplier""",
+        "stream_in_flight": f"""
+            WITH a AS (SELECT count(DISTINCT {ARCHIVE}) AS n FROM pages)
+            SELECT CAST(3 AS BIGINT) AS files, n // 3 AS batches FROM a WHERE n >= 3
+            UNION ALL SELECT n % 3, CAST(1 AS BIGINT) FROM a WHERE n % 3 > 0""",
         "clean_run": CLEAN_VALUES,
         "pipeline_run": CLEAN_VALUES,
         "clean_run_repeated": CLEAN_VALUES,

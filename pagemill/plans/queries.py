@@ -290,6 +290,42 @@ def _archives(spark: SparkSession, sf: str, folder: str | None = None) -> str:
     return folder
 
 
+def arc_read(spark, sf):
+    """Pages written in the older archive format, where every record is a response."""
+    folder = scratch_dir(spark, "archives")
+    write_archives(_archive_rows(spark, sf), folder, arc=True)
+    scan = scan_archives(archive_listing(spark, folder), html_only=True, split_bytes=QUERY_SPLIT)
+    return clean_pages(records(scan)).select(
+        F.col("http_headers")["x-position"].cast("bigint").alias("page_id"), "basename", "rec_type", "text"
+    )
+
+
+def missing_archives(spark, sf):
+    """A third of the listed archives is not there: they are failures, the others are done."""
+    layout = Layout(scratch_dir(spark, "run"))
+    files = archive_listing(spark, _archives(spark, sf))
+    gone = F.regexp_extract("basename", "part-([0-9])", 1).cast("int") % 3 == 1
+    elsewhere = F.regexp_replace("path", "/([^/]+)$", "/gone/$1")
+    run_batch(
+        spark, files.withColumn("path", F.when(gone, elsewhere).otherwise(F.col("path"))), layout,
+        split_bytes=QUERY_SPLIT,
+    )
+    done = ledger_rows(spark, layout).select("basename", F.lit(None).cast("string").alias("reason"))
+    return done.unionByName(retry_table(spark, layout).select("basename", "reason"))
+
+
+def own_extractor(spark, sf):
+    """Pages cleaned by another extractor, any column function with the result type of the default."""
+
+    def tags_marked(payload):
+        text = F.regexp_replace(payload, "<[^>]*>", "|")
+        return F.struct(text.alias("text"), F.lit("own").alias("route"), F.lit(1).alias("n_segments"))
+
+    rows = with_record_columns(table(spark, sf, "pages", "page_id", "html"))
+    kept = clean_pages(html_records(rows), extractor=tags_marked)
+    return kept.select("basename", "rec_offset", "text", "route")
+
+
 # ---- corpus and metrics ----------------------------------------------------
 
 
@@ -491,6 +527,26 @@ def state_json_roundtrip(spark, sf):
     return state_json.tracked_names(documents)
 
 
+STATE_KEYS = "key BIGINT, names ARRAY<STRING>"
+
+
+def state_defaults(spark, sf):
+    """State documents of which some lack a key and some cannot be read, with defaults of our own."""
+    folder = scratch_dir(spark, "state")
+    table(spark, sf, "supplier", "s_suppkey").select(
+        "s_suppkey",
+        F.expr(
+            "CASE s_suppkey % 4 WHEN 0 THEN concat('{\"key\": ', s_suppkey, ', \"names\": [\"a\", \"b\"]}') "
+            "WHEN 1 THEN concat('{\"key\": ', s_suppkey, '}') WHEN 2 THEN '{\"names\": []}' "
+            "ELSE concat('{\"key\": ', s_suppkey, ', ') END"
+        ).alias("value"),
+    ).write.partitionBy("s_suppkey").text(folder)
+    defaults = {"key": F.lit(-1).cast("bigint"), "names": F.array(F.lit("nobody"))}
+    schema = spark.createDataFrame([], STATE_KEYS).schema
+    documents = state_json.read_state_json(spark, folder, schema, defaults)
+    return documents.select("key", F.array_join("names", ",").alias("names"))
+
+
 def fetch_local(spark, sf):
     source = _archives(spark, sf)
     layout = Layout(scratch_dir(spark, "run"))
@@ -685,6 +741,15 @@ def stream_clean(spark, sf):
     return clean_corpus(spark, layout).select("basename", "value")
 
 
+def stream_in_flight(spark, sf):
+    """How many archives each batch of the stream took, with at most three admitted at a time."""
+    layout = Layout(scratch_dir(spark, "run"))
+    _archives(spark, sf, layout.landing)
+    streams.clean_stream(spark, layout, files_per_batch=3).awaitTermination()
+    batches = ledger_rows(spark, layout).groupBy("batch").agg(F.count("*").alias("files"))
+    return batches.groupBy("files").agg(F.count("*").alias("batches"))
+
+
 CORES_PER_NODE = 75
 
 
@@ -764,6 +829,11 @@ QUERIES: dict[str, Query] = {
     "stream_retry": stream_retry,
     "stream_set_apart": stream_set_apart,
     "retry_state": retry_state,
+    "arc_read": arc_read,
+    "missing_archives": missing_archives,
+    "own_extractor": own_extractor,
+    "state_defaults": state_defaults,
+    "stream_in_flight": stream_in_flight,
     "clean_run": clean_run,
     "stream_clean": stream_clean,
     "active_workers": active_workers,

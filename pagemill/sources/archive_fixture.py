@@ -20,13 +20,19 @@ def warc_record(rec_type: str, uri: str, block: bytes, content_type: str | None)
     return head.encode() + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
 
 
+def arc_record(uri: str, block: bytes, content_type: str | None) -> bytes:
+    """A record of the older format: one line of fields, then the block."""
+    head = f"{uri} 0.0.0.0 20240101000000 {(content_type or 'no-type').split(';')[0]} {len(block)}\n"
+    return head.encode() + block + b"\n"
+
+
 def http_block(headers: dict[str, str], body: bytes) -> bytes:
     lines = "".join(f"{k}: {v}\r\n" for k, v in headers.items())
     return b"HTTP/1.1 200 OK\r\n" + lines.encode() + b"\r\n" + body
 
 
-def write_archives(rows: DataFrame, folder: str) -> None:
-    """rows(basename, rec_offset, rec_type, content_type, url, payload STRING) -> one gzip WARC each.
+def write_archives(rows: DataFrame, folder: str, arc: bool = False) -> None:
+    """rows(basename, rec_offset, rec_type, content_type, url, payload STRING) -> one gzip WARC (or ARC) each.
 
     The caller bounds the rows of a basename; a task streams its archives to
     disk one after the other. Headers are kept for resource records too.
@@ -52,9 +58,12 @@ def write_archives(rows: DataFrame, folder: str) -> None:
                 if r["content_type"] is not None:
                     headers["Content-Type"] = r["content_type"]
                 block = http_block(headers, r["payload"].encode("utf-8"))
-                record = warc_record(
-                    r["rec_type"], r["url"], block, f"application/http; msgtype={r['rec_type']}"
-                )
+                if arc:
+                    record = arc_record(r["url"], block, r["content_type"])
+                else:
+                    record = warc_record(
+                        r["rec_type"], r["url"], block, f"application/http; msgtype={r['rec_type']}"
+                    )
                 sink.write(gzip.compress(record, 6, mtime=0))
                 count += 1
         finish()
