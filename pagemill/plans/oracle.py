@@ -224,6 +224,8 @@ def oracle() -> dict[str, str]:
             r AS (SELECT user_id, max(event_id) AS back FROM e WHERE event_type = 'error' GROUP BY 1)
             SELECT user_id, arg_min(bytes, event_id) AS bytes FROM e LEFT JOIN r USING (user_id)
             WHERE event_type = 'purchase' AND event_id > coalesce(back, -1) GROUP BY 1""",
+        "skip_cleaned_sketch": """SELECT doc_id, source, n_chars FROM documents d
+            WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "skip_cleaned": """SELECT doc_id, source, n_chars FROM documents d
             WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "output_exists_skip": f"""SELECT 'f' || doc_id AS basename, n_chars AS length FROM documents

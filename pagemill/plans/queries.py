@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagemill.constants import RECORD_SEPARATOR
 from pagemill.functions import text as fn
-from pagemill.operators import activity, corpus, ledger, manifest, retries
+from pagemill.operators import activity, corpus, ledger, manifest, retries, sketch
 from pagemill.operators.records import clean_pages, extract_pages, html_records
 from pagemill.plans.batch import (
     COUNTERS,
@@ -426,6 +426,16 @@ def skip_cleaned(spark, sf):
     return manifest.skip_cleaned(documents, table(spark, sf, "labels", "doc_id"), "doc_id")
 
 
+def skip_cleaned_sketch(spark, sf):
+    """The same through a sketch of the ledger's names, put together from those of its batches."""
+    documents = table(spark, sf, "documents", "doc_id", "source", "n_chars")
+    ledger = table(spark, sf, "labels", "doc_id")
+    bits = sketch.BITS_PER_NAME * max(1, ledger.count())
+    batches = [sketch.key_sketch(ledger.where(F.col("doc_id") % 2 == b), bits, "doc_id") for b in (0, 1)]
+    known = sketch.merged_sketches(*batches)
+    return sketch.skip_cleaned_by_sketch(documents, ledger, known, bits, "doc_id")
+
+
 def output_exists_skip(spark, sf):
     files = table(spark, sf, "documents", "doc_id", "n_chars").selectExpr(
         "concat('f', doc_id) AS basename", "n_chars AS length"
@@ -810,6 +820,7 @@ QUERIES: dict[str, Query] = {
     "distinct_names": distinct_names,
     "download_revert": download_revert,
     "skip_cleaned": skip_cleaned,
+    "skip_cleaned_sketch": skip_cleaned_sketch,
     "output_exists_skip": output_exists_skip,
     "size_lookup": size_lookup,
     "dedupe_basename": dedupe_basename,
