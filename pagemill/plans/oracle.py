@@ -138,6 +138,12 @@ ACTIVE = f"""SELECT worker, CASE WHEN worker < {CORES_PER_NODE} THEN 'N0' ELSE '
 CLEAN_VALUES = f"WITH {CLEAN} SELECT archive AS basename, text AS value FROM clean"
 CORPUS_ROWS = f"WITH {CLEAN} SELECT basename, rec_offset // {CORPUS_SPAN} AS chunk, text AS value FROM clean"
 
+DOWNLOAD_REVERT = """WITH e AS (SELECT user_id, event_id, event_type,
+              CAST(round(value * 100) AS BIGINT) AS bytes FROM events),
+            r AS (SELECT user_id, max(event_id) AS back FROM e WHERE event_type = 'error' GROUP BY 1)
+            SELECT user_id, arg_min(bytes, event_id) AS bytes FROM e LEFT JOIN r USING (user_id)
+            WHERE event_type = 'purchase' AND event_id > coalesce(back, -1) GROUP BY 1"""
+
 _WORDS = "string_split(p_name, ' ')"
 
 
@@ -219,11 +225,8 @@ def oracle() -> dict[str, str]:
             UNION ALL SELECT 'WARCs Cleaned', CAST(total_warc_successfully_cleaned_count AS VARCHAR) FROM s""",
         "distinct_names": f"""SELECT {base('url')} AS basename FROM pages
             UNION SELECT source FROM documents ORDER BY 1""",
-        "download_revert": """WITH e AS (SELECT user_id, event_id, event_type,
-              CAST(round(value * 100) AS BIGINT) AS bytes FROM events),
-            r AS (SELECT user_id, max(event_id) AS back FROM e WHERE event_type = 'error' GROUP BY 1)
-            SELECT user_id, arg_min(bytes, event_id) AS bytes FROM e LEFT JOIN r USING (user_id)
-            WHERE event_type = 'purchase' AND event_id > coalesce(back, -1) GROUP BY 1""",
+        "download_revert": DOWNLOAD_REVERT,
+        "stream_download_revert": DOWNLOAD_REVERT,
         "skip_cleaned_sketch": """SELECT doc_id, source, n_chars FROM documents d
             WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
         "skip_cleaned": """SELECT doc_id, source, n_chars FROM documents d

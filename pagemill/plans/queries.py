@@ -760,6 +760,27 @@ def stream_in_flight(spark, sf):
     return batches.groupBy("files").agg(F.count("*").alias("batches"))
 
 
+def stream_download_revert(spark, sf):
+    """The download in effect of each file, from a stream of events."""
+    schema = table(spark, sf, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    folder = scratch_dir(spark, "effects")
+    streams.effect_stream(
+        events.where("event_type IN ('purchase', 'error')").selectExpr(
+            "user_id AS key",
+            "event_id AS seq",
+            "CAST(round(value * 100) AS BIGINT) AS amount",
+            "ts AS at",
+            "CASE event_type WHEN 'error' THEN 'reverted' ELSE 'downloaded' END AS kind",
+        ),
+        f"{folder}/view",
+        f"{folder}/checkpoint",
+        delay="400 days",
+    ).awaitTermination()
+    view = streams.effect_view(spark, f"{folder}/view")
+    return view.select(F.col("key").cast("bigint").alias("user_id"), F.col("amount").alias("bytes"))
+
+
 CORES_PER_NODE = 75
 
 
@@ -849,4 +870,5 @@ QUERIES: dict[str, Query] = {
     "stream_clean": stream_clean,
     "active_workers": active_workers,
     "stream_active_workers": stream_active_workers,
+    "stream_download_revert": stream_download_revert,
 }

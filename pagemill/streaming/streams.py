@@ -18,8 +18,10 @@ from pagemill.operators.retries import Retry
 from pagemill.plans.batch import Layout, run_batch, run_fetch
 from pagemill.plans.retry import run_retries
 from pagemill.streaming.active import CHANGES_DDL, LATE_SECONDS, ActiveWorkers, name_place, named_place
+from pagemill.streaming.downloads import EFFECTS_DDL, DownloadsInEffect
 
 VIEW_DDL = "worker BIGINT, node STRING, filename STRING"
+EFFECT_DDL = "key STRING, amount BIGINT"
 VIEW_SLOTS = 4  # a reader has as many batches' time, less one, before its place is written again
 # state in RocksDB; no batches without messages, which would follow one another without end
 _STATE_SETTINGS = {
@@ -150,7 +152,6 @@ def active_worker_stream(
     Each batch writes the view to another place and then names that place, so
     that readers never meet a table that is being written.
     """
-    spark = messages.sparkSession
     changes = (
         messages.select("worker", "seq", "filename", "status")
         .groupBy("worker")
@@ -158,19 +159,49 @@ def active_worker_stream(
             ActiveWorkers(late_seconds), CHANGES_DDL, outputMode="Update", timeMode="ProcessingTime"
         )
     )
+    node = node_label("worker", cores_per_node).alias("node")
+    return _view_stream(
+        changes, table, checkpoint, drain, CHANGES_DDL, VIEW_DDL, ["worker", node, "filename"]
+    )
+
+
+def effect_stream(
+    events: DataFrame, table: str, checkpoint: str, delay: str = "1 day", drain: bool = True
+) -> StreamingQuery:
+    """Stream of events(key, seq, amount, at, kind) -> the download in effect of each file, see `effect_view`.
+
+    Events may come in any order that keeps them within `delay` of the latest; those that come
+    later are left out.
+    """
+    changes = (
+        events.selectExpr("CAST(key AS STRING) AS key", "seq", "amount", "at", "kind")
+        .withWatermark("at", delay)
+        .groupBy("key")
+        .transformWithStateInPandas(
+            DownloadsInEffect(), EFFECTS_DDL, outputMode="Update", timeMode="EventTime"
+        )
+    )
+    return _view_stream(changes, table, checkpoint, drain, EFFECTS_DDL, EFFECT_DDL, ["key", "amount"])
+
+
+def _view_stream(
+    changes: DataFrame, table: str, checkpoint: str, drain: bool, ddl: str, view_ddl: str, columns: list
+) -> StreamingQuery:
+    """Changes of keyed state (the first column: key; seq; active: whether the key stays) -> view of all keys."""
+    spark = changes.sparkSession
+    key = changes.columns[0]
+    values = [c for c in changes.columns if c not in (key, "seq", "active")]
 
     def each(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         # written first: the plan of the batch changes the state whenever it runs
         batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{table}/changes")
-        changed = session.read.schema(CHANGES_DDL).parquet(f"{table}/changes")
-        last = changed.groupBy("worker").agg(F.max_by(F.struct("filename", "active"), "seq").alias("c"))
+        changed = session.read.schema(ddl).parquet(f"{table}/changes")
+        last = changed.groupBy(key).agg(F.max_by(F.struct(*values, "active"), "seq").alias("c"))
         place = f"{table}/slot={batch_id % VIEW_SLOTS}"
-        began = last.where("c.active").select("worker", "c.filename")
-        before = active_names(session, table).join(last, "worker", "left_anti")
-        rows = before.unionByName(began).select(
-            "worker", node_label("worker", cores_per_node).alias("node"), "filename"
-        )
+        began = last.where("c.active").select(key, *[f"c.{v}" for v in values])
+        before = _view(session, table, view_ddl).select(key, *values).join(last, key, "left_anti")
+        rows = before.unionByName(began).select(*columns)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(place)
         name_place(table, place)
 
@@ -190,11 +221,16 @@ def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def _view(spark: SparkSession, table: str, ddl: str) -> DataFrame:
+    place = named_place(table)
+    return spark.read.schema(ddl).parquet(place) if place else spark.createDataFrame([], ddl)
+
+
 def active_view(spark: SparkSession, table: str) -> DataFrame:
     """worker, node, filename as of the last batch of the stream; no rows before the first."""
-    place = named_place(table)
-    return spark.read.schema(VIEW_DDL).parquet(place) if place else spark.createDataFrame([], VIEW_DDL)
+    return _view(spark, table, VIEW_DDL)
 
 
-def active_names(spark: SparkSession, table: str) -> DataFrame:
-    return active_view(spark, table).select("worker", "filename")
+def effect_view(spark: SparkSession, table: str) -> DataFrame:
+    """key, amount: files with a download in effect, as of the last batch of the stream."""
+    return _view(spark, table, EFFECT_DDL)

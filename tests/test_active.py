@@ -57,4 +57,4 @@ def test_settings_of_the_session_stay(spark, tmp_path):
     before = [spark.conf.get(key, None) for key in streams._STATE_SETTINGS]
     run(spark, tmp_path, [[(1, 1, "a", "start")]])
     assert [spark.conf.get(key, None) for key in streams._STATE_SETTINGS] == before
-    assert streams.active_names(spark, str(tmp_path / "view")).where(F.col("worker") == 1).count() == 1
+    assert streams.active_view(spark, str(tmp_path / "view")).where(F.col("worker") == 1).count() == 1
