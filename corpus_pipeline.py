@@ -20,6 +20,9 @@ from pagemill.llm.packing import pack
 from pagemill.llm.pii import pseudonymised
 from pagemill.llm.queries import pseudonym_key
 
+# rows that go to Python at once: documents are long, and memory is for the work on them
+ROWS_AT_ONCE = 1000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -51,12 +54,20 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs)
 
 
+def _bounded(stage: Stage) -> Stage:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("language ID", language_id),
-    ("MinHash near-dedup", near_dedup),
-    ("PII", pii),
-    ("mixing", mixing),
-    ("packing", packing),
+    ("language ID", _bounded(language_id)),
+    ("MinHash near-dedup", _bounded(near_dedup)),
+    ("PII", _bounded(pii)),
+    ("mixing", _bounded(mixing)),
+    ("packing", _bounded(packing)),
 ]
 
 # language models, sampled signatures and tokens are not expressible in SQL:
