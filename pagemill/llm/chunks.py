@@ -231,6 +231,8 @@ def answered(
         cuts = np.cumsum([len(p) for p in parts])[:-1]
         out = batch[["chunk", "bucket"]].copy()
         out["answer"] = [x.tobytes() for x in np.split(result, cuts)]
+        del parts, group, arrays, result
+        store.give_back()
         return out
 
     return rows.groupBy("bucket").applyInPandas(run, "chunk string, bucket long, answer binary")

@@ -259,6 +259,7 @@ def _similarities(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 values.append(least / (weight_a[i] + weight_b[i] - least))
             columns = [batch.column("a"), batch.column("b"), pa.array(values, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "similarity"])
+        store.give_back()
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
     return joined.mapInArrow(run, "a binary, b binary, similarity double")

@@ -99,6 +99,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        store.give_back()  # what an earlier stage left in this worker
         next_id = TaskContext.get().partitionId() << 33
         keys, ids, held = [], [], 0
         for key, doc in encoded_rows(batches, path):
@@ -109,7 +110,9 @@ def pack(
                 rows, used = _packed(keys, ids, size, next_id)
                 keys, ids, held = [], [], 0
                 yield rows
+                del rows
                 next_id += used
+                store.give_back()
         if keys:
             yield _packed(keys, ids, size, next_id)[0]
         del keys, ids

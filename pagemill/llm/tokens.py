@@ -23,7 +23,7 @@ from pagemill.llm.words import Words, WordTable
 END_ID = 2  # appended to every document
 VOCABULARY = "word_bpe_49k.json"
 
-_KEPT_WORDS = 600_000  # words a worker remembers; beyond it, it drops those met once
+_KEPT_WORDS = 400_000  # words a worker remembers; beyond it, it drops those met once
 _KEPT_IDS = 8_000_000
 _SLAB = 1 << 18  # bytes of texts that are looked up together; a longer text is a slab of its own
 _TOGETHER = 200  # words encoded in one string; much longer strings fall out of the processor's cache
