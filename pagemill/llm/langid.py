@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm import store
-
+from pagemill.llm.tokens import encoder
 
 FEATURES = 1 << 16
 NGRAMS = 3
@@ -147,6 +147,8 @@ def train(
     labelled = labelled.where("share < taken")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder.cache_clear()  # what an earlier stage left in this worker
+        store.give_back()
         counts: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
         for batch in batches:
@@ -202,6 +204,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         lang = np.full(len(text), UNKNOWN, object)
         score = np.zeros(len(text))
+        encoder.cache_clear()  # what an earlier stage left in this worker
         store.give_back()
         rows = [i for i, t in enumerate(text) if t and any(map(str.isalpha, t))]
         if rows and m.languages:
