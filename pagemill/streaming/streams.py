@@ -174,7 +174,7 @@ def effect_stream(
     later are left out.
     """
     changes = (
-        events.selectExpr("CAST(key AS STRING) AS key", "seq", "amount", "at", "kind")
+        events.selectExpr("CAST(key AS STRING) AS key", "seq", "amount", "CAST(at AS TIMESTAMP) AS at", "kind")
         .withWatermark("at", delay)
         .groupBy("key")
         .transformWithStateInPandas(
