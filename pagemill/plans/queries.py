@@ -543,17 +543,18 @@ STATE_KEYS = "key BIGINT, names ARRAY<STRING>"
 def state_defaults(spark, sf):
     """State documents of which some lack a key and some cannot be read, with defaults of our own."""
     folder = scratch_dir(spark, "state")
-    table(spark, sf, "supplier", "s_suppkey").select(
-        "s_suppkey",
+    # a document a supplier, but not a file each: there may be hundreds of thousands
+    documents = table(spark, sf, "supplier", "s_suppkey").distinct().select(
         F.expr(
             "CASE s_suppkey % 4 WHEN 0 THEN concat('{\"key\": ', s_suppkey, ', \"names\": [\"a\", \"b\"]}') "
             "WHEN 1 THEN concat('{\"key\": ', s_suppkey, '}') WHEN 2 THEN '{\"names\": []}' "
             "ELSE concat('{\"key\": ', s_suppkey, ', ') END"
         ).alias("value"),
-    ).write.partitionBy("s_suppkey").text(folder)
+    )
+    state_json.write_documents(documents, folder)
     defaults = {"key": F.lit(-1).cast("bigint"), "names": F.array(F.lit("nobody"))}
     schema = spark.createDataFrame([], STATE_KEYS).schema
-    documents = state_json.read_state_json(spark, folder, schema, defaults)
+    documents = state_json.read_state_json(spark, folder, schema, defaults, many_per_file=True)
     return documents.select("key", F.array_join("names", ",").alias("names"))
 
 

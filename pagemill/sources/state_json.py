@@ -17,6 +17,7 @@ from pyspark.sql.types import (
 from pagemill.constants import STATS_COUNTERS, STATS_NAMES, STATS_TIMES, TRACKER_NAMES
 
 NAMES_PER_DOCUMENT = 10_000
+DOCUMENT_END = "\x1e"  # the record separator: JSON has it nowhere, not even inside a string
 
 STATS_SCHEMA = StructType(
     [StructField(c, LongType()) for c in STATS_COUNTERS]
@@ -40,11 +41,21 @@ def tracker_defaults() -> dict[str, Column]:
 
 
 def read_state_json(
-    spark: SparkSession, path: str, schema: StructType, defaults: Mapping[str, Column]
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    defaults: Mapping[str, Column],
+    many_per_file: bool = False,
 ) -> DataFrame:
-    """One row per document; an unreadable document, or an absent key, gives the default."""
+    """One row per document; an unreadable document, or an absent key, gives the default.
+
+    A file is one document or, with `many_per_file`, any number of them, each followed by
+    DOCUMENT_END (see `write_documents`).
+    """
     read = StructType(schema.fields + [StructField("_corrupt_record", StringType())])
-    rows = spark.read.schema(read).option("multiLine", "true").json(path)
+    reader = spark.read.schema(read)
+    reader = reader.option("lineSep", DOCUMENT_END) if many_per_file else reader.option("multiLine", "true")
+    rows = reader.json(path)
     return rows.select(*(F.coalesce(c, defaults[c]).alias(c) for c in schema.fieldNames()))
 
 
@@ -66,6 +77,11 @@ def write_state_json(documents: DataFrame, path: str) -> None:
     )
 
 
+def write_documents(texts: DataFrame, path: str) -> None:
+    """texts(value): documents as they are, whole or not, as many to a file as a task has."""
+    texts.select("value").write.mode("overwrite").option("lineSep", DOCUMENT_END).text(path)
+
+
 def name_documents(
     names: DataFrame, field: str = TRACKER_NAMES, per_document: int = NAMES_PER_DOCUMENT
 ) -> DataFrame:

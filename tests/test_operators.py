@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagemill.constants import RECORD_SEPARATOR
 from pagemill.operators import activity, corpus, ledger, manifest
 from pagemill.operators.records import clean_pages, html_records
+from pagemill.plans import queries
 from pagemill.sources import state_json
 
 
@@ -273,3 +274,28 @@ def test_stats_defaults(spark, tmp_path):
         spark, str(tmp_path / "s.json"), state_json.STATS_SCHEMA, state_json.stats_defaults(now)
     )
     assert tuple(got.first()) == (5, 0, 0, 0, "2024-01-01T00:00:00", "2025-01-01T00:00:00", [])
+
+
+def test_documents_share_files(spark, tmp_path):
+    texts = frame(
+        spark, "value STRING",
+        *((f'{{\n "cleaned_warc_basenames" :\n ["n{i}"]}}',) for i in range(300)), ("{ broken",), ("{}",), (None,),
+    ).coalesce(2)
+    folder = tmp_path / "documents"
+    state_json.write_documents(texts, str(folder))
+    assert len(list(folder.glob("*.txt"))) == 2
+    got = state_json.read_state_json(
+        spark, str(folder), state_json.TRACKER_SCHEMA, state_json.tracker_defaults(), many_per_file=True
+    )
+    assert sorted(r[0] for r in got.collect()) == sorted([["n%d" % i] for i in range(300)] + [[], []])
+
+
+def test_state_defaults_makes_no_file_a_supplier(spark, tmp_path, monkeypatch):
+    keys = [(i,) for i in range(400)] + [(3,), (None,)]  # a document a key, none without
+    frame(spark, "s_suppkey BIGINT", *keys).coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, purpose: str(tmp_path / purpose))
+    rows = [tuple(r) for r in queries.state_defaults(spark, str(tmp_path)).collect()]
+    names = ("a,b", "nobody", "", "nobody")
+    wanted = [(i if i % 4 < 2 else -1, names[i % 4]) for i in range(400)]
+    assert sorted(rows) == sorted(wanted)
+    assert len(list((tmp_path / "state").rglob("*.txt"))) < 20
