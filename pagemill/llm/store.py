@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import uuid
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.session import scratch_dir
+from pagemill.session import give_back, scratch_dir  # noqa: F401
 from pagemill.sources import files
 
 
@@ -46,13 +43,6 @@ def read_file(path: str) -> bytes:
         return file.read()
 
 
-def give_back() -> None:
-    """Return freed memory to the system: Python workers live on between tasks and stages."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(AttributeError, OSError):  # only where the C library has it
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def free_name(frame: DataFrame, name: str) -> str:
     """`name`, with underscores put before it until no column has it."""
     taken = {c.lower() for c in frame.columns}

@@ -22,7 +22,7 @@ from pagemill.operators import corpus as corpus_ops
 from pagemill.operators import ledger as ledger_ops
 from pagemill.operators import manifest as manifest_ops
 from pagemill.operators.records import extract_pages
-from pagemill.session import shared_dir
+from pagemill.session import PAGE_BATCHES, settings, shared_dir
 from pagemill.sources.fetch import FETCH_DDL, fetch, lookup_sizes
 from pagemill.sources.state_json import name_documents, write_state_json
 from pagemill.sources.warc import SPLIT_BYTES, broken_splits, scan_archives, scan_size
@@ -381,7 +381,8 @@ def _stage(
     kept = extract_pages(scan, "payload", min_len, extractor).where(
         (F.col("kind") != "record") | (F.col("route") == "error") | (F.length("text") >= min_len)
     )
-    return _materialize(kept, folder)
+    with settings(files.sparkSession, PAGE_BATCHES):
+        return _materialize(kept, folder)
 
 
 def clean_corpus(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -20,6 +24,12 @@ SETTINGS = {
     "spark.sql.python.filterPushdown.enabled": "true",
 }
 
+# for the steps that pass whole pages to Python, in whatever session they run
+PAGE_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
+}
+
 
 def session(master: str | None = None, app: str = "pagemill", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -30,6 +40,26 @@ def session(master: str | None = None, app: str = "pagemill", **extra: str) -> S
     return builder.getOrCreate()
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """These settings, until the block ends."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str | None:
     """The folder the cluster names for intermediate data."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

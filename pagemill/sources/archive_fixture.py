@@ -10,8 +10,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.session import PAGE_BATCHES, give_back, settings
 from pagemill.sources.files import open_input, open_output, rename
 
+_ROWS_BYTES = 1024 * 1024  # of a batch that are Python objects at once
+
 
 def warc_record(rec_type: str, uri: str, block: bytes, content_type: str | None) -> bytes:
     head = f"WARC/1.0\r\nWARC-Type: {rec_type}\r\nWARC-Target-URI: {uri}\r\n"
@@ -31,6 +34,13 @@ def http_block(headers: dict[str, str], body: bytes) -> bytes:
     return b"HTTP/1.1 200 OK\r\n" + lines.encode() + b"\r\n" + body
 
 
+def batch_rows(batch: pa.RecordBatch, at_once: int = _ROWS_BYTES) -> Iterator[dict]:
+    """The rows of a batch, of which about `at_once` bytes are Python objects at a time."""
+    step = max(1, len(batch) * at_once // max(1, batch.nbytes))
+    for at in range(0, len(batch), step):
+        yield from batch.slice(at, step).to_pylist()
+
+
 def write_archives(rows: DataFrame, folder: str, arc: bool = False) -> None:
     """rows(basename, rec_offset, rec_type, content_type, url, payload STRING) -> one gzip WARC (or ARC) each.
 
@@ -49,7 +59,7 @@ def write_archives(rows: DataFrame, folder: str, arc: bool = False) -> None:
                 rename(f"{folder}/.{name}.{attempt}", f"{folder}/{name}")
 
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in batch_rows(batch):
                 if r["basename"] != name:
                     finish()
                     name = r["basename"]
@@ -67,16 +77,18 @@ def write_archives(rows: DataFrame, folder: str, arc: bool = False) -> None:
                 sink.write(gzip.compress(record, 6, mtime=0))
                 count += 1
         finish()
+        give_back()
         yield pa.RecordBatch.from_pydict({"n": pa.array([count], pa.int64())})
 
-    (
-        rows.select("basename", "rec_offset", "rec_type", "content_type", "url", "payload")
-        .repartition("basename")
-        .sortWithinPartitions("basename", "rec_offset")
-        .mapInArrow(write, "n BIGINT")
-        .agg(F.sum("n"))
-        .collect()
-    )
+    with settings(rows.sparkSession, PAGE_BATCHES):
+        (
+            rows.select("basename", "rec_offset", "rec_type", "content_type", "url", "payload")
+            .repartition("basename")
+            .sortWithinPartitions("basename", "rec_offset")
+            .mapInArrow(write, "n BIGINT")
+            .agg(F.sum("n"))
+            .collect()
+        )
 
 
 def copy_archives(archives: DataFrame, folder: str, missing_bytes: int = 0) -> None:

@@ -22,6 +22,7 @@ from pyspark.sql.datasource import (
 )
 
 from pagemill.functions.text import basename
+from pagemill.session import give_back
 from pagemill.sources.archive_reader import first_member, is_gzip, read_range
 from pagemill.sources.files import list_files, listed_files, open_input
 
@@ -149,6 +150,7 @@ def scan_archives(
                         r["path"], r["basename"], r["start"], r["stop"], html_only, with_payload
                     )
                 )
+                give_back()
 
     # ranges are tiny rows; a fixed number of partitions keeps AQE from merging them
     return ranges.repartition(tasks).mapInArrow(read, SCAN_DDL)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
-from collections.abc import Iterator
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +15,7 @@ from pagemill.operators.manifest import read_manifest, resolve_lines
 from pagemill.operators.retries import Retry
 from pagemill.plans.batch import Layout, run_batch, run_fetch
 from pagemill.plans.retry import run_retries
+from pagemill.session import settings
 from pagemill.streaming.active import CHANGES_DDL, LATE_SECONDS, ActiveWorkers, name_place, named_place
 from pagemill.streaming.downloads import EFFECTS_DDL, DownloadsInEffect
 
@@ -205,22 +204,10 @@ def _view_stream(
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(place)
         name_place(table, place)
 
-    with _settings(spark, _STATE_SETTINGS):  # a query takes them along when it starts
+    with settings(spark, _STATE_SETTINGS):  # a query takes them along when it starts
         return _start(changes.writeStream.outputMode("update").foreachBatch(each), checkpoint, drain)
 
 
-@contextlib.contextmanager
-def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 def _view(spark: SparkSession, table: str, ddl: str) -> DataFrame:
     place = named_place(table)
     return spark.read.schema(ddl).parquet(place) if place else spark.createDataFrame([], ddl)

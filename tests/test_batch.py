@@ -2,11 +2,12 @@ import json
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from pagemill.constants import RECORD_SEPARATOR
-from pagemill.functions.html import page_text
+from pagemill.functions.html import EXTRACT_TYPE, page_text
 from pagemill.plans import batch as plan
 from pagemill.plans.batch import FETCH_LOG_DDL, LEDGER_DDL, Layout
 from pagemill.sources.warc import archive_listing
@@ -354,3 +355,21 @@ def test_lost_ledger_is_written_anew(spark, tmp_path):
     counted = plan.run_batch(spark, files, layout, "two", at=AT())
     assert counted["records"] == 0  # only the archives without an output come again
     assert {r.basename for r in ledger(spark, layout).where("batch = 'two'").collect()} == {"short.warc.gz"}
+
+
+def test_extraction_takes_pages_in_batches_of_bounded_size(spark, tmp_path):
+    layout = Layout(str(tmp_path / "run"))
+    big = [response(b"<html><body>" + b"%d" % i * 500_000 + b"</body></html>") for i in range(40, 80)]
+    put(layout.landing, "big.warc.gz", members(*big))
+
+    @F.arrow_udf(EXTRACT_TYPE)
+    def batch_size(pages: pa.Array) -> pa.Array:
+        n = len(pages)
+        columns = [pa.array([f"{n} pages"] * n), pa.array(["own"] * n), pa.array([1] * n, pa.int32())]
+        return pa.StructArray.from_arrays(columns, names=["text", "route", "n_segments"])
+
+    files = archive_listing(spark, layout.landing)
+    own = batch_size.asNondeterministic()
+    assert plan.run_batch(spark, files, layout, "one", min_len=1, extractor=own)["records"] == 40
+    sizes = [int(r.value.split()[0]) for r in plan.clean_corpus(spark, layout).collect()]
+    assert len(sizes) == 40 and max(sizes) <= 18  # of a megabyte each

@@ -1,10 +1,12 @@
 import io
 import urllib.request
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 
 from pagemill.sources import files
+from pagemill.sources.archive_fixture import batch_rows
 from pagemill.sources.archive_reader import read_range
 from pagemill.sources.fetch import copy_file
 from tests.archives import members, page, put, response
@@ -84,3 +86,21 @@ def test_a_failed_copy_leaves_nothing(tmp_path, monkeypatch):
         copy_file("x://a", str(tmp_path / "a"), "1")
     assert [p.name for p in tmp_path.iterdir()] == ["a"]
     assert (tmp_path / "a").read_bytes() == b"older copy"
+
+
+def test_few_rows_of_a_batch_are_objects_at_once():
+    batch = pa.RecordBatch.from_pydict({"payload": ["x" * 1000] * 500, "n": list(range(500))})
+    taken = []
+
+    class Slices:
+        nbytes = batch.nbytes
+
+        def __len__(self):
+            return len(batch)
+
+        def slice(self, at, step):
+            taken.append(min(step, len(batch) - at))
+            return batch.slice(at, step)
+
+    rows = list(batch_rows(Slices(), at_once=50_000))
+    assert rows == batch.to_pylist() and max(taken) <= 50
