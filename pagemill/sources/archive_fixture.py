@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import gzip
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.constants import COPY_CHUNK_BYTES
 from pagemill.session import PAGE_BATCHES, give_back, settings
 from pagemill.sources.files import open_input, open_output, rename
 
@@ -41,6 +43,16 @@ def batch_rows(batch: pa.RecordBatch, at_once: int = _ROWS_BYTES) -> Iterator[di
         yield from batch.slice(at, step).to_pylist()
 
 
+def copy_start(source: BinaryIO, sink: BinaryIO, missing_bytes: int) -> None:
+    """Copy all but the last bytes, a chunk at a time."""
+    held = b""
+    while chunk := source.read(COPY_CHUNK_BYTES):
+        held += chunk
+        ready = max(0, len(held) - missing_bytes)
+        sink.write(held[:ready])
+        held = held[ready:]
+
+
 def write_archives(rows: DataFrame, folder: str, arc: bool = False) -> None:
     """rows(basename, rec_offset, rec_type, content_type, url, payload STRING) -> one gzip WARC (or ARC) each.
 
@@ -99,10 +111,8 @@ def copy_archives(archives: DataFrame, folder: str, missing_bytes: int = 0) -> N
         attempt = TaskContext.get().taskAttemptId()
         for batch in batches:
             for path, name in zip(*(c.to_pylist() for c in batch.columns)):
-                with open_input(path) as source:
-                    data = source.read()
-                with open_output(f"{folder}/.{name}.{attempt}") as sink:
-                    sink.write(data[: len(data) - missing_bytes])
+                with open_input(path) as source, open_output(f"{folder}/.{name}.{attempt}") as sink:
+                    copy_start(source, sink, missing_bytes)
                 rename(f"{folder}/.{name}.{attempt}", f"{folder}/{name}")
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 

@@ -6,7 +6,7 @@ import pyarrow.fs as pafs
 import pytest
 
 from pagemill.sources import files
-from pagemill.sources.archive_fixture import batch_rows
+from pagemill.sources.archive_fixture import batch_rows, copy_start
 from pagemill.sources.archive_reader import read_range
 from pagemill.sources.fetch import copy_file
 from tests.archives import members, page, put, response
@@ -88,6 +88,20 @@ def test_a_failed_copy_leaves_nothing(tmp_path, monkeypatch):
     assert (tmp_path / "a").read_bytes() == b"older copy"
 
 
+class _Chunks(io.BytesIO):
+    def read(self, size=-1):
+        assert 0 < size <= 1 << 20, "a file must not be read whole"
+        return super().read(size)
+
+
+@pytest.mark.parametrize("missing", [0, 40, (1 << 20) + 3])
+def test_cut_copies_hold_a_chunk(missing):
+    data = bytes(range(256)) * 12_001
+    sink = io.BytesIO()
+    copy_start(_Chunks(data), sink, missing)
+    assert sink.getvalue() == data[: len(data) - missing]
+
+
 def test_few_rows_of_a_batch_are_objects_at_once():
     batch = pa.RecordBatch.from_pydict({"payload": ["x" * 1000] * 500, "n": list(range(500))})
     taken = []
