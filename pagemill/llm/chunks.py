@@ -46,7 +46,11 @@ def write_chunks(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pagemill.llm.tokens import encoder  # which needs this module
+
         held, size = [], 0
+        encoder.cache_clear()  # what an earlier stage left in this worker
+        store.give_back()
 
         def flushed() -> pa.RecordBatch:
             rows, out = pa.Table.from_batches(held), io.BytesIO()
@@ -65,8 +69,11 @@ def write_chunks(
                 if size >= chunk_bytes:
                     yield flushed()
                     held, size = [], 0
+                    store.give_back()
         if held:
             yield flushed()
+        held = []
+        store.give_back()
 
     return store.written(
         documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(

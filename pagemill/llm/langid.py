@@ -159,6 +159,7 @@ def train(
                     for at in range(0, len(text), _SLAB):
                         for feature, _ in _features(_codes(text[at : at + _SLAB]), features):
                             held += np.bincount(feature, minlength=features)
+            store.give_back()
         if not counts:
             return
         yield pd.DataFrame(
@@ -213,6 +214,8 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
             lang[rows] = np.array(m.languages, object)[best]
             shifted = np.exp(logs - logs.max(axis=1, keepdims=True))
             score[rows] = 1 / shifted.sum(axis=1)
+            del logs, shifted
+        store.give_back()
         return pd.DataFrame({"lang_pred": pd.Series(lang, dtype=object), "score": score})
 
     names = [c for c in documents.columns if c not in ("lang_pred", "score")]
