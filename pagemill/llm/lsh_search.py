@@ -8,6 +8,10 @@ each table in the order of that chance, until the chances add up to what the
 wanted recall takes; r is estimated per query from a bounded sample. Candidates
 of all tables are compared by their exact inner product.
 
+Buckets with the same first slots are a cell. A block of queries goes to a cell
+once, with a bit for each query and bucket, however many buckets it visits there;
+the cell's vectors lie in blocks in the order of their buckets.
+
 Vectors are lifted to a common norm (topk.lifted), where the nearest one has the
 largest inner product, and queries are scaled to that norm.
 """
@@ -24,13 +28,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
 from pagemill.llm import topk
+from pagemill.session import settings
 
-TABLES = 3
-MISSED = 0.02  # share of neighbours that the estimate lets go
+TABLES = 1  # by the recall, one table that misses no more compares fewer vectors than three together
+MISSED = 0.01  # share of neighbours that the estimate lets go
 SAMPLE = 2048  # vectors from which widths and distances are estimated
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512
 BUCKET_ROWS = 256  # about the vectors in a bucket, which sets the number of projections
+CELL_SLOTS = 3  # projections that make a cell: at most so many copies of a query as there are cells
+ROWS_AT_ONCE = 16  # blocks that go to Python at once
 SEED = 7
 
 
@@ -59,20 +66,24 @@ class _Tables:
         self.width = 1.5 * np.maximum(np.broadcast_to(spread, (TABLES, self.count)), 1e-12)
         self.offset = rng.random((TABLES, self.count)) * self.width
         self.target = 1 - MISSED ** (1 / TABLES)
+        self.bits = min(62 // self.count, 30)  # of a slot in a bucket's number
+        self.shift = self.bits * max(0, self.count - CELL_SLOTS)
 
     def places(self, x: np.ndarray, table: int) -> np.ndarray:
         """Projections in units of slots."""
         return (x @ self.directions[table] + self.offset[table]) / self.width[table]
 
     def bucket(self, slots: np.ndarray) -> np.ndarray:
-        """One number for the slots of a bucket."""
-        number = np.zeros(slots.shape[:-1], np.uint64)
+        """One number for the slots of a bucket, in their order; the outermost slots are open."""
+        half = 1 << (self.bits - 1)
+        number = np.zeros(slots.shape[:-1], np.int64)
         for i in range(slots.shape[-1]):
-            number = number * np.uint64(0x9E3779B97F4A7C15) + slots[..., i].astype(np.int64).view(
-                np.uint64
-            )
-            number ^= number >> np.uint64(29)
-        return number.view(np.int64)
+            slot = np.clip(slots[..., i], -half, half - 1).astype(np.int64)
+            number = (number << self.bits) | (slot + half)
+        return number
+
+    def cell(self, bucket: np.ndarray) -> np.ndarray:
+        return bucket >> self.shift
 
     def distance(self, q: np.ndarray) -> np.ndarray:
         """About the distance of each query's k-th neighbour, rather too large than too small."""
@@ -82,7 +93,7 @@ class _Tables:
         return np.sqrt(np.maximum(np.partition(squares, place, axis=1)[:, place], 1e-18))
 
     def probes(self, q: np.ndarray, table: int) -> list[np.ndarray]:
-        """Buckets of each query, likeliest first."""
+        """Buckets of each query, the likeliest ones, in their order."""
         at, r = self.places(q, table), self.distance(q)
         out = []
         for place, radius in zip(at, r):
@@ -96,10 +107,10 @@ class _Tables:
                 slots = np.column_stack([np.repeat(slots, len(s), axis=0), np.tile(s, len(slots))])
                 # beginnings that hardly any wanted bucket has go at once
                 order = np.argsort(-chances, kind="stable")
-                keep = 1 + int(np.searchsorted(np.cumsum(chances[order]), 0.99 * chances.sum()))
+                keep = 1 + int(np.searchsorted(np.cumsum(chances[order]), 0.999 * chances.sum()))
                 chances, slots = chances[order[:keep]], slots[order[:keep]]
             enough = int(np.searchsorted(np.cumsum(chances), self.target)) + 1
-            out.append(self.bucket(slots[:enough]))
+            out.append(np.unique(self.bucket(slots[:enough])))
         return out
 
 
@@ -133,24 +144,29 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     single = isinstance(vectors.schema["embedding"].dataType.elementType, FloatType)
     kind = "<f4" if single else "<f8"  # as they came: nothing is lost
 
+    def as_rows(x: np.ndarray) -> list[bytes]:
+        data, size = x.astype(kind).tobytes(), dim * np.dtype(kind).itemsize
+        return [data[at : at + size] for at in range(0, len(data), size)]
+
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = topk.matrix(batch["v"], dim)
             up = topk.lifted(x, square)
-            data = [v.astype(kind).tobytes() for v in x]
+            data = as_rows(x)
             for t in range(TABLES):
-                slots = np.floor(tables.places(up, t))
+                bucket = tables.bucket(np.floor(tables.places(up, t)))
+                cell = tables.cell(bucket)
                 yield pd.DataFrame(
-                    {"tab": t, "bucket": tables.bucket(slots), "vec_id": batch["vec_id"], "x": data}
+                    {"tab": t, "cell": cell, "bucket": bucket, "vec_id": batch["vec_id"], "x": data}
                 )
 
     index = topk.kept(
         topk.blocks(
             rows.select("vec_id", "v").mapInPandas(
-                hashed, "tab int, bucket long, vec_id long, x binary"
+                hashed, "tab int, cell long, bucket long, vec_id long, x binary"
             ),
-            ["tab", "bucket", "vec_id"], BLOCK_ROWS, TABLES * n, ["tab", "bucket"],
-            "tab int, bucket long, block long, ids binary, xs binary",
+            ["tab", "bucket", "vec_id"], BLOCK_ROWS, TABLES * n, ["tab", "cell"],
+            "tab int, cell long, block long, ids binary, xs binary, bucket binary",
         ),
         "lsh-index",
     )
@@ -160,7 +176,7 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     def as_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = topk.matrix(batch["v"], dim)
-            yield pd.DataFrame({"vec_id": batch["vec_id"], "x": [v.astype(kind).tobytes() for v in x]})
+            yield pd.DataFrame({"vec_id": batch["vec_id"], "x": as_rows(x)})
 
     queries = topk.kept(
         topk.blocks(
@@ -186,18 +202,44 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
                     bucket = np.concatenate(lists)
                     order = np.argsort(bucket, kind="stable")
                     bucket, who = bucket[order], who[order]
-                    cuts = np.flatnonzero(np.diff(bucket)) + 1
-                    groups = np.split(who, cuts)
-                    yield pd.DataFrame(
-                        {
-                            "tab": t,
-                            "bucket": bucket[np.concatenate([[0], cuts])],
-                            "q_ids": [numbers[g].tobytes() for g in groups],
-                            "q_xs": [q[g].astype(kind).tobytes() for g in groups],
-                        }
-                    )
-
-    probes = queries.mapInPandas(probing, "tab int, bucket long, q_ids binary, q_xs binary")
+                    cell = tables.cell(bucket)
+                    cuts = np.flatnonzero(np.diff(cell)) + 1
+                    for a, b in zip([0, *cuts], [*cuts, len(cell)]):
+                        asking, row = np.unique(who[a:b], return_inverse=True)
+                        wanted, column = np.unique(bucket[a:b], return_inverse=True)
+                        visits = np.zeros((len(asking), len(wanted)), bool)
+                        visits[row, column] = True
+                        yield pd.DataFrame(
+                            {
+                                "tab": t,
+                                "cell": cell[a],
+                                "q_ids": [numbers[asking].tobytes()],
+                                "q_xs": [q[asking].astype(kind).tobytes()],
+                                "wanted": [wanted.tobytes()],
+                                "visits": [np.packbits(visits).tobytes()],
+                            }
+                        )
+
+    probes = queries.mapInPandas(
+        probing,
+        "tab int, cell long, q_ids binary, q_xs binary, wanted binary, visits binary",
+    )
+
+    def scored(q: np.ndarray, x: np.ndarray, row) -> np.ndarray:
+        """Inner products of each query with the vectors of the buckets that it visits."""
+        if row.wanted is None:
+            return q @ x.T
+        scores = np.full((len(q), len(x)), -np.inf)
+        wanted = np.frombuffer(row.wanted, "<i8")
+        bits = np.unpackbits(np.frombuffer(row.visits, np.uint8), count=len(q) * len(wanted))
+        visits = bits.reshape(len(q), -1).astype(bool)
+        buckets, first = np.unique(np.frombuffer(row.bucket, "<i8"), return_index=True)
+        place = np.minimum(np.searchsorted(wanted, buckets), len(wanted) - 1)
+        ends = np.append(first[1:], len(x))
+        for j in np.flatnonzero(wanted[place] == buckets):
+            asking = np.flatnonzero(visits[:, place[j]])
+            scores[asking, first[j] : ends[j]] = q[asking] @ x[first[j] : ends[j]].T
+        return scores
 
     def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = topk.Best(k)
@@ -206,24 +248,28 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
                 q, x = values(row.q_xs), values(row.xs)
                 q_ids, ids = np.frombuffer(row.q_ids, "<i8"), np.frombuffer(row.ids, "<i8")
                 slots = best.slots(q_ids)
-                scores = q @ x.T
+                scores = scored(q, x, row)
                 scores[q_ids[:, None] == ids] = -np.inf
                 # a product of matrices may round otherwise than the exact score
                 slack = 1e-12 * np.sqrt(square) * np.sqrt((q * q).sum(axis=1)) * dim
-                rounded = scores + slack[:, None]
-                at, column = topk.best_pairs(
-                    rounded, np.maximum(best.least(slots), -1.7e308) - 2 * slack, k
-                )
+                least = np.maximum(best.least(slots), -1.7e308) - 2 * slack
+                at, column = np.nonzero(scores >= (least - slack)[:, None])
+                if len(at) > 2 * k * len(q):  # at first: no bound yet
+                    at, column = topk.best_pairs(scores + slack[:, None], least, k)
                 best.add(slots[at], ids[column], _exact(q, x, at, column))
                 if best.full():
                     yield best.lists()
         yield best.lists()
 
     def compare(joined: DataFrame) -> DataFrame:
-        return joined.select("q_ids", "q_xs", "ids", "xs").mapInPandas(searched, topk.FOUND)
+        columns = ("q_ids", "q_xs", "wanted", "visits", "ids", "xs", "bucket")
+        return joined.select(*columns).mapInPandas(searched, topk.FOUND)
 
-    found = compare(probes.join(index, ["tab", "bucket"]))
-    lists = topk.kept(topk.merged(found, k), "lsh-lists")
+    found = compare(probes.join(index, ["tab", "cell"]))
+    spark = vectors.sparkSession
+    few_rows = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(ROWS_AT_ONCE)}
+    with settings(spark, few_rows):
+        lists = topk.kept(topk.merged(found, k), "lsh-lists")
 
     # queries with too few: in blocks against all rows, which one table holds once
     enough = lists.where(F.length("ids") >= 8 * k).select("query_id")
@@ -236,8 +282,13 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
         again = topk.blocks(
             short.mapInPandas(as_bytes, "vec_id long, x binary"),
             ["vec_id"], QUERY_ROWS, n_short, [], "block long, ids binary, xs binary",
-        ).selectExpr("ids AS q_ids", "xs AS q_xs")
+        ).selectExpr(
+            "ids AS q_ids", "xs AS q_xs",
+            "CAST(NULL AS BINARY) AS wanted", "CAST(NULL AS BINARY) AS visits",
+        )
         salted = again.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         whole = index.where("tab = 0").withColumn("salt", F.pmod("block", F.lit(salts)).cast("int"))
-        lists = topk.merged(lists.union(compare(salted.join(whole, "salt"))), k)
+        found = compare(salted.join(whole, "salt"))
+        with settings(spark, few_rows):
+            lists = topk.kept(topk.merged(lists.union(found), k), "lsh-lists")
     return topk.ranked(lists)

@@ -63,6 +63,42 @@ def test_approximate(spark, vectors):
     assert recall >= 0.9
 
 
+def test_a_query_meets_a_vector_once_and_a_cell_has_many_buckets(monkeypatch):
+    monkeypatch.setattr(lsh_search, "BUCKET_ROWS", 8)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    tables = lsh_search._Tables(x[:500], len(x), 1.0, 20)
+    up, q = topk.lifted(x, 1.0), np.column_stack([x[:40], np.zeros(40)])
+    compared, copies, visits = 0, 0, 0
+    for t in range(lsh_search.TABLES):
+        bucket = tables.bucket(np.floor(tables.places(up, t)))
+        for probed in tables.probes(q, t):
+            compared += np.isin(bucket, probed).sum()
+            visits += len(probed)
+            copies += len(np.unique(tables.cell(probed)))
+    assert compared <= len(q) * len(x)
+    assert copies * 3 <= visits
+    # numbers of buckets keep the order of their slots, however far out these are
+    slots = np.sort(rng.integers(-3, 3, 500))[:, None] + np.zeros(tables.count)
+    assert (np.diff(tables.bucket(slots)) >= 0).all()
+    far = np.array([[-1e30] * tables.count, [1e30] * tables.count])
+    assert tables.bucket(far)[0] == 0 < tables.bucket(far)[1]
+
+
+def test_short_lists_are_completed(spark, monkeypatch):
+    # every vector in a bucket of its own, of which a query visits few
+    monkeypatch.setattr(lsh_search, "MISSED", 0.999)
+    monkeypatch.setattr(lsh_search, "BUCKET_ROWS", 1)
+    x = np.round(np.random.default_rng(6).normal(size=(200, 8)), 3).astype(np.float32)
+    found = lsh_search.lsh_top_k(frame(spark, x), F.col("vec_id") % 20 == 0, 150).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    wanted = brute(x.astype(np.float64), np.arange(200), np.arange(0, 200, 20), 150)
+    assert got == {q: [i for i, _ in v] for q, v in wanted.items()}
+
+
 @pytest.mark.parametrize("search", [pivot_search.pivot_top_k, lsh_search.lsh_top_k])
 def test_few_rows(spark, search):
     everything = F.col("vec_id") >= 0
