@@ -140,7 +140,8 @@ def _packed(
 ) -> tuple[pa.RecordBatch, int]:
     pieces = assign([len(x) for x in ids], size)
     documents, starts, lengths, sequences, offsets = (np.array(x) for x in zip(*pieces))
-    data = [np.ascontiguousarray(ids[d][a : a + n], "<u4").data for d, a, n, _, _ in pieces]
+    # bytes: pyarrow never lets go of memoryviews, so the worker would keep all ids it ever packed
+    data = [ids[d][a : a + n].astype("<u4").tobytes() for d, a, n, _, _ in pieces]
     columns = [
         pa.array([keys[d] for d in documents], pa.int64()),
         starts,

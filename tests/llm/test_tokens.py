@@ -1,5 +1,7 @@
 """Token ids, packing, and token files against the tokenizers library and plain loops."""
 
+import gc
+import weakref
 import zlib
 
 import numpy as np
@@ -91,6 +93,16 @@ def test_pack(spark, documents, plain):
     assert packing.pack(documents([])).count() == 0
 
 
+def test_packed_ids_are_let_go():
+    ids = [np.arange(n, dtype=np.uint32) for n in (9000, 1, 300)]
+    kept = [weakref.ref(x) for x in ids]
+    rows, _ = packing._packed([1, 2, 3], ids, packing.SEQUENCE_TOKENS, 0)
+    assert sum(len(x) for x in rows.column(7).to_pylist()) == 4 * 9301
+    del ids, rows
+    gc.collect()
+    assert all(x() is None for x in kept)
+
+
 def test_packed_sequences_hold_their_tokens(spark, documents, plain):
     rows = list(enumerate(TEXTS))
     found = packing.pack(documents(rows), group_tokens=4000).collect()
