@@ -48,9 +48,19 @@ def measures(vectors: DataFrame) -> tuple[int, int, float]:
 
 
 def sample(vectors: DataFrame, size: int, dim: int) -> np.ndarray:
-    """At most `size` vectors, the same each time: those with the smallest hashes."""
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(size).select("v").toPandas()
-    return matrix(rows["v"], dim)
+    """At most `size` vectors, the same each time: those with the smallest hashes.
+
+    Each task of a sort with a limit hands on `size` rows. So only hashes up to a bound that
+    hardly more than `size` rows reach are sorted, and the tasks' rows never meet on the driver.
+    """
+    hashes = vectors.select(F.xxhash64("vec_id").alias("h"), "vec_id", "v")
+    bounds = [-(1 << 63) + (1 << i) for i in range(63, 0, -1)]
+    counts = hashes.agg(*(F.count_if(F.col("h") < b) for b in bounds)).first()
+    enough = [b for b, c in zip(bounds, counts) if c >= size]
+    if enough:
+        hashes = hashes.where(F.col("h") < enough[-1])
+    rows = kept(hashes.orderBy("h", "vec_id", "v").limit(size), "sample").toPandas()
+    return matrix(rows.sort_values(["h", "vec_id"], kind="stable")["v"], dim)
 
 
 def lifted(x: np.ndarray, square: float) -> np.ndarray:

@@ -110,6 +110,25 @@ def test_few_rows(spark, search):
     assert sorted(got) == [(0, 1, 1), (0, 2, 2), (1, 1, 0), (1, 2, 2), (2, 1, 0), (2, 2, 1)]
 
 
+@pytest.mark.parametrize("ids", ["id", "0L"])
+def test_a_sample_does_not_send_rows_of_every_task_to_the_driver(spark, ids):
+    # 16 tasks with 256 KB of the vectors with the smallest hashes each
+    rows = spark.range(0, 960, 1, 16).selectExpr(
+        f"{ids} AS vec_id", "transform(sequence(1, 1024), i -> double(id * 7919 % 977) + i / 1e4) AS v"
+    )
+    conf = spark.sparkContext._jsc.sc().conf()
+    wanted = rows.selectExpr("xxhash64(vec_id) AS h", "vec_id", "v[0] AS first").toPandas()
+    wanted = wanted.sort_values(["h", "vec_id", "first"])["first"][:32]
+    conf.set("spark.driver.maxResultSize", "1m")
+    try:
+        found = topk.sample(rows, 32, 1024)
+    finally:
+        conf.remove("spark.driver.maxResultSize")
+    assert found.shape == (32, 1024)
+    assert found[:, 0].tolist() == wanted.tolist()
+    assert len(topk.sample(rows.limit(5), 32, 1024)) == 5
+
+
 def test_best_lists_merge():
     best = topk.Best(2)
     slots = best.slots(np.array([7, 9]))
