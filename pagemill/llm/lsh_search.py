@@ -3,14 +3,18 @@
 A table hashes a vector by the slots of width w that its projections on random
 normal directions fall into. For a neighbour at distance r, the difference of
 each projection is normal with deviation r, so the chance that it lies in a
-given bucket is a product of normal probabilities. A query visits the buckets of
-each table in the order of that chance, until the chances add up to what the
-wanted recall takes; r is estimated per query from a bounded sample. Candidates
-of all tables are compared by their exact inner product.
-
-Buckets with the same first slots are a cell. A block of queries goes to a cell
-once, with a bit for each query and bucket, however many buckets it visits there;
-the cell's vectors lie in blocks in the order of their buckets.
+given bucket is a product of normal probabilities. A query visits the likeliest
+buckets of each table, until the chances add up to what the wanted recall takes.
+r is estimated per query from a bounded sample; where that is not the whole
+table, queries go to their likeliest bucket first, and the k-th vector found
+there bounds r. Candidates of all tables are compared by their exact inner product.
+
+What a query keeps of this is the least chance of a bucket that it visits: its
+buckets are never listed, as there may be millions. A task holds a group of
+queries, in the order of their buckets, and reads a part of the index from the
+shared folder, block by block. Buckets with the same first slots are a cell, and
+a block is of one cell: what its slots at best allow rules out most queries that
+visit none of its buckets.
 
 Vectors are lifted to a common norm (topk.lifted), where the nearest one has the
 largest inner product, and queries are scaled to that norm.
@@ -20,24 +24,31 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
 from pagemill.llm import topk
-from pagemill.session import settings
+from pagemill.sources import files
 
 TABLES = 1  # by the recall, one table that misses no more compares fewer vectors than three together
 MISSED = 0.01  # share of neighbours that the estimate lets go
 SAMPLE = 2048  # vectors from which widths and distances are estimated
 BLOCK_ROWS = 4096
-QUERY_ROWS = 512
+QUERY_ROWS = 512  # queries of a group at least
+GROUP_BYTES = 16 << 20  # of the queries that a task holds at once
+AT_ONCE = 1024  # queries compared with a block at once
+INDEX_TASKS = 256  # beyond so many, a task makes up to 16 blocks
 BUCKET_ROWS = 256  # about the vectors in a bucket, which sets the number of projections
-CELL_SLOTS = 3  # projections that make a cell: at most so many copies of a query as there are cells
-ROWS_AT_ONCE = 16  # blocks that go to Python at once
+CELL_SLOTS = 3  # projections that make a cell
+LEAST_SLOT = 1e-4  # chance of a slot below which its buckets are left out
+LISTED = 4096  # buckets that are listed for their least chance, more are counted by their chance
+STEP, STEPS = 1 / 16, 512  # of that count: in natural logarithms
 SEED = 7
 
 
@@ -85,6 +96,12 @@ class _Tables:
     def cell(self, bucket: np.ndarray) -> np.ndarray:
         return bucket >> self.shift
 
+    def slots(self, bucket: np.ndarray) -> np.ndarray:
+        """The slots that a bucket's number stands for."""
+        half, mask = 1 << (self.bits - 1), (1 << self.bits) - 1
+        shifts = self.bits * np.arange(self.count - 1, -1, -1)
+        return ((bucket[:, None] >> shifts) & mask) - half
+
     def distance(self, q: np.ndarray) -> np.ndarray:
         """About the distance of each query's k-th neighbour, rather too large than too small."""
         m = len(self.sample)
@@ -92,44 +109,162 @@ class _Tables:
         place = min(m - 1, math.ceil(self.k * m / max(self.n, 1)))  # one more: a query itself
         return np.sqrt(np.maximum(np.partition(squares, place, axis=1)[:, place], 1e-18))
 
+    def _near(self, p: float, w: float, radius: float) -> tuple[np.ndarray, np.ndarray]:
+        """Slots that hold a neighbour's projection with some chance, and that chance."""
+        s = np.arange(math.floor(p - 4 * radius / w), math.floor(p + 4 * radius / w) + 1)
+        here = np.diff(_normal_cdf((np.append(s, s[-1] + 1) - p) * w / radius))
+        return s[here > LEAST_SLOT], here[here > LEAST_SLOT]
+
+    def _likeliest(self, near: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        """Chances and slots of the likeliest buckets, in this order, until they reach the target."""
+        chances, slots = np.ones(1), np.zeros((1, 0), np.int64)
+        for s, here in near:
+            chances = (chances[:, None] * here).ravel()
+            slots = np.column_stack([np.repeat(slots, len(s), axis=0), np.tile(s, len(slots))])
+            # beginnings that hardly any wanted bucket has go at once
+            order = np.argsort(-chances, kind="stable")
+            keep = 1 + int(np.searchsorted(np.cumsum(chances[order]), 0.999 * chances.sum()))
+            chances, slots = chances[order[:keep]], slots[order[:keep]]
+        enough = int(np.searchsorted(np.cumsum(chances), self.target)) + 1
+        return chances[:enough], slots[:enough]
+
+    def _counted(self, near: list[tuple]) -> float:
+        """The log of the least chance by the distribution of the chances' logs, which are rounded
+        down: buckets that reach it have the target's chance together at least."""
+        shares = np.zeros(STEPS)
+        shares[0] = 1
+        for _, here in near:
+            before, shares = shares, np.zeros(STEPS)
+            for by, chance in zip(np.ceil(-np.log(here) / STEP).astype(int), here):
+                shares[by:] += chance * before[: STEPS - by]
+        place = int(np.searchsorted(np.cumsum(shares), self.target))
+        return -place * STEP if place < STEPS else -math.inf
+
     def probes(self, q: np.ndarray, table: int) -> list[np.ndarray]:
         """Buckets of each query, the likeliest ones, in their order."""
-        at, r = self.places(q, table), self.distance(q)
         out = []
-        for place, radius in zip(at, r):
-            chances, slots = np.ones(1), np.zeros((1, 0), np.int64)
-            for p, w in zip(place, self.width[table]):
-                s = np.arange(math.floor(p - 4 * radius / w), math.floor(p + 4 * radius / w) + 1)
-                edges = _normal_cdf((np.append(s, s[-1] + 1) - p) * w / radius)
-                here = np.diff(edges)
-                s, here = s[here > 1e-4], here[here > 1e-4]
-                chances = (chances[:, None] * here).ravel()
-                slots = np.column_stack([np.repeat(slots, len(s), axis=0), np.tile(s, len(slots))])
-                # beginnings that hardly any wanted bucket has go at once
-                order = np.argsort(-chances, kind="stable")
-                keep = 1 + int(np.searchsorted(np.cumsum(chances[order]), 0.999 * chances.sum()))
-                chances, slots = chances[order[:keep]], slots[order[:keep]]
-            enough = int(np.searchsorted(np.cumsum(chances), self.target)) + 1
-            out.append(np.unique(self.bucket(slots[:enough])))
+        for place, radius in zip(self.places(q, table), self.distance(q)):
+            near = [self._near(p, w, radius) for p, w in zip(place, self.width[table])]
+            out.append(np.unique(self.bucket(self._likeliest(near)[1])))
         return out
 
+    def least(self, at: np.ndarray, r: np.ndarray, table: int, home: bool) -> np.ndarray:
+        """The log of the chance that a bucket must have for a query at `at` to visit it, of a
+        neighbour at distance r; without a bound where slots are tiny beside that distance.
+
+        home: the likeliest bucket only."""
+        out = np.full(len(at), -math.inf)
+        for j, (place, radius) in enumerate(zip(at, r)):
+            if (radius > 8 * self.width[table]).any():
+                continue
+            near = [self._near(p, w, radius) for p, w in zip(place, self.width[table])]
+            if home:
+                out[j] = sum(math.log(here.max()) for _, here in near) - 1e-9
+            elif math.prod(len(s) for s, _ in near) <= LISTED:
+                out[j] = math.log(self._likeliest(near)[0][-1]) - 1e-9  # a log of a product is not exact
+            else:
+                out[j] = self._counted(near)
+        return out
+
+
+class _Asked:
+    """A group of queries, and which buckets each visits."""
+
+    def __init__(
+        self, tables: _Tables, ids: np.ndarray, q: np.ndarray, scaled: np.ndarray, r: np.ndarray, least: np.ndarray
+    ):
+        self.tables, self.ids, self.q, self.r, self.bounds = tables, ids, q, r, least
+        self.norms = np.sqrt(np.square(q, dtype=np.float64).sum(axis=1))
+        self.at = [tables.places(scaled, t) for t in range(TABLES)]
+        self._held: dict[tuple, np.ndarray] = {}
+
+    def _chance(self, table: int, i: int, slot: int) -> np.ndarray:
+        """The log of each query's chance of a slot; of none if that is hardly any."""
+        found = self._held.get((table, i, slot))
+        if found is None:
+            if len(self._held) >= 128:
+                self._held.clear()
+            half, by = 1 << (self.tables.bits - 1), self.tables.width[table, i] / self.r
+            ends = [
+                _normal_cdf((slot + 1 - self.at[table][:, i]) * by) if slot < half - 1 else 1.0,
+                _normal_cdf((slot - self.at[table][:, i]) * by) if slot > -half else 0.0,
+            ]
+            chance = np.broadcast_to(ends[0] - ends[1], len(self.r))
+            found = np.full(len(self.r), -math.inf)
+            np.log(chance, out=found, where=chance > LEAST_SLOT)
+            self._held[table, i, slot] = found
+        return found
+
+    def visits(self, table: int, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Queries that visit some of the buckets, and by query and bucket whether it does."""
+        columns = []
+        for i, slots in enumerate(self.tables.slots(buckets).T):
+            each, place = np.unique(slots, return_inverse=True)
+            columns.append(([self._chance(table, i, int(s)) for s in each], place))
+        bound = self.bounds[:, table]
+        asking = np.flatnonzero(sum(np.max(c, axis=0) for c, _ in columns) >= bound)
+        chances = np.zeros((len(asking), len(buckets)))
+        for chance, place in columns:
+            chances += np.column_stack([c[asking] for c in chance])[:, place]
+        visits = chances >= bound[asking, None]
+        some = visits.any(axis=1)
+        return asking[some], visits[some]
+
 
 def _exact(q: np.ndarray, x: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
     """Inner products of pairs, summed in the order of the components: equal vectors get equal
     scores in whatever block they are."""
     total = np.zeros(len(rows))
-    for i in range(q.shape[1]):
-        total += q[rows, i] * x[columns, i]
+    for a in range(0, len(rows), 1 << 15):
+        part = slice(a, a + (1 << 15))
+        products = q[rows[part]].astype(np.float64) * x[columns[part]]
+        for i in range(q.shape[1]):
+            total[part] += products[:, i]
     return total
 
 
+def _add_best(
+    best: topk.Best, q_ids: np.ndarray, q: np.ndarray, slack: np.ndarray, floor: np.ndarray,
+    ids: np.ndarray, x: np.ndarray, visits: np.ndarray | None, bucket: np.ndarray | None,
+) -> None:
+    """Add what the queries find among the vectors of a block in the buckets they visit.
+
+    A product of matrices is off the exact score by `slack` at most; scores below `floor` do
+    not matter.
+    """
+    slots = best.slots(q_ids)
+    scores = q @ x.T
+    least = np.maximum(best.least(slots), floor) - slack
+
+    def reached() -> tuple[np.ndarray, np.ndarray]:
+        # in the products' own precision, rounded down: comparing is as much work as multiplying
+        bar = np.nextafter(least.astype(scores.dtype), -np.inf, dtype=scores.dtype)
+        bar = np.maximum(bar, np.finfo(scores.dtype).min)
+        return np.divmod(np.flatnonzero(scores >= bar[:, None]), scores.shape[1])
+
+    at, column = reached()
+    if len(at) > 2 * best.k * len(q):  # at first: no bound yet
+        scores[q_ids[:, None] == ids] = -np.inf
+        if visits is not None:
+            scores[~visits[:, bucket]] = -np.inf
+        if scores.shape[1] > best.k:
+            kth = np.partition(scores, scores.shape[1] - best.k, axis=1)[:, -best.k]
+            least = np.maximum(least, kth - 2 * slack)
+        at, column = reached()
+    fine = q_ids[at] != ids[column]
+    if visits is not None:
+        fine &= visits[at, bucket[column]]
+    at, column = at[fine], column[fine]
+    best.add(slots[at], ids[column], _exact(q, x, at, column))
+
+
 def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """query_id, rank, vec_id, score of each query's k nearest found, by inner product.
 
     Ties go to the smaller vec_id. Rows that share the query's vec_id are its
     own; vectors that share an id count as one with their best score. Shorter
-    vectors are continued with zeros. A query for which fewer than k were found is compared with all rows,
-    in blocks. See topk.valid_vectors for rows that take no part (zero vectors
+    vectors are continued with zeros. A query for which fewer than k were found is
+    compared with all rows. See topk.valid_vectors for rows that take no part (zero vectors
     neither); an empty table gives no rows.
     """
     rows = topk.kept(
@@ -160,135 +295,146 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
                     {"tab": t, "cell": cell, "bucket": bucket, "vec_id": batch["vec_id"], "x": data}
                 )
 
+    total = TABLES * n
+    blocks = -(-total // BLOCK_ROWS)
     index = topk.kept(
         topk.blocks(
             rows.select("vec_id", "v").mapInPandas(
                 hashed, "tab int, cell long, bucket long, vec_id long, x binary"
             ),
-            ["tab", "bucket", "vec_id"], BLOCK_ROWS, TABLES * n, ["tab", "cell"],
+            ["tab", "bucket", "vec_id"], BLOCK_ROWS, total, ["tab", "cell"],
             "tab int, cell long, block long, ids binary, xs binary, bucket binary",
+            tasks=min(blocks, max(INDEX_TASKS, blocks // 16)),
         ),
         "lsh-index",
     )
     asked = rows.where("is_query").select("vec_id", "v")
     n_asked = asked.count()
-
-    def as_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            x = topk.matrix(batch["v"], dim)
-            yield pd.DataFrame({"vec_id": batch["vec_id"], "x": as_rows(x)})
-
-    queries = topk.kept(
-        topk.blocks(
-            asked.mapInPandas(as_bytes, "vec_id long, x binary"),
-            ["vec_id"], QUERY_ROWS, n_asked, [], "block long, ids binary, xs binary",
-        ),
-        "lsh-queries",
-    )
+    spark = vectors.sparkSession
+    parallel = 4 * spark.sparkContext.defaultParallelism
 
     def values(data: bytes) -> np.ndarray:
-        return np.frombuffer(data, kind).reshape(-1, dim).astype(np.float64)
+        return np.frombuffer(data, kind).reshape(-1, dim)
 
-    def probing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for ids, xs in zip(batch["ids"], batch["xs"]):
-                q, numbers = values(xs), np.frombuffer(ids, "<i8")
-                norms = np.sqrt((q * q).sum(axis=1))
-                scaled = q * (np.sqrt(square) / norms)[:, None]
-                scaled = np.column_stack([scaled, np.zeros(len(q))])
-                for t in range(TABLES):
-                    lists = tables.probes(scaled, t)
-                    who = np.repeat(np.arange(len(q)), [len(p) for p in lists])
-                    bucket = np.concatenate(lists)
-                    order = np.argsort(bucket, kind="stable")
-                    bucket, who = bucket[order], who[order]
-                    cell = tables.cell(bucket)
-                    cuts = np.flatnonzero(np.diff(cell)) + 1
-                    for a, b in zip([0, *cuts], [*cuts, len(cell)]):
-                        asking, row = np.unique(who[a:b], return_inverse=True)
-                        wanted, column = np.unique(bucket[a:b], return_inverse=True)
-                        visits = np.zeros((len(asking), len(wanted)), bool)
-                        visits[row, column] = True
-                        yield pd.DataFrame(
-                            {
-                                "tab": t,
-                                "cell": cell[a],
-                                "q_ids": [numbers[asking].tobytes()],
-                                "q_xs": [q[asking].astype(kind).tobytes()],
-                                "wanted": [wanted.tobytes()],
-                                "visits": [np.packbits(visits).tobytes()],
-                            }
-                        )
-
-    probes = queries.mapInPandas(
-        probing,
-        "tab int, cell long, q_ids binary, q_xs binary, wanted binary, visits binary",
-    )
+    def scaled(q: np.ndarray) -> np.ndarray:
+        q = q.astype(np.float64)
+        norms = np.sqrt((q * q).sum(axis=1))
+        return np.column_stack([q * (np.sqrt(square) / norms)[:, None], np.zeros(len(q))])
 
-    def scored(q: np.ndarray, x: np.ndarray, row) -> np.ndarray:
-        """Inner products of each query with the vectors of the buckets that it visits."""
-        if row.wanted is None:
-            return q @ x.T
-        scores = np.full((len(q), len(x)), -np.inf)
-        wanted = np.frombuffer(row.wanted, "<i8")
-        bits = np.unpackbits(np.frombuffer(row.visits, np.uint8), count=len(q) * len(wanted))
-        visits = bits.reshape(len(q), -1).astype(bool)
-        buckets, first = np.unique(np.frombuffer(row.bucket, "<i8"), return_index=True)
-        place = np.minimum(np.searchsorted(wanted, buckets), len(wanted) - 1)
-        ends = np.append(first[1:], len(x))
-        for j in np.flatnonzero(wanted[place] == buckets):
-            asking = np.flatnonzero(visits[:, place[j]])
-            scores[asking, first[j] : ends[j]] = q[asking] @ x[first[j] : ends[j]].T
-        return scores
-
-    def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = topk.Best(k)
+    def ordered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                q, x = values(row.q_xs), values(row.xs)
-                q_ids, ids = np.frombuffer(row.q_ids, "<i8"), np.frombuffer(row.ids, "<i8")
-                slots = best.slots(q_ids)
-                scores = scored(q, x, row)
-                scores[q_ids[:, None] == ids] = -np.inf
-                # a product of matrices may round otherwise than the exact score
-                slack = 1e-12 * np.sqrt(square) * np.sqrt((q * q).sum(axis=1)) * dim
-                least = np.maximum(best.least(slots), -1.7e308) - 2 * slack
-                at, column = np.nonzero(scores >= (least - slack)[:, None])
-                if len(at) > 2 * k * len(q):  # at first: no bound yet
-                    at, column = topk.best_pairs(scores + slack[:, None], least, k)
-                best.add(slots[at], ids[column], _exact(q, x, at, column))
-                if best.full():
-                    yield best.lists()
-        yield best.lists()
-
-    def compare(joined: DataFrame) -> DataFrame:
-        columns = ("q_ids", "q_xs", "wanted", "visits", "ids", "xs", "bucket")
-        return joined.select(*columns).mapInPandas(searched, topk.FOUND)
-
-    found = compare(probes.join(index, ["tab", "cell"]))
-    spark = vectors.sparkSession
-    few_rows = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(ROWS_AT_ONCE)}
-    with settings(spark, few_rows):
-        lists = topk.kept(topk.merged(found, k), "lsh-lists")
+            x = topk.matrix(batch["v"], dim)
+            bucket = tables.bucket(np.floor(tables.places(scaled(x), 0)))
+            floor = batch["floor"].astype("f8").fillna(-np.inf)
+            yield pd.DataFrame(
+                {"bucket": bucket, "vec_id": batch["vec_id"], "x": as_rows(x), "floor": floor}
+            )
+
+    def probing(everything: bool, home: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                reach, least = [], []
+                for xs, floor in zip(batch["xs"], batch["floor"]):
+                    up, floor = scaled(values(xs)), np.frombuffer(floor)
+                    few = [up[a : a + AT_ONCE] for a in range(0, len(up), AT_ONCE)]
+                    r = np.concatenate([tables.distance(q) for q in few])
+                    # what reaches the floor is no farther than this
+                    norms = np.sqrt(np.square(values(xs), dtype=np.float64).sum(axis=1))
+                    squares = 2 * square - 2 * floor * np.sqrt(square) / norms
+                    r = np.minimum(r, np.sqrt(np.maximum(squares, 1e-18)))
+                    bounds = np.full((len(up), TABLES), -math.inf)
+                    if not everything:
+                        for t in range(TABLES):
+                            bounds[:, t] = tables.least(tables.places(up, t), r, t, home)
+                    reach.append(r.tobytes())
+                    least.append(bounds.tobytes())
+                yield batch[["ids", "xs", "floor"]].assign(reach=reach, least=least)
+
+        return run
+
+    def searched(query_files: list[str], parts: list[list[str]], everything: bool):
+        def read(path: str) -> Iterator:
+            with files.open_input(path) as file:
+                for batch in pq.ParquetFile(file).iter_batches(4):
+                    yield from batch.to_pylist()
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for number in (i for batch in batches for i in batch["id"]):
+                for row in read(query_files[number // len(parts)]):
+                    yield found(row, parts[number % len(parts)])
+
+        def found(row: dict, paths: list[str]) -> pd.DataFrame:
+            q, best = values(row["xs"]), topk.Best(k)
+            asked = _Asked(
+                tables, np.frombuffer(row["ids"], "<i8"), q, scaled(q), np.frombuffer(row["reach"]),
+                np.frombuffer(row["least"]).reshape(-1, TABLES),
+            )
+            # products of floats in their own precision, where it neither ends nor overflows
+            small = single and 1e-20 < square < 1e30
+            slack = (1e-6 if small else 1e-12) * math.sqrt(square) * asked.norms * dim + 1e-36 * small
+            q = q if small else q.astype(np.float64)
+            floor = np.frombuffer(row["floor"])
+            for block in (b for path in paths for b in read(path)):
+                if everything and block["tab"]:
+                    continue
+                ids, x = np.frombuffer(block["ids"], "<i8"), values(block["xs"]).astype(q.dtype, copy=False)
+                if everything:
+                    asking, visits = np.arange(len(q)), None
+                else:
+                    buckets, place = np.unique(np.frombuffer(block["bucket"], "<i8"), return_inverse=True)
+                    asking, visits = asked.visits(block["tab"], buckets)
+                for a in range(0, len(asking), AT_ONCE):
+                    who = asking[a : a + AT_ONCE]
+                    given = asked.ids[who], q[who], slack[who], floor[who]
+                    if everything:
+                        _add_best(best, *given, ids, x, None, None)
+                        continue
+                    here = visits[a : a + AT_ONCE]
+                    wanted = here.any(axis=0)[place]
+                    _add_best(best, *given, ids[wanted], x[wanted], here, place[wanted])
+            return best.lists()
+
+        return run
+
+    index_files = [unquote(f) for f in sorted(index.inputFiles())]
+
+    def search(asked: DataFrame, count: int, everything: bool = False, home: bool = False) -> DataFrame:
+        """Lists that tasks find: each has a group of the queries and a part of the index."""
+        size = min(max(-(-count // parallel), QUERY_ROWS), max(QUERY_ROWS, GROUP_BYTES // (8 * dim)))
+        queries = topk.kept(
+            topk.blocks(
+                asked.mapInPandas(ordered, "bucket long, vec_id long, x binary, floor double"),
+                ["bucket", "vec_id"], size, count, [], "block long, ids binary, xs binary, floor binary",
+            ).mapInPandas(
+                probing(everything, home),
+                "ids binary, xs binary, floor binary, reach binary, least binary",
+            ),
+            "lsh-queries",
+        )
+        query_files = [unquote(f) for f in sorted(queries.inputFiles())]
+        n_parts = max(1, min(len(index_files), max(8, -(-parallel // max(1, len(query_files))))))
+        parts = [index_files[i::n_parts] for i in range(n_parts)]
+        tasks = len(query_files) * n_parts
+        return spark.range(0, tasks, 1, max(1, tasks)).mapInPandas(
+            searched(query_files, parts, everything), topk.FOUND
+        )
 
-    # queries with too few: in blocks against all rows, which one table holds once
+    unbounded = asked.withColumn("floor", F.lit(None).cast("double"))
+    if n <= SAMPLE:  # the distances are known
+        found = search(unbounded, n_asked)
+    else:
+        first = topk.kept(topk.merged(search(unbounded, n_asked, home=True), k), "lsh-home")
+        floors = topk.ranked(first).where(F.col("rank") == k).selectExpr("query_id", "score AS floor")
+        bounded = asked.join(floors, F.col("vec_id") == F.col("query_id"), "left").drop("query_id")
+        found = first.union(search(bounded, n_asked))
+    lists = topk.kept(topk.merged(found, k), "lsh-lists")
+
+    # queries with too few: against all rows, which one table holds once
     enough = lists.where(F.length("ids") >= 8 * k).select("query_id")
     if enough.count() < n_asked:
         short = topk.kept(
-            asked.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "lsh-short"
+            unbounded.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "lsh-short"
         )
-        n_short = short.count()
-        salts = 16
-        again = topk.blocks(
-            short.mapInPandas(as_bytes, "vec_id long, x binary"),
-            ["vec_id"], QUERY_ROWS, n_short, [], "block long, ids binary, xs binary",
-        ).selectExpr(
-            "ids AS q_ids", "xs AS q_xs",
-            "CAST(NULL AS BINARY) AS wanted", "CAST(NULL AS BINARY) AS visits",
-        )
-        salted = again.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        whole = index.where("tab = 0").withColumn("salt", F.pmod("block", F.lit(salts)).cast("int"))
-        found = compare(salted.join(whole, "salt"))
-        with settings(spark, few_rows):
-            lists = topk.kept(topk.merged(lists.union(found), k), "lsh-lists")
+        found = search(short, short.count(), everything=True)
+        lists = topk.kept(topk.merged(lists.union(found), k), "lsh-lists")
     return topk.ranked(lists)

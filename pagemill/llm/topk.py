@@ -71,8 +71,9 @@ def lifted(x: np.ndarray, square: float) -> np.ndarray:
 
 
 def blocks(
-    rows: DataFrame, order: list[str], size: int, total: int, within: list[str], schema: str
-) -> DataFrame:
+    rows: DataFrame, order: list[str], size: int, total: int, within: list[str], schema: str,
+    tasks: int | None = None,
+) -> DataFrame:
     """Rows in the given order, packed into rows of at most `size` of them.
 
     rows: `order` columns among them, vec_id, and binary x. A block never spans
@@ -116,7 +117,7 @@ def blocks(
         if held:
             yield pd.DataFrame([packed(held)], columns=names)
 
-    tasks = max(1, -(-total // size))
+    tasks = max(1, -(-total // size) if tasks is None else tasks)
     return rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInPandas(
         run, schema
     )

@@ -86,6 +86,55 @@ def test_a_query_meets_a_vector_once_and_a_cell_has_many_buckets(monkeypatch):
     assert tables.bucket(far)[0] == 0 < tables.bucket(far)[1]
 
 
+def test_buckets_are_visited_by_their_chance(monkeypatch):
+    """Those that a list of the likeliest ones has; counted chances let go of none."""
+    monkeypatch.setattr(lsh_search, "BUCKET_ROWS", 8)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(800, 32))
+    x[400:] = x[:400] + rng.normal(size=(400, 32)) * 0.05
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    tables = lsh_search._Tables(x, len(x), 1.0, 5)
+    assert tables.count == 4
+    buckets = np.unique(tables.bucket(np.floor(tables.places(topk.lifted(x, 1.0), 0))))
+    assert (tables.bucket(tables.slots(buckets)) == buckets).all()
+    q = np.column_stack([x[:60], np.zeros(60)])
+    at, r = tables.places(q, 0), tables.distance(q)
+    listed = np.array([np.isin(buckets, probed) for probed in tables.probes(q, 0)])
+
+    def visited(home):
+        least = tables.least(at, r, 0, home)[:, None]
+        found = np.zeros(listed.shape, bool)
+        asking, visits = lsh_search._Asked(tables, np.arange(60), x[:60], q, r, least).visits(0, buckets)
+        found[asking] = visits
+        return found
+
+    assert (visited(False) == listed).all() and listed.any(axis=1).all()
+    own = tables.bucket(np.floor(at))[:, None] == buckets
+    assert (visited(True) == own).all()
+    monkeypatch.setattr(lsh_search, "LISTED", 0)
+    counted = visited(False)
+    assert (counted >= listed).all() and counted.sum() < 1.3 * listed.sum()
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_a_first_round_bounds_the_distance(spark, monkeypatch, kind):
+    # 30 near copies of each vector, of which the sample has few
+    monkeypatch.setattr(lsh_search, "SAMPLE", 64)
+    monkeypatch.setattr(lsh_search, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(lsh_search, "QUERY_ROWS", 30)
+    rng = np.random.default_rng(9)
+    x = np.tile(rng.normal(size=(100, 16)), (30, 1)) + rng.normal(size=(3000, 16)) * 0.01
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    data = frame(spark, x, ODD).withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))
+    found = lsh_search.lsh_top_k(data, F.col("vec_id") % 20 == 0, 20).collect()
+    wanted = brute(x.astype(np.float64), np.arange(3000), np.arange(0, 3000, 20), 20)
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got.keys() == wanted.keys() and all(len(v) == 20 for v in got.values())
+    assert np.mean([len({i for i, _ in wanted[q]} & set(got[q])) / 20 for q in wanted]) >= 0.95
+
+
 def test_short_lists_are_completed(spark, monkeypatch):
     # every vector in a bucket of its own, of which a query visits few
     monkeypatch.setattr(lsh_search, "MISSED", 0.999)
