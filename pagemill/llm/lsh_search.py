@@ -22,6 +22,7 @@ largest inner product, and queries are scaled to that norm.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from urllib.parse import unquote
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
-from pagemill.llm import topk
+from pagemill.llm import store, topk
 from pagemill.sources import files
 
 TABLES = 1  # by the recall, one table that misses no more compares fewer vectors than three together
@@ -41,7 +42,7 @@ MISSED = 0.01  # share of neighbours that the estimate lets go
 SAMPLE = 2048  # vectors from which widths and distances are estimated
 BLOCK_ROWS = 4096
 QUERY_ROWS = 512  # queries of a group at least
-GROUP_BYTES = 16 << 20  # of the queries that a task holds at once
+GROUP_BYTES = 8 << 20  # of the queries that a task holds at once
 AT_ONCE = 1024  # queries compared with a block at once
 INDEX_TASKS = 256  # beyond so many, a task makes up to 16 blocks
 BUCKET_ROWS = 256  # about the vectors in a bucket, which sets the number of projections
@@ -109,11 +110,16 @@ class _Tables:
         place = min(m - 1, math.ceil(self.k * m / max(self.n, 1)))  # one more: a query itself
         return np.sqrt(np.maximum(np.partition(squares, place, axis=1)[:, place], 1e-18))
 
-    def _near(self, p: float, w: float, radius: float) -> tuple[np.ndarray, np.ndarray]:
-        """Slots that hold a neighbour's projection with some chance, and that chance."""
-        s = np.arange(math.floor(p - 4 * radius / w), math.floor(p + 4 * radius / w) + 1)
-        here = np.diff(_normal_cdf((np.append(s, s[-1] + 1) - p) * w / radius))
-        return s[here > LEAST_SLOT], here[here > LEAST_SLOT]
+    def _near(self, at: np.ndarray, r: np.ndarray, table: int) -> Iterator[list[tuple]]:
+        """For each query and projection, slots that hold a neighbour with some chance, and that."""
+        found = []
+        for p, w in zip(at.T, self.width[table]):
+            lo, hi = np.floor(p - 4 * r / w), np.floor(p + 4 * r / w)
+            s = lo[:, None] + np.arange(int((hi - lo).max(initial=0)) + 2)
+            here = np.diff(_normal_cdf((s - p[:, None]) * w / r[:, None]), axis=1)
+            found.append((s[:, :-1].astype(np.int64), here, here > LEAST_SLOT))
+        for j in range(len(at)):
+            yield [(s[j, some[j]], here[j, some[j]]) for s, here, some in found]
 
     def _likeliest(self, near: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
         """Chances and slots of the likeliest buckets, in this order, until they reach the target."""
@@ -142,26 +148,25 @@ class _Tables:
 
     def probes(self, q: np.ndarray, table: int) -> list[np.ndarray]:
         """Buckets of each query, the likeliest ones, in their order."""
-        out = []
-        for place, radius in zip(self.places(q, table), self.distance(q)):
-            near = [self._near(p, w, radius) for p, w in zip(place, self.width[table])]
-            out.append(np.unique(self.bucket(self._likeliest(near)[1])))
-        return out
+        near = self._near(self.places(q, table), self.distance(q), table)
+        return [np.unique(self.bucket(self._likeliest(n)[1])) for n in near]
 
     def least(self, at: np.ndarray, r: np.ndarray, table: int, home: bool) -> np.ndarray:
         """The log of the chance that a bucket must have for a query at `at` to visit it, of a
         neighbour at distance r; without a bound where slots are tiny beside that distance.
 
-        home: the likeliest bucket only."""
+        home: the likeliest bucket only, which a query lies in itself."""
         out = np.full(len(at), -math.inf)
-        for j, (place, radius) in enumerate(zip(at, r)):
-            if (radius > 8 * self.width[table]).any():
-                continue
-            near = [self._near(p, w, radius) for p, w in zip(place, self.width[table])]
-            if home:
-                out[j] = sum(math.log(here.max()) for _, here in near) - 1e-9
-            elif math.prod(len(s) for s, _ in near) <= LISTED:
-                out[j] = math.log(self._likeliest(near)[0][-1]) - 1e-9  # a log of a product is not exact
+        by = self.width[table] / r[:, None]
+        bounded = np.flatnonzero((by >= 1 / 8).all(axis=1))
+        if home:
+            at, by = at[bounded], by[bounded]
+            own = _normal_cdf((np.floor(at) + 1 - at) * by) - _normal_cdf((np.floor(at) - at) * by)
+            out[bounded] = np.log(own).sum(axis=1) - 1e-9  # a log of a product is not exact
+            return out
+        for j, near in zip(bounded, self._near(at[bounded], r[bounded], table)):
+            if math.prod(len(s) for s, _ in near) <= LISTED:
+                out[j] = math.log(self._likeliest(near)[0][-1]) - 1e-9
             else:
                 out[j] = self._counted(near)
         return out
@@ -336,19 +341,21 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
                 reach, least = [], []
                 for xs, floor in zip(batch["xs"], batch["floor"]):
                     up, floor = scaled(values(xs)), np.frombuffer(floor)
-                    few = [up[a : a + AT_ONCE] for a in range(0, len(up), AT_ONCE)]
-                    r = np.concatenate([tables.distance(q) for q in few])
+                    few = [slice(a, a + AT_ONCE) for a in range(0, len(up), AT_ONCE)]
+                    r = np.concatenate([tables.distance(up[part]) for part in few])
                     # what reaches the floor is no farther than this
                     norms = np.sqrt(np.square(values(xs), dtype=np.float64).sum(axis=1))
                     squares = 2 * square - 2 * floor * np.sqrt(square) / norms
                     r = np.minimum(r, np.sqrt(np.maximum(squares, 1e-18)))
                     bounds = np.full((len(up), TABLES), -math.inf)
                     if not everything:
-                        for t in range(TABLES):
-                            bounds[:, t] = tables.least(tables.places(up, t), r, t, home)
+                        for t, part in itertools.product(range(TABLES), few):
+                            at = tables.places(up[part], t)
+                            bounds[part, t] = tables.least(at, r[part], t, home)
                     reach.append(r.tobytes())
                     least.append(bounds.tobytes())
                 yield batch[["ids", "xs", "floor"]].assign(reach=reach, least=least)
+                store.give_back()
 
         return run
 
@@ -362,6 +369,7 @@ def lsh_top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
             for number in (i for batch in batches for i in batch["id"]):
                 for row in read(query_files[number // len(parts)]):
                     yield found(row, parts[number % len(parts)])
+                    store.give_back()
 
         def found(row: dict, paths: list[str]) -> pd.DataFrame:
             q, best = values(row["xs"]), topk.Best(k)
